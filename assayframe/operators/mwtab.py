@@ -418,8 +418,14 @@ def named_rows(rows: DataFrame, layout: Layout) -> DataFrame:
     return named.withColumn("feature_uid", key)
 
 
-def data_rows(files: DataFrame, layout: Layout) -> DataFrame:
-    found = blocks(structure(files, layout), layout)
+def _with_ids(struct: DataFrame, need_ids: bool) -> DataFrame:
+    if not need_ids:
+        return struct
+    return struct.where(F.col("study_id").isNotNull() & F.col("analysis_id").isNotNull())
+
+
+def data_rows(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
+    found = blocks(_with_ids(structure(files, layout), need_ids), layout)
     rows = found.withColumn("row", F.explode("rows")).drop("rows")
     return rows.withColumns({"no": F.col("row.no"), "text": F.col("row.text")}).drop("row")
 
@@ -448,9 +454,13 @@ def cells_of(rows: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def measurements(files: DataFrame, layout: Layout) -> DataFrame:
-    """All cells with a parsed value, replicates and repeated features included."""
-    cells = cells_of(named_rows(data_rows(files, layout), layout), layout)
+def measurements(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
+    """All cells with a parsed value, replicates and repeated features included.
+
+    With ``need_ids`` files without study or analysis id give nothing; else their keys
+    say UNKNOWN.
+    """
+    cells = cells_of(named_rows(data_rows(files, layout, need_ids), layout), layout)
     return cells.withColumn("value", parse_number(F.col("raw_value"))).drop("raw_value")
 
 
@@ -468,14 +478,14 @@ def rejects(files: DataFrame, layout: Layout) -> DataFrame:
     return metadata(files, layout).where(F.col("error").isNotNull()).select("file_id", "error")
 
 
-def samples(files: DataFrame, layout: Layout) -> DataFrame:
+def samples(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
     """Samples of each file with the factors of their label.
 
     Strict layouts take the samples from the header (first column excluded); the plain
     layout adds the labels of factor lines. Of a label's factor lines the last counts.
     Header cells and factor lines meet in one aggregate over labels, not cells.
     """
-    struct = structure(files, layout)
+    struct = _with_ids(structure(files, layout), need_ids)
     ids = [F.col("study_id").alias("study"), F.col("analysis_id").alias("analysis")]
     none = F.lit(None)
     from_header = (
@@ -525,9 +535,10 @@ def samples(files: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def features(files: DataFrame, layout: Layout) -> DataFrame:
+def features(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
     """Distinct features of each file with the first name seen; no cell is exploded."""
-    rows = named_rows(data_rows(files, layout), layout).where(F.col("feature_name").isNotNull())
+    rows = named_rows(data_rows(files, layout, need_ids), layout)
+    rows = rows.where(F.col("feature_name").isNotNull())
     picked = rows.groupBy("file_id", "feature_uid").agg(
         F.min_by(F.struct("feature_name", "refmet_name", "analysis"), F.col("no")).alias("f")
     )

@@ -84,18 +84,13 @@ def parse_files(files: DataFrame, layout_column: str = "detected_type") -> Parse
         return reduce(DataFrame.unionByName, tables)
 
     def complete(part):
-        return lambda chosen, layout: part(chosen, layout).where(
-            (F.col("study_id") != "UNKNOWN") & (F.col("analysis_id") != "UNKNOWN")
-        )
+        return union(lambda chosen, layout: part(chosen, layout, need_ids=True))
 
-    metadata = union(mwtab.metadata)
-    good = metadata.where(F.col("error").isNull()).select("file_id", "study_id", "analysis_id")
-    by_file = good.select("file_id")
     return Parsed(
-        measurements=union(complete(mwtab.measurements)),
-        samples=union(mwtab.samples).join(by_file, "file_id", "left_semi"),
-        features=union(mwtab.features).join(by_file, "file_id", "left_semi"),
-        metadata=metadata,
+        measurements=complete(mwtab.measurements),
+        samples=complete(mwtab.samples),
+        features=complete(mwtab.features),
+        metadata=union(mwtab.metadata),
         warnings=union(mwtab.warnings),
     )
 
