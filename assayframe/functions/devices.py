@@ -163,31 +163,36 @@ def device_of_file(
     return F.coalesce(by_name, by_content, by_path)
 
 
-def _plain_key(key: Column) -> Column:
-    return F.translate(key, "_- ", "")
+def plain_factor(key: Column, value: Column) -> Column:
+    """Factor as the scores below read it: key without separators, value in lower case."""
+    return F.struct(F.translate(key, "_- ", "").alias("key"), F.lower(value).alias("value"))
 
 
 def _word_score(value: Column, words: tuple[str, ...]) -> Column:
-    """Score of the first word contained in the value: exact beats partial."""
-    score = F
-    for word in words:
-        points = F.when(value == word, F.lit(EXACT_SCORE)).otherwise(F.lit(PARTIAL_SCORE))
-        score = score.when(F.contains(value, F.lit(word)), points)
-    return score.otherwise(F.lit(0))
+    """Score of the first word contained in the value: 10 when it is the whole value.
+
+    A word that contains an earlier one can never be first, so it never scores as exact.
+    """
+    first = [w for i, w in enumerate(words) if not any(e in w for e in words[:i])]
+    return (
+        F.when(value.isin(*first), F.lit(EXACT_SCORE))
+        .when(contains_any(value, words), F.lit(PARTIAL_SCORE))
+        .otherwise(F.lit(0))
+    )
 
 
-def exposure_scores(key: Column, value: Column) -> tuple[Column, Column]:
-    """(case score, control score) of one factor."""
-    low = F.lower(value)
+def exposure_scores(factor: Column) -> tuple[Column, Column]:
+    """(case score, control score) of one plain factor."""
+    value = factor["value"]
     counts = (
-        contains_any(_plain_key(key), EXPOSURE_KEYS)
-        & ~low.isin(*STUDY_NAMES)
-        & (~contains_any(low, EXCLUDED_VALUES) | contains_any(low, EXCLUSION_OVERRIDES))
+        contains_any(factor["key"], EXPOSURE_KEYS)
+        & ~value.isin(*STUDY_NAMES)
+        & (~contains_any(value, EXCLUDED_VALUES) | contains_any(value, EXCLUSION_OVERRIDES))
     )
     none = F.lit(0)
     return (
-        F.when(counts, _word_score(low, OB_VALUES)).otherwise(none),
-        F.when(counts, _word_score(low, CON_VALUES)).otherwise(none),
+        F.when(counts, _word_score(value, OB_VALUES)).otherwise(none),
+        F.when(counts, _word_score(value, CON_VALUES)).otherwise(none),
     )
 
 
@@ -204,23 +209,23 @@ def exposure_conflict(ob: Column, con: Column) -> Column:
 # hash aggregate can merge in place with bit_or.
 
 
-def matrix_mask(key: Column, value: Column) -> Column:
-    """Bits of the matrix classes that one factor names."""
-    low = F.lower(value)
+def _mask(text: Column, prefix: str = "") -> Column:
     mask = F.lit(0)
     for bit, (_, words) in enumerate(MATRIX_VALUES):
-        mask = mask.bitwiseOR(F.when(contains_any(low, words), F.lit(1 << bit)).otherwise(F.lit(0)))
-    return F.when(contains_any(_plain_key(key), MATRIX_KEYS), mask).otherwise(F.lit(0))
+        hit = contains_any(text, [prefix + w for w in words])
+        mask = mask.bitwiseOR(F.when(hit, F.lit(1 << bit)).otherwise(F.lit(0)))
+    return mask
+
+
+def matrix_mask(factor: Column) -> Column:
+    """Bits of the matrix classes that one plain factor names."""
+    relevant = contains_any(factor["key"], MATRIX_KEYS)
+    return F.when(relevant, _mask(factor["value"])).otherwise(F.lit(0))
 
 
 def matrix_mask_of_path(path: Column) -> Column:
     """Bits of the matrix classes that start a path segment."""
-    low = F.lower(path)
-    mask = F.lit(0)
-    for bit, (_, words) in enumerate(MATRIX_VALUES):
-        hit = contains_any(low, ["/" + w for w in words])
-        mask = mask.bitwiseOR(F.when(hit, F.lit(1 << bit)).otherwise(F.lit(0)))
-    return mask
+    return _mask(F.lower(path), "/")
 
 
 def matrix_of_mask(mask: Column) -> Column:

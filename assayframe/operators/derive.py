@@ -68,7 +68,11 @@ def factor_signs(samples: DataFrame, stored: DataFrame | None = None) -> DataFra
         scored = samples.withColumn(
             "_signs",
             F.transform(
-                raw_pairs(F.col("factors_raw")), lambda p: _signs(p["key"], p["value"])
+                F.transform(
+                    raw_pairs(F.col("factors_raw")),
+                    lambda p: devices.plain_factor(p["key"], p["value"]),
+                ),
+                _signs,
             ),
         )
 
@@ -101,7 +105,10 @@ def factor_signs(samples: DataFrame, stored: DataFrame | None = None) -> DataFra
     pairs = keep_first(
         raw.unionByName(kept), ["sample_uid", "key"], [F.desc("layer"), F.desc("spelling")]
     )
-    signs = pairs.select("sample_uid", _signs(F.col("key"), F.col("value")).alias("s"))
+    plain = pairs.select(
+        "sample_uid", devices.plain_factor(F.col("key"), F.col("value")).alias("factor")
+    )
+    signs = plain.select("sample_uid", _signs(F.col("factor")).alias("s"))
     totals = signs.groupBy("sample_uid").agg(
         F.sum("s.ob").cast("int").alias("ob"),
         F.sum("s.con").cast("int").alias("con"),
@@ -110,9 +117,9 @@ def factor_signs(samples: DataFrame, stored: DataFrame | None = None) -> DataFra
     return samples.join(totals, "sample_uid", "left").fillna(0, ["ob", "con", "mask"])
 
 
-def _signs(key: Column, value: Column) -> Column:
-    ob, con = devices.exposure_scores(key, value)
-    mask = devices.matrix_mask(key, value)
+def _signs(factor: Column) -> Column:
+    ob, con = devices.exposure_scores(factor)
+    mask = devices.matrix_mask(factor)
     return F.struct(ob.alias("ob"), con.alias("con"), mask.alias("mask"))
 
 
