@@ -5,6 +5,8 @@ Everything here is a Spark expression; nothing runs in Python.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ NUMBER = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is evaluated once.
+
+    An expression used inside a lambda is evaluated again for every element, and the
+    optimizer may move a column's definition into a lambda that mentions the column. A
+    value bound here stays a lambda variable.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space, Unicode spaces included."""
     return F.trim(text, F.lit(WHITESPACE))
@@ -129,13 +141,17 @@ def last_pair_per_key(pairs: Column) -> Column:
     Repeats are rare, so the usual row pays one linear distinctness test and the
     pairwise search runs only where a key really repeats.
     """
-    keys = F.transform(pairs, lambda p: p["key"])
-    n = F.size(pairs)
-    later = F.filter(
-        pairs,
-        lambda p, i: ~F.exists(F.slice(pairs, i + 2, n), lambda q: q["key"] == p["key"]),
-    )
-    return F.when(F.size(F.array_distinct(keys)) == n, pairs).otherwise(later)
+
+    def pick(ps: Column) -> Column:
+        n = F.size(ps)
+
+        def is_last(p: Column, i: Column) -> Column:
+            return ~F.exists(F.slice(ps, i + 2, n), lambda q: q["key"] == p["key"])
+
+        distinct = F.size(F.array_distinct(F.transform(ps, lambda p: p["key"]))) == n
+        return F.when(distinct, ps).otherwise(F.filter(ps, is_last))
+
+    return let(pairs, pick)
 
 
 def factor_map(raw: Column, **options: bool) -> Column:

@@ -19,6 +19,7 @@ from assayframe.functions.text import (
     after_first,
     factors_without_colon,
     is_unreadable_number,
+    let,
     parse_number,
     split_lines,
     strip,
@@ -194,42 +195,54 @@ def sample_columns(
     label only the last column counts. Both look for repeats pairwise only where the
     header has any.
     """
-    labels = F.transform(cells, strip) if layout.strict else cells
-    n = F.size(cells)
-    unique = F.size(F.array_distinct(labels)) == n
-
-    def nth(label: Column, i: Column) -> Column:
-        seen = F.size(F.filter(F.slice(labels, F.lit(1), i + 1), lambda x: x == label))
-        return F.when(unique, F.lit(1)).otherwise(seen)
 
     def uid(label: Column) -> Column:
         if layout is NMR:
             return keys.nmr_sample_uid(study, analysis, label)
         return keys.sample_uid(study, label)
 
-    columns = F.transform(
-        labels,
-        lambda label, i: F.struct(
+    def column(label: Column, i: Column, replicate: Column) -> Column:
+        return F.struct(
             i.alias("col_index"),
             label.alias("sample_label"),
-            (nth(label, i) if layout.strict else F.lit(None).cast("int")).alias("replicate_ix"),
+            replicate.cast("int").alias("replicate_ix"),
             uid(label).alias("sample_uid"),
-        ),
-    )
-    if layout.strict:
+        )
+
+    def strict_columns(h: Column) -> Column:
+        labels = h["labels"]
+
+        def nth(label: Column, i: Column) -> Column:
+            seen = F.size(F.filter(F.slice(labels, F.lit(1), i + 1), lambda x: x == label))
+            return F.when(h["unique"], F.lit(1)).otherwise(seen)
+
+        columns = F.transform(labels, lambda x, i: column(x, i, nth(x, i)))
         return F.filter(columns, lambda c: ~F.lower(c["sample_label"]).isin(*skip_list(layout)))
 
-    def repeats_later(c: Column) -> Column:
-        return F.exists(
-            columns,
-            lambda d: (d["col_index"] > c["col_index"])
-            & (d["col_index"] != name_ix)
-            & (d["sample_label"] == c["sample_label"]),
+    def plain_columns(h: Column) -> Column:
+        labels, name = h["labels"], h["name_ix"]
+        n = F.size(labels)
+
+        def last(label: Column, i: Column) -> Column:
+            later = F.transform(F.slice(labels, i + 2, n), lambda x, j: (x == label) & (i + j + 1 != name))
+            return h["unique"] | ~F.exists(later, lambda hit: hit)
+
+        columns = F.transform(
+            labels,
+            lambda x, i: F.when((i != name) & last(x, i), column(x, i, F.lit(None))),
         )
+        return F.array_compact(columns)
 
-    return F.filter(
-        columns, lambda c: (c["col_index"] != name_ix) & (F.when(unique, True).otherwise(~repeats_later(c)))
+    labels = F.transform(cells, strip) if layout.strict else cells
+    head = let(
+        labels,
+        lambda ls: F.struct(
+            ls.alias("labels"),
+            (F.size(F.array_distinct(ls)) == F.size(ls)).alias("unique"),
+            name_ix.alias("name_ix"),
+        ),
     )
+    return let(head, strict_columns if layout.strict else plain_columns)
 
 
 def feature_key(analysis: Column, name: Column, refmet: Column, layout: Layout) -> Column:
@@ -245,159 +258,205 @@ def refmet_text(cells: Column, refmet_ix: Column) -> Column:
     return F.when(~text.isin(*NO_REFMET), text)
 
 
-def structure(files: DataFrame, layout: Layout) -> DataFrame:
-    """Per file: ids, units, factor lines and data blocks, found in one row without a shuffle.
+def _between(no: Column, after: Column, before: Column) -> Column:
+    return (no > after) & (before.isNull() | (no < before))
+
 
-    ``files`` has ``file_id`` and ``content``.
+def _is_break(text: Column, *more: str) -> Column:
+    """A line that ends the running section."""
+    return (starts(text, "#") & ~starts(text, HEAD)) | starts(text, *more)
+
+
+def _file_facts(m: Column, layout: Layout) -> Column:
+    """struct of what the structure lines tell: ids, unit, factor lines, spans of data.
+
+    ``m`` holds ``marks`` (structure lines in order) and the first ``start_no`` and
+    ``end_no``. Strict layouts read metadata only before the data starts and have one
+    span; the plain layout has a span per block.
     """
-    numbered = F.transform(
-        split_lines(F.col("content")), lambda t, i: F.struct((i + 1).alias("no"), t.alias("text"))
+    marks = m["marks"]
+    before_data = m["start_no"].isNull()
+    meta = (
+        F.filter(marks, lambda x: before_data | (x["no"] < m["start_no"]))
+        if layout.strict
+        else marks
     )
-    lines = files.select(
-        "file_id", F.filter(numbered, lambda x: strip(x["text"]) != "").alias("lines")
-    )
-    # structure lines are few; everything below but the data block looks at them only
-    marked = lines.withColumn(
-        "marks",
-        F.filter(
-            "lines",
-            lambda x: starts(
-                x["text"], "#", STUDY, ANALYSIS, FACTOR_LINE, layout.units, layout.start, layout.end
-            ),
-        ),
-    )
-    start_no = first_of(F.filter("marks", lambda x: starts(x["text"], layout.start)))["no"]
-    end_no = first_of(F.filter("marks", lambda x: starts(x["text"], layout.end)))["no"]
-    bounded = marked.withColumns({"start_no": start_no, "end_no": end_no})
-    if layout.strict:  # metadata ends where the data starts
-        before_data = F.filter(
-            "marks", lambda x: F.col("start_no").isNull() | (x["no"] < F.col("start_no"))
-        )
-        bounded = bounded.withColumn("meta", before_data)
-    else:
-        bounded = bounded.withColumn("meta", F.col("marks"))
 
-    def texts(*prefixes: str) -> Column:
-        hits = F.filter("meta", lambda x: starts(x["text"], *prefixes))
-        return F.transform(hits, lambda x: x["text"])
+    def facts(meta: Column) -> Column:
+        def texts(*prefixes: str) -> Column:
+            hits = F.filter(meta, lambda x: starts(x["text"], *prefixes))
+            return F.transform(hits, lambda x: x["text"])
 
-    def identifier(marker: str) -> Column:
-        inline = F.transform(texts(HEAD), lambda t: id_in_head(t, marker))
-        own_line = F.transform(texts(marker), id_on_own_line)
-        return F.coalesce(last_of(F.array_compact(inline)), first_of(F.array_compact(own_line)))
+        def identifier(marker: str) -> Column:
+            inline = F.transform(texts(HEAD), lambda t: id_in_head(t, marker))
+            own_line = F.transform(texts(marker), id_on_own_line)
+            return F.coalesce(
+                last_of(F.array_compact(inline)), first_of(F.array_compact(own_line))
+            )
 
-    def section_breaks(*more: str) -> Column:
-        return F.filter(
-            "meta",
-            lambda x: (starts(x["text"], "#") & ~starts(x["text"], HEAD))
-            | starts(x["text"], *more),
+        def factor_lines(breaks: Column) -> Column:
+            def opened(x: Column) -> Column:
+                last = last_of(F.filter(breaks, lambda b: b["no"] < x["no"]))
+                return starts(last["text"], FACTOR_SECTION)
+
+            found = F.filter(meta, lambda x: starts(x["text"], FACTOR_LINE) & opened(x))
+            return F.transform(found, _factor_line)
+
+        units = F.transform(texts(layout.units), lambda t: units_text(t, layout))
+        breaks = F.filter(meta, lambda x: _is_break(x["text"], layout.start))
+        return F.struct(
+            identifier(STUDY).alias("study_id"),
+            identifier(ANALYSIS).alias("analysis_id"),
+            last_of(units if layout.strict else F.array_compact(units)).alias("unit"),
+            let(breaks, factor_lines).alias("factor_lines"),
+            _spans(m, layout).alias("spans"),
         )
 
-    units = F.transform(texts(layout.units), lambda t: units_text(t, layout))
-    known = bounded.withColumns(
-        {
-            "study_id": identifier(STUDY),
-            "analysis_id": identifier(ANALYSIS),
-            "unit": last_of(units if layout.strict else F.array_compact(units)),
-            "breaks": section_breaks(layout.start),
-        }
+    return let(meta, facts)
+
+
+def _factor_line(x: Column) -> Column:
+    parts = F.split(x["text"], "\t")
+    return F.struct(
+        x["no"].alias("no"),
+        x["text"].alias("text"),
+        F.size(parts).alias("fields"),
+        strip(F.get(parts, F.lit(1))).alias("subject"),
+        strip(F.get(parts, F.lit(2))).alias("sample_label"),
+        strip(F.get(parts, F.lit(3))).alias("factors_raw"),
     )
 
-    def in_factor_section(x: Column) -> Column:
-        opened = last_of(F.filter("breaks", lambda b: b["no"] < x["no"]))
-        return starts(opened["text"], FACTOR_SECTION)
 
-    factor_lines = F.filter(
-        "meta", lambda x: starts(x["text"], FACTOR_LINE) & in_factor_section(x)
+def _spans(m: Column, layout: Layout) -> Column:
+    """array<struct<after, before>>: line numbers around each data block."""
+    if layout.strict:
+        one = F.struct(m["start_no"].alias("after"), m["end_no"].alias("before"))
+        return F.when(m["start_no"].isNotNull(), F.array(one))
+
+    def spans(bounds: Column) -> Column:
+        every = F.transform(
+            bounds,
+            lambda x, i: F.when(
+                starts(x["text"], layout.start),
+                F.struct(x["no"].alias("after"), F.get(bounds, i + 1)["no"].alias("before")),
+            ),
+        )
+        return F.array_compact(every)
+
+    return let(F.filter(m["marks"], lambda x: _is_break(x["text"], layout.start, layout.end)), spans)
+
+
+def structure(files: DataFrame, layout: Layout) -> DataFrame:
+    """Per file: ids, unit, factor lines and spans of data, found without a shuffle.
+
+    ``files`` has ``file_id`` and ``content``. All of it is one expression per row. The
+    lines are scanned once for the few that carry structure; the rest looks at those.
+    """
+    numbered = F.transform(
+        split_lines(F.col("content")), lambda t, i: F.struct((i + 1).alias("no"), t.alias("text"))
+    )
+    marks = F.filter(
+        numbered,
+        lambda x: starts(
+            x["text"], "#", STUDY, ANALYSIS, FACTOR_LINE, layout.units, layout.start, layout.end
+        ),
     )
 
-    def factor(x: Column) -> Column:
-        parts = F.split(x["text"], "\t")
+    def bounded(ms: Column) -> Column:
+        def number(prefix: str) -> Column:
+            return first_of(F.filter(ms, lambda x: starts(x["text"], prefix)))["no"]
+
         return F.struct(
-            x["no"].alias("no"),
-            x["text"].alias("text"),
-            F.size(parts).alias("fields"),
-            strip(F.get(parts, F.lit(1))).alias("subject"),
-            strip(F.get(parts, F.lit(2))).alias("sample_label"),
-            strip(F.get(parts, F.lit(3))).alias("factors_raw"),
+            ms.alias("marks"),
+            number(layout.start).alias("start_no"),
+            number(layout.end).alias("end_no"),
         )
 
-    return known.withColumn("factor_lines", F.transform(factor_lines, factor))
+    facts = let(let(marks, bounded), lambda m: _file_facts(m, layout))
+    return files.select("file_id", "content", facts.alias("facts")).select(
+        "file_id", "content", "facts.*"
+    )
 
 
 def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
-    """Data blocks with their header: one row per block that has one."""
-    if layout.strict:
-        inside = F.filter(
-            "lines",
-            lambda x: (x["no"] > F.col("start_no"))
-            & (F.col("end_no").isNull() | (x["no"] < F.col("end_no")))
-            & ~starts(x["text"], layout.start),
+    """Data blocks that have a header, one row each, with their data lines in ``rows``."""
+    last_start = F.array_max(F.transform("spans", lambda s: s["after"]))
+    spans = struct.select("*", last_start.alias("last_start"), F.explode("spans").alias("span"))
+
+    def inside(span: Column) -> Column:
+        numbered = F.transform(
+            split_lines(F.col("content")),
+            lambda t, i: F.struct((i + 1).alias("no"), t.alias("text")),
         )
-        blocked = struct.withColumn("block", inside)
-        header = first_of(F.filter("block", lambda x: is_header(x["text"], layout)))
-        blocked = blocked.withColumn("last_block", F.lit(True))
-    else:
-        bounds = F.filter(
-            "marks",
-            lambda x: starts(x["text"], layout.start, layout.end)
-            | (starts(x["text"], "#") & ~starts(x["text"], HEAD)),
+        skipped = (layout.start,) if layout.strict else (HEAD, layout.units)
+        return F.filter(
+            numbered,
+            lambda x: _between(x["no"], span["after"], span["before"])
+            & ~starts(x["text"], *skipped)
+            & (strip(x["text"]) != ""),
         )
-        spans = F.filter(
-            F.transform(
-                "bounds",
-                lambda x, i: F.struct(
-                    starts(x["text"], layout.start).alias("opens"),
-                    x["no"].alias("after"),
-                    F.get("bounds", i + 1)["no"].alias("before"),
-                ),
+
+    def split_header(lines: Column) -> Column:
+        candidates = F.filter(lines, lambda x: is_header(x["text"], layout))
+        header = first_of(candidates if layout.strict else lines)
+        return let(
+            header,
+            lambda h: F.struct(
+                h.alias("header"), F.filter(lines, lambda x: x["no"] > h["no"]).alias("rows")
             ),
-            lambda s: s["opens"],
         )
-        spanned = struct.withColumn("bounds", bounds).withColumn("spans", spans)
-        inside = F.filter(
-            "lines",
-            lambda x: (x["no"] > F.col("span.after"))
-            & (F.col("span.before").isNull() | (x["no"] < F.col("span.before")))
-            & ~starts(x["text"], HEAD, layout.units),
-        )
-        blocked = (
-            spanned.select("*", F.explode("spans").alias("span"))
-            .withColumn("block", inside)
-            .where(F.size("block") > 0)
-        )
-        is_last = F.col("span.after") == F.array_max(F.transform("spans", lambda s: s["after"]))
-        blocked = blocked.withColumn("last_block", is_last)
-        header = first_of(F.col("block"))
-    headed = blocked.withColumn("header", header).where(F.col("header").isNotNull())
-    headed = headed.withColumn("cells", F.split(F.col("header.text"), "\t"))
-    name_ix, refmet_ix = header_indexes(F.col("cells"), layout)
-    headed = headed.withColumns(
-        {
-            "name_ix": name_ix,
-            "refmet_ix": refmet_ix,
-            "study": keys.known_or_unknown(F.col("study_id")),
-            "analysis": keys.known_or_unknown(F.col("analysis_id")),
-        }
-    )
-    columns = sample_columns(
-        F.col("cells"), F.col("name_ix"), F.col("study"), F.col("analysis"), layout
-    )
-    return headed.select(
+
+    study, analysis = (keys.known_or_unknown(F.col(c)) for c in ("study_id", "analysis_id"))
+
+    def parsed_header(b: Column) -> Column:
+        def with_cells(cells: Column) -> Column:
+            name_ix, refmet_ix = header_indexes(cells, layout)
+
+            def with_name(ix: Column) -> Column:
+                return F.struct(
+                    ix["name"].alias("name_ix"),
+                    ix["refmet"].alias("refmet_ix"),
+                    sample_columns(cells, ix["name"], study, analysis, layout).alias("columns"),
+                )
+
+            return let(F.struct(name_ix.alias("name"), refmet_ix.alias("refmet")), with_name)
+
+        return let(F.split(b["text"], "\t"), with_cells)
+
+    # explode (Generate) is a boundary: what is computed below it is computed once
+    found = spans.select(
         "file_id",
         "study_id",
         "analysis_id",
-        "study",
-        "analysis",
+        "unit",
+        "factor_lines",
+        (F.col("span.after") == F.col("last_start")).alias("last_block"),
+        F.explode(F.array(let(inside(F.col("span")), split_header))).alias("block"),
+    ).where(F.col("block.header").isNotNull())
+    return found.select(
+        "file_id",
+        "study_id",
+        "analysis_id",
+        study.alias("study"),
+        analysis.alias("analysis"),
         "unit",
         "factor_lines",
         "last_block",
-        F.col("header.no").alias("header_no"),
-        "name_ix",
-        "refmet_ix",
-        columns.alias("columns"),
-        F.filter("block", lambda x: x["no"] > F.col("header.no")).alias("rows"),
-    )
+        F.explode(F.array(parsed_header(F.col("block.header")))).alias("h"),
+        F.col("block.rows").alias("rows"),
+    ).select("*", "h.*").drop("h")
+
+
+def _with_ids(struct: DataFrame, need_ids: bool) -> DataFrame:
+    if not need_ids:
+        return struct
+    return struct.where(F.col("study_id").isNotNull() & F.col("analysis_id").isNotNull())
+
+
+def data_rows(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
+    found = blocks(_with_ids(structure(files, layout), need_ids), layout)
+    rows = found.withColumn("row", F.explode("rows")).drop("rows")
+    return rows.withColumns({"no": F.col("row.no"), "text": F.col("row.text")}).drop("row")
 
 
 def named_rows(rows: DataFrame, layout: Layout) -> DataFrame:
@@ -418,18 +477,6 @@ def named_rows(rows: DataFrame, layout: Layout) -> DataFrame:
     return named.withColumn("feature_uid", key)
 
 
-def _with_ids(struct: DataFrame, need_ids: bool) -> DataFrame:
-    if not need_ids:
-        return struct
-    return struct.where(F.col("study_id").isNotNull() & F.col("analysis_id").isNotNull())
-
-
-def data_rows(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
-    found = blocks(_with_ids(structure(files, layout), need_ids), layout)
-    rows = found.withColumn("row", F.explode("rows")).drop("rows")
-    return rows.withColumns({"no": F.col("row.no"), "text": F.col("row.text")}).drop("row")
-
-
 def cells_of(rows: DataFrame, layout: Layout) -> DataFrame:
     """One row per cell of named rows."""
     pairs = F.transform(

@@ -74,6 +74,7 @@ def structure(lines: DataFrame, layout: Layout) -> DataFrame:
     )
     name_ix, refmet_ix = mwtab.header_indexes(F.col("cells"), layout)
     headed = headed.withColumns({"name_ix": name_ix, "refmet_ix": refmet_ix})
+    # one row per file: the header expressions are small here
     columns = mwtab.sample_columns(
         F.col("cells"), F.col("name_ix"), F.col("study"), F.col("analysis"), layout
     )
