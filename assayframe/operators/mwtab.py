@@ -9,6 +9,7 @@ For single files too large for one row see ``mwtab_lines``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,14 +187,21 @@ def header_indexes(cells: Column, layout: Layout) -> tuple[Column, Column]:
 
 
 def sample_columns(
-    cells: Column, name_ix: Column, study: Column, analysis: Column, layout: Layout
+    cells: Column,
+    name_ix: Column,
+    study: Column,
+    analysis: Column,
+    layout: Layout,
+    known_labels: Column | None = None,
 ) -> Column:
-    """Header cells to array<struct<col_index, sample_label, replicate_ix, sample_uid>>.
+    """Header cells to array<struct<col_index, sample_label, replicate_ix, sample_uid, known>>.
 
     Strict layouts trim labels, drop known other columns and number repeated labels
     from left to right. The plain layout keeps labels as they are, and of a repeated
     label only the last column counts. Both look for repeats pairwise only where the
-    header has any.
+    header has any. ``known`` tells whether the column's sample exists: strict layouts
+    take no sample from the first column, the plain layout none from a header that a
+    later block replaced (then ``known_labels`` holds what exists).
     """
 
     def uid(label: Column) -> Column:
@@ -201,12 +209,13 @@ def sample_columns(
             return keys.nmr_sample_uid(study, analysis, label)
         return keys.sample_uid(study, label)
 
-    def column(label: Column, i: Column, replicate: Column) -> Column:
+    def column(label: Column, i: Column, replicate: Column, known: Column) -> Column:
         return F.struct(
             i.alias("col_index"),
             label.alias("sample_label"),
             replicate.cast("int").alias("replicate_ix"),
             uid(label).alias("sample_uid"),
+            known.alias("known"),
         )
 
     def strict_columns(h: Column) -> Column:
@@ -216,20 +225,29 @@ def sample_columns(
             seen = F.size(F.filter(F.slice(labels, F.lit(1), i + 1), lambda x: x == label))
             return F.when(h["unique"], F.lit(1)).otherwise(seen)
 
-        columns = F.transform(labels, lambda x, i: column(x, i, nth(x, i)))
+        def known(label: Column, i: Column) -> Column:
+            others = F.slice(labels, F.lit(2), F.size(labels))
+            return (i > 0) | F.array_contains(others, label)
+
+        columns = F.transform(labels, lambda x, i: column(x, i, nth(x, i), known(x, i)))
         return F.filter(columns, lambda c: ~F.lower(c["sample_label"]).isin(*skip_list(layout)))
 
     def plain_columns(h: Column) -> Column:
         labels, name = h["labels"], h["name_ix"]
         n = F.size(labels)
 
+        def known(label: Column) -> Column:
+            if known_labels is None:
+                return F.lit(True)
+            return known_labels.isNull() | F.array_contains(known_labels, label)
+
         def last(label: Column, i: Column) -> Column:
             later = F.transform(F.slice(labels, i + 2, n), lambda x, j: (x == label) & (i + j + 1 != name))
             return h["unique"] | ~F.exists(later, lambda hit: hit)
 
         columns = F.transform(
             labels,
-            lambda x, i: F.when((i != name) & last(x, i), column(x, i, F.lit(None))),
+            lambda x, i: F.when((i != name) & last(x, i), column(x, i, F.lit(None), known(x))),
         )
         return F.array_compact(columns)
 
@@ -380,8 +398,6 @@ def structure(files: DataFrame, layout: Layout) -> DataFrame:
 
 def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
     """Data blocks that have a header, one row each, with their data lines in ``rows``."""
-    last_start = F.array_max(F.transform("spans", lambda s: s["after"]))
-    spans = struct.select("*", last_start.alias("last_start"), F.explode("spans").alias("span"))
 
     def inside(span: Column) -> Column:
         numbered = F.transform(
@@ -396,6 +412,20 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
             & (strip(x["text"]) != ""),
         )
 
+    def replaced_labels(last: Column) -> Column:
+        """What samples exist when several blocks do: the last header's and the factor lines'."""
+        labels = F.split(first_of(inside(last))["text"], "\t")
+        named = F.transform("factor_lines", lambda f: f["sample_label"])
+        return F.array_union(labels, F.array_compact(named))
+
+    last_span = last_of(F.col("spans"))
+    spans = struct.withColumns(
+        {
+            "last_start": last_span["after"],
+            "known_labels": F.when(F.size("spans") > 1, let(last_span, replaced_labels)),
+        }
+    ).select("*", F.explode("spans").alias("span"))
+
     def split_header(lines: Column) -> Column:
         candidates = F.filter(lines, lambda x: is_header(x["text"], layout))
         header = first_of(candidates if layout.strict else lines)
@@ -416,7 +446,9 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
                 return F.struct(
                     ix["name"].alias("name_ix"),
                     ix["refmet"].alias("refmet_ix"),
-                    sample_columns(cells, ix["name"], study, analysis, layout).alias("columns"),
+                    sample_columns(
+                        cells, ix["name"], study, analysis, layout, F.col("known_labels")
+                    ).alias("columns"),
                 )
 
             return let(F.struct(name_ix.alias("name"), refmet_ix.alias("refmet")), with_name)
@@ -430,6 +462,7 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         "analysis_id",
         "unit",
         "factor_lines",
+        F.when(F.col("span.after") != F.col("last_start"), F.col("known_labels")).alias("known_labels"),
         (F.col("span.after") == F.col("last_start")).alias("last_block"),
         F.explode(F.array(let(inside(F.col("span")), split_header))).alias("block"),
     ).where(F.col("block.header").isNotNull())
@@ -447,14 +480,8 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
     ).select("*", "h.*").drop("h")
 
 
-def _with_ids(struct: DataFrame, need_ids: bool) -> DataFrame:
-    if not need_ids:
-        return struct
-    return struct.where(F.col("study_id").isNotNull() & F.col("analysis_id").isNotNull())
-
-
-def data_rows(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
-    found = blocks(_with_ids(structure(files, layout), need_ids), layout)
+def data_rows(found: DataFrame) -> DataFrame:
+    """The data lines of blocks, one row each."""
     rows = found.withColumn("row", F.explode("rows")).drop("rows")
     return rows.withColumns({"no": F.col("row.no"), "text": F.col("row.text")}).drop("row")
 
@@ -498,46 +525,94 @@ def cells_of(rows: DataFrame, layout: Layout) -> DataFrame:
         F.col("cell.raw").alias("raw_value"),
         F.col("cell.col.replicate_ix").alias("replicate_ix"),
         "unit",
+        F.col("cell.col.known").alias("known"),
     )
 
 
-def measurements(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
-    """All cells with a parsed value, replicates and repeated features included.
+class Matrices:
+    """Lazy tables of a set of files with one layout. Steps are built when first used.
 
-    With ``need_ids`` files without study or analysis id give nothing; else their keys
-    say UNKNOWN.
+    ``files`` has ``file_id`` and ``content``. With ``need_ids`` files without study or
+    analysis id give no rows; else their keys say UNKNOWN.
     """
-    cells = cells_of(named_rows(data_rows(files, layout, need_ids), layout), layout)
-    return cells.withColumn("value", parse_number(F.col("raw_value"))).drop("raw_value")
 
+    def __init__(self, files: DataFrame, layout: Layout, need_ids: bool = False):
+        self.files, self.layout, self.need_ids = files, layout, need_ids
+
+    @cached_property
+    def structure(self) -> DataFrame:
+        return structure(self.files, self.layout)
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        """Structure of the files that give rows."""
+        if not self.need_ids:
+            return self.structure
+        return self.structure.where("study_id IS NOT NULL AND analysis_id IS NOT NULL")
+
+    @cached_property
+    def blocks(self) -> DataFrame:
+        return blocks(self.usable, self.layout)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return data_rows(self.blocks)
+
+    @cached_property
+    def named(self) -> DataFrame:
+        return named_rows(self.rows, self.layout)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return cells_of(self.named, self.layout)
+
+    @cached_property
+    def measurements(self) -> DataFrame:
+        """All cells with a parsed value, replicates and repeated features included."""
+        return self.cells.withColumn("value", parse_number(F.col("raw_value"))).drop("raw_value")
+
+    @cached_property
+    def metadata(self) -> DataFrame:
+        """Per file: ids, units and the reason it is rejected, if any."""
+        reason = F.when(F.col("study_id").isNull(), F.lit(MISSING_STUDY)).when(
+            F.col("analysis_id").isNull(), F.lit(MISSING_ANALYSIS)
+        )
+        return self.structure.select(
+            "file_id", "study_id", "analysis_id", "unit", reason.alias("error")
+        )
 
-def metadata(files: DataFrame, layout: Layout) -> DataFrame:
-    """Per file: ids, units and the reason it is rejected, if any."""
-    reason = F.when(F.col("study_id").isNull(), F.lit(MISSING_STUDY)).when(
-        F.col("analysis_id").isNull(), F.lit(MISSING_ANALYSIS)
-    )
-    return structure(files, layout).select(
-        "file_id", "study_id", "analysis_id", "unit", reason.alias("error")
-    )
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self.metadata.where(F.col("error").isNotNull()).select("file_id", "error")
+
+    @cached_property
+    def samples(self) -> DataFrame:
+        return samples_of(self.usable, self.blocks, self.layout)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return features_of(self.named, self.layout)
 
+    @cached_property
+    def warnings(self) -> DataFrame:
+        return warnings_of(self.usable, self.rows, self.cells, self.layout)
 
-def rejects(files: DataFrame, layout: Layout) -> DataFrame:
-    return metadata(files, layout).where(F.col("error").isNotNull()).select("file_id", "error")
 
+def measurements(files: DataFrame, layout: Layout) -> DataFrame:
+    return Matrices(files, layout).measurements
 
-def samples(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
+
+def samples_of(struct: DataFrame, found: DataFrame, layout: Layout) -> DataFrame:
     """Samples of each file with the factors of their label.
 
     Strict layouts take the samples from the header (first column excluded); the plain
     layout adds the labels of factor lines. Of a label's factor lines the last counts.
     Header cells and factor lines meet in one aggregate over labels, not cells.
     """
-    struct = _with_ids(structure(files, layout), need_ids)
     ids = [F.col("study_id").alias("study"), F.col("analysis_id").alias("analysis")]
     none = F.lit(None)
     from_header = (
-        blocks(struct, layout)
-        .where("last_block")
+        found.where("last_block")
         .select("file_id", *ids, F.explode("columns").alias("c"))
         .where((F.col("c.col_index") > 0) | F.lit(not layout.strict))
         .select(
@@ -582,10 +657,9 @@ def samples(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFra
     )
 
 
-def features(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFrame:
+def features_of(named: DataFrame, layout: Layout) -> DataFrame:
     """Distinct features of each file with the first name seen; no cell is exploded."""
-    rows = named_rows(data_rows(files, layout, need_ids), layout)
-    rows = rows.where(F.col("feature_name").isNotNull())
+    rows = named.where(F.col("feature_name").isNotNull())
     picked = rows.groupBy("file_id", "feature_uid").agg(
         F.min_by(F.struct("feature_name", "refmet_name", "analysis"), F.col("no")).alias("f")
     )
@@ -599,24 +673,11 @@ def features(files: DataFrame, layout: Layout, need_ids: bool = False) -> DataFr
     )
 
 
-def storable(parsed: DataFrame, layout: Layout, file_samples: DataFrame) -> DataFrame:
-    """Cells whose sample exists. The plain layout stores no file, column or replicate."""
-    known = file_samples.select("file_id", "sample_uid")
-    kept = parsed.join(known, ["file_id", "sample_uid"], "left_semi")
-    if layout.strict:
-        return kept
-    none = F.lit(None)
-    return kept.withColumns(
-        {"col_index": none.cast("int"), "replicate_ix": none.cast("int")}
-    )
-
-
-def warnings(files: DataFrame, layout: Layout) -> DataFrame:
+def warnings_of(
+    struct: DataFrame, rows: DataFrame, cells: DataFrame, layout: Layout
+) -> DataFrame:
     """(file_id, line_no, kind, text) of everything that was skipped or unreadable."""
-    struct = structure(files, layout)
     out = ["file_id", "line_no", "kind", "text"]
-    rows = data_rows(files, layout)
-    cells = cells_of(named_rows(rows, layout), layout)
     found = cells.where(is_unreadable_number(F.col("raw_value"))).select(
         "file_id",
         "line_no",

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,43 +55,52 @@ def pending_files(
 # --- parsing ---
 
 
-@dataclass(frozen=True)
 class Parsed:
-    """Lazy result of parsing a set of files. All tables keep ``layout`` and ``file_id``."""
+    """Lazy result of parsing files, every file by its own layout.
 
-    measurements: DataFrame
-    samples: DataFrame
-    features: DataFrame
-    metadata: DataFrame
-    warnings: DataFrame
-
-
-def parse_files(files: DataFrame, layout_column: str = "detected_type") -> Parsed:
-    """Parse (file_id, content, <layout_column>), every file by its own layout.
-
-    Files with missing ids give no rows; ``metadata`` tells why. Files of other types
-    are left out.
+    ``files`` has file_id, content and ``layout_column``; files of other types are left
+    out. All tables keep ``layout`` and ``file_id``. Files with missing ids give no
+    rows; ``metadata`` tells why.
     """
 
-    def union(part) -> DataFrame:
-        tables = [
-            part(files.where(F.col(layout_column) == name), layout).withColumn(
-                "layout", F.lit(name)
-            )
+    def __init__(self, files: DataFrame, layout_column: str = "detected_type"):
+        self._parts = {
+            name: mwtab.Matrices(files.where(F.col(layout_column) == name), layout, need_ids=True)
             for name, layout in LAYOUTS.items()
+        }
+
+    def _union(self, table: str, names: Iterable[str] = PARSABLE) -> DataFrame:
+        tables = [
+            getattr(self._parts[name], table).withColumn("layout", F.lit(name)) for name in names
         ]
         return reduce(DataFrame.unionByName, tables)
 
-    def complete(part):
-        return union(lambda chosen, layout: part(chosen, layout, need_ids=True))
+    def strict(self, table: str) -> DataFrame:
+        """A table for the strict layouts only."""
+        return self._union(table, [n for n, layout in LAYOUTS.items() if layout.strict])
 
-    return Parsed(
-        measurements=complete(mwtab.measurements),
-        samples=complete(mwtab.samples),
-        features=complete(mwtab.features),
-        metadata=union(mwtab.metadata),
-        warnings=union(mwtab.warnings),
-    )
+    def plain(self, table: str) -> DataFrame:
+        return self._union(table, [mwtab.PLAIN.name])
+
+    @cached_property
+    def measurements(self) -> DataFrame:
+        return self._union("measurements")
+
+    @cached_property
+    def samples(self) -> DataFrame:
+        return self._union("samples")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return self._union("features")
+
+    @cached_property
+    def metadata(self) -> DataFrame:
+        return self._union("metadata")
+
+    @cached_property
+    def warnings(self) -> DataFrame:
+        return self._union("warnings")
 
 
 def outcome(chosen: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -159,124 +167,121 @@ def parsed_by_type(outcomes: DataFrame) -> DataFrame:
 # --- merging ---
 
 
-@dataclass(frozen=True)
-class Changes:
-    """What a parsed set changes in the store.
-
-    ``new_*`` are rows to append. ``samples``, ``analyses`` and ``updated_measurements``
-    are merged states with an ``_action`` column, for rewriting what they touch.
-    """
-
-    new_studies: DataFrame
-    analyses: DataFrame
-    samples: DataFrame
-    new_features: DataFrame
-    new_measurements: DataFrame
-    updated_measurements: DataFrame
+STORED_COLUMNS = (
+    "sample_uid",
+    "feature_uid",
+    "value",
+    "unit",
+    "file_id",
+    "col_index",
+    "replicate_ix",
+)
 
 
-def changes(parsed: Parsed, store: dict[str, DataFrame]) -> Changes:
-    """Merge a parsed set into the store. Running it twice changes nothing the second time.
+class Changes:
+    """What a parsed set changes in the store. Applying it twice changes nothing more.
 
     MS and NMR files insert first-wins and fill missing factors; plain files overwrite:
-    the last non-null value wins. Files count in order of their id; strict layouts
-    are taken before plain ones.
+    the last non-null value wins. Files count in order of their id; strict layouts are
+    taken before plain ones. ``new_*`` are rows to append; the others are merged states
+    with an ``_action`` column, for rewriting the partitions they touch.
     """
-    strict = F.col("layout") != mwtab.PLAIN.name
-    good = parsed.metadata.where(F.col("error").isNull())
-    study_pk = row_id(F.col("study_id"))
-    studies = good.select("study_id").distinct().select(study_pk.alias("study_pk"), "study_id")
-    new_studies = studies.join(store["studies"].select("study_id"), "study_id", "left_anti")
-
-    linked = good.select(
-        study_pk.alias("study_pk"), "analysis_id", "file_id", F.col("file_id").alias("ord")
-    )
-    analysis_key = ["study_pk", "analysis_id"]
-    analyses = merge.merge(
-        store["analyses"],
-        merge.reduce_batch(linked, analysis_key, {"file_id": "first_non_null"}, ["ord"]),
-        analysis_key,
-        {"file_id": "fill_null"},
-    )
 
-    rows = parsed.samples.withColumn("study_pk", study_pk)
-    sample_key = ["sample_uid"]
-    plain_rows = merge.reduce_batch(
-        rows.where(~strict),
-        sample_key,
-        {"study_pk": "first", "sample_label": "last", "factors_raw": "last_filled"},
-        ["file_id"],
-    )
-    strict_rows = merge.reduce_batch(
-        rows.where(strict),
-        sample_key,
-        {"study_pk": "first", "sample_label": "first", "factors_raw": "first_filled"},
-        ["file_id"],
-    )
-    filled = merge.merge(
-        store["samples"],
-        strict_rows,
-        sample_key,
-        {"study_pk": "keep", "sample_label": "keep", "factors_raw": "fill_empty"},
-    )
-    first_action = filled.select("sample_uid", F.col("_action").alias("_before"))
-    samples = merge.merge(
-        filled.drop("_action"),
-        plain_rows,
-        sample_key,
-        {"study_pk": "keep", "sample_label": "latest", "factors_raw": "replace_filled"},
-    ).join(first_action, "sample_uid", "left")
-    ranks = [merge.INSERT, merge.UPDATE, merge.SKIP]  # the strongest of both steps
-    action = F.lit(merge.KEEP)
-    for a in reversed(ranks):
-        action = F.when((F.col("_action") == a) | (F.col("_before") == a), F.lit(a)).otherwise(action)
-    samples = samples.withColumn("_action", action).drop("_before")
-
-    new_features = merge.new_rows(
-        store["features"],
-        parsed.features.drop("layout"),
-        ["feature_uid"],
-        [F.col("file_id")],
-    ).drop("file_id")
-
-    order = [F.col(c) for c in ("file_id", "line_no", "col_index")]
-    cells = parsed.measurements
-    known = parsed.samples.select("file_id", "sample_uid")
-    stored_cells = cells.where(strict).join(known, ["file_id", "sample_uid"], "left_semi")
-    new_measurements = merge.insert_first(store["measurements"], stored_cells, order)
-    columns = [
-        "sample_uid",
-        "feature_uid",
-        "value",
-        "unit",
-        "file_id",
-        "col_index",
-        "replicate_ix",
-    ]
-    base = store["measurements"].select(*columns).unionByName(new_measurements.select(*columns))
-    plain_cells = cells.where(~strict).join(known, ["file_id", "sample_uid"], "left_semi")
-    updated = merge.coalesce_upsert(base, plain_cells, ["file_id", "line_no", "col_index"])
-    return Changes(
-        new_studies, analyses, samples, new_features, new_measurements.select(*columns), updated
-    )
+    def __init__(self, parsed: Parsed, store: dict[str, DataFrame]):
+        self.parsed, self.store = parsed, store
+        self._study_pk = row_id(F.col("study_id"))
+
+    @cached_property
+    def _good(self) -> DataFrame:
+        found = self.parsed.metadata.where(F.col("error").isNull())
+        return found.withColumn("study_pk", self._study_pk)
+
+    @cached_property
+    def new_studies(self) -> DataFrame:
+        studies = self._good.select("study_pk", "study_id").distinct()
+        return studies.join(self.store["studies"].select("study_id"), "study_id", "left_anti")
+
+    @cached_property
+    def analyses(self) -> DataFrame:
+        key = ["study_pk", "analysis_id"]
+        once = merge.reduce_batch(
+            self._good.withColumn("ord", F.col("file_id")),
+            key,
+            {"file_id": "first_non_null"},
+            ["ord"],
+        )
+        return merge.merge(self.store["analyses"], once, key, {"file_id": "fill_null"})
 
+    @cached_property
+    def samples(self) -> DataFrame:
+        key = ["sample_uid"]
 
-def change_stats(change: Changes) -> DataFrame:
-    """One row: samples and features created, measurements inserted."""
-    n = F.count("*")
-    inserted = change.samples.where(F.col("_action") == merge.INSERT)
-    upserted = change.updated_measurements.where(F.col("_action") == merge.INSERT)
-    parts = [
-        (inserted, "samples_created"),
-        (change.new_features, "features_created"),
-        (change.new_measurements, "measurements_inserted"),
-        (upserted, "measurements_inserted"),
-    ]
-    counted = reduce(
-        DataFrame.unionByName,
-        [df.agg(n.alias("n")).select(F.lit(name).alias("what"), "n") for df, name in parts],
-    )
-    names = ("samples_created", "features_created", "measurements_inserted")
-    return counted.agg(
-        *[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in names]
-    )
+        def once(chosen: DataFrame, label: str, factors: str) -> DataFrame:
+            picks = {"study_pk": "first", "sample_label": label, "factors_raw": factors}
+            rows = chosen.withColumn("study_pk", self._study_pk)
+            return merge.reduce_batch(rows, key, picks, ["file_id"])
+
+        strict, plain = self.parsed.strict("samples"), self.parsed.plain("samples")
+
+        keep = {"study_pk": "keep", "sample_label": "keep", "factors_raw": "fill_empty"}
+        filled = merge.merge(
+            self.store["samples"], once(strict, "first", "first_filled"), key, keep
+        )
+        replaced = merge.merge(
+            filled.withColumnRenamed("_action", "_before"),
+            once(plain, "last", "last_filled").withColumn(
+                "_before", F.lit(None).cast("string")
+            ),
+            key,
+            {"study_pk": "keep", "sample_label": "latest", "factors_raw": "replace_filled"}
+            | {"_before": "keep"},
+        )
+        # the strongest of both steps: insert, update, skip, keep
+        action = F.lit(merge.KEEP)
+        for a in (merge.SKIP, merge.UPDATE, merge.INSERT):
+            either = (F.col("_action") == a) | (F.col("_before") == a)
+            action = F.when(either, F.lit(a)).otherwise(action)
+        return replaced.withColumn("_action", action).drop("_before")
+
+    @cached_property
+    def new_features(self) -> DataFrame:
+        rows = self.parsed.features.drop("layout")
+        return merge.new_rows(
+            self.store["features"], rows, ["feature_uid"], [F.col("file_id")]
+        ).drop("file_id")
+
+    @cached_property
+    def new_measurements(self) -> DataFrame:
+        """Rows of MS and NMR files to append."""
+        order = [F.col(c) for c in ("file_id", "line_no", "col_index")]
+        cells = self.parsed.strict("measurements").where("known")
+        return merge.insert_first(self.store["measurements"], cells, order).select(*STORED_COLUMNS)
+
+    @cached_property
+    def updated_measurements(self) -> DataFrame:
+        """State of the measurements after plain files, on top of the appended rows."""
+        base = self.store["measurements"].select(*STORED_COLUMNS).unionByName(self.new_measurements)
+        cells = self.parsed.plain("measurements").where("known")
+        return merge.coalesce_upsert(base, cells, ["file_id", "line_no", "col_index"])
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        """One row: samples and features created, measurements inserted."""
+        inserted = F.col("_action") == merge.INSERT
+        parts = [
+            (self.samples.where(inserted), "samples_created"),
+            (self.new_features, "features_created"),
+            (self.new_measurements, "measurements_inserted"),
+            (self.updated_measurements.where(inserted), "measurements_inserted"),
+        ]
+        counted = reduce(
+            DataFrame.unionByName,
+            [
+                df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+                for df, name in parts
+            ],
+        )
+        names = ("samples_created", "features_created", "measurements_inserted")
+        return counted.agg(
+            *[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in names]
+        )

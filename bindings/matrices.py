@@ -7,12 +7,12 @@ line parser lineitem becomes three files, each with a third of all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.operators import mwtab, mwtab_lines
 from assayframe.plans import parse
-from bindings.core import bound, ctes, load, table
+from bindings.core import bound, ctes, load, pick, table
 
 COLUMNS = 8
 # Word i has length n. Some cells are missing, grouped by thousands, or unreadable.
@@ -32,6 +32,15 @@ HEADS = {
 
 def render(spark, sf_dir, layout: mwtab.Layout, break_ids: bool = False) -> DataFrame:
     """(file_id, content) of one file per document."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.format_string("F%d", "doc_id").alias("file_id"),
+        file_text(layout, break_ids).alias("content"),
+    )
+
+
+def file_text(layout: mwtab.Layout, break_ids: bool = False) -> Column:
+    """The text of a document's file; with ``break_ids`` some files lack an id."""
     eol = "\r\n" if layout is mwtab.NMR else "\n"
     cell = CELL.replace("n %", "c.n %").replace("i %", "c.i %")
     cell = cell.replace("|| n", "|| c.n").replace("cast(n ", "cast(c.n ")
@@ -69,20 +78,13 @@ def render(spark, sf_dir, layout: mwtab.Layout, break_ids: bool = False) -> Data
     if layout is mwtab.PLAIN:
         head.pop()
     texts = [F.expr(h.replace("\t", "\\t")) for h in head]
-    return (
-        table(spark, sf_dir, "documents")
-        .select(
-            "doc_id",
-            F.format_string("F%d", "doc_id").alias("file_id"),
-            F.concat_ws(
-                eol,
-                *texts,
-                F.expr(lines),
-                F.lit("\tno name\t1"),
-                F.lit(layout.end),
-                F.lit("trailing\t1\t2"),
-            ).alias("content"),
-        )
+    return F.concat_ws(
+        eol,
+        *texts,
+        F.expr(lines),
+        F.lit("\tno name\t1"),
+        F.lit(layout.end),
+        F.lit("trailing\t1\t2"),
     )
 
 
@@ -119,7 +121,7 @@ REPLICATE = "CASE WHEN c = 4 THEN 2 ELSE 1 END"
       'unit ' || lang AS unit, {REPLICATE} AS replicate_ix, {V} AS value FROM g""",
 )
 def mwtab_ms_long(spark, sf_dir):
-    cells = mwtab.measurements(render(spark, sf_dir, mwtab.MS), mwtab.MS)
+    cells = mwtab.Matrices(render(spark, sf_dir, mwtab.MS), mwtab.MS).measurements
     return cells.select(
         "file_id",
         "line_no",
@@ -141,7 +143,7 @@ def mwtab_ms_long(spark, sf_dir):
       {REPLICATE} AS replicate_ix, {V} AS value FROM g""",
 )
 def mwtab_nmr_long(spark, sf_dir):
-    cells = mwtab.measurements(render(spark, sf_dir, mwtab.NMR), mwtab.NMR)
+    cells = mwtab.Matrices(render(spark, sf_dir, mwtab.NMR), mwtab.NMR).measurements
     return cells.select(
         "file_id", "line_no", "col_index", "sample_uid", "feature_uid", "replicate_ix", "value"
     )
@@ -155,7 +157,7 @@ def mwtab_nmr_long(spark, sf_dir):
       'AN' || doc_id || ':met:feat ' || r % 40 AS feature_uid, {V} AS value FROM g""",
 )
 def mwtab_plain_long(spark, sf_dir):
-    cells = mwtab.measurements(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN)
+    cells = mwtab.Matrices(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN).measurements
     return cells.select("file_id", "line_no", "sample_uid", "feature_uid", "value")
 
 
@@ -168,7 +170,7 @@ def mwtab_plain_long(spark, sf_dir):
     FROM documents, lab""",
 )
 def mwtab_samples(spark, sf_dir):
-    found = mwtab.samples(render(spark, sf_dir, mwtab.MS), mwtab.MS)
+    found = mwtab.Matrices(render(spark, sf_dir, mwtab.MS), mwtab.MS).samples
     return found.select("file_id", "sample_uid", "sample_label", "subject", "factors_raw")
 
 
@@ -181,7 +183,7 @@ def mwtab_samples(spark, sf_dir):
     FROM documents, lab""",
 )
 def mwtab_plain_samples(spark, sf_dir):
-    found = mwtab.samples(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN)
+    found = mwtab.Matrices(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN).samples
     return found.select("file_id", "sample_uid", "sample_label", "factors_raw")
 
 
@@ -196,7 +198,7 @@ REFMET_SQL = f"""CASE WHEN has6 AND i6 % 11 <> 0 THEN {CELL.replace('i %', 'i6 %
       'AN' || doc_id AS analysis_id FROM f WHERE r < 40""",
 )
 def mwtab_features(spark, sf_dir):
-    return mwtab.features(render(spark, sf_dir, mwtab.MS), mwtab.MS)
+    return mwtab.Matrices(render(spark, sf_dir, mwtab.MS), mwtab.MS).features
 
 
 @bound(
@@ -207,7 +209,7 @@ def mwtab_features(spark, sf_dir):
     FROM documents WHERE doc_id % 20 = 11 OR doc_id % 10 = 2""",
 )
 def mwtab_rejects(spark, sf_dir):
-    return mwtab.rejects(render(spark, sf_dir, mwtab.MS, break_ids=True), mwtab.MS)
+    return mwtab.Matrices(render(spark, sf_dir, mwtab.MS, break_ids=True), mwtab.MS).rejects
 
 
 @bound(
@@ -219,7 +221,7 @@ def mwtab_rejects(spark, sf_dir):
 )
 def mwtab_metadata(spark, sf_dir):
     files = render(spark, sf_dir, mwtab.NMR, break_ids=True)
-    return mwtab.metadata(files, mwtab.NMR).select("file_id", "study_id", "analysis_id", "unit")
+    return mwtab.Matrices(files, mwtab.NMR).metadata.select("file_id", "study_id", "analysis_id", "unit")
 
 
 @bound(
@@ -231,7 +233,7 @@ def mwtab_metadata(spark, sf_dir):
     UNION ALL SELECT 'F' || doc_id, 'factor_without_colon', 1 FROM documents""",
 )
 def mwtab_warnings(spark, sf_dir):
-    found = mwtab.warnings(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN)
+    found = mwtab.Matrices(render(spark, sf_dir, mwtab.PLAIN), mwtab.PLAIN).warnings
     return found.groupBy("file_id", "kind").agg(F.count("*").alias("n"))
 
 
@@ -333,22 +335,23 @@ def parse_pending(spark, sf_dir):
     return found.select("file_id", "detected_type", "parse_status")
 
 
+def _typed_text() -> Column:
+    """File text of a document; every fourth document stays as it is."""
+    kind = F.col("doc_id") % 4
+    content = F.when(kind == 3, F.col("text"))
+    for i, layout in enumerate((mwtab.PLAIN, mwtab.MS, mwtab.NMR)):
+        content = content.when(kind == i, file_text(layout, break_ids=True))
+    return content
+
+
 def _typed(spark, sf_dir) -> DataFrame:
     """Files of four types, some without ids."""
-    kinds = {"mwtab": mwtab.PLAIN, "mwtab_ms": mwtab.MS, "mwtab_nmr_binned": mwtab.NMR}
-    parts = None
-    for i, (name, layout) in enumerate(kinds.items()):
-        files = render(spark, sf_dir, layout, break_ids=True).where(F.col("doc_id") % 4 == i)
-        files = files.withColumn("detected_type", F.lit(name))
-        parts = files if parts is None else parts.unionByName(files)
-    other = table(spark, sf_dir, "documents").where("doc_id % 4 = 3")
-    return parts.unionByName(
-        other.select(
-            "doc_id",
-            F.format_string("F%d", "doc_id").alias("file_id"),
-            F.col("text").alias("content"),
-            F.lit("unknown").alias("detected_type"),
-        )
+    types = pick("doc_id", 4, mwtab.PLAIN.name, mwtab.MS.name, mwtab.NMR.name, "unknown")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.format_string("F%d", "doc_id").alias("file_id"),
+        _typed_text().alias("content"),
+        F.expr(types).alias("detected_type"),
     )
 
 
@@ -365,7 +368,7 @@ OUTCOMES = """o AS (SELECT 'F' || doc_id AS file_id, CASE doc_id % 4 WHEN 0 THEN
 
 def _outcomes(spark, sf_dir):
     files = _typed(spark, sf_dir)
-    return parse.outcome(files, parse.parse_files(files).metadata)
+    return parse.outcome(files, parse.Parsed(files).metadata)
 
 
 @bound("parse_outcome", f"WITH {OUTCOMES} SELECT * FROM o")
@@ -411,12 +414,6 @@ def parse_by_type(spark, sf_dir):
     return parse.parsed_by_type(_outcomes(spark, sf_dir))
 
 
-def _numbers(layout: mwtab.Layout, labels: dict[int, str], test: str, uid: str, feature: str, value: str) -> str:
-    g = _grid(layout, labels)
-    return f"""(WITH {g} SELECT doc_id, r, c, {uid} AS sample_uid, {feature} AS feature_uid, {V} AS value
-      FROM g WHERE {test}) AS {value}"""
-
-
 MEAS = " AND NOT (doc_id % 20 = 11 OR doc_id % 10 = 2)"
 STUDY_BROKEN = f"CASE WHEN doc_id % 20 = 1 THEN 'ST7' ELSE {STUDY_OF} END"
 
@@ -433,7 +430,7 @@ def _count(layout, labels, test):
 )
 def parse_dry_run(spark, sf_dir):
     """Cells that would be processed, per layout, without writing anything."""
-    cells = parse.parse_files(_typed(spark, sf_dir)).measurements
+    cells = parse.Parsed(_typed(spark, sf_dir)).measurements
     return cells.groupBy("layout").agg(F.count("*").alias("n"))
 
 
@@ -487,7 +484,7 @@ def _first(layout, labels, test, uid, feature, plain=False):
 )
 def parse_and_store(spark, sf_dir):
     """Parse files of all layouts and merge them into an empty store."""
-    change = parse.changes(parse.parse_files(_typed(spark, sf_dir)), empty_store(spark))
+    change = parse.Changes(parse.Parsed(_typed(spark, sf_dir)), empty_store(spark))
     return change.updated_measurements.select("sample_uid", "feature_uid", "value")
 
 
