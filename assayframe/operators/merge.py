@@ -106,11 +106,20 @@ def insert_first(store: DataFrame, batch: DataFrame, order: Sequence[Column]) ->
     return keep_first(unseen, pair, order).join(store.select(*pair), pair, "left_anti")
 
 
-def coalesce_upsert(store: DataFrame, batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Measurements where the last non-null value and unit win over what is stored."""
+def coalesce_upsert(
+    store: DataFrame, batch: DataFrame, order: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Measurements where the last non-null value and unit win over what is stored.
+
+    ``keep`` names further columns of the store; inserted rows have NULL there.
+    """
     pair, values = ["sample_uid", "feature_uid"], ["value", "unit"]
     once = reduce_batch(batch, pair, dict.fromkeys(values, "last_non_null"), order)
-    return merge(store, once, pair, dict.fromkeys(values, "latest"))
+    once = once.withColumns(
+        {c: F.lit(None).cast(store.schema[c].dataType) for c in keep}
+    )
+    rules = dict.fromkeys(values, "latest") | dict.fromkeys(keep, "keep")
+    return merge(store, once, pair, rules)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:

@@ -262,7 +262,8 @@ class Changes:
         """State of the measurements after plain files, on top of the appended rows."""
         base = self.store["measurements"].select(*STORED_COLUMNS).unionByName(self.new_measurements)
         cells = self.parsed.plain("measurements").where("known")
-        return merge.coalesce_upsert(base, cells, ["file_id", "line_no", "col_index"])
+        origin = ["file_id", "col_index", "replicate_ix"]
+        return merge.coalesce_upsert(base, cells, ["file_id", "line_no", "col_index"], origin)
 
     @cached_property
     def stats(self) -> DataFrame:

@@ -325,13 +325,13 @@ def parse_selection(spark, sf_dir):
     "parse_pending",
     ctes("files")
     + """SELECT file_id, detected_type, parse_status FROM files
-      WHERE import_id = 'src3' AND parse_status IN ('pending', 'failed')
+      WHERE import_id = 'src8' AND parse_status IN ('pending', 'failed')
         AND detected_type NOT IN ('metabo_table_html')
       ORDER BY created_at, file_id LIMIT 12""",
 )
 def parse_pending(spark, sf_dir):
     files = load(spark, sf_dir, "files")["files"]
-    found = parse.pending_files(files, "src3", skip_types=["metabo_table_html"], max_files=12)
+    found = parse.pending_files(files, "src8", skip_types=["metabo_table_html"], max_files=12)
     return found.select("file_id", "detected_type", "parse_status")
 
 

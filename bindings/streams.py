@@ -31,7 +31,8 @@ def incremental_ingest(spark, sf_dir):
     path = f"{sf_dir}/documents.parquet"
     schema = spark.read.parquet(path).schema
     for _ in range(2):
-        documents = spark.readStream.schema(schema).parquet(path)
+        # a pattern matches a table that is one file as well as one that is a folder
+        documents = spark.readStream.schema(schema).parquet(f"{path}*")
         files = documents.select(
             F.format_string("F%d", "doc_id").alias("file_id"), _typed_text().alias("content")
         )
