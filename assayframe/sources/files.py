@@ -23,16 +23,41 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
+def path_of_uri(uri: Column) -> Column:
+    """Path of a percent-encoded URI (a plus sign is a plus sign there)."""
+    return plain_path(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
+
+
+def _scan(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+
+def _empty_files(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """Rows for files of no bytes, which a scan leaves out.
+
+    Only the scan's file index knows them. It is a list that Spark keeps on the driver
+    for every file scan, and only paths are taken from it, never contents.
+    """
+    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "uri string")
+    every = listed.select(path_of_uri(F.col("uri")).alias("path_abs"))
+    seen = scan.select(plain_path(F.col("path")).alias("path_abs"))
+    return every.join(seen, "path_abs", "left_anti").select(
+        F.col("path_abs").alias("path"),
+        F.lit(0).cast("long").alias("length"),
+        F.lit(b"").alias("content"),
+    )
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """All regular files below ``root``; contents are not read."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return _described(raw).drop("content")
+    return read_files(spark, root).drop("content")
 
 
 def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """All regular files below ``root`` (or the listed ones) with their bytes in ``content``."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return _described(raw)
+    scan = _scan(spark, root)
+    columns = ["path", "length", "content"]
+    return _described(scan.select(*columns).unionByName(_empty_files(spark, scan)))
 
 
 def _described(raw: DataFrame) -> DataFrame:
@@ -96,7 +121,7 @@ def read_texts(spark: SparkSession, root: str) -> DataFrame:
     """(file_id = path, content) for parsing, one row per file."""
     raw = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     return raw.select(
-        plain_path(F.col("_metadata.file_path")).alias("file_id"),
+        path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
         drop_bad_utf8(F.col("value")).alias("content"),
     )
 
@@ -110,7 +135,7 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """
     raw = spark.read.option("recursiveFileLookup", True).text(root)
     return raw.select(
-        plain_path(F.col("_metadata.file_path")).alias("file_id"),
+        path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
         F.struct(
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("at"),

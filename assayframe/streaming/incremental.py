@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from assayframe.functions.text import drop_bad_utf8
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import LAYOUTS
-from assayframe.sources.files import plain_path
+from assayframe.sources.files import path_of_uri
 
 
 def stream_texts(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
@@ -28,7 +28,7 @@ def stream_texts(spark: SparkSession, root: str, max_files: int = 10_000) -> Dat
         .load(root)
     )
     return raw.select(
-        plain_path(F.col("_metadata.file_path")).alias("file_id"),
+        path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
         drop_bad_utf8(F.col("value")).alias("content"),
     )
 
