@@ -48,6 +48,11 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
+def is_blank(text: Column) -> Column:
+    """Nothing but white space; looks no further than the first other character."""
+    return F.ltrim(text, F.lit(WHITESPACE)) == ""
+
+
 def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, WHITESPACE_RUN, " ")
 
@@ -83,13 +88,17 @@ def parse_number(text: Column) -> Column:
     """Text to double; missing markers and unreadable text give NULL.
 
     Thousands commas and inner spaces are dropped first. A text that is already a
-    number holds neither, so one grammar test covers both spellings.
+    number holds neither, so one grammar test covers both spellings. Most cells hold
+    digits and a point only: for them the cast alone decides.
     """
     bare = _bare_number(text)
     value = F.translate(bare, "_", "").try_cast("double")
     # the grammar holds but the cast does not for a signed NaN only
     number = F.coalesce(value, F.lit(float("nan")))
-    return F.when(~is_missing_cell(text) & bare.rlike(NUMBER), number)
+    digits_only = F.translate(text, "0123456789.", "") == ""
+    return F.when(digits_only, text.try_cast("double")).when(
+        ~is_missing_cell(text) & bare.rlike(NUMBER), number
+    )
 
 
 def is_unreadable_number(text: Column) -> Column:

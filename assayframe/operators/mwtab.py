@@ -19,6 +19,7 @@ from assayframe.functions.rules import contains_any
 from assayframe.functions.text import (
     after_first,
     factors_without_colon,
+    is_blank,
     is_unreadable_number,
     let,
     parse_number,
@@ -409,7 +410,7 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
             numbered,
             lambda x: _between(x["no"], span["after"], span["before"])
             & ~starts(x["text"], *skipped)
-            & (strip(x["text"]) != ""),
+            & ~is_blank(x["text"]),
         )
 
     def replaced_labels(last: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.functions import keys
-from assayframe.functions.text import parse_number, strip
+from assayframe.functions.text import is_blank, parse_number
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import Layout
 from assayframe.operators.skew import salted_lookup
@@ -105,7 +105,7 @@ def measurements(
         (F.col("no") > F.col("header_no"))
         & (F.col("end_no").isNull() | (F.col("no") < F.col("end_no")))
         & ~mwtab.starts(F.col("text"), layout.start)
-        & (strip(F.col("text")) != "")
+        & ~is_blank(F.col("text"))
     )
     cells = mwtab.cells_of(mwtab.named_rows(rows, layout), layout)
     return cells.withColumn("value", parse_number(F.col("raw_value"))).drop("raw_value")

@@ -21,6 +21,16 @@ class ExportStats:
     file_size_bytes: int = 0
 
 
+def widen(df: DataFrame, by: str) -> DataFrame:
+    """Spread rows by a key if the scan is narrower than the cluster.
+
+    For work that costs much per row. A table of many files has more scan tasks than
+    there are cores and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assayframe.sources.tables import widen
+
 
 @dataclass(frozen=True)
 class Bound:
@@ -33,8 +35,10 @@ def bound(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table. ``spread_by`` is for queries with much work per row."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return widen(df, spread_by) if spread_by else df
 
 
 @dataclass(frozen=True)
@@ -42,9 +46,9 @@ class Role:
     source: str
     columns: dict[str, str]
 
-    def load(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def load(self, spark: SparkSession, sf_dir: str, spread_by: str | None = None) -> DataFrame:
         exprs = [f"{e} AS {n}" for n, e in self.columns.items()]
-        return table(spark, sf_dir, self.source).selectExpr(*exprs)
+        return table(spark, sf_dir, self.source, spread_by).selectExpr(*exprs)
 
     def sql(self) -> str:
         exprs = ", ".join(f"{e} AS {n}" for n, e in self.columns.items())
@@ -240,8 +244,12 @@ ROLES = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: ROLES[n].load(spark, sf_dir) for n in names or ROLES}
+def load(
+    spark: SparkSession, sf_dir: str, *names: str, spread: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """Tables by role. ``spread`` maps a role to the column its rows spread by."""
+    spread = spread or {}
+    return {n: ROLES[n].load(spark, sf_dir, spread.get(n)) for n in names or ROLES}
 
 
 def ctes(*names: str, **more: str) -> str:

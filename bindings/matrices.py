@@ -32,7 +32,7 @@ HEADS = {
 
 def render(spark, sf_dir, layout: mwtab.Layout, break_ids: bool = False) -> DataFrame:
     """(file_id, content) of one file per document."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         F.format_string("F%d", "doc_id").alias("file_id"),
         file_text(layout, break_ids).alias("content"),
@@ -242,7 +242,7 @@ def mwtab_warnings(spark, sf_dir):
 
 def lines_of(spark, sf_dir) -> DataFrame:
     """Three files of lines; a line's number follows its order key."""
-    items = table(spark, sf_dir, "lineitem")
+    items = table(spark, sf_dir, "lineitem", "l_orderkey")
     data = items.select(
         F.concat(F.lit("L"), "l_returnflag").alias("file_id"),
         (F.lit(100) + F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("no"),
@@ -347,7 +347,7 @@ def _typed_text() -> Column:
 def _typed(spark, sf_dir) -> DataFrame:
     """Files of four types, some without ids."""
     types = pick("doc_id", 4, mwtab.PLAIN.name, mwtab.MS.name, mwtab.NMR.name, "unknown")
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         F.format_string("F%d", "doc_id").alias("file_id"),
         _typed_text().alias("content"),

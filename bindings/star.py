@@ -12,6 +12,9 @@ STAR = tuple(ROLES)
 QC_WITH = ctes("samples", "features", "studies", m=QC_MEASUREMENTS.sql())
 
 
+SPREAD = {"measurements": "l_orderkey"}
+
+
 def qc_rows(spark, sf_dir):
     return QC_MEASUREMENTS.load(spark, sf_dir)
 
@@ -199,7 +202,7 @@ EXPORT = (
 
 @bound("export_long", EXPORT)
 def export_long(spark, sf_dir):
-    return export.in_export_order(export.export_long(load(spark, sf_dir)))
+    return export.in_export_order(export.export_long(load(spark, sf_dir, spread=SPREAD)))
 
 
 @bound(
@@ -254,7 +257,7 @@ def export_count_filtered(spark, sf_dir):
     + FROM_STAR,
 )
 def long_view(spark, sf_dir):
-    return export.long_view(load(spark, sf_dir))
+    return export.long_view(load(spark, sf_dir, spread=SPREAD))
 
 
 # --- reports ---

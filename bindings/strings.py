@@ -43,7 +43,7 @@ NUMBERS = Role(
         AS unreadable FROM c""",
 )
 def parse_numbers(spark, sf_dir):
-    rows = NUMBERS.load(spark, sf_dir)
+    rows = NUMBERS.load(spark, sf_dir, "l_orderkey")
     return rows.select(
         "l_orderkey",
         "l_linenumber",
@@ -138,7 +138,8 @@ pairs AS (SELECT sample_uid, i, trim(substr(p, 1, instr(p, ':') - 1)) AS k,
       WHERE k <> '' GROUP BY 1, 2""",
 )
 def factors_long(spark, sf_dir):
-    return merge.sample_factors(load(spark, sf_dir, "samples")["samples"])
+    samples = load(spark, sf_dir, "samples", spread={"samples": "o_orderkey"})["samples"]
+    return merge.sample_factors(samples)
 
 
 @bound(

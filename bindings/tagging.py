@@ -67,7 +67,14 @@ TEXTS = ctes("files", t=f"SELECT *, {TXT} AS txt FROM files")
 
 
 def _files(spark, sf_dir):
-    return load(spark, sf_dir, "files")["files"]
+    return load(spark, sf_dir, "files", spread={"files": "doc_id"})["files"]
+
+
+SPREAD = {"samples": "o_orderkey", "measurements": "l_orderkey"}
+
+
+def _samples(spark, sf_dir):
+    return load(spark, sf_dir, "samples", spread=SPREAD)["samples"]
 
 
 def _text():
@@ -227,7 +234,7 @@ EXPOSED = (
            ELSE 'unknown' END AS exposure_action FROM ex""",
 )
 def derive_exposure(spark, sf_dir):
-    derived = derive.derive_exposure(load(spark, sf_dir, "samples")["samples"])
+    derived = derive.derive_exposure(_samples(spark, sf_dir))
     return derived.select("sample_uid", "exposure", "exposure_conflict", "exposure_action")
 
 
@@ -239,7 +246,7 @@ def derive_exposure(spark, sf_dir):
 )
 def derive_exposure_stored(spark, sf_dir):
     """Stored factors that the raw text repeats: the overlay must give the same scores."""
-    samples = load(spark, sf_dir, "samples")["samples"]
+    samples = _samples(spark, sf_dir)
     stored = merge.sample_factors(samples)
     changed = F.when(F.lower("factor_key") == "group", F.lit("Lean")).otherwise(
         F.col("factor_value")
@@ -280,7 +287,7 @@ mx AS (SELECT s.sample_uid, s.sample_matrix AS old, s.sample_matrix IS NOT NULL
            ELSE 'unknown' END AS matrix_action FROM mx""",
 )
 def derive_matrix(spark, sf_dir):
-    t = load(spark, sf_dir, "samples", "measurements", "files")
+    t = load(spark, sf_dir, "samples", "measurements", "files", spread=SPREAD)
     derived = derive.derive_matrix(t["samples"], None, t["measurements"], t["files"])
     return derived.select("sample_uid", "sample_matrix", "matrix_conflict", "matrix_action")
 
@@ -312,7 +319,7 @@ DERIVED_DEVICE = ctes(
 
 
 def _derived_files(spark, sf_dir):
-    files = table(spark, sf_dir, "documents").selectExpr(
+    files = table(spark, sf_dir, "documents", "doc_id").selectExpr(
         "'F' || doc_id AS file_id",
         f"'/data/' || {SEG_EXPOSURE} || '/' || {SEG_DEVICE} AS path_abs",
         "'run' || doc_id AS filename",
@@ -355,7 +362,7 @@ def derive_device_analyses(spark, sf_dir):
     FROM mx WHERE sample_uid LIKE 'ST000012:%'""",
 )
 def derive_stats(spark, sf_dir):
-    t = load(spark, sf_dir, "samples", "measurements", "files")
+    t = load(spark, sf_dir, "samples", "measurements", "files", spread=SPREAD)
     chosen = derive.in_scope(t["samples"], "ST000012")
     derived = derive.derive_matrix(chosen, None, t["measurements"], t["files"])
     return derive.action_stats(derived, "matrix", "matrix_conflict")
@@ -368,7 +375,7 @@ def derive_stats(spark, sf_dir):
       FROM ex WHERE clash AND NOT already""",
 )
 def derive_warnings(spark, sf_dir):
-    derived = derive.derive_exposure(load(spark, sf_dir, "samples")["samples"])
+    derived = derive.derive_exposure(_samples(spark, sf_dir))
     return derive.conflict_warnings(derived, "exposure")
 
 
@@ -396,7 +403,7 @@ FREE_TEXT = f"""CASE doc_id % 6 WHEN 0 THEN text || ' GC/MS' WHEN 1 THEN 'lc-tof
 )
 def classify_texts(spark, sf_dir):
     free = F.expr(FREE_TEXT)
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         devices.device_of_text(free).alias("device"),
         devices.exposure_of_text(free).alias("exposure"),
