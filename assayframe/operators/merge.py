@@ -146,7 +146,8 @@ def mark_first_seen(
 
     The first row of each content is new unless the registry holds that content; all
     others point to the row they repeat. One content may make up most of the rows:
-    the first is found by an aggregate, and the way back is a salted join.
+    the first is found by an aggregate, and the way back is a salted join. ``files`` is
+    read several times: pass stored fingerprints, not a plan that hashes contents.
     """
     keys, told = list(keys), [id_column, *carry]
     first = files.groupBy(*keys).agg(

@@ -18,6 +18,7 @@ from assayframe.functions.text import is_blank, parse_number
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import Layout
 from assayframe.operators.skew import salted_lookup
+from assayframe.sources.tables import settle
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
@@ -32,6 +33,7 @@ def structure(lines: DataFrame, layout: Layout) -> DataFrame:
     )
     header = mwtab.is_header(text, layout)
     few = lines.where(markers | header).select("file_id", "no", "text", header.alias("header"))
+    few = settle(few, "structure-lines")  # used twice below; the lines are scanned once
 
     def at(test: Column) -> Column:
         return F.when(test, no)
@@ -87,7 +89,10 @@ def measurements(
     counts: DataFrame | None = None,
     **skew: int,
 ) -> DataFrame:
-    """As ``mwtab.measurements``. ``counts`` (file_id, n) may come from file sizes."""
+    """As ``mwtab.measurements``. ``counts`` (file_id, n) may come from file sizes.
+
+    With them the lines are scanned twice: for their structure and for their cells.
+    """
     if not layout.strict:
         raise ValueError("the plain layout may hold many blocks; parse it file by file")
     weights = line_counts(lines) if counts is None else counts

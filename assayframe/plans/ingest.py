@@ -12,6 +12,7 @@ from assayframe.functions.filetypes import EXTENSIONS, is_allowed_extension
 from assayframe.operators.merge import mark_first_seen
 from assayframe.schemas import IMPORT_STATUSES
 from assayframe.sources import files as source
+from assayframe.sources.tables import settle
 
 
 def compare_with_registry(candidates: DataFrame, registry: DataFrame | None, **skew: int) -> DataFrame:
@@ -116,9 +117,9 @@ def ingest_directory(
     # wanted by the caller but outside the fixed list: skipped, not registered
     allowed = is_allowed_extension(F.col("ext"))
     prints = source.with_fingerprint(chosen.where(allowed))
-    candidates = source.registry_rows(prints, import_id, root)
-    # fingerprints are used several times below; hash each file once
-    flagged = compare_with_registry(candidates, registry).persist()
+    # contents are read and hashed once; all that follows uses the stored fingerprints
+    candidates = settle(source.registry_rows(prints, import_id, root), "fingerprints")
+    flagged = settle(compare_with_registry(candidates, registry), "compared")
     totals = with_outcome(import_counts(flagged), user_notes).first()
     report.files_processed = totals["files_processed"]
     report.files_skipped += report.files_found - report.files_processed

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayframe.functions.filetypes import detected_type, filename_of
 from assayframe.functions.keys import row_id
 from assayframe.operators import merge, mwtab
 from assayframe.operators.mwtab import LAYOUTS
+from assayframe.session import shared_folder
+from assayframe.sources.files import read_texts
+from assayframe.sources.tables import settle
 
 PARSABLE = tuple(LAYOUTS)
 UNSUPPORTED = "Unsupported file type"
@@ -103,6 +108,22 @@ class Parsed:
         return self._union("warnings")
 
 
+class StoredParsed(Parsed):
+    """A parse result written to a folder: every file is parsed once, whatever uses it."""
+
+    TABLES = ("measurements", "samples", "features", "metadata")
+
+    def __init__(self, parsed: Parsed, folder: str):
+        self._read = {}
+        for name in self.TABLES:
+            df = getattr(parsed, name)
+            df.write.partitionBy("layout").parquet(f"{folder}/{name}")
+            self._read[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    def _union(self, table: str, names: Iterable[str] = PARSABLE) -> DataFrame:
+        return self._read[table].where(F.col("layout").isin(*names))
+
+
 def outcome(chosen: DataFrame, metadata: DataFrame) -> DataFrame:
     """(file_id, detected_type, parse_status, parse_error) of every chosen file."""
     errors = metadata.select("file_id", "error")
@@ -286,3 +307,105 @@ class Changes:
         return counted.agg(
             *[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in names]
         )
+
+
+# --- jobs ---
+
+
+@dataclass
+class ParseReport:
+    """Counts of a parse job, the outcome per file, and what the store gains."""
+
+    files_total: int = 0
+    files_success: int = 0
+    files_failed: int = 0
+    files_skipped: int = 0
+    samples_created: int = 0
+    features_created: int = 0
+    measurements_inserted: int = 0
+    by_type: dict[str, int] = field(default_factory=dict)
+    outcomes: DataFrame | None = None
+    changes: Changes | None = None
+
+
+def parse_directory(
+    spark: SparkSession,
+    root: str,
+    store: dict[str, DataFrame],
+    *,
+    only_types: Iterable[str] | None = None,
+    skip_types: Iterable[str] | None = None,
+    max_files: int | None = None,
+    fail_fast: bool = False,
+    dry_run: bool = False,
+) -> ParseReport:
+    """Parse the files below a directory that have a parsable type (in path order)."""
+    texts = read_texts(spark, root)
+    typed = texts.withColumn(
+        "detected_type", detected_type(filename_of(F.col("file_id")), F.col("content"))
+    )
+    types = settle(typed.select("file_id", "detected_type"), "types")
+    marked = parsable_files(types, only_types, skip_types)
+    chosen = marked.where("selected").drop("selected")
+    # the choice depends on the type alone, so contents need no join and never move
+    files = parsable_files(typed, only_types, skip_types).where("selected").drop("selected")
+    if max_files:
+        chosen = chosen.orderBy("file_id").limit(max_files)
+        files = files.join(chosen.select("file_id"), "file_id", "left_semi")
+    report = ParseReport(files_skipped=marked.where(~F.col("selected")).count())
+    return _parse(spark, chosen, files, store, report, fail_fast, dry_run)
+
+
+def parse_import(
+    spark: SparkSession,
+    registry: DataFrame,
+    texts: DataFrame,
+    import_id: str,
+    store: dict[str, DataFrame],
+    *,
+    only_types: Iterable[str] | None = None,
+    skip_types: Iterable[str] | None = None,
+    max_files: int | None = None,
+    fail_fast: bool = False,
+    dry_run: bool = False,
+) -> ParseReport:
+    """Parse the pending and failed files of an import.
+
+    ``texts`` has (file_id, content) under the registry's file ids. ``with_status``
+    puts the report's outcomes into the registry.
+    """
+    pending = pending_files(registry, import_id, only_types, skip_types, max_files)
+    chosen = settle(pending.select("file_id", "detected_type"), "pending")
+    # a stored list of ids: Spark knows its size, broadcasts it while it is small, and
+    # moves the texts once by file id beyond that
+    files = texts.join(chosen, "file_id")
+    return _parse(spark, chosen, files, store, ParseReport(), fail_fast, dry_run)
+
+
+def _parse(
+    spark: SparkSession,
+    chosen: DataFrame,
+    files: DataFrame,
+    store: dict[str, DataFrame],
+    report: ParseReport,
+    fail_fast: bool,
+    dry_run: bool,
+) -> ParseReport:
+    if dry_run:
+        types = chosen.groupBy("detected_type").agg(F.count("*").alias("n")).collect()
+        report.files_total = sum(r["n"] for r in types)
+        report.by_type = {r["detected_type"]: r["n"] for r in types if r["detected_type"] in PARSABLE}
+        report.files_skipped += report.files_total - sum(report.by_type.values())
+        return report
+    parsed = StoredParsed(Parsed(files), shared_folder(spark, "parsed"))
+    report.outcomes = outcome(chosen, parsed.metadata)
+    if fail_fast:
+        stop_on_failure(report.outcomes)
+    report.changes = Changes(parsed, store)
+    totals = outcome_stats(report.outcomes).first().asDict()
+    totals["files_skipped"] += report.files_skipped
+    # one row per parsable type
+    report.by_type = {r["detected_type"]: r["n"] for r in parsed_by_type(report.outcomes).collect()}
+    for name, value in (totals | report.changes.stats.first().asDict()).items():
+        setattr(report, name, value)
+    return report

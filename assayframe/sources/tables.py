@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from assayframe.session import shared_folder
+
 # Fixed values of the export sink.
 EXPORT_CODEC = "zstd"
 EXPORT_CODEC_LEVEL = 3
@@ -31,6 +33,17 @@ def widen(df: DataFrame, by: str) -> DataFrame:
     return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and go on from the written table.
+
+    For small results of expensive scans that are used more than once: the scan runs
+    once, and a lost executor does not bring it back.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assayframe.functions import filetypes, keys, text
 from assayframe.operators import merge, skew
 from assayframe.plans import ingest
+from assayframe.sources.tables import settle
 from bindings.core import Role, bound, ctes, load, pick, table
 
 # --- numbers ---
@@ -265,7 +266,7 @@ def mwtab_marker(spark, sf_dir):
 
 def _candidates(spark, sf_dir):
     content = F.expr(HOT_TEXT)
-    return table(spark, sf_dir, "documents").select(
+    prints = table(spark, sf_dir, "documents").select(
         F.format_string("F%09d", "doc_id").alias("file_id"),
         F.concat(F.lit("/data/"), F.format_string("%09d", "doc_id")).alias("path_abs"),
         F.col("source").alias("import_id"),
@@ -274,6 +275,7 @@ def _candidates(spark, sf_dir):
         F.expr(pick("doc_id", 3, "mwtab", "unknown", "results_txt")).alias("detected_type"),
         F.expr(pick("doc_id", 2, ".txt", ".csv")).alias("ext"),
     )
+    return settle(prints, "fingerprints")
 
 
 CANDIDATES = f"""c AS (SELECT printf('F%09d', doc_id) AS file_id, source AS import_id,

@@ -10,6 +10,7 @@ from assayframe.session import shared_folder
 from assayframe.sources import files as source
 from assayframe.sources import tables
 from assayframe.streaming import incremental
+from bindings.matrices import empty_store
 from tests.test_mwtab import HEAD, MS, NMR, PLAIN
 
 
@@ -115,6 +116,44 @@ def test_import_log(spark):
         ingest.import_event(spark, "I", 4, "done")
 
 
+def test_parse_directory(spark, folder):
+    root, put = folder
+    put("broken.txt", "#METABOLOMICS WORKBENCH\nVERSION\t1\n")
+    store = empty_store(spark)
+    dry = parse.parse_directory(spark, root, store, dry_run=True)
+    assert (dry.files_total, dry.by_type) == (4, {"mwtab": 4})
+    done = parse.parse_directory(spark, root, store)
+    assert (done.files_total, done.files_success, done.files_failed) == (4, 3, 1)
+    assert done.by_type == {"mwtab": 3} and done.measurements_inserted > 0
+    none = parse.parse_directory(spark, root, store, skip_types={"mwtab"})
+    assert (none.files_total, none.files_skipped) == (0, 4)
+    with pytest.raises(RuntimeError, match="broken"):
+        parse.parse_directory(spark, root, store, fail_fast=True)
+
+
+def test_ingest_then_parse_import(spark, folder):
+    """The whole way; a second run over the settled registry has nothing to do."""
+    root, _ = folder
+    report = ingest.ingest_directory(spark, root, "I1")
+    registry = report.added.withColumns(
+        {
+            "created_at": F.lit(datetime.datetime(2024, 1, 1)),
+            "parse_error": F.lit(None).cast("string"),
+            "parsed_at": F.lit(None).cast("timestamp"),
+        }
+    )
+    texts = source.read_texts(spark, root).withColumnRenamed("file_id", "path_abs")
+    texts = texts.join(registry.select("path_abs", "file_id"), "path_abs").drop("path_abs")
+    store = empty_store(spark)
+    done = parse.parse_import(spark, registry, texts, "I1", store)
+    assert (done.files_total, done.files_success, done.files_skipped) == (6, 2, 4)
+    after = parse.with_status(registry, done.outcomes, datetime.datetime(2024, 6, 1))
+    states = {r.filename: r.parse_status for r in after.collect()}
+    assert states["a.txt"] == "success" and states["bin.pdf"] == "skipped"
+    again = parse.parse_import(spark, after, texts, "I1", store)
+    assert again.files_total == 0 and again.measurements_inserted == 0
+
+
 def test_incremental_ingest(spark, tmp_path):
     inbox, table, log = (str(tmp_path / n) for n in ("inbox", "table", "log"))
     (tmp_path / "inbox").mkdir()
