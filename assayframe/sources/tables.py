@@ -48,6 +48,11 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def touched_partitions(store: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of the partitions a batch has rows for; Spark prunes the others from the scan."""
+    return store.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
+
+
 def rewrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` has rows for.
 

@@ -278,7 +278,10 @@ def test_shared_folder_comes_from_the_session():
 def test_rewrite_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.append(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), path, ["p"])
-    tables.rewrite_partitions(spark.createDataFrame([(3, "b")], "v int, p string"), path, ["p"])
+    batch = spark.createDataFrame([(3, "b")], "v int, p string")
+    touched = tables.touched_partitions(spark.read.parquet(path), batch, ["p"])
+    assert [r.v for r in touched.collect()] == [2]
+    tables.rewrite_partitions(batch, path, ["p"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (3, "b")]
 
 
