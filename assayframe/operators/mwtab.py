@@ -277,11 +277,11 @@ def refmet_text(cells: Column, refmet_ix: Column) -> Column:
     return F.when(~text.isin(*NO_REFMET), text)
 
 
-def _between(no: Column, after: Column, before: Column) -> Column:
+def between(no: Column, after: Column, before: Column) -> Column:
     return (no > after) & (before.isNull() | (no < before))
 
 
-def _is_break(text: Column, *more: str) -> Column:
+def is_break(text: Column, *more: str) -> Column:
     """A line that ends the running section."""
     return (starts(text, "#") & ~starts(text, HEAD)) | starts(text, *more)
 
@@ -319,10 +319,10 @@ def _file_facts(m: Column, layout: Layout) -> Column:
                 return starts(last["text"], FACTOR_SECTION)
 
             found = F.filter(meta, lambda x: starts(x["text"], FACTOR_LINE) & opened(x))
-            return F.transform(found, _factor_line)
+            return F.transform(found, factor_line)
 
         units = F.transform(texts(layout.units), lambda t: units_text(t, layout))
-        breaks = F.filter(meta, lambda x: _is_break(x["text"], layout.start))
+        breaks = F.filter(meta, lambda x: is_break(x["text"], layout.start))
         return F.struct(
             identifier(STUDY).alias("study_id"),
             identifier(ANALYSIS).alias("analysis_id"),
@@ -334,7 +334,7 @@ def _file_facts(m: Column, layout: Layout) -> Column:
     return let(meta, facts)
 
 
-def _factor_line(x: Column) -> Column:
+def factor_line(x: Column) -> Column:
     parts = F.split(x["text"], "\t")
     return F.struct(
         x["no"].alias("no"),
@@ -362,7 +362,7 @@ def _spans(m: Column, layout: Layout) -> Column:
         )
         return F.array_compact(every)
 
-    return let(F.filter(m["marks"], lambda x: _is_break(x["text"], layout.start, layout.end)), spans)
+    return let(F.filter(m["marks"], lambda x: is_break(x["text"], layout.start, layout.end)), spans)
 
 
 def structure(files: DataFrame, layout: Layout) -> DataFrame:
@@ -397,6 +397,28 @@ def structure(files: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+def parsed_header(
+    header: Column, study: Column, analysis: Column, known_labels: Column, layout: Layout
+) -> Column:
+    """struct<name_ix, refmet_ix, columns> of a header line."""
+
+    def with_cells(cells: Column) -> Column:
+        name_ix, refmet_ix = header_indexes(cells, layout)
+
+        def with_name(ix: Column) -> Column:
+            return F.struct(
+                ix["name"].alias("name_ix"),
+                ix["refmet"].alias("refmet_ix"),
+                sample_columns(cells, ix["name"], study, analysis, layout, known_labels).alias(
+                    "columns"
+                ),
+            )
+
+        return let(F.struct(name_ix.alias("name"), refmet_ix.alias("refmet")), with_name)
+
+    return let(F.split(header, "\t"), with_cells)
+
+
 def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
     """Data blocks that have a header, one row each, with their data lines in ``rows``."""
 
@@ -408,7 +430,7 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         skipped = (layout.start,) if layout.strict else (HEAD, layout.units)
         return F.filter(
             numbered,
-            lambda x: _between(x["no"], span["after"], span["before"])
+            lambda x: between(x["no"], span["after"], span["before"])
             & ~starts(x["text"], *skipped)
             & ~is_blank(x["text"]),
         )
@@ -438,24 +460,6 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         )
 
     study, analysis = (keys.known_or_unknown(F.col(c)) for c in ("study_id", "analysis_id"))
-
-    def parsed_header(b: Column) -> Column:
-        def with_cells(cells: Column) -> Column:
-            name_ix, refmet_ix = header_indexes(cells, layout)
-
-            def with_name(ix: Column) -> Column:
-                return F.struct(
-                    ix["name"].alias("name_ix"),
-                    ix["refmet"].alias("refmet_ix"),
-                    sample_columns(
-                        cells, ix["name"], study, analysis, layout, F.col("known_labels")
-                    ).alias("columns"),
-                )
-
-            return let(F.struct(name_ix.alias("name"), refmet_ix.alias("refmet")), with_name)
-
-        return let(F.split(b["text"], "\t"), with_cells)
-
     # explode (Generate) is a boundary: what is computed below it is computed once
     found = spans.select(
         "file_id",
@@ -476,7 +480,13 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         "unit",
         "factor_lines",
         "last_block",
-        F.explode(F.array(parsed_header(F.col("block.header")))).alias("h"),
+        F.explode(
+            F.array(
+                parsed_header(
+                    F.col("block.header.text"), study, analysis, F.col("known_labels"), layout
+                )
+            )
+        ).alias("h"),
         F.col("block.rows").alias("rows"),
     ).select("*", "h.*").drop("h")
 
@@ -575,12 +585,7 @@ class Matrices:
     @cached_property
     def metadata(self) -> DataFrame:
         """Per file: ids, units and the reason it is rejected, if any."""
-        reason = F.when(F.col("study_id").isNull(), F.lit(MISSING_STUDY)).when(
-            F.col("analysis_id").isNull(), F.lit(MISSING_ANALYSIS)
-        )
-        return self.structure.select(
-            "file_id", "study_id", "analysis_id", "unit", reason.alias("error")
-        )
+        return with_reject_reason(self.structure)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -599,6 +604,13 @@ class Matrices:
         return warnings_of(self.usable, self.rows, self.cells, self.layout)
 
 
+def with_reject_reason(struct: DataFrame) -> DataFrame:
+    reason = F.when(F.col("study_id").isNull(), F.lit(MISSING_STUDY)).when(
+        F.col("analysis_id").isNull(), F.lit(MISSING_ANALYSIS)
+    )
+    return struct.select("file_id", "study_id", "analysis_id", "unit", reason.alias("error"))
+
+
 def measurements(files: DataFrame, layout: Layout) -> DataFrame:
     return Matrices(files, layout).measurements
 
@@ -610,37 +622,53 @@ def samples_of(struct: DataFrame, found: DataFrame, layout: Layout) -> DataFrame
     layout adds the labels of factor lines. Of a label's factor lines the last counts.
     Header cells and factor lines meet in one aggregate over labels, not cells.
     """
-    ids = [F.col("study_id").alias("study"), F.col("analysis_id").alias("analysis")]
+    from_factors = struct.select(
+        "file_id", "study_id", "analysis_id", F.explode("factor_lines").alias("f")
+    )
+    return join_labels(
+        header_labels(found, layout).unionByName(factor_labels(from_factors)), layout
+    )
+
+
+def header_labels(found: DataFrame, layout: Layout) -> DataFrame:
+    """Label rows of the last block's header."""
     none = F.lit(None)
-    from_header = (
-        found.where("last_block")
-        .select("file_id", *ids, F.explode("columns").alias("c"))
-        .where((F.col("c.col_index") > 0) | F.lit(not layout.strict))
-        .select(
-            "file_id",
-            "study",
-            "analysis",
-            F.col("c.sample_label").alias("sample_label"),
-            none.cast("string").alias("subject"),
-            none.cast("string").alias("factors_raw"),
-            none.cast("int").alias("no"),
-        )
+    columns = found.where("last_block").select(
+        "file_id", "study_id", "analysis_id", F.explode("columns").alias("c")
     )
-    from_factors = (
-        struct.select("file_id", *ids, F.explode("factor_lines").alias("f"))
-        .where((F.col("f.fields") >= 4) & (F.col("f.sample_label") != ""))
-        .select(
-            "file_id",
-            "study",
-            "analysis",
-            *[F.col(f"f.{c}").alias(c) for c in ("sample_label", "subject", "factors_raw", "no")],
-        )
+    return columns.where((F.col("c.col_index") > 0) | F.lit(not layout.strict)).select(
+        "file_id",
+        "study_id",
+        "analysis_id",
+        F.col("c.sample_label").alias("sample_label"),
+        none.cast("string").alias("subject"),
+        none.cast("string").alias("factors_raw"),
+        F.lit(True).alias("in_header"),
+        F.lit(0).alias("no"),
     )
-    labels = from_header.unionByName(from_factors)
-    study, analysis = (keys.known_or_unknown(F.col(c)) for c in ("study", "analysis"))
-    merged = labels.groupBy("file_id", study.alias("study_id"), analysis.alias("analysis"), "sample_label").agg(
-        F.max(F.col("no").isNull()).alias("in_header"),
-        F.max_by(F.struct("subject", "factors_raw"), "no").alias("f"),
+
+
+def factor_labels(factors: DataFrame) -> DataFrame:
+    """Label rows of factor lines ``f``."""
+    good = factors.where((F.col("f.fields") >= 4) & (F.col("f.sample_label") != ""))
+    return good.select(
+        "file_id",
+        "study_id",
+        "analysis_id",
+        *[F.col(f"f.{c}").alias(c) for c in ("sample_label", "subject", "factors_raw")],
+        F.lit(False).alias("in_header"),
+        F.col("f.no").alias("no"),
+    )
+
+
+def join_labels(labels: DataFrame, layout: Layout) -> DataFrame:
+    """Samples from label rows of headers and of factor lines."""
+    study, analysis = (keys.known_or_unknown(F.col(c)) for c in ("study_id", "analysis_id"))
+    groups = ["file_id", study.alias("study_id"), analysis.alias("analysis"), "sample_label"]
+    from_line = F.when(~F.col("in_header"), F.col("no"))
+    merged = labels.groupBy(*groups).agg(
+        F.max("in_header").alias("in_header"),
+        F.max_by(F.struct("subject", "factors_raw"), from_line).alias("f"),
     )
     uid = (
         keys.nmr_sample_uid(F.col("study_id"), F.col("analysis"), F.col("sample_label"))

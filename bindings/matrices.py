@@ -289,9 +289,8 @@ def lines_of(spark, sf_dir) -> DataFrame:
     FROM lineitem, (VALUES (1, 'A', 1), (2, 'B', 1), (4, 'A', 2)) t(c, label, rep)""",
 )
 def mwtab_lines_long(spark, sf_dir):
-    cells = mwtab_lines.measurements(
-        lines_of(spark, sf_dir), mwtab.MS, min_rows=1000, salts=8
-    )
+    cells = mwtab_lines.LineMatrices(
+        lines_of(spark, sf_dir), mwtab.MS, min_rows=1000, salts=8).measurements
     return cells.select(
         "file_id",
         "line_no",

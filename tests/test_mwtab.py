@@ -190,10 +190,41 @@ def test_lines_give_what_whole_files_give(spark):
         expected = cells(mwtab.measurements(whole, layout), *columns)
         assert expected
         for min_rows in (1, 1_000_000):  # every file hot, no file hot
-            got = mwtab_lines.measurements(lines.repartition(5), layout, min_rows=min_rows, salts=3)
+            got = mwtab_lines.LineMatrices(lines.repartition(5), layout, min_rows=min_rows, salts=3).measurements
             assert cells(got, *columns) == expected
-    with pytest.raises(ValueError):
-        mwtab_lines.measurements(lines, mwtab.PLAIN)
+
+
+def test_plain_lines_give_what_whole_files_give(spark):
+    blocks = HEAD + """MS_METABOLITE_DATA:UNITS\tu
+MS_METABOLITE_DATA_START
+
+Compound\tA\tB\tA
+x\t1\t2
+alone
+MS_METABOLITE_DATA_END
+between\t1
+MS_METABOLITE_DATA_START
+B\tname\tSample1
+5\ty\t6
+#NEXT
+z\t1\t1
+"""
+    whole = files(spark, PLAIN, blocks, HEAD, "x", MS.replace("ANALYSIS_ID", "no"))
+    lines = whole.select("file_id", F.posexplode(F.split("content", "\n"))).select(
+        "file_id", (F.col("pos") + 1).alias("no"), F.col("col").alias("text")
+    )
+    for need_ids in (False, True):
+        a = mwtab.Matrices(whole, mwtab.PLAIN, need_ids)
+        b = mwtab_lines.LineMatrices(
+            lines.repartition(3), mwtab.PLAIN, need_ids=need_ids, min_rows=1, salts=3
+        )
+        for table in ("measurements", "samples", "features"):
+            expected, got = getattr(a, table), getattr(b, table)
+            assert sorted(map(str, got.select(expected.columns).collect())) == sorted(
+                map(str, expected.collect())
+            ), table
+    meta = [sorted(map(str, m.metadata.where("study_id IS NOT NULL").collect())) for m in (a, b)]
+    assert meta[0] == meta[1]
 
 
 def test_large_files_from_disk(spark, tmp_path):
@@ -210,7 +241,7 @@ def test_large_files_from_disk(spark, tmp_path):
         lines = read_lines(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 4
         weights = line_weights(spark, str(tmp_path))
-        got = mwtab_lines.measurements(lines, mwtab.MS, weights, min_rows=100, salts=4)
+        got = mwtab_lines.LineMatrices(lines, mwtab.MS, weights, min_rows=100, salts=4).measurements
         columns = ["file_id", "sample_uid", "feature_uid", "replicate_ix", "value"]
         a = [tuple(map(str, r)) for r in got.select(*columns).collect()]
     finally:
