@@ -644,7 +644,7 @@ def header_labels(found: DataFrame, layout: Layout) -> DataFrame:
         none.cast("string").alias("subject"),
         none.cast("string").alias("factors_raw"),
         F.lit(True).alias("in_header"),
-        F.lit(0).alias("no"),
+        none.alias("no"),
     )
 
 

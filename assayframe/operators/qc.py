@@ -23,7 +23,7 @@ def of_study(samples: DataFrame, studies: DataFrame, study_id: str) -> DataFrame
 def filter_measurements(
     measurements: DataFrame,
     samples: DataFrame,
-    studies: DataFrame,
+    studies: DataFrame | None,
     study_id: str | None = None,
     analysis_id: str | None = None,
 ) -> DataFrame:
@@ -38,7 +38,7 @@ def filter_measurements(
 
 
 def filter_samples(
-    samples: DataFrame, studies: DataFrame, study_id: str | None = None
+    samples: DataFrame, studies: DataFrame | None, study_id: str | None = None
 ) -> DataFrame:
     return of_study(samples, studies, study_id) if study_id else samples
 
@@ -110,14 +110,26 @@ def _as_metrics(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(F.array(*pairs)))
 
 
-def summary(measurements: DataFrame, samples: DataFrame, features: DataFrame) -> DataFrame:
-    """All metrics in one row. The parts are one-row results put together by metric name."""
+def summary(
+    measurements: DataFrame,
+    samples: DataFrame,
+    features: DataFrame,
+    studies: DataFrame | None = None,
+    study_id: str | None = None,
+    analysis_id: str | None = None,
+) -> DataFrame:
+    """All metrics in one row, for everything or for a study and / or an analysis.
+
+    The parts are one-row results put together by metric name. Orphans are looked for
+    in all samples, whatever the filter; the sample counts are those of the study.
+    """
+    rows = filter_measurements(measurements, samples, studies, study_id, analysis_id)
     parts = [
-        value_counts(measurements),
-        duplicate_pairs(measurements),
-        orphan_count(measurements, samples, "sample_uid", "orphan_sample_count"),
-        orphan_count(measurements, features, "feature_uid", "orphan_feature_count"),
-        sample_counts(samples),
+        value_counts(rows),
+        duplicate_pairs(rows),
+        orphan_count(rows, samples, "sample_uid", "orphan_sample_count"),
+        orphan_count(rows, features, "feature_uid", "orphan_feature_count"),
+        sample_counts(filter_samples(samples, studies, study_id)),
     ]
     names = [c for p in parts for c in p.columns]
     metrics = reduce(DataFrame.unionByName, [_as_metrics(p) for p in parts])

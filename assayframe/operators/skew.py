@@ -46,16 +46,20 @@ def salted_lookup(
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join facts to ``dim`` (one row per key), spreading each hot key over many tasks.
+    """Join facts to ``dim``, spreading each hot key over many tasks.
 
-    Only rows of hot keys get a salt, and only their dim rows are repeated. The salt
-    is a hash of ``spread_by``, so a retried task sends each row where it went before.
+    Only rows of hot keys get a salt, and only their dim rows are repeated. (Rows with a
+    NULL key match nothing and are spread as well.) The salt is a hash of ``spread_by``,
+    so a retried task sends each row where it went before.
     """
     on = list(on)
     hot = F.broadcast(hot_keys(counts, on, n, max_keys=max_keys, min_rows=min_rows))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    no_key = F.lit(False)
+    for key in on:
+        no_key = no_key | F.col(key).isNull()
     salted_facts = facts.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
     )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_dim = dim.join(hot, on, "left").withColumn(

@@ -13,12 +13,20 @@ from assayframe.functions.filetypes import detected_type, filename_of
 from assayframe.functions.keys import row_id
 from assayframe.operators import merge, mwtab
 from assayframe.operators.mwtab import LAYOUTS
+from assayframe.operators.mwtab_lines import LineMatrices
 from assayframe.session import shared_folder
-from assayframe.sources.files import read_texts
+from assayframe.sources.files import (
+    line_weights,
+    list_files,
+    read_lines,
+    read_texts,
+    types_of_lines,
+)
 from assayframe.sources.tables import settle
 
 PARSABLE = tuple(LAYOUTS)
 UNSUPPORTED = "Unsupported file type"
+LARGE_BYTES = 256 * 1024 * 1024  # files beyond this are parsed line by line
 
 
 # --- choosing files ---
@@ -68,15 +76,37 @@ class Parsed:
     rows; ``metadata`` tells why.
     """
 
-    def __init__(self, files: DataFrame, layout_column: str = "detected_type"):
-        self._parts = {
-            name: mwtab.Matrices(files.where(F.col(layout_column) == name), layout, need_ids=True)
-            for name, layout in LAYOUTS.items()
-        }
+    def __init__(
+        self,
+        files: DataFrame,
+        layout_column: str = "detected_type",
+        lines: DataFrame | None = None,
+        weights: DataFrame | None = None,
+    ):
+        """``lines`` (file_id, no, text, <layout_column>) adds files too large for one row;
+        ``weights`` (file_id, n) tells how large each of them is."""
+        self._with_lines = lines is not None
+        self._parts = {}
+        for name, layout in LAYOUTS.items():
+            chosen = F.col(layout_column) == name
+            parts = [mwtab.Matrices(files.where(chosen), layout, need_ids=True)]
+            if lines is not None:
+                parts.append(LineMatrices(lines.where(chosen), layout, weights, need_ids=True))
+            self._parts[name] = parts
+
+    def _table(self, part, table: str) -> DataFrame:
+        df = getattr(part, table)
+        if self._with_lines and table == "measurements" and isinstance(part, mwtab.Matrices):
+            # lines of split files are numbered by (split offset, place in split)
+            place = F.struct(F.lit(0).cast("long").alias("offset"), F.col("line_no").cast("long").alias("at"))
+            df = df.withColumn("line_no", place)
+        return df
 
     def _union(self, table: str, names: Iterable[str] = PARSABLE) -> DataFrame:
         tables = [
-            getattr(self._parts[name], table).withColumn("layout", F.lit(name)) for name in names
+            self._table(part, table).withColumn("layout", F.lit(name))
+            for name in names
+            for part in self._parts[name]
         ]
         return reduce(DataFrame.unionByName, tables)
 
@@ -338,13 +368,23 @@ def parse_directory(
     max_files: int | None = None,
     fail_fast: bool = False,
     dry_run: bool = False,
+    large_bytes: int = LARGE_BYTES,
 ) -> ParseReport:
-    """Parse the files below a directory that have a parsable type (in path order)."""
-    texts = read_texts(spark, root)
+    """Parse the files below a directory that have a parsable type (in path order).
+
+    Files over ``large_bytes`` are read as lines, all others as one row each.
+    """
+    texts = read_texts(spark, root, up_to_bytes=large_bytes)
     typed = texts.withColumn(
         "detected_type", detected_type(filename_of(F.col("file_id")), F.col("content"))
     )
-    types = settle(typed.select("file_id", "detected_type"), "types")
+    has_large = not list_files(spark, root).where(F.col("size_bytes") > large_bytes).isEmpty()
+    types = typed.select("file_id", "detected_type")
+    if has_large:
+        lines = read_lines(spark, root, over_bytes=large_bytes)
+        large_types = settle(types_of_lines(lines), "large-types")
+        types = types.unionByName(large_types)
+    types = settle(types, "types")
     marked = parsable_files(types, only_types, skip_types)
     chosen = marked.where("selected").drop("selected")
     # the choice depends on the type alone, so contents need no join and never move
@@ -353,7 +393,14 @@ def parse_directory(
         chosen = chosen.orderBy("file_id").limit(max_files)
         files = files.join(chosen.select("file_id"), "file_id", "left_semi")
     report = ParseReport(files_skipped=marked.where(~F.col("selected")).count())
-    return _parse(spark, chosen, files, store, report, fail_fast, dry_run)
+    parsed = Parsed(files)
+    if has_large:
+        # every line learns the type of its file. At most (all bytes / large_bytes) files
+        # are large, so the broadcast ids are some megabytes even for 100 TB
+        large = chosen.join(large_types.select("file_id"), "file_id", "left_semi")
+        typed_lines = lines.join(F.broadcast(large), "file_id")
+        parsed = Parsed(files, lines=typed_lines, weights=line_weights(spark, root))
+    return _parse(spark, chosen, parsed, store, report, fail_fast, dry_run)
 
 
 def parse_import(
@@ -379,13 +426,13 @@ def parse_import(
     # a stored list of ids: Spark knows its size, broadcasts it while it is small, and
     # moves the texts once by file id beyond that
     files = texts.join(chosen, "file_id")
-    return _parse(spark, chosen, files, store, ParseReport(), fail_fast, dry_run)
+    return _parse(spark, chosen, Parsed(files), store, ParseReport(), fail_fast, dry_run)
 
 
 def _parse(
     spark: SparkSession,
     chosen: DataFrame,
-    files: DataFrame,
+    parsed: Parsed,
     store: dict[str, DataFrame],
     report: ParseReport,
     fail_fast: bool,
@@ -397,7 +444,7 @@ def _parse(
         report.by_type = {r["detected_type"]: r["n"] for r in types if r["detected_type"] in PARSABLE}
         report.files_skipped += report.files_total - sum(report.by_type.values())
         return report
-    parsed = StoredParsed(Parsed(files), shared_folder(spark, "parsed"))
+    parsed = StoredParsed(parsed, shared_folder(spark, "parsed"))
     report.outcomes = outcome(chosen, parsed.metadata)
     if fail_fast:
         stop_on_failure(report.outcomes)

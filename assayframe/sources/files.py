@@ -6,9 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from assayframe.functions.filetypes import (
     EXTENSIONS,
+    MWTAB_MARKER,
+    TYPE_SCAN_LINES,
     detected_type,
     extension_of,
     filename_of,
@@ -117,23 +120,31 @@ def registry_rows(files: DataFrame, import_id: str, root: str | None = None) ->
     )
 
 
-def read_texts(spark: SparkSession, root: str) -> DataFrame:
-    """(file_id = path, content) for parsing, one row per file."""
+def read_texts(spark: SparkSession, root: str, up_to_bytes: int | None = None) -> DataFrame:
+    """(file_id = path, content) for parsing, one row per file.
+
+    With ``up_to_bytes`` larger files are left out; Spark drops them from the listing.
+    """
     raw = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
+    if up_to_bytes is not None:
+        raw = raw.where(F.col("_metadata.file_size") <= up_to_bytes)
     return raw.select(
         path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
         drop_bad_utf8(F.col("value")).alias("content"),
     )
 
 
-def read_lines(spark: SparkSession, root: str) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, over_bytes: int | None = None) -> DataFrame:
     """(file_id, no, text) of every line, for files too large for one row.
 
     ``no`` orders the lines of a file: first by the offset of their split, then by
     their place in it. It depends only on how Spark cuts the files, so every scan of
-    the same files in a session gives a line the same number.
+    the same files in a session gives a line the same number. With ``over_bytes`` only
+    larger files are read.
     """
     raw = spark.read.option("recursiveFileLookup", True).text(root)
+    if over_bytes is not None:
+        raw = raw.where(F.col("_metadata.file_size") > over_bytes)
     return raw.select(
         path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
         F.struct(
@@ -144,6 +155,18 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def types_of_lines(lines: DataFrame) -> DataFrame:
+    """(file_id, detected_type) from the first lines of each file."""
+    place = F.row_number().over(Window.partitionBy("file_id").orderBy("no"))
+    head = lines.withColumn("place", place).where(F.col("place") <= TYPE_SCAN_LINES)
+    marked = F.max(F.contains(F.upper("text"), F.lit(MWTAB_MARKER)))
+    found = head.groupBy("file_id").agg(marked.alias("marked"))
+    content = F.when(F.col("marked"), F.lit(MWTAB_MARKER))
+    return found.select(
+        "file_id", detected_type(filename_of(F.col("file_id")), content).alias("detected_type")
+    )
+
+
 def line_weights(spark: SparkSession, root: str) -> DataFrame:
     """(file_id, n) estimated from file sizes: finds the large files without reading them."""
     listed = list_files(spark, root)

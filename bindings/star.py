@@ -119,25 +119,30 @@ def qc_filtered_analysis(spark, sf_dir):
     return rows.groupBy("feature_uid").agg(F.count("*").alias("n"))
 
 
-REPORT = (
-    QC_WITH.rstrip()
-    + f""",
-c AS (SELECT {COUNTS} FROM m),
+def _report(rows: str = "true", samples: str = "true") -> str:
+    """Parts of the report over the chosen measurements and samples."""
+    return (
+        QC_WITH.rstrip()
+        + f""",
+r AS (SELECT * FROM m WHERE {rows}),
+c AS (SELECT {COUNTS} FROM r),
 d AS (SELECT count(*) AS dup FROM (
-      SELECT 1 FROM m GROUP BY sample_uid, feature_uid HAVING count(*) > 1)),
-os AS (SELECT count(DISTINCT sample_uid) AS n FROM m
+      SELECT 1 FROM r GROUP BY sample_uid, feature_uid HAVING count(*) > 1)),
+os AS (SELECT count(DISTINCT sample_uid) AS n FROM r
        WHERE sample_uid NOT IN (SELECT sample_uid FROM samples)),
-oft AS (SELECT count(DISTINCT feature_uid) AS n FROM m
+oft AS (SELECT count(DISTINCT feature_uid) AS n FROM r
        WHERE feature_uid NOT IN (SELECT feature_uid FROM features)),
-s AS (SELECT count(*) AS total, count(*) FILTER (WHERE factors_raw IS NULL) AS bare FROM samples)
+s AS (SELECT count(*) AS total, count(*) FILTER (WHERE factors_raw IS NULL) AS bare
+      FROM samples WHERE {samples})
 """
-)
+    )
 
 
-@bound(
-    "qc_report",
-    REPORT
-    + """
+REPORT = _report()
+OF_STUDY = f"study_pk IN (SELECT study_pk FROM studies WHERE study_id = '{STUDY}')"
+
+
+GRADES = """
 SELECT 'total_measurements' AS metric, total_measurements AS value,
        CASE WHEN total_measurements > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM c
 UNION ALL SELECT 'non_null_values', non_null_values, '' FROM c
@@ -156,13 +161,32 @@ UNION ALL SELECT 'orphan_sample_count', n, CASE WHEN n = 0 THEN 'OK' ELSE 'ISSUE
 UNION ALL SELECT 'orphan_feature_count', n, CASE WHEN n = 0 THEN 'OK' ELSE 'ISSUE' END FROM oft
 UNION ALL SELECT 'samples_total', total, '' FROM s
 UNION ALL SELECT 'samples_no_factors', bare,
-                 CASE WHEN bare * 100.0 / total > 50 THEN 'WARN' ELSE 'OK' END FROM s""",
-)
+                 CASE WHEN bare * 100.0 / total > 50 THEN 'WARN' ELSE 'OK' END FROM s"""
+
+
+@bound("qc_report", REPORT + GRADES)
 def qc_report(spark, sf_dir):
     t = load(spark, sf_dir, "samples", "features")
     return qc.graded(qc.summary(qc_rows(spark, sf_dir), t["samples"], t["features"]))
 
 
+@bound(
+    "qc_report_filtered",
+    _report(
+        f"sample_uid IN (SELECT sample_uid FROM samples WHERE {OF_STUDY}) "
+        f"AND feature_uid LIKE '{ANALYSIS}:%'",
+        OF_STUDY,
+    )
+    + GRADES,
+)
+def qc_report_filtered(spark, sf_dir):
+    t = load(spark, sf_dir, "samples", "features", "studies")
+    rows = qc_rows(spark, sf_dir)
+    return qc.graded(
+        qc.summary(rows, t["samples"], t["features"], t["studies"], STUDY, ANALYSIS)
+    )
+
+
 @bound(
     "qc_issues",
     REPORT

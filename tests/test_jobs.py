@@ -131,6 +131,20 @@ def test_parse_directory(spark, folder):
         parse.parse_directory(spark, root, store, fail_fast=True)
 
 
+def test_large_files_are_parsed_as_lines(spark, folder):
+    root, put = folder
+    put("large.txt", PLAIN.replace("ST000001", "ST9").replace("Lactate", "x\t1\t2\n" * 400 + "Lactate"))
+    put("large_res.txt", PLAIN * 20)
+    store = empty_store(spark)
+    results = []
+    for limit in (1000, parse.LARGE_BYTES):
+        done = parse.parse_directory(spark, root, store, large_bytes=limit)
+        rows = done.changes.updated_measurements.collect() + done.changes.samples.collect()
+        features = done.changes.new_features.select("feature_uid", "name_raw").collect()
+        results.append((done.files_total, done.files_success, sorted(map(str, rows + features))))
+    assert results[0] == results[1] and results[0][0] == 4
+
+
 def test_ingest_then_parse_import(spark, folder):
     """The whole way; a second run over the settled registry has nothing to do."""
     root, _ = folder
@@ -226,6 +240,21 @@ def test_export_count_is_export(spark):
         assert export.export_count(t, **filters).first().row_count == n
 
 
+def test_long_view_is_a_view(spark):
+    t = star_tables(spark)
+    t["measurements"] = t["measurements"].withColumn("measurement_id", F.lit("m"))
+    t["samples"] = t["samples"].withColumns({"exposure": F.lit("OB"), "sample_matrix": F.lit("Urine")})
+    t["files"] = t["files"].withColumn("filename", F.lit("x.txt"))
+    export.register_long_view(t)
+    found = spark.sql("SELECT exposure, device, count(*) n FROM v_long_measurements GROUP BY ALL")
+    assert {tuple(r) for r in found.collect()} == {
+        ("OB", None, 8),
+        ("OB", "GCMS", 8),
+        (None, None, 4),
+        (None, "GCMS", 4),
+    }
+
+
 def test_filter_becomes_inner_join_and_prunes(spark, tmp_path):
     t = star_tables(spark)
     for name, df in t.items():

@@ -241,7 +241,9 @@ def test_large_files_from_disk(spark, tmp_path):
         lines = read_lines(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 4
         weights = line_weights(spark, str(tmp_path))
-        got = mwtab_lines.LineMatrices(lines, mwtab.MS, weights, min_rows=100, salts=4).measurements
+        matrices = mwtab_lines.LineMatrices(lines, mwtab.MS, weights, min_rows=100, salts=4)
+        got = matrices.measurements
+        assert matrices.samples.count() == 4 and matrices.features.count() > 3000
         columns = ["file_id", "sample_uid", "feature_uid", "replicate_ix", "value"]
         a = [tuple(map(str, r)) for r in got.select(*columns).collect()]
     finally:
