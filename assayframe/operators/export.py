@@ -7,6 +7,8 @@ adaptive execution splits hot partitions of the measurement side.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,16 @@ def _spread_null(key: Column, by: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(by).cast("string")))
 
 
+# What each dimension needs to be joined.
+NEEDS = {
+    "files": (),
+    "samples": (),
+    "features": (),
+    "studies": ("samples",),
+    "analyses": ("features", "samples", "studies"),
+}
+
+
 def star(
     measurements: DataFrame,
     files: DataFrame,
@@ -31,28 +43,34 @@ def star(
     features: DataFrame,
     studies: DataFrame,
     analyses: DataFrame,
+    only: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The left-joined star; columns keep their table's prefix (m_, f_, s_, ft_, st_, a_)."""
+    """The left-joined star; columns keep their table's prefix (m_, f_, s_, ft_, st_, a_).
+
+    ``only`` names the dimensions that are used: as they are unique on their keys, the
+    left joins with the others change nothing. (Catalyst cannot know that.)
+    """
+    wanted = set(NEEDS if only is None else only)
+    wanted |= {needed for name in wanted for needed in NEEDS[name]}
 
     def prefixed(df: DataFrame, prefix: str) -> DataFrame:
         return df.select([F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
-    m = prefixed(measurements, "m")
-    f, s, ft = prefixed(files, "f"), prefixed(samples, "s"), prefixed(features, "ft")
-    st, a = prefixed(studies, "st"), prefixed(analyses, "a")
     c = F.col
     file_key = _spread_null(c("m_file_id"), c("m_sample_uid"))
-    return (
-        m.join(f, file_key == c("f_file_id"), "left")
-        .join(s, c("m_sample_uid") == c("s_sample_uid"), "left")
-        .join(ft, c("m_feature_uid") == c("ft_feature_uid"), "left")
-        .join(st, c("s_study_pk") == c("st_study_pk"), "left")
-        .join(
-            a,
-            (c("ft_analysis_id") == c("a_analysis_id")) & (c("a_study_pk") == c("st_study_pk")),
-            "left",
-        )
-    )
+    same_analysis = c("ft_analysis_id") == c("a_analysis_id")
+    joins = [
+        ("files", files, "f", file_key == c("f_file_id")),
+        ("samples", samples, "s", c("m_sample_uid") == c("s_sample_uid")),
+        ("features", features, "ft", c("m_feature_uid") == c("ft_feature_uid")),
+        ("studies", studies, "st", c("s_study_pk") == c("st_study_pk")),
+        ("analyses", analyses, "a", same_analysis & (c("a_study_pk") == c("st_study_pk"))),
+    ]
+    out = prefixed(measurements, "m")
+    for name, dim, prefix, on in joins:
+        if name in wanted:
+            out = out.join(prefixed(dim, prefix), on, "left")
+    return out
 
 
 def filtered(
@@ -83,39 +101,59 @@ def timestamp_text(ts: Column) -> Column:
     return F.concat(whole, F.when(part == ".000000", "").otherwise(part), F.lit("+00:00"))
 
 
-def export_columns(star_df: DataFrame) -> DataFrame:
-    """The export row: 20 columns."""
-    source = {
-        "sample_uid": "s_sample_uid",
-        "sample_label": "s_sample_label",
-        "feature_uid": "ft_feature_uid",
-        "feature_type": "ft_feature_type",
-        "feature_name": "ft_name_raw",
-        "refmet_name": "ft_refmet_name",
-        "value": "m_value",
-        "unit": "m_unit",
-        "col_index": "m_col_index",
-        "replicate_ix": "m_replicate_ix",
-        "study_id": "st_study_id",
-        "analysis_id": "a_analysis_id",
-        "created_at": "m_created_at",
-    }
+# Where the columns of an export row come from.
+SOURCES = {
+    "file_id": "f_file_id",
+    "path_rel": "f_path_rel",
+    "detected_type": "f_detected_type",
+    "device": "f_device",
+    "exposure": "f_exposure",
+    "sample_type": "f_sample_type",
+    "platform": "f_platform",
+    "sample_uid": "s_sample_uid",
+    "sample_label": "s_sample_label",
+    "feature_uid": "ft_feature_uid",
+    "feature_type": "ft_feature_type",
+    "feature_name": "ft_name_raw",
+    "refmet_name": "ft_refmet_name",
+    "value": "m_value",
+    "unit": "m_unit",
+    "col_index": "m_col_index",
+    "replicate_ix": "m_replicate_ix",
+    "study_id": "st_study_id",
+    "analysis_id": "a_analysis_id",
+    "created_at": "m_created_at",
+}
+DIMENSIONS = {"f": "files", "s": "samples", "ft": "features", "st": "studies", "a": "analyses"}
+FILTERED = {
+    "file_id": "files",
+    "import_id": "files",
+    "feature_type": "features",
+    "study_id": "studies",
+}
+
+
+def export_columns(star_df: DataFrame, columns: Iterable[str] = EXPORT_COLUMNS) -> DataFrame:
+    """Columns of the export row (all 20 when not told)."""
     shaped = {
         "col_index": lambda x: x.cast("double"),
         "replicate_ix": lambda x: x.cast("double"),
         "created_at": timestamp_text,
     }
     return star_df.select(
-        [
-            shaped.get(name, lambda x: x)(F.col(source.get(name, f"f_{name}"))).alias(name)
-            for name in EXPORT_COLUMNS
-        ]
+        [shaped.get(c, lambda x: x)(F.col(SOURCES[c])).alias(c) for c in columns]
     )
 
 
-def export_long(tables: dict[str, DataFrame], **filters: str | None) -> DataFrame:
-    """Filtered export rows, unordered."""
-    return export_columns(filtered(star(**tables), **filters))
+def export_long(
+    tables: dict[str, DataFrame], columns: Iterable[str] = EXPORT_COLUMNS, **filters: str | None
+) -> DataFrame:
+    """Filtered export rows, unordered. Dimensions that nothing asks for are not joined."""
+    columns = list(columns)
+    prefixes = {SOURCES[c].split("_", 1)[0] for c in columns}
+    only = {DIMENSIONS[p] for p in prefixes if p in DIMENSIONS}
+    only |= {FILTERED[name] for name, value in filters.items() if value}
+    return export_columns(filtered(star(**tables, only=only), **filters), columns)
 
 
 def in_export_order(exported: DataFrame) -> DataFrame:

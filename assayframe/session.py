@@ -17,6 +17,24 @@ SETTINGS = {
 }
 
 
+SHUFFLE_BYTES = 256 * 1024 * 1024  # what one shuffle partition should hold
+SCAN_BYTES = 256 * 1024 * 1024
+
+
+def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for an input of a given size on a given number of cores.
+
+    Shuffles start with enough partitions for all of the input; adaptive execution merges
+    what turns out small. Scans get at least three tasks per core.
+    """
+    partitions = max(3 * cores, -(-input_bytes // SHUFFLE_BYTES))
+    scan = min(SCAN_BYTES, max(1 << 22, input_bytes // (3 * cores)))
+    return SETTINGS | {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
 def local_session(cpus: int | str = 8, app: str = "assayframe") -> SparkSession:
     """Session for tests and the bench."""
     builder = (

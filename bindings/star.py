@@ -382,10 +382,9 @@ def latest_files(spark, sf_dir):
     + "WHERE f.exposure = 'CON' AND f.device = 'MS'",
 )
 def exported_ob(spark, sf_dir):
-    rows = export.export_long(load(spark, sf_dir))
-    return reports.exported_where(
-        rows, "sample_uid", "feature_name", "value", exposure="CON", device="MS"
-    )
+    columns = ["sample_uid", "feature_name", "value"]
+    rows = export.export_long(load(spark, sf_dir), [*columns, "exposure", "device"])
+    return reports.exported_where(rows, *columns, exposure="CON", device="MS")
 
 
 @bound(
@@ -395,5 +394,5 @@ def exported_ob(spark, sf_dir):
       FROM measurements m LEFT JOIN files f ON m.file_id = f.file_id GROUP BY 1""",
 )
 def type_means(spark, sf_dir):
-    rows = export.export_long(load(spark, sf_dir))
+    rows = export.export_long(load(spark, sf_dir), ["sample_type", "value"])
     return reports.means_by_sample_type(rows).withColumn("mean_value", F.round("mean_value", 4))

@@ -240,6 +240,28 @@ def test_export_count_is_export(spark):
         assert export.export_count(t, **filters).first().row_count == n
 
 
+def test_export_joins_what_is_asked_for(spark):
+    t = star_tables(spark)
+    whole = export.export_long(t)
+    for columns in (["value"], ["device", "value"], ["study_id"], ["analysis_id", "unit"]):
+        part = export.export_long(t, columns)
+        assert sorted(map(str, part.collect())) == sorted(map(str, whole.select(columns).collect()))
+    plan = export.export_long(t, ["value", "unit"])._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString()
+    plan = export.export_long(t, ["value"], study_id="ST1")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("Join") == 2
+
+
+def test_settings_follow_the_input():
+    from assayframe.session import settings_for
+
+    big = settings_for(100 * 10**12, 8000)
+    assert 350_000 < int(big["spark.sql.shuffle.partitions"]) < 400_000
+    small = settings_for(10**9, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert int(small["spark.sql.files.maxPartitionBytes"]) < 50_000_000
+
+
 def test_long_view_is_a_view(spark):
     t = star_tables(spark)
     t["measurements"] = t["measurements"].withColumn("measurement_id", F.lit("m"))
