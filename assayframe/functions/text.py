@@ -73,7 +73,9 @@ def first_lines(text: Column, n: int) -> Column:
 
 def drop_bad_utf8(raw: Column) -> Column:
     """Decode bytes as UTF-8, leaving out what cannot be decoded."""
-    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"), F.lit(""))
+    text = raw.cast("string")
+    repaired = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 
 def is_missing_cell(text: Column) -> Column:

@@ -92,9 +92,12 @@ def ingest_directory(
     extensions: Iterable[str] = EXTENSIONS,
     max_files: int | None = None,
     dry_run: bool = False,
+    row_bytes: int = source.ROW_BYTES,
 ) -> IngestReport:
     """Scan, fingerprint, compare. The caller appends ``added`` to its registry table.
 
+    Files over ``row_bytes`` are streamed through their hash instead of loaded.
+
     A single file is ingested by passing its path as ``root``. Only counts reach the
     driver.
     """
@@ -113,10 +116,14 @@ def ingest_directory(
     if max_files:  # the limit bounds the list of paths, and only those files are read
         first = source.choose_files(listed, extensions, max_files).select("path_abs")
         where = [r["path_abs"] for r in first.collect()]
-    chosen = source.choose_files(source.read_files(spark, where), extensions)
     # wanted by the caller but outside the fixed list: skipped, not registered
     allowed = is_allowed_extension(F.col("ext"))
-    prints = source.with_fingerprint(chosen.where(allowed))
+    loaded = source.choose_files(source.read_files(spark, where, row_bytes), extensions)
+    prints = source.with_fingerprint(loaded.where(allowed))
+    streamed = source.choose_files(source.list_files(spark, where), extensions)
+    streamed = streamed.where(allowed & (F.col("size_bytes") > row_bytes))
+    if not streamed.isEmpty():
+        prints = prints.unionByName(source.fingerprint_large(streamed))
     # contents are read and hashed once; all that follows uses the stored fingerprints
     candidates = settle(source.registry_rows(prints, import_id, root), "fingerprints")
     flagged = settle(compare_with_registry(candidates, registry), "compared")

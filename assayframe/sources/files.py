@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from assayframe.functions.filetypes import (
     EXTENSIONS,
+    HTML_SCAN_CHARS,
     MWTAB_MARKER,
     TYPE_SCAN_LINES,
     detected_type,
@@ -21,6 +24,10 @@ from assayframe.functions.keys import row_id
 from assayframe.functions.text import drop_bad_utf8
 
 
+STREAM_CHUNK = 8 * 1024 * 1024
+ROW_BYTES = 1 << 30  # files beyond this are not loaded into one row
+
+
 def plain_path(path: Column) -> Column:
     """Local files without their scheme; other file systems keep the full URI."""
     return F.regexp_replace(path, "^file:/+", "/")
@@ -51,16 +58,24 @@ def _empty_files(spark: SparkSession, scan: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """All regular files below ``root``; contents are not read."""
     return read_files(spark, root).drop("content")
 
 
-def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    """All regular files below ``root`` (or the listed ones) with their bytes in ``content``."""
+def read_files(
+    spark: SparkSession, root: str | list[str], up_to_bytes: int | None = None
+) -> DataFrame:
+    """All regular files below ``root`` (or the listed ones) with their bytes in ``content``.
+
+    With ``up_to_bytes`` larger files are left out and their bytes never loaded.
+    """
     scan = _scan(spark, root)
     columns = ["path", "length", "content"]
-    return _described(scan.select(*columns).unionByName(_empty_files(spark, scan)))
+    every = scan.select(*columns).unionByName(_empty_files(spark, scan))
+    if up_to_bytes is not None:
+        every = every.where(F.col("length") <= up_to_bytes)
+    return _described(every)
 
 
 def _described(raw: DataFrame) -> DataFrame:
@@ -104,6 +119,49 @@ def with_fingerprint(files: DataFrame) -> DataFrame:
     ).drop("content")
 
 
+def _stream_file(uri: str) -> tuple[str, str]:
+    """(SHA-256, head) of a file, read chunk by chunk.
+
+    The head holds what type detection looks at: its lines or, if longer, its characters.
+    """
+    filesystem, path = FileSystem.from_uri(uri)
+    digest, head, lines = hashlib.sha256(), [], 0
+    size = 0
+    with filesystem.open_input_stream(path) as stream:
+        while chunk := stream.read(STREAM_CHUNK):
+            digest.update(chunk)
+            if lines < TYPE_SCAN_LINES or size < 4 * HTML_SCAN_CHARS:
+                head.append(chunk)
+                size += len(chunk)
+                lines += chunk.count(b"\n") + chunk.count(b"\r")
+    return digest.hexdigest(), b"".join(head).decode("utf-8", errors="ignore")
+
+
+def fingerprint_large(listed: DataFrame) -> DataFrame:
+    """As ``with_fingerprint`` for a listing of files that do not fit into one row.
+
+    Every file is streamed by one task; no task holds more than a chunk and the head.
+    """
+
+    def hash_files(batches):
+        for batch in batches:
+            found = [_stream_file(uri) for uri in batch["uri"]]
+            batch["sha256"] = [f[0] for f in found]
+            batch["head"] = [f[1] for f in found]
+            yield batch.drop(columns="uri")
+
+    encoded = F.replace(F.url_encode("path_abs"), F.lit("+"), F.lit("%20"))
+    encoded = F.replace(encoded, F.lit("%2F"), F.lit("/"))
+    local = F.startswith("path_abs", F.lit("/"))
+    uri = F.when(local, F.concat(F.lit("file://"), encoded)).otherwise(F.col("path_abs"))
+    rows = listed.withColumn("uri", uri)
+    schema = "path_abs string, filename string, ext string, size_bytes long, sha256 string, head string"
+    tasks = listed.sparkSession.sparkContext.defaultParallelism
+    hashed = rows.repartition(tasks, "path_abs").mapInPandas(hash_files, schema)
+    kind = detected_type(F.col("filename"), F.col("head"))
+    return hashed.withColumn("detected_type", kind).drop("head")
+
+
 def registry_rows(files: DataFrame, import_id: str, root: str | None = None) -> DataFrame:
     """Registry candidates of fingerprinted files, not yet compared with what is stored."""
     return files.select(

@@ -83,6 +83,20 @@ def test_ingest_directory(spark, folder):
     assert [r.path_rel for r in again.added.collect()] == ["new.txt"]
 
 
+def test_large_files_are_streamed_through_their_hash(spark, folder):
+    root, put = folder
+    put("odd a%20b#c+é.csv", "odd")
+    columns = ["path_abs", "size_bytes", "sha256", "detected_type", "ext"]
+    results = [
+        sorted(map(tuple, report.added.select(*columns).collect()))
+        for report in (
+            ingest.ingest_directory(spark, root, "I", row_bytes=limit)
+            for limit in (source.ROW_BYTES, 100, 0)
+        )
+    ]
+    assert results[0] == results[1] == results[2] and len(results[0]) == 7
+
+
 def test_ingest_options(spark, folder):
     root, _ = folder
     only = ingest.ingest_directory(spark, root, "I", extensions=["TXT", "exe"])

@@ -72,6 +72,8 @@ def test_bad_utf8_is_dropped(spark):
 
     df = spark.createDataFrame([(bytearray(b"a\xffb\xc3\xa9"),)], "raw binary")
     assert df.select(text.drop_bad_utf8(F.col("raw"))).first()[0] == "abé"
+    kept = spark.createDataFrame([(bytearray("a\ufffdb".encode()),)], "raw binary")
+    assert kept.select(text.drop_bad_utf8(F.col("raw"))).first()[0] == "a\ufffdb"
 
 
 def test_factors(values):
