@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import mwtab, mwtab_lines
 from assayframe.plans import parse
+from assayframe.sources.tables import settle
 from bindings.core import bound, ctes, load, pick, table
 
 COLUMNS = 8
@@ -241,7 +242,7 @@ def mwtab_warnings(spark, sf_dir):
 
 
 def lines_of(spark, sf_dir) -> DataFrame:
-    """Three files of lines; a line's number follows its order key."""
+    """Three files of lines, stored; a line's number follows its order key."""
     items = table(spark, sf_dir, "lineitem", "l_orderkey")
     data = items.select(
         F.concat(F.lit("L"), "l_returnflag").alias("file_id"),
@@ -275,7 +276,7 @@ def lines_of(spark, sf_dir) -> DataFrame:
             )
         ),
     )
-    return data.unionByName(framed)
+    return settle(data.unionByName(framed), "lines")
 
 
 @bound(
