@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from assayframe.llm import piece_codec, prefix_counts
+from assayframe.llm import (
+    budget_mix,
+    external_shuffle,
+    lz_fingerprint,
+    piece_codec,
+    prefix_counts,
+    url_filter,
+)
 
 QUERIES = {
+    "op1_lz_fingerprint": lz_fingerprint.query,
     "op3_prefix_counts": prefix_counts.query,
+    "op4_budget_mix": budget_mix.query,
+    "op5_external_shuffle": external_shuffle.query,
     "op6_piece_codec": piece_codec.query,
+    "op9_url_filter": url_filter.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_url_filter": url_filter.SQL}
