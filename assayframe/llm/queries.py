@@ -5,7 +5,9 @@ from __future__ import annotations
 from assayframe.llm import (
     budget_mix,
     external_shuffle,
+    fertility,
     lz_fingerprint,
+    ordinal_quality,
     piece_codec,
     prefix_counts,
     url_filter,
@@ -17,6 +19,8 @@ QUERIES = {
     "op4_budget_mix": budget_mix.query,
     "op5_external_shuffle": external_shuffle.query,
     "op6_piece_codec": piece_codec.query,
+    "op7_fertility": fertility.query,
+    "op8_ordinal_quality": ordinal_quality.query,
     "op9_url_filter": url_filter.query,
 }
 
