@@ -17,7 +17,7 @@ from assayframe.sources.tables import settle
 
 PIECE_MODEL = "piece_bpe_32k.model"
 SLICE_CHARS = 2_000_000  # bytes of text that a task turns into Python objects at a time
-SPACE = "\x20\x09-\x0d"  # fixed values: what separates words, as a regular expression class
+SPACE = r"\x20\x09-\x0d"  # fixed value: what separates words, for a regular expression class
 
 #: Gets texts, returns a column of values for each field.
 TextFunction = Callable[[list], Sequence[pa.Array]]

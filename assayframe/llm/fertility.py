@@ -54,9 +54,9 @@ MEASURES = T.StructType(
 class Bands:
     """Half widths of the bands: deviations, least deviation, and more for short texts."""
 
-    deviations: float = 6.0
-    least_per_token: float = 0.05
-    least_entropy: float = 0.10
+    deviations: float = 4.5
+    least_per_token: float = 0.04
+    least_entropy: float = 0.08
     short_tokens: float = 60.0  # widens each band by this many units over the number of tokens
     most_bytes: float = 0.20  # byte share that is let through above the group's median
     least_docs: int = 50

@@ -33,7 +33,7 @@ PLACES = 1 << 24
 SAMPLE = 8_000
 MIN_DOCS = 6
 KEPT_WORDS = 400_000
-ROUNDS, RATE, DECAY = 200, 0.1, 2e-4
+ROUNDS, RATE, DECAY = 200, 0.1, 1e-3
 KEEP_TAIL = 0.25  # least probability of the best grade for a document to be kept
 _SIGNS = re.compile(r"[\w\s]+")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from assayframe.llm import (
     budget_mix,
+    chosen_path,
     external_shuffle,
     fertility,
     lz_fingerprint,
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_fertility": fertility.query,
     "op8_ordinal_quality": ordinal_quality.query,
     "op9_url_filter": url_filter.query,
+    "op10_chosen_path": chosen_path.query,
 }
 
 ORACLES: dict[str, str] = {"op9_url_filter": url_filter.SQL}
