@@ -10,12 +10,14 @@ from assayframe.llm import (
     lz_fingerprint,
     ordinal_quality,
     piece_codec,
+    pii_votes,
     prefix_counts,
     url_filter,
 )
 
 QUERIES = {
     "op1_lz_fingerprint": lz_fingerprint.query,
+    "op2_pii_votes": pii_votes.query,
     "op3_prefix_counts": prefix_counts.query,
     "op4_budget_mix": budget_mix.query,
     "op5_external_shuffle": external_shuffle.query,
