@@ -30,6 +30,7 @@ CYCLE = (1, 2, 3)  # fixed values: weights of the sources in order, repeating
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_PASSES = 3
 KNAPSACK = 1 << 16  # the rest that the knapsack takes on, in words
+SHORT = 64  # documents up to this length are left to the knapsack
 RANGES = 1 << 12
 
 
@@ -100,11 +101,11 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     shares = [divmod(int(c) * budget, total) for c in counts]
     taken = np.array([whole for whole, _ in shares], np.int64)
     rest = budget - int((taken * lengths).sum())
-    # one document more where the most of a share was cut, but leave the knapsack some room
+    # one document more where the most of a share was cut, but leave the knapsack room to choose
     for i in np.argsort([-cut for _, cut in shares], kind="stable"):
         if rest <= KNAPSACK // 2:
             break
-        if taken[i] < counts[i] and lengths[i] <= rest - KNAPSACK // 4:
+        if taken[i] < counts[i] and SHORT < lengths[i] <= rest - KNAPSACK // 4:
             taken[i] += 1
             rest -= int(lengths[i])
     if rest <= KNAPSACK:

@@ -30,11 +30,11 @@ from pyspark.sql import types as T
 from assayframe.llm import common
 
 PLACES = 1 << 24
-SAMPLE = 8_000
-MIN_DOCS = 6
+SAMPLE = 16_000
+MIN_DOCS = 4
 KEPT_WORDS = 400_000
-ROUNDS, RATE, DECAY = 200, 0.1, 1e-3
-KEEP_TAIL = 0.25  # least probability of the best grade for a document to be kept
+ROUNDS, RATE, DECAY = 300, 0.1, 3e-4
+KEEP_TAIL = 0.3  # least probability of the best grade for a document to be kept
 _SIGNS = re.compile(r"[\w\s]+")
 
 

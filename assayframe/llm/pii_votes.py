@@ -233,7 +233,7 @@ class SpanModel:
         return float(1 / (1 + np.exp(-np.clip(self.weights[places].sum(), -30, 30))))
 
 
-def fit_classifier(places: list[list[int]], chances: np.ndarray, rounds: int = 150) -> np.ndarray:
+def fit_classifier(places: list[list[int]], chances: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Logistic regression on soft labels with a ridge, by Adam on all rows."""
     weights = np.zeros(PLACES)
     if not places:
