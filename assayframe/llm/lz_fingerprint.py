@@ -167,12 +167,10 @@ def blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
     """doc_id, text, _block, _more: consecutive ids by block, and after them (_more) the row that
     follows the block's last one. Blocks are cut at quantiles of the ids, which are ids themselves,
     so a block's first id is its cut. The driver holds the cuts only."""
-    shares = [i / blocks for i in range(1, blocks)] or [0.5]
-    found = docs.agg(
-        F.min("doc_id").alias("first"),
-        F.percentile_approx("doc_id", shares, 20 * blocks).alias("cuts"),
-    ).first()
-    cuts = sorted({found["first"], *(found["cuts"] or [])} - {None})
+    shares = [i / blocks for i in range(blocks)]
+    quantiles = F.percentile_approx("doc_id", shares, 20 * blocks)
+    found = docs.agg(F.min("doc_id"), quantiles).first()
+    cuts = sorted({found[0], *(found[1] or [])[1:]} - {None})
     bounds = F.array(*map(F.lit, cuts)).cast("array<bigint>")
     last = F.lit(max(0, len(cuts) - 1))
     own = F.when(F.col("doc_id").isNull(), last).otherwise(
@@ -214,12 +212,13 @@ def _pairs(rows: Iterator[tuple]) -> Iterator[tuple]:
     first = held = None
     for row in rows:
         if held is not None and held[2] != row[2]:
-            yield held[0], held[1], first[1], True
+            if not held[3]:
+                yield held[0], held[1], first[1], True
             held = None
-        if held is not None and not held[3]:
-            yield held[0], held[1], row[1], row[3]
         if held is None:
             first = row
+        elif not held[3]:
+            yield held[0], held[1], row[1], row[3]
         held = row
     if held is not None and not held[3]:
         yield held[0], held[1], first[1], True
