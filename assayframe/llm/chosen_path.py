@@ -559,12 +559,16 @@ def first_of_each(docs: DataFrame) -> DataFrame:
         first.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(),
         "firsts",
     )
-    hashed = docs.withColumn("_hash_", F.xxhash64("text"))
-    kept = hashed.join(
-        keys, (F.col("_hash_") == F.col("_hash")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    ).drop("_hash")
-    once = F.row_number().over(Window.partitionBy("_hash_", "_id").orderBy(F.lit(0)))
-    firsts = kept.withColumn("_once", once).where("_once = 1").select(*docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("payload"),
+        F.col("doc_id").cast("long").alias("own_id"),
+        F.xxhash64("text").alias("own_hash"),
+    )
+    kept = rows.join(
+        keys, (F.col("own_hash") == F.col("_hash")) & F.col("own_id").eqNullSafe(F.col("_id"))
+    )
+    once = F.row_number().over(Window.partitionBy("own_hash", "own_id").orderBy(F.lit(0)))
+    firsts = kept.withColumn("once", once).where("once = 1").select("payload.*")
     wordless = docs.where(~F.coalesce("text", F.lit("")).rlike(f"[^{common.SPACE}]"))
     return firsts.unionByName(wordless)
 

@@ -7,8 +7,8 @@ every group and octave of length. A group is the language where it is a known on
 that most letters have.
 
 Bands come from all documents: the median of the distinct measurements, so that copies count once,
-and so many robust deviations around it. A group and octave with few documents has no band and
-rejects nothing. Plain counts of words, symbols and repeats come with the figures.
+and so many robust deviations around it. An octave with few documents has the bands of its whole
+group, but for entropy, which grows with length; a group with few documents rejects nothing. Plain counts of words, symbols and repeats come with the figures.
 
 A null text is an empty one: it has no words and fails the base rule. A null language is an
 unknown one. Repeated rows are each judged. An empty table gives an empty result.
@@ -171,30 +171,29 @@ def octave_of(n_tokens: Column) -> Column:
     return F.floor(F.log2(F.greatest(n_tokens, F.lit(1)))).cast("int")
 
 
-def bands_of(measures: DataFrame, bands: Bands) -> DataFrame:
-    """low and high of every figure for each group and octave of (group, octave, figures).
+def bands_of(measures: DataFrame, keys: list[str], bands: Bands) -> DataFrame:
+    """A struct ``band`` of limits of every figure for each of the keys, group or group and octave.
 
     At most as many rows as there are groups times octaves, both fixed.
     """
     figures = ["per_token", "byte_share", "entropy"]
-    once = measures.where("n_tokens > 0").dropDuplicates(["group", "octave", "n_tokens", *figures])
+    once = measures.where("n_tokens > 0").dropDuplicates([*keys, "n_tokens", *figures])
     quarters = [F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f) for f in figures]
-    stats = once.groupBy("group", "octave").agg(F.count("*").alias("n"), *quarters)
+    stats = once.groupBy(*keys).agg(F.count("*").alias("n"), *quarters)
 
     def half(figure: str, least: float) -> Column:
         spread = (F.col(figure)[2] - F.col(figure)[0]) / 1.349
         return bands.deviations * F.greatest(spread, F.lit(least))
 
-    wide = half("per_token", bands.least_per_token)
-    return stats.where(F.col("n") >= bands.least_docs).select(
-        "group",
-        "octave",
-        (F.col("per_token")[1] - wide).alias("low_per_token"),
-        (F.col("per_token")[1] + wide).alias("high_per_token"),
+    chars, entropy = half("per_token", bands.least_per_token), half("entropy", bands.least_entropy)
+    limits = F.struct(
+        (F.col("per_token")[1] - chars).alias("low_per_token"),
+        (F.col("per_token")[1] + chars).alias("high_per_token"),
         (F.col("byte_share")[1] + bands.most_bytes).alias("high_bytes"),
-        (F.col("entropy")[1] - half("entropy", bands.least_entropy)).alias("low_entropy"),
-        (F.col("entropy")[1] + half("entropy", bands.least_entropy)).alias("high_entropy"),
+        (F.col("entropy")[1] - entropy).alias("low_entropy"),
+        (F.col("entropy")[1] + entropy).alias("high_entropy"),
     )
+    return stats.where(F.col("n") >= bands.least_docs).select(*keys, limits.alias("band"))
 
 
 def judged(docs: DataFrame, payload: list[str], bands: Bands | None = None) -> DataFrame:
@@ -211,17 +210,21 @@ def judged(docs: DataFrame, payload: list[str], bands: Bands | None = None) -> D
         octave_of(F.col("m.n_tokens")).alias("octave"),
     )
     found = common.settled(found, "measures")
-    limits = bands_of(found.select("group", "octave", "m.*"), bands)
-    m = F.col("m")
+    figures = found.select("group", "octave", "m.*")
+    # one row for each known group and octave, see bands_of
+    by_octave = F.broadcast(bands_of(figures, ["group", "octave"], bands))
+    by_group = F.broadcast(bands_of(figures, ["group"], bands).withColumnRenamed("band", "wide"))
+    banded = found.join(by_octave, ["group", "octave"], "left").join(by_group, "group", "left")
+    m, own = F.col("m"), F.coalesce("band", "wide")
     more = bands.short_tokens / F.greatest(m["n_tokens"], F.lit(1))
+    entropy = m["entropy"].between(F.col("band.low_entropy") - more, F.col("band.high_entropy") + more)
     inside = (
-        m["per_token"].between(F.col("low_per_token") - more, F.col("high_per_token") + more)
-        & m["entropy"].between(F.col("low_entropy") - more, F.col("high_entropy") + more)
-        & (m["byte_share"] <= F.col("high_bytes") + more / 10)
+        m["per_token"].between(own["low_per_token"] - more, own["high_per_token"] + more)
+        & F.coalesce(entropy, F.lit(True))
+        & (m["byte_share"] <= own["high_bytes"] + more / 10)
     )
     failed = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
-    # one row for each known group and octave, see bands_of
-    return found.join(F.broadcast(limits), ["group", "octave"], "left").select(
+    return banded.select(
         "payload",
         "m",
         failed.alias("base_failed"),
