@@ -51,6 +51,7 @@ TASK_SETS = 20_000
 LEAF_SETS = 64
 DEEPEST = 64
 BLOCK_SETS, BLOCK_GRAMS = 2_000, 2_000_000
+BROADCAST_SETS = 1_000_000  # members of candidate components, at 48 bytes each
 KEPT_WORDS = 400_000
 #: Fixed value: an odd multiplier of public 64-bit mixers.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -461,6 +462,8 @@ def exact_classes(docs: DataFrame, members: DataFrame) -> DataFrame:
     )
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     one = placed.withColumnRenamed("doc_id", "of")
+    if members.count() <= BROADCAST_SETS:  # else the texts meet the members in a shuffle
+        one = F.broadcast(one)
     matched = texts.join(
         one, (texts.text_hash == one.text_hash) & texts.doc_id.eqNullSafe(one["of"])
     ).drop("of", "doc_id", "text_hash")
