@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,22 +107,28 @@ class OrdinalModel:
 
 
 def fit(places: list[np.ndarray], grades: np.ndarray, n_grades: int = 3) -> OrdinalModel:
+    """The model of documents with the given feature places and grades."""
+    sizes = np.array([len(p) for p in places], np.int64)
+    flat = np.concatenate([*places, np.zeros(0, np.int64)])
+    return fit_flat(flat, sizes, grades, n_grades)
+
+
+def fit_flat(
+    flat: np.ndarray, sizes: np.ndarray, grades: np.ndarray, n_grades: int = 3
+) -> OrdinalModel:
     """Maximum likelihood of the cumulative logits with a ridge, by Adam on all rows.
 
-    Thresholds are the first and positive steps from it, so they stay in order.
+    ``flat`` has the places of one document after the other, ``sizes`` of them each. Thresholds
+    are the first and positive steps from it, so they stay in order.
     """
     if not len(grades):
         none = np.zeros(0)
         return OrdinalModel(none.astype(np.int64), none, np.full(n_grades - 1, -5.0))
-    used, counts = np.unique(np.concatenate(places), return_counts=True)
+    used, counts = np.unique(flat, return_counts=True)
     used = used[counts >= MIN_DOCS]
-    flat = np.concatenate(places)
-    rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    at = np.searchsorted(used, flat)
-    inside = np.zeros(len(flat), bool)
-    ok = at < len(used)
-    inside[ok] = used[at[ok]] == flat[ok]
-    rows, at = rows[inside], at[inside]
+    inside = np.isin(flat, used)
+    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[inside]
+    at = np.searchsorted(used, flat[inside]).astype(np.int32)
     n, d = len(grades), len(used)
     value = np.zeros(d + n_grades - 1)
     share = np.array([np.clip(np.mean(grades >= k), 0.01, 0.99) for k in range(1, n_grades)])
@@ -178,9 +185,13 @@ def training_rows(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) ->
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalModel:
-    found = training_rows(docs, ratings, sample).toPandas().sort_values("doc_id")
-    places = [np.asarray(p, np.int64) for p in found["places"]]
-    return fit(places, found["grade"].to_numpy(np.int64))
+    found = training_rows(docs, ratings, sample).toArrow().sort_by("doc_id").combine_chunks()
+    places = found["places"].combine_chunks() if found.num_rows else None
+    if places is None:
+        return fit([], np.zeros(0, np.int64))
+    flat = places.flatten().to_numpy(zero_copy_only=False)
+    sizes = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+    return fit_flat(flat, sizes, found["grade"].to_numpy().astype(np.int64))
 
 
 def scored(docs: DataFrame, model: OrdinalModel, name: str) -> DataFrame:
