@@ -52,7 +52,7 @@ LEAF_SETS = 64
 DEEPEST = 64
 BLOCK_SETS, BLOCK_GRAMS = 2_000, 2_000_000
 BROADCAST_SETS = 1_000_000  # members of candidate components, at 48 bytes each
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: Fixed value: an odd multiplier of public 64-bit mixers.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from assayframe.sources.tables import settle
 
 PIECE_MODEL = "piece_bpe_32k.model"
-SLICE_CHARS = 2_000_000  # bytes of text that a task turns into Python objects at a time
+SLICE_CHARS = 1_000_000  # bytes of text that a task turns into Python objects at a time
 SPACE = r"\x20\x09-\x0d"  # fixed value: what separates words, for a regular expression class
 
 #: Gets texts, returns a column of values for each field.

@@ -92,16 +92,36 @@ def decode(
     return out.withColumn(text, F.col(made)).drop(made)
 
 
+CODED = T.StructType([*IDS.fields, T.StructField("decoded", T.StringType())])
+
+
+def _coder(model_file: str):
+    encoder = _encoder(model_file, True)
+
+    def code(texts: list) -> list[pa.Array]:
+        (ids,) = encoder(texts)
+        counts = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+        flat = ids.values.to_numpy(zero_copy_only=False)
+        return [ids, pa.array(decode_ids(flat, counts, model_file), pa.string())]
+
+    return code
+
+
+def round_trip(docs: DataFrame, name: str = "coded", model_file: str | None = None) -> DataFrame:
+    """``docs`` (text) with a struct ``name`` of each text's ids, with the end id, and of what they
+    decode to: ``encode`` and ``decode`` in one task, which spares a second Python worker."""
+    path = model_file or common.model_path()
+    return common.map_texts(docs, partial(_coder, path), CODED, name)
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of documents (doc_id, text)."""
-    coded = decode(encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
-    return coded.select(
+    ids = F.col("coded.ids")
+    return round_trip(docs.select("doc_id", "text")).select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        common.hex_digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias(
-            "ids_sha256"
-        ),
-        common.hex_digest("decoded").alias("decoded_sha256"),
+        F.size(ids).cast("long").alias("n_tokens"),
+        common.hex_digest(F.array_join(ids.cast("array<string>"), " ")).alias("ids_sha256"),
+        common.hex_digest("coded.decoded").alias("decoded_sha256"),
     )
 
 

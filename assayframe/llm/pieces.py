@@ -18,7 +18,7 @@ from assayframe.llm.common import processor
 MARK = "▁"
 _RUN = re.compile(" +[^ ]*")
 KEPT_LENGTH = 48  # longer words are rare; they are worked out anew each time
-KEPT_WORDS = 400_000  # a full table is dropped and starts again, which changes no result
+KEPT_WORDS = 200_000  # a full table is dropped and starts again, which changes no result
 
 
 def marked_words(text: str) -> list[str]:
