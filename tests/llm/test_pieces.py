@@ -96,6 +96,18 @@ def test_edge_rows(edge_docs, no_docs, sp):
     assert prefix_counts.token_counts(no_docs).count() == 0
 
 
+def test_encode_and_decode_as_operators(edge_docs, sp):
+    coded = piece_codec.decode(piece_codec.encode(edge_docs))
+    assert coded.columns == [*edge_docs.columns, "decoded"]  # the column ids is replaced
+    for r in coded.collect():
+        assert r["ids"] == sp.encode(r["text"] or "") + [sp.eos_id()]
+        assert r["decoded"] == sp.decode(r["ids"])
+    bare = piece_codec.encode(edge_docs, end=False, ids="own").select("text", "own").collect()
+    assert all(r["own"] == sp.encode(r["text"] or "") for r in bare)
+    none = coded.selectExpr("doc_id", "cast(null AS array<int>) AS ids")
+    assert {r["decoded"] for r in piece_codec.decode(none).collect()} == {""}
+
+
 def test_queries_against_the_library(spark, sf_dir, given, sp):
     for r in piece_codec.query(spark, sf_dir).collect():
         ids = sp.encode(given[r["doc_id"]]["text"]) + [sp.eos_id()]
