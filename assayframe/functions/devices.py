@@ -34,7 +34,6 @@ NMR_PATTERNS = (
     r"\b13C[-_\s]?NMR\b",
 )
 CONTENT_TYPES = ("mwtab", "mwtab_ms", "text/plain")
-CONTENT_SCAN_CHARS = 32 * 1024
 
 EXPOSURE_KEYS = (
     "group",
@@ -128,9 +127,9 @@ TEXT_MATRIX = (
 # --- end of fixed values ---
 
 
-def device_from_content(content: Column) -> Column:
-    """Device named in the head of a file's text (the head length is part of the rule)."""
-    head = F.lower(F.substring(content, 1, CONTENT_SCAN_CHARS))
+def device_from_content(content: Column, max_chars: int | None = None) -> Column:
+    """Device named in a file's text, or in its first ``max_chars`` characters."""
+    head = F.lower(F.substring(content, 1, max_chars) if max_chars else content)
     return first_class(
         [
             ("NMR", matches_any(head, NMR_PATTERNS)),
@@ -142,7 +141,11 @@ def device_from_content(content: Column) -> Column:
 
 
 def device_of_file(
-    path_abs: Column, filename: Column, detected_type: Column, content: Column
+    path_abs: Column,
+    filename: Column,
+    detected_type: Column,
+    content: Column,
+    max_chars: int | None = None,
 ) -> Column:
     """Type, then path, then content, then path again. NULL content means unreadable."""
     kind = F.lower(F.coalesce(detected_type, F.lit("")))
@@ -152,7 +155,7 @@ def device_of_file(
     by_name = F.when(
         F.contains(kind, F.lit("nmr")) | matches_any(path, NMR_PATTERNS), F.lit("NMR")
     )
-    by_content = F.when(detected_type.isin(*CONTENT_TYPES), device_from_content(content))
+    by_content = F.when(detected_type.isin(*CONTENT_TYPES), device_from_content(content, max_chars))
     by_path = first_class(
         [
             ("GCMS", matches_any(path, GCMS_PATTERNS)),

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 from assayframe.functions.rules import first_class
 from assayframe.functions.text import first_lines
 
-# --- Fixed values: extensions, markers and how far detection looks. ---
+# --- Fixed values: extensions and markers. ---
 
 EXTENSIONS = (".txt", ".htm", ".html", ".csv", ".tsv", ".xlsx", ".xlsm", ".zip", ".pdf")
 MWTAB_MARKER = "#METABOLOMICS WORKBENCH"
-TYPE_SCAN_LINES = 50
-MWTAB_SCAN_LINES = 10
-HTML_SCAN_CHARS = 50_000
 HTML_MARKER = "metabolite_name"
 RESULTS_MARKER = "_res.txt"
 BINNED_MARKER = "normalized binned data"
@@ -41,16 +38,24 @@ def is_allowed_extension(extension: Column, extensions: Iterable[str] = EXTENSIO
     return F.lower(extension).isin(*normalize_extensions(extensions))
 
 
-def has_mwtab_marker(content: Column, max_lines: int = MWTAB_SCAN_LINES) -> Column:
-    """Marker in one of the first lines. Unreadable (NULL) content counts as no."""
-    head = F.upper(first_lines(content, max_lines))
+def has_mwtab_marker(content: Column, max_lines: int | None = None) -> Column:
+    """Marker in one of the lines, or of the first ``max_lines``. Unreadable (NULL) content
+    counts as no."""
+    head = F.upper(first_lines(content, max_lines) if max_lines else content)
     return F.coalesce(F.contains(head, F.lit(MWTAB_MARKER)), F.lit(False))
 
 
-def detected_type(filename: Column, content: Column) -> Column:
+def detected_type(
+    filename: Column,
+    content: Column,
+    max_lines: int | None = None,
+    max_chars: int | None = None,
+) -> Column:
+    """Type by name and whole text. A caller may have only the first lines (plain text) or
+    characters (HTML) looked at."""
     name = F.lower(filename)
     ext = extension_of(filename)
-    html_head = F.lower(F.substring(content, 1, HTML_SCAN_CHARS))
+    html_head = F.lower(F.substring(content, 1, max_chars) if max_chars else content)
     known = first_class(
         [
             ("results_txt", F.contains(name, F.lit(RESULTS_MARKER))),
@@ -58,7 +63,7 @@ def detected_type(filename: Column, content: Column) -> Column:
                 "nmr_binned_xlsx",
                 ext.isin(".xlsx", ".xlsm") & F.contains(name, F.lit(BINNED_MARKER)),
             ),
-            ("mwtab", (ext == ".txt") & has_mwtab_marker(content, TYPE_SCAN_LINES)),
+            ("mwtab", (ext == ".txt") & has_mwtab_marker(content, max_lines)),
             (
                 "metabo_table_html",
                 ext.isin(".htm", ".html") & F.contains(html_head, F.lit(HTML_MARKER)),

@@ -228,10 +228,10 @@ TYPE_SQL = """CASE WHEN contains(lower(filename), '_res.txt') THEN 'results_txt'
        AND contains(lower(filename), 'normalized binned data') THEN 'nmr_binned_xlsx'
   WHEN lower(filename) LIKE '%.txt' AND len(list_filter(
        string_split(replace(replace(content, chr(13) || chr(10), chr(10)), chr(13), chr(10)),
-                    chr(10))[1:50],
+                    chr(10)),
        lambda l: contains(upper(l), '#METABOLOMICS WORKBENCH'))) > 0 THEN 'mwtab'
   WHEN regexp_matches(lower(filename), '[.]html?$')
-       AND contains(lower(substr(content, 1, 50000)), 'metabolite_name') THEN 'metabo_table_html'
+       AND contains(lower(content), 'metabolite_name') THEN 'metabo_table_html'
   ELSE 'unknown' END"""
 
 
@@ -255,7 +255,7 @@ def detect_types(spark, sf_dir):
     "mwtab_marker",
     f"""SELECT doc_id, len(list_filter(
        string_split(replace(replace(content, chr(13) || chr(10), chr(10)), chr(13), chr(10)),
-                    chr(10))[1:10],
+                    chr(10)),
        lambda l: contains(upper(l), '#METABOLOMICS WORKBENCH'))) > 0 AS is_mwtab
     FROM ({NAMED.sql()})""",
 )

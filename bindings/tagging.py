@@ -39,15 +39,21 @@ def _platform_sql() -> str:
     hits = ", ".join(
         f"CASE WHEN {rx(pattern)} THEN '{name}' END"
         for pattern, name in [
-            (r"\bESI[-_\s]?pos(itive)?\b|\bpositive[-_\s]?mode\b|\b[+]ESI\b", "ESI_pos"),
-            (r"\bESI[-_\s]?neg(ative)?\b|\bnegative[-_\s]?mode\b|\b-ESI\b", "ESI_neg"),
+            (r"\bESI[-_\s]?pos(itive)?\b", "ESI_pos"),
+            (r"\bESI[-_\s]?neg(ative)?\b", "ESI_neg"),
+            (r"\bpositive[-_\s]?mode\b", "ESI_pos"),
+            (r"\bnegative[-_\s]?mode\b", "ESI_neg"),
+            (r"\b[+]ESI\b", "ESI_pos"),
+            (r"\b-ESI\b", "ESI_neg"),
             (r"\bAPCI[-_\s]?pos\b", "APCI_pos"),
             (r"\bAPCI[-_\s]?neg\b", "APCI_neg"),
             (r"\bHILIC\b", "HILIC"),
             (r"\bRP\b", "RP"),
             (r"\bC18\b", "C18"),
             (r"\bC8\b", "C8"),
-            (r"\bQQQ\b|\btriple[-_\s]?quad\b", "QQQ"),
+            (r"\bQQQ\b", "QQQ"),
+            (r"\btriple[-_\s]?quad\b", "QQQ"),
+            (r"\bQTOF\b", "QTOF"),
             (r"\bQ[-_]?TOF\b", "QTOF"),
             (r"\bOrbitrap\b", "Orbitrap"),
             (r"\bTripleTOF\b", "TripleTOF"),
@@ -57,9 +63,9 @@ def _platform_sql() -> str:
             (r"\bHPLC\b", "HPLC"),
         ]
     )
-    return (
-        f"nullif(array_to_string(list_filter([{hits}], lambda x: x IS NOT NULL)[1:3], '_'), '')"
-    )
+    # a name that several rules give has the place of the first of them
+    first = f"list_filter([{hits}], lambda x, i: x IS NOT NULL AND list_position([{hits}], x) = i)"
+    return f"nullif(array_to_string({first}[1:3], '_'), '')"
 
 
 PLATFORM_SQL = _platform_sql()
@@ -300,7 +306,7 @@ DERIVED_DEVICE = ctes(
     + f"""lower('/data/' || {SEG_EXPOSURE} || '/' || {SEG_DEVICE} || ' run' || doc_id) AS txt,
     CASE doc_id % 4 WHEN 0 THEN 'mwtab' WHEN 1 THEN 'mwtab_ms' WHEN 2 THEN 'x_NMR' ELSE 'other' END AS kind,
     CASE WHEN doc_id % 9 = 0 THEN 'LCMS' END AS old,
-    lower(substr({DEVICE_TEXT}, 1, 32768)) AS head FROM documents""",
+    lower({DEVICE_TEXT}) AS head FROM documents""",
     d=f"""SELECT *, CASE WHEN contains(lower(kind), 'nmr') OR
       {rx(r"\bNMR\b|\bnuclear\s+magnetic\s+resonance\b|\b1H[-_\s]?NMR\b|\b13C[-_\s]?NMR\b")} THEN 'NMR' END AS by_name,
       CASE WHEN kind IN ('mwtab', 'mwtab_ms') THEN CASE
