@@ -78,6 +78,11 @@ def drop_bad_utf8(raw: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 
+def without_mark(text: Column) -> Column:
+    """The text without a byte-order mark at its beginning."""
+    return F.when(F.startswith(text, F.lit("\ufeff")), F.substring(text, 2, 1 << 30)).otherwise(text)
+
+
 def is_missing_cell(text: Column) -> Column:
     return text.isNull() | F.upper(strip(text)).isin(*MISSING_CELLS)
 

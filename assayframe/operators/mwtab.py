@@ -28,6 +28,7 @@ from assayframe.functions.text import (
     unix_newlines,
 )
 from assayframe.schemas import FEATURE_METABOLITE, FEATURE_NMR_BIN
+from assayframe.sources.tables import settle
 
 # --- Fixed values: markers and column names of the format. ---
 
@@ -419,8 +420,12 @@ def parsed_header(
     return let(F.split(header, "\t"), with_cells)
 
 
-def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
-    """Data blocks that have a header, one row each, with their data lines in ``rows``."""
+def blocks(struct: DataFrame, layout: Layout, every_file: bool = False) -> DataFrame:
+    """Data blocks that have a header, one row each, with their data lines in ``rows``.
+
+    With ``every_file`` blocks without a header and files without a block have a row too, and
+    ``block_no`` tells the blocks of a file apart (0 or NULL: the file's first row).
+    """
 
     def inside(span: Column) -> Column:
         numbered = F.transform(
@@ -447,7 +452,7 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
             "last_start": last_span["after"],
             "known_labels": F.when(F.size("spans") > 1, let(last_span, replaced_labels)),
         }
-    ).select("*", F.explode("spans").alias("span"))
+    ).select("*", F.posexplode_outer("spans").alias("block_no", "span"))
 
     def split_header(lines: Column) -> Column:
         candidates = F.filter(lines, lambda x: is_header(x["text"], layout))
@@ -469,8 +474,12 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         "factor_lines",
         F.when(F.col("span.after") != F.col("last_start"), F.col("known_labels")).alias("known_labels"),
         (F.col("span.after") == F.col("last_start")).alias("last_block"),
+        "block_no",
         F.explode(F.array(let(inside(F.col("span")), split_header))).alias("block"),
-    ).where(F.col("block.header").isNotNull())
+    )
+    if not every_file:
+        found = found.where(F.col("block.header").isNotNull())
+    extra = ["block_no", F.col("block.header").isNotNull().alias("has_header")]
     return found.select(
         "file_id",
         "study_id",
@@ -480,6 +489,7 @@ def blocks(struct: DataFrame, layout: Layout) -> DataFrame:
         "unit",
         "factor_lines",
         "last_block",
+        *(extra if every_file else []),
         F.explode(
             F.array(
                 parsed_header(
@@ -599,9 +609,41 @@ class Matrices:
     def features(self) -> DataFrame:
         return features_of(self.named, self.layout)
 
+    @cached_property
+    def marked(self) -> DataFrame:
+        """Measurements and ``unreadable``: the text of a cell that is no number, else NULL."""
+        return marked_cells(self.cells)
+
+    @cached_property
+    def line_warnings(self) -> DataFrame:
+        factors = self.usable.select("file_id", F.explode("factor_lines").alias("f"))
+        return warnings_of_lines(factors, self.rows)
+
     @cached_property
     def warnings(self) -> DataFrame:
-        return warnings_of(self.usable, self.rows, self.cells, self.layout)
+        found = warnings_of_cells(self.marked)
+        return found if self.layout.strict else found.unionByName(self.line_warnings)
+
+
+class StoredMatrices(Matrices):
+    """``Matrices`` whose texts were read once: structure and blocks come from one written table."""
+
+    def __init__(self, parsed: Matrices, purpose: str = "blocks"):
+        super().__init__(parsed.files, parsed.layout, parsed.need_ids)
+        self._table = settle(blocks(parsed.structure, parsed.layout, every_file=True), purpose)
+
+    @cached_property
+    def structure(self) -> DataFrame:
+        first = F.col("block_no").isNull() | (F.col("block_no") == 0)
+        columns = ["file_id", "study_id", "analysis_id", "unit", "factor_lines"]
+        return self._table.where(first).select(*columns)
+
+    @cached_property
+    def blocks(self) -> DataFrame:
+        found = self._table.where("has_header")
+        if self.need_ids:
+            found = found.where("study_id IS NOT NULL AND analysis_id IS NOT NULL")
+        return found.drop("block_no", "has_header")
 
 
 def with_reject_reason(struct: DataFrame) -> DataFrame:
@@ -702,20 +744,26 @@ def features_of(named: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def warnings_of(
-    struct: DataFrame, rows: DataFrame, cells: DataFrame, layout: Layout
-) -> DataFrame:
-    """(file_id, line_no, kind, text) of everything that was skipped or unreadable."""
-    out = ["file_id", "line_no", "kind", "text"]
-    found = cells.where(is_unreadable_number(F.col("raw_value"))).select(
+def marked_cells(cells: DataFrame) -> DataFrame:
+    raw = F.col("raw_value")
+    unreadable = F.when(is_unreadable_number(raw), strip(raw))
+    return cells.withColumns({"value": parse_number(raw), "unreadable": unreadable}).drop("raw_value")
+
+
+def warnings_of_cells(marked: DataFrame) -> DataFrame:
+    """(file_id, line_no, kind, text) of the cells that are no number."""
+    return marked.where(F.col("unreadable").isNotNull()).select(
         "file_id",
         "line_no",
         F.lit("unreadable_value").alias("kind"),
-        strip(F.col("raw_value")).alias("text"),
+        F.col("unreadable").alias("text"),
     )
-    if layout.strict:
-        return found.select(*out)
-    lines = struct.select("file_id", F.explode("factor_lines").alias("f"))
+
+
+def warnings_of_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """(file_id, line_no, kind, text) of the lines of plain files that were skipped.
+
+    ``lines`` has file_id and the factor lines ``f``."""
     no = F.col("f.no").alias("line_no")
     bad_fields = lines.where(F.col("f.fields") < 4).select(
         "file_id", no, F.lit("factor_line_too_short").alias("kind"), F.col("f.text").alias("text")
@@ -738,21 +786,42 @@ def warnings_of(
         F.lit("name_column_out_of_range").alias("kind"),
         "text",
     )
-    for more in (bad_fields, no_label, no_colon, cut):
-        found = found.unionByName(more)
-    return found.select(*out)
+    return bad_fields.unionByName(no_label).unionByName(no_colon).unionByName(cut)
+
+
+def _named_samples(line: Column) -> Column:
+    """A header row of the MS layout: it has further cells and its first one is 'samples'."""
+    return F.contains(line, F.lit("\t")) & (first_cell(line) == "samples")
 
 
 def layout_by_markers(content: Column) -> Column:
     """Layout name by section markers and header, for files typed plain ``mwtab``.
 
-    A binned section means NMR; a matrix section whose header row starts with
-    'Samples' means MS; any other matrix section is plain.
+    A binned section means NMR; a matrix section that has a header row whose first cell is
+    'Samples', before the section ends, means MS; any other matrix section is plain.
     """
     framed = F.concat(F.lit("\n"), unix_newlines(content))
-    ms_header = f"(?is)\n{MS.start}[^\n]*\n(?:.*\n)?\\s*samples\\s*\t"
+    behind = after_first(framed, "\n" + MS.start)
+    section = F.substring_index(behind, "\n" + MS.end, 1)
+    # one pass over the section, line by line
+    ms = F.exists(F.split(section, "\n"), _named_samples)
+    matrix = F.contains(framed, F.lit("\n" + MS.start))
     return (
         F.when(F.contains(framed, F.lit("\n" + NMR.start)), F.lit(NMR.name))
-        .when(framed.rlike(ms_header), F.lit(MS.name))
-        .when(F.contains(framed, F.lit("\n" + PLAIN.start)), F.lit(PLAIN.name))
+        .when(matrix & ms, F.lit(MS.name))
+        .when(matrix, F.lit(PLAIN.name))
+    )
+
+
+def layout_of_lines(no: Column, text: Column) -> Column:
+    """``layout_by_markers`` as an aggregate over the lines of a file."""
+    start = F.min(F.when(starts(text, MS.start), no))
+    end = F.min(F.when(starts(text, MS.end), no))
+    names = F.collect_list(F.when(_named_samples(text), no))
+    ms = F.exists(names, lambda n: (n > start) & (end.isNull() | (end < start) | (n < end)))
+    nmr = F.max(starts(text, NMR.start))
+    return (
+        F.when(nmr, F.lit(NMR.name))
+        .when(start.isNotNull() & ms, F.lit(MS.name))
+        .when(start.isNotNull(), F.lit(PLAIN.name))
     )

@@ -218,14 +218,38 @@ class LineMatrices:
         ).select("*", "h.*").drop("h")
 
     @cached_property
-    def named(self) -> DataFrame:
+    def rows(self) -> DataFrame:
         dim = self.blocks.drop("study_id", "analysis_id", "last_block")
-        rows = self._data(self._lookup(dim), "header_no")
-        return mwtab.named_rows(rows, self.layout)
+        return self._data(self._lookup(dim), "header_no")
+
+    @cached_property
+    def named(self) -> DataFrame:
+        return mwtab.named_rows(self.rows, self.layout)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return mwtab.cells_of(self.named, self.layout)
+
+    @cached_property
+    def marked(self) -> DataFrame:
+        return mwtab.marked_cells(self.cells)
+
+    @cached_property
+    def line_warnings(self) -> DataFrame:
+        usable = self.ids
+        if self.need_ids:
+            usable = usable.where("study_id IS NOT NULL AND analysis_id IS NOT NULL")
+        factors = self.factor_lines.join(usable.select("file_id"), "file_id", "left_semi")
+        return mwtab.warnings_of_lines(factors, self.rows)
+
+    @cached_property
+    def warnings(self) -> DataFrame:
+        found = mwtab.warnings_of_cells(self.marked)
+        return found if self.layout.strict else found.unionByName(self.line_warnings)
 
     @cached_property
     def measurements(self) -> DataFrame:
-        cells = mwtab.cells_of(self.named, self.layout)
+        cells = self.cells
         return cells.withColumn("value", parse_number(F.col("raw_value"))).drop("raw_value")
 
     @cached_property

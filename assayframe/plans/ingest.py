@@ -75,11 +75,13 @@ class IngestReport:
     files_new: int = 0
     files_duplicate: int = 0
     files_skipped: int = 0
+    files_error: int = 0
     status: str = "success"
     notes: str = ""
     by_type: dict[str, int] = field(default_factory=dict)
     by_extension: dict[str, int] = field(default_factory=dict)
     added: DataFrame | None = None
+    errors: DataFrame | None = None  # (path_abs, filename, ext, size_bytes) of unreadable files
 
 
 def ingest_directory(
@@ -93,17 +95,20 @@ def ingest_directory(
     max_files: int | None = None,
     dry_run: bool = False,
     row_bytes: int = source.ROW_BYTES,
+    created_at=None,
 ) -> IngestReport:
     """Scan, fingerprint, compare. The caller appends ``added`` to its registry table.
 
     Files over ``row_bytes`` are streamed through their hash instead of loaded.
 
-    A single file is ingested by passing its path as ``root``. Only counts reach the
+    A file that is gone or unreadable counts as ``files_error`` and does not stop the others.
+    ``added`` has all columns of ``schemas.FILES``. A single file is ingested by passing its path as ``root``. Only counts reach the
     driver.
     """
     extensions = list(extensions)
     report = IngestReport(import_id, root)
-    listed = source.list_files(spark, root)
+    found = source.listing(spark, root)
+    listed = source.described(found)
     wanted = is_allowed_extension(F.col("ext"), extensions)
     seen = listed.agg(
         F.count_if(wanted).alias("found"), F.count_if(~wanted).alias("skipped")
@@ -116,20 +121,26 @@ def ingest_directory(
     if max_files:  # the limit bounds the list of paths, and only those files are read
         first = source.choose_files(listed, extensions, max_files).select("path_abs")
         where = [r["path_abs"] for r in first.collect()]
+        found = found.where(F.col("path").isin(where))
     # wanted by the caller but outside the fixed list: skipped, not registered
     allowed = is_allowed_extension(F.col("ext"))
-    loaded = source.choose_files(source.read_files(spark, where, row_bytes), extensions)
+    loaded = source.choose_files(source.read_files(spark, where, row_bytes, found), extensions)
     prints = source.with_fingerprint(loaded.where(allowed))
-    streamed = source.choose_files(source.list_files(spark, where), extensions)
-    streamed = streamed.where(allowed & (F.col("size_bytes") > row_bytes))
+    due = source.choose_files(source.described(found), extensions).where(allowed)
+    streamed = due.where(F.col("size_bytes") > row_bytes)
     if not streamed.isEmpty():
         prints = prints.unionByName(source.fingerprint_large(streamed))
     # contents are read and hashed once; all that follows uses the stored fingerprints
-    candidates = settle(source.registry_rows(prints, import_id, root), "fingerprints")
+    rows = source.registry_rows(prints, import_id, root, created_at)
+    candidates = settle(rows, "fingerprints")
+    # what was listed and has no fingerprint is gone or cannot be read; the rest goes on
+    report.errors = settle(due.join(candidates, "path_abs", "left_anti"), "errors")
+    report.files_error = report.errors.count()
     flagged = settle(compare_with_registry(candidates, registry), "compared")
-    totals = with_outcome(import_counts(flagged), user_notes).first()
+    counts = import_counts(flagged).withColumn("files_error", F.lit(report.files_error))
+    totals = with_outcome(counts, user_notes, "files_error").first()
     report.files_processed = totals["files_processed"]
-    report.files_skipped += report.files_found - report.files_processed
+    report.files_skipped += report.files_found - report.files_processed - report.files_error
     report.files_new, report.files_duplicate = totals["files_new"], totals["files_duplicate"]
     report.status, report.notes = totals["status"], totals["notes"]
     # one row per type / extension: both domains are fixed lists

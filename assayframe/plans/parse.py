@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.functions.filetypes import detected_type, filename_of
@@ -18,7 +18,7 @@ from assayframe.session import shared_folder
 from assayframe.sources.files import (
     line_weights,
     list_files,
-    read_lines,
+    numbered_lines,
     read_texts,
     types_of_lines,
 )
@@ -27,6 +27,7 @@ from assayframe.sources.tables import settle
 PARSABLE = tuple(LAYOUTS)
 UNSUPPORTED = "Unsupported file type"
 LARGE_BYTES = 256 * 1024 * 1024  # files beyond this are parsed line by line
+BROADCAST_FILES = 100_000  # ids and layouts of large files that every task may hold
 
 
 # --- choosing files ---
@@ -96,7 +97,8 @@ class Parsed:
 
     def _table(self, part, table: str) -> DataFrame:
         df = getattr(part, table)
-        if self._with_lines and table == "measurements" and isinstance(part, mwtab.Matrices):
+        numbered = table in ("measurements", "marked", "warnings", "line_warnings")
+        if self._with_lines and numbered and isinstance(part, mwtab.Matrices):
             # lines of split files are numbered by (split offset, place in split)
             place = F.struct(F.lit(0).cast("long").alias("offset"), F.col("line_no").cast("long").alias("at"))
             df = df.withColumn("line_no", place)
@@ -141,18 +143,31 @@ class Parsed:
 class StoredParsed(Parsed):
     """A parse result written to a folder: every file is parsed once, whatever uses it."""
 
-    TABLES = ("measurements", "samples", "features", "metadata")
+    TABLES = ("marked", "samples", "features", "metadata", "line_warnings")
 
     def __init__(self, parsed: Parsed, folder: str):
         self._read = {}
+        # the texts of each layout are read once; all tables come from what that left
+        parsed._parts = {
+            name: [mwtab.StoredMatrices(p) if isinstance(p, mwtab.Matrices) else p for p in parts]
+            for name, parts in parsed._parts.items()
+        }
         for name in self.TABLES:
-            df = getattr(parsed, name)
+            df = parsed.plain(name) if name == "line_warnings" else parsed._union(name)
             df.write.partitionBy("layout").parquet(f"{folder}/{name}")
             self._read[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+        # cells and their warnings come from one table
+        self._read["measurements"] = self._read["marked"].drop("unreadable")
+        cells = mwtab.warnings_of_cells(self._read["marked"])
+        self._read["warnings"] = cells.unionByName(self._read["line_warnings"].drop("layout"))
 
     def _union(self, table: str, names: Iterable[str] = PARSABLE) -> DataFrame:
         return self._read[table].where(F.col("layout").isin(*names))
 
+    @cached_property
+    def warnings(self) -> DataFrame:
+        return self._read["warnings"]
+
 
 def outcome(chosen: DataFrame, metadata: DataFrame) -> DataFrame:
     """(file_id, detected_type, parse_status, parse_error) of every chosen file."""
@@ -301,6 +316,17 @@ class Changes:
             self.store["features"], rows, ["feature_uid"], [F.col("file_id")]
         ).drop("file_id")
 
+    @cached_property
+    def filled_features(self) -> DataFrame:
+        """State of the stored features: plain files fill a name that is empty there."""
+        rows = self.parsed.plain("features").drop("layout")
+        once = merge.reduce_batch(rows, ["feature_uid"], {"name_raw": "first_filled"}, ["file_id"])
+        found = once.where(F.coalesce("name_raw", F.lit("")) != "")
+        stored = self.store["features"].join(found.select("feature_uid"), "feature_uid", "left_semi")
+        return merge.merge(stored, found, ["feature_uid"], {"name_raw": "fill_empty"}).where(
+            F.col("_action") == merge.UPDATE
+        )
+
     @cached_property
     def new_measurements(self) -> DataFrame:
         """Rows of MS and NMR files to append."""
@@ -353,9 +379,20 @@ class ParseReport:
     samples_created: int = 0
     features_created: int = 0
     measurements_inserted: int = 0
+    warnings_count: int = 0
     by_type: dict[str, int] = field(default_factory=dict)
     outcomes: DataFrame | None = None
     changes: Changes | None = None
+    warnings: DataFrame | None = None
+
+
+def with_layout(files: DataFrame, content: Column, found: Column | None = None) -> DataFrame:
+    """``files`` and the layout to parse them by: what the markers of plain files show, else the
+    detected type."""
+    shown = mwtab.layout_by_markers(content) if found is None else found
+    plain = F.col("detected_type") == mwtab.PLAIN.name
+    layout = F.when(plain, F.coalesce(shown, F.col("detected_type")))
+    return files.withColumn("layout", layout.otherwise(F.col("detected_type")))
 
 
 def parse_directory(
@@ -381,9 +418,9 @@ def parse_directory(
     has_large = not list_files(spark, root).where(F.col("size_bytes") > large_bytes).isEmpty()
     types = typed.select("file_id", "detected_type")
     if has_large:
-        lines = read_lines(spark, root, over_bytes=large_bytes)
+        lines = numbered_lines(spark, root, over_bytes=large_bytes)
         large_types = settle(types_of_lines(lines), "large-types")
-        types = types.unionByName(large_types)
+        types = types.unionByName(large_types.select("file_id", "detected_type"))
     types = settle(types, "types")
     marked = parsable_files(types, only_types, skip_types)
     chosen = marked.where("selected").drop("selected")
@@ -393,13 +430,16 @@ def parse_directory(
         chosen = chosen.orderBy("file_id").limit(max_files)
         files = files.join(chosen.select("file_id"), "file_id", "left_semi")
     report = ParseReport(files_skipped=marked.where(~F.col("selected")).count())
-    parsed = Parsed(files)
+    files = with_layout(files, F.col("content"))
+    parsed = Parsed(files, "layout")
     if has_large:
-        # every line learns the type of its file. At most (all bytes / large_bytes) files
-        # are large, so the broadcast ids are some megabytes even for 100 TB
-        large = chosen.join(large_types.select("file_id"), "file_id", "left_semi")
-        typed_lines = lines.join(F.broadcast(large), "file_id")
-        parsed = Parsed(files, lines=typed_lines, weights=line_weights(spark, root))
+        # every line learns the layout of its file
+        large = large_types.join(chosen.select("file_id"), "file_id", "left_semi")
+        large = with_layout(large, F.lit(None), F.col("layout")).drop("detected_type")
+        if large.count() <= BROADCAST_FILES:  # else the lines meet the list in a shuffle
+            large = F.broadcast(large)
+        typed_lines = lines.join(large, "file_id")
+        parsed = Parsed(files, "layout", lines=typed_lines, weights=line_weights(spark, root))
     return _parse(spark, chosen, parsed, store, report, fail_fast, dry_run)
 
 
@@ -425,8 +465,8 @@ def parse_import(
     chosen = settle(pending.select("file_id", "detected_type"), "pending")
     # a stored list of ids: Spark knows its size, broadcasts it while it is small, and
     # moves the texts once by file id beyond that
-    files = texts.join(chosen, "file_id")
-    return _parse(spark, chosen, Parsed(files), store, ParseReport(), fail_fast, dry_run)
+    files = with_layout(texts.join(chosen, "file_id"), F.col("content"))
+    return _parse(spark, chosen, Parsed(files, "layout"), store, ParseReport(), fail_fast, dry_run)
 
 
 def _parse(
@@ -449,6 +489,8 @@ def _parse(
     if fail_fast:
         stop_on_failure(report.outcomes)
     report.changes = Changes(parsed, store)
+    report.warnings = parsed.warnings
+    report.warnings_count = parsed.warnings.count()
     totals = outcome_stats(report.outcomes).first().asDict()
     totals["files_skipped"] += report.files_skipped
     # one row per parsable type

@@ -1,31 +1,41 @@
-"""Reading directories: listing, fingerprints, texts, lines."""
+"""Reading directories: listing, fingerprints, texts, lines.
+
+Directories are listed in tasks, so every file is seen: also those without bytes and those whose
+name, or whose folder's name, begins with "_" or "." (Spark's own file index hides these).
+"""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+import os
+import re
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
-from pyarrow.fs import FileSystem
+import pandas as pd
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from assayframe.functions.filetypes import (
     EXTENSIONS,
-    HTML_SCAN_CHARS,
+    HTML_MARKER,
     MWTAB_MARKER,
-    TYPE_SCAN_LINES,
     detected_type,
     extension_of,
     filename_of,
     is_allowed_extension,
 )
 from assayframe.functions.keys import row_id
-from assayframe.functions.text import drop_bad_utf8
-
+from assayframe.functions.text import drop_bad_utf8, without_mark
+from assayframe.operators.mwtab import layout_of_lines
+from assayframe.sources.tables import settle
 
 STREAM_CHUNK = 8 * 1024 * 1024
 ROW_BYTES = 1 << 30  # files beyond this are not loaded into one row
+LISTED = "path string, size_bytes long, is_folder boolean, hidden boolean"
+# Schemes that the two file systems in use name differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 
 
 def plain_path(path: Column) -> Column:
@@ -38,55 +48,180 @@ def path_of_uri(uri: Column) -> Column:
     return plain_path(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
 
 
-def _scan(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+@lru_cache(maxsize=16)
+def _file_system(start: str) -> FileSystem:
+    if start.startswith("/"):
+        return FileSystem.from_uri("file:///")[0]
+    return FileSystem.from_uri(start)[0]
+
+
+def _place(path: str) -> tuple[FileSystem, str, str]:
+    """File system, path inside it, and what to put before that for the path's full name."""
+    path = re.sub("^file:/+", "/", path)
+    if path.startswith("/"):
+        return _file_system("/"), path, ""
+    scheme, _, rest = path.partition("://")
+    host = rest.partition("/")[0]
+    known = SCHEMES.get(scheme, scheme)
+    if known in ("hdfs", "viewfs"):
+        return _file_system(f"{known}://{host}"), rest[len(host) :], f"{scheme}://{host}"
+    return _file_system(f"{known}://{host}"), rest, f"{scheme}://"
+
 
+def _is_hidden(path: str) -> bool:
+    return path.rpartition("/")[2].startswith(("_", "."))
 
-def _empty_files(spark: SparkSession, scan: DataFrame) -> DataFrame:
-    """Rows for files of no bytes, which a scan leaves out.
 
-    Only the scan's file index knows them. It is a list that Spark keeps on the driver
-    for every file scan, and only paths are taken from it, never contents.
+def _children(path: str, hidden: bool, deep: bool) -> Iterator[tuple[str, int | None, bool, bool]]:
+    """(path, bytes, is folder, hidden) of a file, or of what a folder holds (``deep``: all below).
+
+    The size is null where a file is named but cannot be found, as behind a broken link.
     """
-    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "uri string")
-    every = listed.select(path_of_uri(F.col("uri")).alias("path_abs"))
-    seen = scan.select(plain_path(F.col("path")).alias("path_abs"))
-    return every.join(seen, "path_abs", "left_anti").select(
-        F.col("path_abs").alias("path"),
-        F.lit(0).cast("long").alias("length"),
-        F.lit(b"").alias("content"),
-    )
+    system, inside, before = _place(path)
+    if not before and os.path.isdir(inside):
+        yield from _local_children(inside, hidden, deep)
+        return
+    found = system.get_file_info([inside])[0]
+    if found.type == FileType.File:
+        yield path, found.size, False, hidden or _is_hidden(path)
+    if found.type != FileType.Directory:
+        return
+    todo = [(inside, hidden)]
+    while todo:
+        folder, below = todo.pop()
+        for entry in system.get_file_info(FileSelector(folder)):
+            hides = below or _is_hidden(entry.path)
+            if entry.type != FileType.Directory:
+                size = entry.size if entry.type == FileType.File else None
+                yield before + entry.path, size, False, hides
+            elif deep:
+                todo.append((entry.path, hides))
+            else:
+                yield before + entry.path, None, True, hides
+
+
+def _local_children(root: str, hidden: bool, deep: bool) -> Iterator[tuple]:
+    """As ``_children`` of a local folder, broken links included."""
+    todo = [(root, hidden)]
+    while todo:
+        folder, below = todo.pop()
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                hides = below or _is_hidden(entry.path)
+                if entry.is_dir(follow_symlinks=False):
+                    if deep:
+                        todo.append((entry.path, hides))
+                    else:
+                        yield entry.path, None, True, hides
+                elif not entry.is_dir():
+                    try:
+                        size = entry.stat().st_size
+                    except OSError:
+                        size = None
+                    yield entry.path, size, False, hides
+
+
+def _walk(deep: bool):
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        listed = pd.DataFrame(rows, columns=["path", "size_bytes", "is_folder", "hidden"])
+        return listed.astype({"size_bytes": "Int64"})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, hidden in zip(batch["path"], batch["hidden"], strict=True):
+                rows: list[tuple] = []
+                for row in _children(path, hidden, deep):
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield frame(rows)
+                        rows = []
+                if rows:
+                    yield frame(rows)
+
+    return run
+
+
+def listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """(path, size_bytes, hidden) of all files below ``root``, listed in tasks and stored.
+
+    One task names what the root itself holds; each folder found there is walked by one task.
+    Hidden are files whose name, or a folder of theirs below the root, begins with "_" or ".".
+    """
+    roots = [root] if isinstance(root, str) else list(root)
+    start = [(r.rstrip("/") or "/", False) for r in roots]
+    start = spark.createDataFrame(start, "path string, hidden boolean")
+    top = settle(start.mapInPandas(_walk(deep=False), LISTED), "listed")
+    folders = top.where("is_folder").select("path", "hidden")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    below = folders.repartition(tasks, "path").mapInPandas(_walk(deep=True), LISTED)
+    every = top.where("NOT is_folder").unionByName(below)
+    return settle(every.select("path", "size_bytes", "hidden"), "listed")
 
 
 def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    """All regular files below ``root``; contents are not read."""
-    return read_files(spark, root).drop("content")
+    """All files below ``root``; contents are not read. A null size means a file that is named
+    there but cannot be found."""
+    return described(listing(spark, root))
+
+
+def described(listed: DataFrame) -> DataFrame:
+    name = filename_of(F.col("path"))
+    return listed.select(
+        F.col("path").alias("path_abs"),
+        name.alias("filename"),
+        extension_of(name).alias("ext"),
+        "size_bytes",
+        *[c for c in listed.columns if c == "content"],
+    )
+
+
+def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contents of files, one at a time; those that cannot be read are left out."""
+    for batch in batches:
+        for path in batch["path"]:
+            system, inside, _ = _place(path)
+            try:
+                with system.open_input_stream(inside) as stream:
+                    yield pd.DataFrame({"path": [path], "content": [stream.read()]})
+            except OSError:
+                continue
 
 
 def read_files(
-    spark: SparkSession, root: str | list[str], up_to_bytes: int | None = None
+    spark: SparkSession,
+    root: str | list[str],
+    up_to_bytes: int | None = None,
+    listed: DataFrame | None = None,
+    hidden_whole: bool = False,
 ) -> DataFrame:
-    """All regular files below ``root`` (or the listed ones) with their bytes in ``content``.
+    """All files below ``root`` (or the listed ones) with their bytes in ``content``; files that
+    cannot be read are left out.
 
-    With ``up_to_bytes`` larger files are left out and their bytes never loaded.
+    With ``up_to_bytes`` larger files are left out and their bytes never loaded, but for hidden
+    ones with ``hidden_whole``. Spark's reader takes all it sees; the rest is read in tasks.
     """
-    scan = _scan(spark, root)
-    columns = ["path", "length", "content"]
-    every = scan.select(*columns).unionByName(_empty_files(spark, scan))
+    listed = listing(spark, root) if listed is None else listed
+    fits = F.col("size_bytes").isNotNull()
     if up_to_bytes is not None:
-        every = every.where(F.col("length") <= up_to_bytes)
-    return _described(every)
-
-
-def _described(raw: DataFrame) -> DataFrame:
-    path = plain_path(F.col("path"))
-    name = filename_of(path)
-    return raw.select(
-        path.alias("path_abs"),
-        name.alias("filename"),
-        extension_of(name).alias("ext"),
-        F.col("length").alias("size_bytes"),
-        "content",
+        small = F.col("size_bytes") <= up_to_bytes
+        fits = fits & ((small | F.col("hidden")) if hidden_whole else small)
+    listed = listed.where(fits)
+    other = listed.where("hidden OR size_bytes = 0").select("path")
+    tasks = spark.sparkContext.defaultParallelism
+    contents = other.repartition(tasks, "path").mapInPandas(
+        _read_bytes, "path string, content binary"
+    )
+    most = listed.where("NOT hidden AND size_bytes > 0").agg(F.max("size_bytes")).first()[0]
+    if most:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+        shown = [root] if isinstance(root, str) else [p for p in root if not _is_hidden(p)]
+        seen = reader.load(shown).where(F.col("length").between(1, most))
+        contents = contents.unionByName(
+            seen.select(plain_path(F.col("path")).alias("path"), "content")
+        )
+    return described(
+        contents.withColumn("size_bytes", F.octet_length("content").cast("long"))
     )
 
 
@@ -119,51 +254,55 @@ def with_fingerprint(files: DataFrame) -> DataFrame:
     ).drop("content")
 
 
-def _stream_file(uri: str) -> tuple[str, str]:
-    """(SHA-256, head) of a file, read chunk by chunk.
-
-    The head holds what type detection looks at: its lines or, if longer, its characters.
-    """
-    filesystem, path = FileSystem.from_uri(uri)
-    digest, head, lines = hashlib.sha256(), [], 0
-    size = 0
-    with filesystem.open_input_stream(path) as stream:
-        while chunk := stream.read(STREAM_CHUNK):
-            digest.update(chunk)
-            if lines < TYPE_SCAN_LINES or size < 4 * HTML_SCAN_CHARS:
-                head.append(chunk)
-                size += len(chunk)
-                lines += chunk.count(b"\n") + chunk.count(b"\r")
-    return digest.hexdigest(), b"".join(head).decode("utf-8", errors="ignore")
+def _stream_file(path: str) -> tuple[str | None, str]:
+    """SHA-256 of a file read chunk by chunk (null: unreadable), and which of the markers that
+    type detection looks for it holds. No more than a chunk is kept."""
+    system, inside, _ = _place(path)
+    digest, found, tail = hashlib.sha256(), set(), b""
+    markers = {m.lower().encode(): m for m in (MWTAB_MARKER, HTML_MARKER)}
+    keep = max(map(len, markers)) - 1
+    try:
+        with system.open_input_stream(inside) as stream:
+            while chunk := stream.read(STREAM_CHUNK):
+                digest.update(chunk)
+                low = (tail + chunk).lower()
+                found |= {name for marker, name in markers.items() if marker in low}
+                tail = low[-keep:]
+    except OSError:
+        return None, ""
+    return digest.hexdigest(), "\n".join(sorted(found))
 
 
 def fingerprint_large(listed: DataFrame) -> DataFrame:
     """As ``with_fingerprint`` for a listing of files that do not fit into one row.
 
-    Every file is streamed by one task; no task holds more than a chunk and the head.
+    Every file is streamed by one task, and a task takes one file at a time from its own; a file
+    that cannot be read has no row.
     """
 
     def hash_files(batches):
         for batch in batches:
-            found = [_stream_file(uri) for uri in batch["uri"]]
-            batch["sha256"] = [f[0] for f in found]
-            batch["head"] = [f[1] for f in found]
-            yield batch.drop(columns="uri")
-
-    encoded = F.replace(F.url_encode("path_abs"), F.lit("+"), F.lit("%20"))
-    encoded = F.replace(encoded, F.lit("%2F"), F.lit("/"))
-    local = F.startswith("path_abs", F.lit("/"))
-    uri = F.when(local, F.concat(F.lit("file://"), encoded)).otherwise(F.col("path_abs"))
-    rows = listed.withColumn("uri", uri)
+            found = [_stream_file(path) for path in batch["path_abs"]]
+            yield batch.assign(sha256=[f[0] for f in found], head=[f[1] for f in found])
+
+    rows = listed.select("path_abs", "filename", "ext", "size_bytes")
     schema = "path_abs string, filename string, ext string, size_bytes long, sha256 string, head string"
-    tasks = listed.sparkSession.sparkContext.defaultParallelism
+    # as many tasks as files, so that two of the largest do not wait for each other
+    tasks = max(1, min(listed.count(), 10_000))
     hashed = rows.repartition(tasks, "path_abs").mapInPandas(hash_files, schema)
     kind = detected_type(F.col("filename"), F.col("head"))
-    return hashed.withColumn("detected_type", kind).drop("head")
+    return hashed.where("sha256 IS NOT NULL").withColumn("detected_type", kind).drop("head")
 
 
-def registry_rows(files: DataFrame, import_id: str, root: str | None = None) -> DataFrame:
-    """Registry candidates of fingerprinted files, not yet compared with what is stored."""
+def registry_rows(
+    files: DataFrame, import_id: str, root: str | None = None, created_at=None
+) -> DataFrame:
+    """Registry candidates of fingerprinted files, not yet compared with what is stored.
+
+    They have all columns of ``schemas.FILES``. Without ``created_at`` it is the time of the query.
+    """
+    when = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    none = F.lit(None).cast("string")
     return files.select(
         row_id(F.col("sha256"), F.col("size_bytes"), F.col("path_abs")).alias("file_id"),
         F.lit(import_id).alias("import_id"),
@@ -174,31 +313,32 @@ def registry_rows(files: DataFrame, import_id: str, root: str | None = None) ->
         "size_bytes",
         "sha256",
         "detected_type",
+        *[none.alias(c) for c in ("device", "exposure", "sample_type", "platform")],
         F.lit("pending").alias("parse_status"),
+        none.alias("parse_error"),
+        F.lit(None).cast("timestamp").alias("parsed_at"),
+        when.alias("created_at"),
     )
 
 
 def read_texts(spark: SparkSession, root: str, up_to_bytes: int | None = None) -> DataFrame:
-    """(file_id = path, content) for parsing, one row per file.
+    """(file_id = path, content) for parsing, one row per file, without a byte-order mark.
 
-    With ``up_to_bytes`` larger files are left out; Spark drops them from the listing.
+    With ``up_to_bytes`` larger files are left out and their bytes never loaded; only hidden ones,
+    which ``read_lines`` does not see, are read whole whatever their size.
     """
-    raw = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
-    if up_to_bytes is not None:
-        raw = raw.where(F.col("_metadata.file_size") <= up_to_bytes)
-    return raw.select(
-        path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
-        drop_bad_utf8(F.col("value")).alias("content"),
-    )
+    files = read_files(spark, root, up_to_bytes, hidden_whole=True)
+    text = without_mark(drop_bad_utf8(F.col("content")))
+    return files.select(F.col("path_abs").alias("file_id"), text.alias("content"))
 
 
 def read_lines(spark: SparkSession, root: str, over_bytes: int | None = None) -> DataFrame:
     """(file_id, no, text) of every line, for files too large for one row.
 
     ``no`` orders the lines of a file: first by the offset of their split, then by
-    their place in it. It depends only on how Spark cuts the files, so every scan of
-    the same files in a session gives a line the same number. With ``over_bytes`` only
-    larger files are read.
+    their place in it. It depends on how Spark cuts the files, which may differ between two scans.
+    Store the result (``numbered_lines``) where line numbers of several uses must agree. With
+    ``over_bytes`` only larger files are read.
     """
     raw = spark.read.option("recursiveFileLookup", True).text(root)
     if over_bytes is not None:
@@ -209,23 +349,31 @@ def read_lines(spark: SparkSession, root: str, over_bytes: int | None = None) ->
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("at"),
         ).alias("no"),
-        drop_bad_utf8(F.col("value")).alias("text"),
+        without_mark(drop_bad_utf8(F.col("value"))).alias("text"),
     )
 
 
+def numbered_lines(spark: SparkSession, root: str, over_bytes: int | None = None) -> DataFrame:
+    """``read_lines`` written once: all that reads it sees the same numbers."""
+    return settle(read_lines(spark, root, over_bytes), "lines")
+
+
 def types_of_lines(lines: DataFrame) -> DataFrame:
-    """(file_id, detected_type) from the first lines of each file."""
-    place = F.row_number().over(Window.partitionBy("file_id").orderBy("no"))
-    head = lines.withColumn("place", place).where(F.col("place") <= TYPE_SCAN_LINES)
-    marked = F.max(F.contains(F.upper("text"), F.lit(MWTAB_MARKER)))
-    found = head.groupBy("file_id").agg(marked.alias("marked"))
-    content = F.when(F.col("marked"), F.lit(MWTAB_MARKER))
-    return found.select(
-        "file_id", detected_type(filename_of(F.col("file_id")), content).alias("detected_type")
+    """(file_id, detected_type, layout) from all lines of each file."""
+    low = F.lower("text")
+    marks = [
+        F.max(F.contains(low, F.lit(marker.lower()))).alias(f"m{i}")
+        for i, marker in enumerate((MWTAB_MARKER, HTML_MARKER))
+    ]
+    content = F.concat_ws(
+        " ", F.when(F.col("m0"), F.lit(MWTAB_MARKER)), F.when(F.col("m1"), F.lit(HTML_MARKER))
     )
+    found = lines.groupBy("file_id").agg(*marks, layout_of_lines(F.col("no"), F.col("text")).alias("layout"))
+    kind = detected_type(filename_of(F.col("file_id")), content)
+    return found.select("file_id", kind.alias("detected_type"), "layout")
 
 
 def line_weights(spark: SparkSession, root: str) -> DataFrame:
     """(file_id, n) estimated from file sizes: finds the large files without reading them."""
-    listed = list_files(spark, root)
+    listed = list_files(spark, root).where("size_bytes IS NOT NULL")
     return listed.select(F.col("path_abs").alias("file_id"), (F.col("size_bytes") / 64).alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from assayframe.functions.text import drop_bad_utf8
+from assayframe.functions.text import drop_bad_utf8, without_mark
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import LAYOUTS
 from assayframe.sources.files import path_of_uri
@@ -29,7 +29,7 @@ def stream_texts(spark: SparkSession, root: str, max_files: int = 10_000) -> Dat
     )
     return raw.select(
         path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
-        drop_bad_utf8(F.col("value")).alias("content"),
+        without_mark(drop_bad_utf8(F.col("value"))).alias("content"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import mwtab, mwtab_lines
 from assayframe.plans import parse
+from assayframe.session import shared_folder
 from assayframe.sources.tables import settle
 from bindings.core import bound, ctes, load, pick, table
 
@@ -484,7 +485,8 @@ def _first(layout, labels, test, uid, feature, plain=False):
 )
 def parse_and_store(spark, sf_dir):
     """Parse files of all layouts and merge them into an empty store."""
-    change = parse.Changes(parse.Parsed(_typed(spark, sf_dir)), empty_store(spark))
+    parsed = parse.StoredParsed(parse.Parsed(_typed(spark, sf_dir)), shared_folder(spark, "parsed"))
+    change = parse.Changes(parsed, empty_store(spark))
     return change.updated_measurements.select("sample_uid", "feature_uid", "value")
 
 

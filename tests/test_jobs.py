@@ -1,10 +1,13 @@
 import datetime
 import hashlib
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from assayframe.operators import export, qc, tagging
+from assayframe import schemas
+from assayframe.operators import export, mwtab, qc, tagging
+from assayframe.operators.mwtab_lines import LineMatrices
 from assayframe.plans import ingest, parse
 from assayframe.session import shared_folder
 from assayframe.sources import files as source
@@ -97,6 +100,118 @@ def test_large_files_are_streamed_through_their_hash(spark, folder):
     assert results[0] == results[1] == results[2] and len(results[0]) == 7
 
 
+def test_no_file_is_left_out(spark, tmp_path):
+    """Names with an underscore or a dot in front, in folders of such names, and empty files."""
+    names = ["a.txt", "_b.txt", ".c.txt", "_old/x/d.txt", ".git/e.csv", "_f.exe", "x/_empty.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("" if "empty" in name else f"{name} {PLAIN}")
+    root = str(tmp_path)
+    report = ingest.ingest_directory(spark, root, "I")
+    assert (report.files_found, report.files_new, report.files_skipped) == (6, 6, 1)
+    assert {r.path_rel for r in report.added.collect()} == set(names) - {"_f.exe"}
+    streamed = ingest.ingest_directory(spark, root, "I", row_bytes=10)
+    shas = [{r.path_rel: r.sha256 for r in x.added.collect()} for x in (report, streamed)]
+    assert shas[0] == shas[1]
+    first = ingest.ingest_directory(spark, root, "I", max_files=3)
+    assert {r.filename for r in first.added.collect()} == {".c.txt", "e.csv", "_b.txt"}
+    assert {r.file_id.removeprefix(f"{root}/") for r in source.read_texts(spark, root).collect()} == set(names)
+    assert ingest.ingest_directory(spark, f"{root}/_b.txt", "I").files_new == 1
+
+
+def test_a_file_that_is_gone_does_not_stop_the_others(spark, folder):
+    root, _ = folder
+    (pathlib.Path(root) / "broken.txt").symlink_to(f"{root}/nowhere.txt")
+    report = ingest.ingest_directory(spark, root, "I")
+    assert (report.files_error, report.files_new, report.files_duplicate) == (1, 6, 1)
+    assert report.notes == "6 new, 1 dup, 1 errors" and report.status == "success"
+    assert [r.filename for r in report.errors.collect()] == ["broken.txt"]
+    alone = pathlib.Path(root) / "alone"
+    alone.mkdir()
+    (alone / "x.txt").symlink_to(f"{root}/nowhere.txt")
+    assert ingest.ingest_directory(spark, str(alone), "I").status == "failed"
+
+
+def test_a_byte_order_mark_is_no_text(spark, tmp_path):
+    (tmp_path / "m.txt").write_bytes(b"\xef\xbb\xbf" + PLAIN.encode())
+    store = empty_store(spark)
+    found = []
+    for limit in (10, parse.LARGE_BYTES):
+        done = parse.parse_directory(spark, str(tmp_path), store, large_bytes=limit)
+        found.append((done.files_success, done.measurements_inserted))
+    assert found[0] == found[1] and found[0][0] == 1 and found[0][1] > 0
+
+
+def test_lines_keep_their_numbers_when_splits_change(spark, tmp_path):
+    rows = "".join(f"met{i}\t{i}\t{i + 1}\n" for i in range(30_000))
+    text = PLAIN.replace("Lactate", rows + "Lactate")
+    (tmp_path / "big.txt").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        lines = source.numbered_lines(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "37000")
+        matrices = LineMatrices(lines, mwtab.PLAIN)
+        assert matrices.headers.count() == 1
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "250000")
+        cells = matrices.measurements.where(F.startswith("feature_name", F.lit("met")))
+        assert cells.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_stream_and_batch_take_the_same_layouts(spark, folder):
+    root, put = folder
+    put("n.txt", NMR)
+    put("later.txt", PLAIN + "#OTHER_START\nSamples\tq1\tq2\n#END\n")
+    texts = source.read_texts(spark, root)
+    wanted = {
+        r.file_id: r.layout
+        for r in texts.select("file_id", mwtab.layout_by_markers(F.col("content")).alias("layout")).collect()
+        if r.layout
+    }
+    assert {pathlib.Path(f).name: x for f, x in wanted.items()} == {
+        "a.txt": "mwtab",
+        "copy of a.txt": "mwtab",
+        "later.txt": "mwtab",
+        "b.TXT": "mwtab_ms",
+        "n.txt": "mwtab_nmr_binned",
+    }
+    lines = source.types_of_lines(source.numbered_lines(spark, root)).collect()
+    assert {r.file_id: r.layout for r in lines if r.layout} == wanted
+    for limit in (100, parse.LARGE_BYTES):
+        done = parse.parse_directory(spark, root, empty_store(spark), large_bytes=limit)
+        cells = done.changes.parsed.measurements.select("file_id", "layout").distinct().collect()
+        assert {r.file_id: r.layout for r in cells} == wanted
+        names = {r.name_raw for r in done.changes.new_features.collect()}
+        assert not {n for n in names if n.lower() == "factors"}
+
+
+def test_warnings_of_jobs(spark, folder):
+    root, put = folder
+    put("w.txt", PLAIN.replace("ST000001", "ST7").replace("Lactate", "Odd\tabout 3\t2\nLactate"))
+    found = []
+    for limit in (100, parse.LARGE_BYTES):
+        done = parse.parse_directory(spark, root, empty_store(spark), large_bytes=limit)
+        rows = done.warnings.where(F.endswith("file_id", F.lit("w.txt")))
+        found.append(sorted((r.kind, r.text) for r in rows.collect()))
+        assert done.warnings_count == done.warnings.count()
+    assert found[0] == found[1] and ("unreadable_value", "about 3") in found[0]
+
+
+def test_an_empty_stored_name_is_filled(spark, folder):
+    root, _ = folder
+    store = empty_store(spark)
+    first = parse.parse_directory(spark, root, store).changes
+    features = first.new_features.withColumn("name_raw", F.lit("").cast("string"))
+    features = spark.createDataFrame(features.collect(), features.schema)
+    again = parse.parse_directory(spark, root, store | {"features": features}).changes
+    filled = {r.feature_uid: r.name_raw for r in again.filled_features.collect()}
+    plain = {r.feature_uid: r.name_raw for r in again.parsed.plain("features").collect()}
+    assert filled == plain and filled
+    assert again.new_features.count() == 0
+
+
 def test_ingest_options(spark, folder):
     root, _ = folder
     only = ingest.ingest_directory(spark, root, "I", extensions=["TXT", "exe"])
@@ -163,13 +278,8 @@ def test_ingest_then_parse_import(spark, folder):
     """The whole way; a second run over the settled registry has nothing to do."""
     root, _ = folder
     report = ingest.ingest_directory(spark, root, "I1")
-    registry = report.added.withColumns(
-        {
-            "created_at": F.lit(datetime.datetime(2024, 1, 1)),
-            "parse_error": F.lit(None).cast("string"),
-            "parsed_at": F.lit(None).cast("timestamp"),
-        }
-    )
+    registry = report.added
+    assert set(registry.columns) == {f.name for f in schemas.FILES}
     texts = source.read_texts(spark, root).withColumnRenamed("file_id", "path_abs")
     texts = texts.join(registry.select("path_abs", "file_id"), "path_abs").drop("path_abs")
     store = empty_store(spark)
