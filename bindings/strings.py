@@ -337,6 +337,32 @@ def import_summary(spark, sf_dir):
     return ingest.with_outcome(counts, "nightly")
 
 
+@bound(
+    "import_errors",
+    REGISTRY_SPLIT
+    + """, counted AS (SELECT import_id, count(*) AS files_processed,
+        CASE WHEN import_id = 'src9' THEN 0 ELSE count(*) FILTER (WHERE is_new) END AS files_new,
+        count(*) FILTER (WHERE NOT is_new) AS files_duplicate,
+        length(import_id) - 4 + CASE WHEN import_id = 'src9' THEN 2 ELSE 0 END AS files_error
+      FROM flagged GROUP BY 1)
+    SELECT *, CASE WHEN files_error > 0 AND files_new = 0 THEN 'failed' ELSE 'success' END AS status,
+      CASE WHEN files_error > 0
+           THEN files_new || ' new, ' || files_duplicate || ' dup, ' || files_error || ' errors'
+           ELSE files_new || ' new, ' || files_duplicate || ' duplicates' END AS notes
+    FROM counted""",
+)
+def import_errors(spark, sf_dir):
+    """Imports with unreadable files: some of all files, and one import without a new file."""
+    nine = F.col("import_id") == "src9"
+    counts = ingest.import_counts(_flagged(spark, sf_dir), "import_id").withColumns(
+        {
+            "files_new": F.when(nine, F.lit(0).cast("long")).otherwise(F.col("files_new")),
+            "files_error": F.length("import_id") - 4 + F.when(nine, 2).otherwise(0),
+        }
+    )
+    return ingest.with_outcome(counts, errors="files_error")
+
+
 @bound(
     "ingest_by_type",
     REGISTRY_SPLIT + "SELECT ctype AS detected_type, count(*) AS n FROM flagged GROUP BY 1",
