@@ -78,6 +78,19 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def first_drawn(df: DataFrame, draw: F.Column, total: int, sample: int, *order) -> DataFrame:
+    """At most ``sample`` of ``total`` rows: the first by ``draw``, a 64-bit hash, then ``order``.
+
+    Rows that a slightly larger share of all hashes does not reach go before anything is sorted, so
+    no task sorts or sends more than its part of the sample.
+    """
+    name = free_name(df, "_draw")
+    drawn = df.withColumn(name, F.pmod(draw, F.lit(1 << 40)))
+    share = 1.0 if total <= sample else min(1.0, (sample + 8 * sample**0.5 + 50) / total)
+    kept = drawn.where(F.col(name) < int(share * (1 << 40)))
+    return kept.orderBy(name, *order).limit(sample).drop(name)
+
+
 def settled(df: DataFrame, purpose: str) -> DataFrame:
     """Written to the folder that all executors share, and read back."""
     return settle(df, purpose)

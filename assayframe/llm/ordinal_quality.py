@@ -171,12 +171,9 @@ def _cuts(free: np.ndarray) -> np.ndarray:
 def training_rows(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """places and grade of at most ``sample`` rated documents of (doc_id, text)."""
     rated = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL")
-    chosen = (
-        rated.groupBy("doc_id")
-        .agg(F.min("grade").cast("int").alias("grade"))
-        .orderBy(F.xxhash64(F.lit("rated"), "doc_id"), "doc_id")
-        .limit(sample)
-    )
+    graded = rated.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
+    draw = F.xxhash64(F.lit("rated"), "doc_id")
+    chosen = common.first_drawn(graded, draw, graded.count(), sample, "doc_id")
     # no more than ``sample`` rows of two numbers
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     once = joined.dropDuplicates(["doc_id"])

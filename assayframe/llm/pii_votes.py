@@ -294,8 +294,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> SpanModel:
         counts[r["kind"]][r["signs"]] = r["n"]
     chances = {k: reliabilities(c)[0] for k, c in counts.items()}
     draw = F.xxhash64(F.lit("sample"), "doc_id", "kind", "start")
-    chosen = rows.select("kind", "signs", "places", draw.alias("draw"))
-    chosen = chosen.orderBy("draw", "kind", "signs").limit(sample).collect()
+    total = sum(sum(c.values()) for c in counts.values())
+    chosen = common.first_drawn(rows, draw, total, sample, "kind", "signs").collect()
     target = np.array([chances[r["kind"]][r["signs"]] for r in chosen])
     return SpanModel(fit_classifier([r["places"] for r in chosen], target), chances)
 
