@@ -132,14 +132,32 @@ def test_a_file_that_is_gone_does_not_stop_the_others(spark, folder):
     assert ingest.ingest_directory(spark, str(alone), "I").status == "failed"
 
 
-def test_a_byte_order_mark_is_no_text(spark, tmp_path):
-    (tmp_path / "m.txt").write_bytes(b"\xef\xbb\xbf" + PLAIN.encode())
-    store = empty_store(spark)
-    found = []
-    for limit in (10, parse.LARGE_BYTES):
-        done = parse.parse_directory(spark, str(tmp_path), store, large_bytes=limit)
-        found.append((done.files_success, done.measurements_inserted))
-    assert found[0] == found[1] and found[0][0] == 1 and found[0][1] > 0
+@pytest.fixture(scope="module")
+def both_readers(spark, tmp_path_factory):
+    """The folder of a parse job, and its report with nearly all files read as lines or as texts."""
+    root = tmp_path_factory.mktemp("jobs")
+    files = {
+        "a.txt": PLAIN,
+        "b.TXT": MS,
+        "n.txt": NMR,
+        "later.txt": PLAIN + "#OTHER_START\nSamples\tq1\tq2\n#END\n",
+        "w.txt": PLAIN.replace("ST000001", "ST7").replace("Lactate", "Odd\tabout 3\t2\nLactate"),
+        "mark.txt": "\ufeff" + PLAIN.replace("ST000001", "ST8"),
+    }
+    for name, text in files.items():
+        (root / name).write_text(text, encoding="utf-8")
+    limits = (100, parse.LARGE_BYTES)
+    return str(root), [
+        parse.parse_directory(spark, str(root), empty_store(spark), large_bytes=n) for n in limits
+    ]
+
+
+def test_a_byte_order_mark_is_no_text(both_readers):
+    _, reports = both_readers
+    for done in reports:
+        assert (done.files_total, done.files_success) == (6, 6)
+        cells = done.changes.parsed.measurements
+        assert cells.where("study_id = 'ST8'").count() == cells.where("study_id = 'ST7'").count() - 2
 
 
 def test_lines_keep_their_numbers_when_splits_change(spark, tmp_path):
@@ -160,39 +178,32 @@ def test_lines_keep_their_numbers_when_splits_change(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_stream_and_batch_take_the_same_layouts(spark, folder):
-    root, put = folder
-    put("n.txt", NMR)
-    put("later.txt", PLAIN + "#OTHER_START\nSamples\tq1\tq2\n#END\n")
+def test_stream_and_batch_take_the_same_layouts(spark, both_readers):
+    root, reports = both_readers
     texts = source.read_texts(spark, root)
-    wanted = {
-        r.file_id: r.layout
-        for r in texts.select("file_id", mwtab.layout_by_markers(F.col("content")).alias("layout")).collect()
-        if r.layout
-    }
+    layout = mwtab.layout_by_markers(F.col("content")).alias("layout")
+    wanted = {r.file_id: r.layout for r in texts.select("file_id", layout).collect()}
     assert {pathlib.Path(f).name: x for f, x in wanted.items()} == {
         "a.txt": "mwtab",
-        "copy of a.txt": "mwtab",
         "later.txt": "mwtab",
+        "w.txt": "mwtab",
+        "mark.txt": "mwtab",
         "b.TXT": "mwtab_ms",
         "n.txt": "mwtab_nmr_binned",
     }
     lines = source.types_of_lines(source.numbered_lines(spark, root)).collect()
-    assert {r.file_id: r.layout for r in lines if r.layout} == wanted
-    for limit in (100, parse.LARGE_BYTES):
-        done = parse.parse_directory(spark, root, empty_store(spark), large_bytes=limit)
+    assert {r.file_id: r.layout for r in lines} == wanted
+    for done in reports:
         cells = done.changes.parsed.measurements.select("file_id", "layout").distinct().collect()
         assert {r.file_id: r.layout for r in cells} == wanted
         names = {r.name_raw for r in done.changes.new_features.collect()}
         assert not {n for n in names if n.lower() == "factors"}
 
 
-def test_warnings_of_jobs(spark, folder):
-    root, put = folder
-    put("w.txt", PLAIN.replace("ST000001", "ST7").replace("Lactate", "Odd\tabout 3\t2\nLactate"))
+def test_warnings_of_jobs(both_readers):
+    _, reports = both_readers
     found = []
-    for limit in (100, parse.LARGE_BYTES):
-        done = parse.parse_directory(spark, root, empty_store(spark), large_bytes=limit)
+    for done in reports:
         rows = done.warnings.where(F.endswith("file_id", F.lit("w.txt")))
         found.append(sorted((r.kind, r.text) for r in rows.collect()))
         assert done.warnings_count == done.warnings.count()
