@@ -7,8 +7,9 @@ itself. A shard is cut into as many buckets as its expected bytes ask for. Secon
 is put in key order and then shuffled (Fisher-Yates, Spark's ``shuffle``) with a seed of its own. A
 record's slot is its place in the bucket after the records of the shard's earlier buckets.
 
-A bucket holds what ``payload`` asks for, so a digest moves no texts. The result does not depend on
-how tasks were cut, so a task that runs again gives what it gave before.
+A bucket holds what ``payload`` asks for. The query shuffles and writes whole records and takes its
+digest from what was written. The result does not depend on how tasks were cut, so a task that runs
+again gives what it gave before.
 
 Keys should be unique: rows with one key share a bucket, a null key is a key like any other. Null
 texts have no bytes. Repeated rows get a slot each. An empty table gives an empty result.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from assayframe.llm import common
+from assayframe.session import shared_folder
 
 SHARDS = 24
 SEED = 20_240_607
@@ -109,39 +111,46 @@ def _orders(sizes: DataFrame, buckets: int, seed: int) -> DataFrame:
     )
 
 
-def digests(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of documents (doc_id, text)."""
-    text = F.coalesce("text", F.lit(""))
+def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """The whole records of documents as a folder for each shard, read back from there.
+
+    Files are in slot order and hold whole buckets, so the records move once. Shard and slot are
+    the last two columns; they take other names where documents have such columns.
+    """
+    shard, slot = common.free_name(docs, "shard"), common.free_name(docs, "slot")
     records = docs.select(
         "doc_id",
         (text_bytes(F.col("text")) + RECORD_BYTES).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.struct(*docs.columns).alias("record"),
     )
     out = shuffled(
-        records, key="doc_id", size="size", payload=records.columns, shards=shards, seed=seed
+        records, key="doc_id", size="size", payload=["record"], shards=shards, seed=seed
     )
-    return out.select(
+    placed = out.select("record.*", F.col("slot").alias(slot), F.col("shard").alias(shard))
+    placed.sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
+    back = docs.sparkSession.read.schema(placed.schema).parquet(path)
+    return back.select(*docs.columns, shard, slot)
+
+
+def digests(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of documents (doc_id, text).
+
+    All of them are taken from the records that ``write_shards`` wrote.
+    """
+    path = shared_folder(docs.sparkSession, "shards")
+    written = write_shards(docs, path, shards=shards, seed=seed)
+    shard, slot = written.columns[-2:]
+    text = F.coalesce("text", F.lit(""))
+    return written.select(
         "doc_id",
-        "size",
-        "text_crc32",
+        (text_bytes(F.col("text")) + RECORD_BYTES).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
-        "shard",
-        F.col("slot").cast("long"),
+        F.col(shard).alias("shard"),
+        F.col(slot).cast("long").alias("slot"),
         grown_shard_of(F.col("doc_id"), shards, seed).alias("grown_shard"),
     )
 
 
-def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS, seed: int = SEED) -> None:
-    """The whole records of documents as a folder for each shard, in slot order in every file."""
-    size = common.free_name(docs, "_size")
-    sized = docs.withColumn(size, text_bytes(F.col("text")) + RECORD_BYTES)
-    out = shuffled(
-        sized, key="doc_id", size=size, payload=docs.columns, shards=shards, seed=seed
-    )
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard"
-    ).parquet(path)
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(common.documents(spark, sf_dir, "doc_id", "text"))
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -88,3 +88,18 @@ def test_write_keeps_whole_records_in_order(spark, edge_docs, tmp_path):
     assert sorted(str(r["text"]) for r in back.collect()) == sorted(
         str(r["text"]) for r in edge_docs.collect()
     )
+
+
+def test_query_digests_what_was_written(spark, sf_dir, given, tmp_path, monkeypatch):
+    monkeypatch.setattr(es, "shared_folder", lambda spark, purpose: str(tmp_path / purpose), raising=False)
+    rows = es.query(spark, sf_dir).collect()
+    written = spark.read.parquet(str(tmp_path / "shards"))
+    found = {r["doc_id"]: r for r in written.collect()}
+    assert found.keys() == given.keys()
+    for r in rows:
+        record = found[r["doc_id"]]
+        assert (record["shard"], record["slot"]) == (r["shard"], r["slot"])
+        assert all(record[c] == given[r["doc_id"]][c] for c in given[r["doc_id"]].asDict())
+    for file in (tmp_path / "shards").glob("*/*.parquet"):
+        slots_of_file = [r["slot"] for r in spark.read.parquet(str(file)).collect()]
+        assert slots_of_file == sorted(slots_of_file)
