@@ -7,8 +7,10 @@ every group and octave of length. A group is the language where it is a known on
 that most letters have.
 
 Bands come from all documents: the median of the distinct measurements, so that copies count once,
-and so many robust deviations around it. An octave with few documents has the bands of its whole
-group, but for entropy, which grows with length; a group with few documents rejects nothing. Plain counts of words, symbols and repeats come with the figures.
+and so many robust deviations around it. An octave with few documents is pooled with its neighbours,
+2, 4, 8 and then all octaves; a group with few documents has the bands of its script, a script with
+few those of all documents, however few these are. So every document is judged on all three figures.
+Plain counts of words, symbols and repeats come with the figures.
 
 A null text is an empty one: it has no words and fails the base rule. A null language is an
 unknown one. Repeated rows are each judged. An empty table gives an empty result.
@@ -32,6 +34,7 @@ from assayframe.llm import common, pieces
 WINDOW = 8
 SEPARATORS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+WIDTHS = (0, 1, 2, 3, 5)  # octaves are pooled by 1, 2, 4 and 8, then all 32
 #: Languages with bands of their own; a bounded list, so that the table of bands is small.
 LANGUAGES = tuple(
     "ar bg bn ca cs da de el en es et fa fi fr he hi hr hu id it ja ko lt lv ms nl no pl pt ro ru "
@@ -171,15 +174,28 @@ def octave_of(n_tokens: Column) -> Column:
     return F.floor(F.log2(F.greatest(n_tokens, F.lit(1)))).cast("int")
 
 
-def bands_of(measures: DataFrame, keys: list[str], bands: Bands) -> DataFrame:
-    """A struct ``band`` of limits of every figure for each of the keys, group or group and octave.
+def _wider(group: Column, script: Column) -> Column:
+    """The pools of a document, narrowest first: its group, its script, all."""
+    return F.array(group, F.concat(F.lit("any "), script), F.lit("all"))
 
-    At most as many rows as there are groups times octaves, both fixed.
+
+def pools_of(measures: DataFrame, bands: Bands) -> DataFrame:
+    """n and a struct ``band`` of limits of every figure for each pool, width and bin of octaves.
+
+    At most as many rows as there are pools times octaves times widths, all fixed.
     """
     figures = ["per_token", "byte_share", "entropy"]
-    once = measures.where("n_tokens > 0").dropDuplicates([*keys, "n_tokens", *figures])
+    pooled = measures.where("n_tokens > 0").select(
+        F.explode(_wider(F.col("group"), F.col("script"))).alias("pool"), "octave", "n_tokens", *figures
+    )
+    once = pooled.dropDuplicates(["pool", "n_tokens", *figures])
     quarters = [F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f) for f in figures]
-    stats = once.groupBy(*keys).agg(F.count("*").alias("n"), *quarters)
+    binned = once.select("*", F.explode(F.array(*map(F.lit, WIDTHS))).alias("width"))
+    stats = (
+        binned.withColumn("bin", F.expr("shiftright(octave, width)"))
+        .groupBy("pool", "width", "bin")
+        .agg(F.count("*").alias("n"), *quarters)
+    )
 
     def half(figure: str, least: float) -> Column:
         spread = (F.col(figure)[2] - F.col(figure)[0]) / 1.349
@@ -193,7 +209,25 @@ def bands_of(measures: DataFrame, keys: list[str], bands: Bands) -> DataFrame:
         (F.col("entropy")[1] - entropy).alias("low_entropy"),
         (F.col("entropy")[1] + entropy).alias("high_entropy"),
     )
-    return stats.where(F.col("n") >= bands.least_docs).select(*keys, limits.alias("band"))
+    return stats.select("pool", "width", "bin", "n", limits.alias("band"))
+
+
+def bands_of(measures: DataFrame, bands: Bands) -> DataFrame:
+    """A struct ``band`` for every group, script and octave: that of the narrowest pool with
+    enough documents, at last that of all documents, however few."""
+    asked = measures.select("group", "script", "octave").distinct()
+    steps = (
+        asked.select("*", F.posexplode(_wider(F.col("group"), F.col("script"))).alias("far", "pool"))
+        .select("*", F.explode(F.array(*map(F.lit, WIDTHS))).alias("width"))
+        .withColumn("bin", F.expr("shiftright(octave, width)"))
+    )
+    last = (F.col("pool") == "all") & (F.col("width") == WIDTHS[-1])
+    found = steps.join(F.broadcast(pools_of(measures, bands)), ["pool", "width", "bin"])
+    return (
+        found.where((F.col("n") >= bands.least_docs) | last)
+        .groupBy("group", "script", "octave")
+        .agg(F.min_by("band", F.struct("far", "width")).alias("band"))
+    )
 
 
 def judged(docs: DataFrame, payload: list[str], bands: Bands | None = None) -> DataFrame:
@@ -210,17 +244,15 @@ def judged(docs: DataFrame, payload: list[str], bands: Bands | None = None) -> D
         octave_of(F.col("m.n_tokens")).alias("octave"),
     )
     found = common.settled(found, "measures")
-    figures = found.select("group", "octave", "m.*")
-    # one row for each known group and octave, see bands_of
-    by_octave = F.broadcast(bands_of(figures, ["group", "octave"], bands))
-    by_group = F.broadcast(bands_of(figures, ["group"], bands).withColumnRenamed("band", "wide"))
-    banded = found.join(by_octave, ["group", "octave"], "left").join(by_group, "group", "left")
-    m, own = F.col("m"), F.coalesce("band", "wide")
+    found = found.withColumn("script", F.col("m.script"))
+    # one row for each known group, script and octave, see pools_of
+    own = F.broadcast(bands_of(found.select("group", "octave", "m.*"), bands))
+    banded = found.join(own, ["group", "script", "octave"], "left")
+    m, own = F.col("m"), F.col("band")
     more = bands.short_tokens / F.greatest(m["n_tokens"], F.lit(1))
-    entropy = m["entropy"].between(F.col("band.low_entropy") - more, F.col("band.high_entropy") + more)
     inside = (
         m["per_token"].between(own["low_per_token"] - more, own["high_per_token"] + more)
-        & F.coalesce(entropy, F.lit(True))
+        & m["entropy"].between(own["low_entropy"] - more, own["high_entropy"] + more)
         & (m["byte_share"] <= own["high_bytes"] + more / 10)
     )
     failed = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
@@ -228,7 +260,8 @@ def judged(docs: DataFrame, payload: list[str], bands: Bands | None = None) -> D
         "payload",
         "m",
         failed.alias("base_failed"),
-        (~failed & F.coalesce(inside, F.lit(True))).alias("kept"),
+        # without limits, where no text has tokens, all have failed
+        (~failed & inside).alias("kept"),
     )
 
 

@@ -92,6 +92,30 @@ def test_bands_reject_scraps_and_keep_clean_texts(spark, given):
     assert not any(found[i] for i in range(400, 420))
 
 
+def test_thin_groups_and_octaves_are_judged(spark, given):
+    """Junk in a rare language, in an octave of its own, or in a small table."""
+    draw = random.Random(8)
+    sp = common.processor(common.model_path())
+    words = sorted({w for r in given.values() if r["lang"] == "en" for w in r["text"].split()})
+
+    def clean():
+        return " ".join(draw.choices(words, k=300))
+
+    def per_token(some):
+        return sum(len(w) + 1 for w in some) / sum(len(sp.encode(w)) for w in some)
+
+    junk = [" ".join("".join(draw.choices("qxzjkvw", k=9)) for _ in range(200)) for _ in range(3)]
+    few = min((draw.sample(words, 6) for _ in range(300)), key=lambda s: abs(per_token(s) - per_token(words)))
+    dull = " ".join(draw.choices(few, k=6_000))  # cut as others are, but of six words
+    for n in (300, 30):
+        rows = [(i, clean(), "en") for i in range(n)] + [(n, dull, "en")]
+        rows += [(n + 1 + i, text, "sv") for i, text in enumerate(junk)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        found = {r["doc_id"]: r for r in fertility.rules(docs).collect()}
+        assert all(found[i]["kept"] for i in range(n))
+        assert not any(found[i]["kept"] or found[i]["base_failed"] for i in range(n, n + 4))
+
+
 def test_rules_on_edge_rows(edge_docs, no_docs):
     rows = fertility.rules(edge_docs).collect()
     assert len(rows) == edge_docs.count()
