@@ -3,7 +3,8 @@
 Each source has a budget of words. Whole passes over the source use up most of it; what remains is
 less than the source holds. Documents are counted by their exact length, and each length first
 gives its share of the remaining budget. Then longest documents first, as far as they fit, and a
-bounded knapsack over the counts that are left finds the sum nearest to the rest. The result is a
+bounded knapsack over the counts that are left finds the sum nearest to the rest. A rest above its
+size is brought below by several documents of a length, or by a very long one for shorter ones. The result is a
 number of documents for each length of a source, and that many are chosen by a seeded hash.
 
 Counts by length travel, never documents: a source of any size is a short table of lengths. Which
@@ -17,6 +18,8 @@ says. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,11 +113,53 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             rest -= int(lengths[i])
     if rest <= KNAPSACK:
         return taken + nearest_sum(lengths, counts - taken, rest)
-    over = (counts > taken) & (lengths < 2 * rest)  # documents of this size only
-    if over.any():
-        best = np.argmin(np.where(over, np.abs(lengths - rest), np.iinfo(np.int64).max))
-        taken[best] += 1
-    return taken
+    best, gap = taken, rest
+    for tried, left in _near(lengths, counts, taken, rest):
+        if 0 <= left <= KNAPSACK:
+            tried = tried + nearest_sum(lengths, counts - tried, left)
+        off = abs(budget - int((tried * lengths).sum()))
+        if off < gap:
+            best, gap = tried, off
+        if gap < min(SHORT, lengths.min()):
+            break
+    return best
+
+
+def _moved(
+    lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int
+) -> tuple[np.ndarray, int]:
+    """``taken`` with more documents, or for a negative rest fewer, and the rest then.
+
+    Several of a length, longest first, until about a quarter of KNAPSACK is left to choose in.
+    """
+    taken, aim = taken.copy(), KNAPSACK // 4
+    for i in np.argsort(-lengths, kind="stable"):
+        length = int(lengths[i])
+        if rest > aim:
+            many = min(int(counts[i] - taken[i]), (rest - aim) // length)
+        elif rest < 0:
+            many = -min(int(taken[i]), (aim - rest) // length)
+        else:
+            break
+        taken[i] += many
+        rest -= many * length
+    return taken, rest
+
+
+def _near(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int) -> Iterator[tuple]:
+    """Ways to a rest that the knapsack takes on: several documents more, and where only very long
+    ones are left, one of these for shorter ones, or one that is taken for others."""
+    more, left = _moved(lengths, counts, taken, rest)
+    yield more, left
+    unit = np.eye(1, len(lengths), dtype=np.int64)[0]
+    for i in np.argsort(np.abs(lengths - left), kind="stable"):
+        if counts[i] > more[i]:
+            one = more + np.roll(unit, i)
+            yield one, left - int(lengths[i])
+            yield _moved(lengths, counts, one, left - int(lengths[i]))
+    for i in np.argsort(-lengths, kind="stable"):
+        if more[i]:
+            yield _moved(lengths, counts, more - np.roll(unit, i), left + int(lengths[i]))
 
 
 def _fit_source(group: pd.DataFrame) -> pd.DataFrame:

@@ -67,6 +67,25 @@ def test_fit_reaches_large_budgets():
     assert few.tolist() == [3]
 
 
+def test_fit_with_few_lengths_and_very_long_documents():
+    for lengths, counts, budget in (
+        ([100, 200_000], [3_000, 1], 250_000),  # several of one length
+        ([1_000, 400_000], [100, 1], 450_000),  # the long one for shorter ones
+    ):
+        lengths, counts = np.array(lengths), np.array(counts)
+        taken = mix.fit(lengths, counts, budget)
+        assert (0 <= taken).all() and (taken <= counts).all()
+        assert int(taken @ lengths) == budget
+    draw = random.Random(4)
+    for _ in range(300):
+        lengths = np.array(sorted(draw.sample(range(50_000, 400_000), 3)))
+        counts = np.array([draw.randint(1, 4) for _ in lengths])
+        budget = draw.randint(1, int(lengths @ counts) - 1)
+        taken = mix.fit(lengths, counts, budget)
+        assert (0 <= taken).all() and (taken <= counts).all()
+        assert abs(int(taken @ lengths) - budget) <= int(lengths.max()) // 2
+
+
 def check(rows, given):
     """given: doc_id -> (text, source), rows of the operator with the same documents."""
     sizes, taken = defaultdict(int), defaultdict(int)
