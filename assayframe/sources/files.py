@@ -187,6 +187,15 @@ def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
 
 
+def read_every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contents of files, one at a time; one that cannot be read is an error."""
+    for batch in batches:
+        for path in batch["path"]:
+            system, inside, _ = _place(path)
+            with system.open_input_stream(inside) as stream:
+                yield pd.DataFrame({"path": [path], "content": [stream.read()]})
+
+
 def read_files(
     spark: SparkSession,
     root: str | list[str],

@@ -6,16 +6,21 @@ its checkpoint, and what is stored decides about repeats when the merge runs.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assayframe.functions.text import drop_bad_utf8, without_mark
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import LAYOUTS
-from assayframe.sources.files import path_of_uri
+from assayframe.sources.files import listing, path_of_uri, read_every, relative_path
+from assayframe.sources.tables import settle
+
+PATHS = "path string"
 
 
 def stream_texts(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
@@ -33,6 +38,46 @@ def stream_texts(spark: SparkSession, root: str, max_files: int = 10_000) -> Dat
     )
 
 
+def _unseen(listed: DataFrame, root: str) -> Column:
+    """Which listed files Spark's index leaves out: by a name below the root with "." or "_" in
+    front, but for names with "=" and Parquet's own, which it takes."""
+    below = relative_path(F.col("path"), re.sub("^file:/+", "/", root))
+    return F.col("hidden") & F.coalesce(below, F.col("path")).rlike(
+        r"(^|/)(\.|_(?!metadata|common_metadata)[^/=]*(/|$))"
+    )
+
+
+def take_hidden(spark: SparkSession, root: str, taken: str, max_files: int = 10_000) -> None:
+    """Append the paths of hidden files that the table ``taken`` does not have yet.
+
+    A file that is named but cannot be found is left for a later run.
+    """
+    listed = listing(spark, root)
+    new = listed.where(_unseen(listed, root) & F.col("size_bytes").isNotNull()).select("path")
+    try:
+        new = settle(new.join(spark.read.schema(PATHS).parquet(taken), "path", "left_anti"), "hidden")
+        if new.isEmpty():
+            return
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new.repartition(1).write.option("maxRecordsPerFile", max_files).mode("append").parquet(taken)
+
+
+def stream_hidden_texts(spark: SparkSession, taken: str) -> DataFrame:
+    """(file_id, content) of the files whose paths ``take_hidden`` wrote; a micro-batch takes one
+    file of paths. A file that cannot be read is an error, as in ``stream_texts``."""
+    paths = spark.readStream.schema(PATHS).option("maxFilesPerTrigger", 1).parquet(taken)
+    tasks = spark.sparkContext.defaultParallelism
+    read = paths.repartition(tasks, "path").mapInPandas(
+        read_every, "path string, content binary"
+    )
+    return read.select(
+        F.col("path").alias("file_id"),
+        without_mark(drop_bad_utf8(F.col("content"))).alias("content"),
+    )
+
+
 def parsed_stream(texts: DataFrame) -> DataFrame:
     """Cells of every file, by the layout its section markers show."""
     typed = texts.withColumn("layout", mwtab.layout_by_markers(F.col("content")))
@@ -59,7 +104,14 @@ def append_available(rows: DataFrame, table: str, checkpoint: str) -> StreamingQ
 
 
 def ingest_available(spark: SparkSession, root: str, table: str, checkpoint: str) -> DataFrame:
-    """Parse the new files below ``root`` into ``table`` and return the table."""
-    query = append_available(parsed_stream(stream_texts(spark, root)), table, checkpoint)
+    """Parse the new files below ``root`` into ``table`` and return the table.
+
+    Hidden files come by a list of their paths, kept with the checkpoint, and a second source of the
+    same query; a checkpoint written with one source does not go on with two.
+    """
+    taken = f"{checkpoint.rstrip('/')}/hidden"
+    take_hidden(spark, root, taken)
+    texts = stream_texts(spark, root).unionByName(stream_hidden_texts(spark, taken))
+    query = append_available(parsed_stream(texts), table, checkpoint)
     query.awaitTermination()
     return spark.read.parquet(table)

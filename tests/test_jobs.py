@@ -319,6 +319,30 @@ def test_incremental_ingest(spark, tmp_path):
     assert {r.layout: r["count"] for r in run().collect()} == first | {"mwtab_nmr_binned": 3}
 
 
+def test_incremental_ingest_takes_hidden_files_once(spark, tmp_path):
+    inbox, table, log = (str(tmp_path / n) for n in ("inbox", "table", "log"))
+
+    def put(name, text):
+        file = tmp_path / "inbox" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text)
+
+    def run():
+        rows = incremental.ingest_available(spark, inbox, table, log).groupBy("file_id").count()
+        return {r.file_id.removeprefix(f"{inbox}/"): r["count"] for r in rows.collect()}
+
+    put("p.txt", PLAIN)
+    assert run() == {"p.txt": 4}
+    for name in ("_p.txt", ".dir/m.txt", "_dir/deep/p.txt", "_k=v/p.txt"):
+        put(name, MS if name.endswith("m.txt") else PLAIN)
+    (tmp_path / "inbox" / ".gone").symlink_to(tmp_path / "nowhere")
+    wanted = {"p.txt": 4, "_p.txt": 4, ".dir/m.txt": 9, "_dir/deep/p.txt": 4, "_k=v/p.txt": 4}
+    assert run() == wanted
+    assert run() == wanted
+    put(".n.txt", NMR)
+    assert run() == wanted | {".n.txt": 3}
+
+
 def star_tables(spark):
     at = datetime.datetime(2024, 1, 2, 3, 4, 5, 600, tzinfo=datetime.timezone.utc)
     make = spark.createDataFrame
