@@ -8,10 +8,13 @@ from assayframe.llm import (
     external_shuffle,
     fertility,
     lz_fingerprint,
+    mixture_packing,
     ordinal_quality,
+    phrase_mining,
     piece_codec,
     pii_votes,
     prefix_counts,
+    prefix_trie,
     url_filter,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_ordinal_quality": ordinal_quality.query,
     "op9_url_filter": url_filter.query,
     "op10_chosen_path": chosen_path.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_phrase_mining": phrase_mining.query,
+    "op13_mixture_packing": mixture_packing.query,
 }
 
 ORACLES: dict[str, str] = {"op9_url_filter": url_filter.SQL}
