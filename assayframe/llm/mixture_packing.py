@@ -1,14 +1,16 @@
 """Packing documents into windows at target token proportions by deficit round-robin (operator 13).
 
 Every source is a queue of its documents, in the order of a seeded hash. In each round a queue
-earns its quantum, the target share of a window's tokens, and sends as many grains of tokens as its
-credit covers; what is left of the credit is its deficit, which the next round adds to. A queue that
-is empty sends no more, and the others go on. Windows are cut from the stream of all rounds, so a
-window holds each source at its share up to one grain, and is full. What the last window lacks is
-cut into windows of powers of two, so nothing is padded at all.
-
-After r rounds a queue has sent ``min(tokens, grain * floor(r * quantum / grain))``. So a task knows
-all deficits at any round from the round's number, and finds the place of its documents without
+earns its quantum, the target share of a window's tokens, and sends the whole tokens that its credit
+covers; what is left of the credit is its deficit, which the next round adds to. A source whose quantum
+is below LEAST tokens waits until it can send as many. A queue that is empty sends no more, and the
+others go on. Windows are cut from the stream of all rounds and are full. A round is short of a
+window by the deficits, at most a token for each source (LEAST for a small one), so a window holds each
+source at its share up to that. What the last window lacks is cut into windows of powers of two,
+so nothing is padded at all.
+
+After r rounds a queue has sent ``min(tokens, grain * floor(r * quantum / grain))``, where the grain is
+one token, or LEAST. So a task knows all deficits at any round from the round's number, and finds the place of its documents without
 the windows before them: deficits carry over windows and partitions by this sum, not by a message.
 
 Documents are spread by (source, hash) ranges and encoded once; the ids are written, with each
@@ -41,7 +43,7 @@ from assayframe.llm import common
 VOCABULARY = "byte_bpe_50k"
 END = 0
 WINDOW = 1024
-GRAIN = 32
+LEAST = 16  # tokens that a small source sends at a time
 SEED = 9_176
 POINT = 16  # binary places of a quantum
 SPECIAL = "<|endoftext|>"
@@ -140,7 +142,7 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY, seed: int = SEED) ->
 class RoundRobin:
     """What each queue has sent after any number of rounds."""
 
-    def __init__(self, tokens: Mapping[str, int], weights: Mapping[str, float], window: int, grain: int):
+    def __init__(self, tokens: Mapping[str, int], weights: Mapping[str, float], window: int, least: int):
         self.names = sorted(tokens)
         self.place = {name: i for i, name in enumerate(self.names)}
         self.tokens = np.array([tokens[name] for name in self.names], np.int64)
@@ -149,19 +151,22 @@ class RoundRobin:
             raise ValueError("weights must be above zero")
         exact = share / share.sum() * window * (1 << POINT)
         self.quantum = np.maximum(1, np.rint(exact)).astype(np.int64)
-        self.grain = grain
+        #: queues that send something in each round
+        self.steady = self.quantum >= least << POINT
+        self.grain = np.where(self.steady, 1, least)
         self.window = window
         self.total = int(self.tokens.sum())
         #: the round after which a queue is empty
-        self.dry = -(-(-(-self.tokens // grain) * grain << POINT) // self.quantum)
+        whole = -(-self.tokens // self.grain) * self.grain
+        self.dry = -(-(whole << POINT) // self.quantum)
 
     def sent(self, queue: np.ndarray, rounds: np.ndarray) -> np.ndarray:
         earned = np.minimum(rounds, self.dry[queue]) * self.quantum[queue] >> POINT
-        return np.minimum(self.tokens[queue], earned // self.grain * self.grain)
+        return np.minimum(self.tokens[queue], earned // self.grain[queue] * self.grain[queue])
 
     def round_of(self, queue: np.ndarray, token: np.ndarray) -> np.ndarray:
         """The round that sends a token, by its place in the queue."""
-        needed = (token // self.grain + 1) * self.grain << POINT
+        needed = (token // self.grain[queue] + 1) * self.grain[queue] << POINT
         return -(-needed // self.quantum[queue]) - 1
 
     def start(self, queue: np.ndarray, rounds: np.ndarray) -> np.ndarray:
@@ -195,20 +200,17 @@ def pieces_of(
 
     Returns row, start in the document, length, sequence and offset, in order of row and start.
     """
-    # a piece for each grain, joined again where the stream goes on with the next
-    g = robin.grain
-    grains = (first + n - 1) // g - first // g + 1
-    row, inside = _expand(grains)
-    low = np.maximum(first[row], (first[row] // g + inside) * g)
-    high = np.minimum((first + n)[row], (first[row] // g + inside + 1) * g)
-    q = queue[row]
-    rounds = robin.round_of(q, low)
-    # a round's start is worked out once for each run of grains that it sends
-    fresh = np.ones(len(row), bool)
-    fresh[1:] = (rounds[1:] != rounds[:-1]) | (q[1:] != q[:-1])
-    run = np.cumsum(fresh) - 1
-    start = robin.start(q[fresh], rounds[fresh]) - robin.sent(q[fresh], rounds[fresh])
-    at = start[run] + low
+    # what each round sends of a document; of a small source, each grain
+    end, steady, grain = first + n, robin.steady[queue], robin.grain[queue]
+    low = np.where(steady, robin.round_of(queue, first), first // grain)
+    high = np.where(steady, robin.round_of(queue, end - 1), (end - 1) // grain)
+    row, inside = _expand(high - low + 1)
+    q, g, number = queue[row], grain[row], low[row] + inside
+    rounds = np.where(steady[row], number, robin.round_of(q, number * g))
+    sent = robin.sent(q, rounds)
+    low = np.maximum(first[row], np.where(steady[row], sent, number * g))
+    high = np.minimum(end[row], np.where(steady[row], robin.sent(q, rounds + 1), (number + 1) * g))
+    at = robin.start(q, rounds) - sent + low
     # cut at windows, and behind the last full one at its powers of two
     tail = robin.cuts()
     full = int(tail[0])
@@ -241,7 +243,7 @@ def pack(
     *,
     weights: Mapping[str | None, float] | None = None,
     window: int = WINDOW,
-    grain: int = GRAIN,
+    least: int = LEAST,
     vocabulary: str = VOCABULARY,
     seed: int = SEED,
 ) -> DataFrame:
@@ -259,7 +261,7 @@ def pack(
         tokens,
         {key: given.get(key, 1.0) if weights is not None else n for key, n in tokens.items()},
         window,
-        grain,
+        least,
     )
     earlier = (
         Window.partitionBy("source_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -46,7 +46,7 @@ def test_ids_are_those_of_the_library(library):
 
 
 def test_edges(spark, edge_docs, library):
-    rows = pack(edge_docs, window=64, grain=8).collect()
+    rows = pack(edge_docs, window=64, least=8).collect()
     checked(rows, 64)
     docs = [r for r in edge_docs.collect()]
     wanted = sorted(zlib.crc32(np.array(ids_of(library, d["text"]), "<u4").tobytes()) for d in docs)
@@ -83,7 +83,7 @@ def test_query_on_the_given_table(spark, sf_dir, given, library):
             assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(part))
             at += r["length"]
         assert at == len(ids)
-    # each full window has every source at its share, up to a grain
+    # each full window has every source at its share, up to the deficits at its two ends
     tokens = {}
     for r in rows:
         source = given[r["doc_id"]]["source"]
@@ -95,7 +95,7 @@ def test_query_on_the_given_table(spark, sf_dir, given, library):
             for r in held:
                 mix[given[r["doc_id"]]["source"]] += r["length"]
             for source, n in mix.items():
-                assert abs(n - 1024 * tokens[source] / total) <= 2 * mixture_packing.GRAIN
+                assert abs(n - 1024 * tokens[source] / total) <= 2 * len(tokens)
 
 
 def test_partitions_change_nothing(spark, sf_dir):
@@ -111,11 +111,12 @@ def test_partitions_change_nothing(spark, sf_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def played(tokens, quantum, grain):
+def played(tokens, quantum, grains):
     """The stream of deficit round-robin, played round by round: (queue, token) in order."""
     sent, credit, out = [0] * len(tokens), [0] * len(tokens), []
     while any(s < t for s, t in zip(sent, tokens, strict=True)):
         for i, t in enumerate(tokens):
+            grain = grains[i]
             credit[i] += quantum[i]
             while credit[i] >= grain << mixture_packing.POINT and sent[i] < t:
                 credit[i] -= grain << mixture_packing.POINT
@@ -124,11 +125,12 @@ def played(tokens, quantum, grain):
     return out
 
 
-@pytest.mark.parametrize("window, grain", [(64, 8), (32, 32), (128, 1), (16, 5)])
-def test_places_are_those_of_the_rounds_played(window, grain):
+@pytest.mark.parametrize("window, least", [(64, 8), (32, 32), (128, 1), (16, 5)])
+def test_places_are_those_of_the_rounds_played(window, least):
     tokens = {"a": 700, "b": 331, "c": 5, "d": 90}
-    robin = RoundRobin(tokens, {"a": 1.0, "b": 2.0, "c": 0.3, "d": 1.5}, window, grain)
-    stream = played([tokens[k] for k in robin.names], robin.quantum.tolist(), grain)
+    robin = RoundRobin(tokens, {"a": 1.0, "b": 2.0, "c": 0.3, "d": 1.5}, window, least)
+    queues = [tokens[k] for k in robin.names]
+    stream = played(queues, robin.quantum.tolist(), robin.grain.tolist())
     place = {t: i for i, t in enumerate(stream)}
     draw = np.random.default_rng(1)
     for queue, name in enumerate(robin.names):
