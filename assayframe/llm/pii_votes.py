@@ -21,9 +21,11 @@ base spans only, of which there are none.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,10 @@ KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 NUMBERS = {
-    "ip": re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
     "card": re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # holds the matches of ip, four groups of digits each
 DIGIT = re.compile(r"[0-9]")
 RUN = re.compile(r"[+0-9\x20().-]+")
 LOOSE_PHONE = re.compile(r"\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])")
@@ -88,7 +90,8 @@ def digits_of(text: str) -> str:
 def passes(kind: str, span: str) -> bool:
     """The checks of a base match."""
     if kind == "ip":
-        return all(int(p) <= 255 for p in span.split("."))
+        parts = [p.lstrip("0") for p in span.split(".")]
+        return all(len(p) < 3 or (len(p) == 3 and p <= "255") for p in parts)
     digits = digits_of(span)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits)
@@ -109,6 +112,37 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             yield start, ended
 
 
+def addresses(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Matches of ip: groups of digits between single dots, by fours from the left."""
+    for match in DOTTED.finditer(text, start, end):
+        groups = match.group().split(".")
+        at = match.start()
+        for i in range(0, len(groups) - 3, 4):
+            size = sum(map(len, groups[i : i + 4])) + 3
+            yield at, at + size
+            at += size + 1
+
+
+class Held:
+    """Intervals, and whether any of them overlaps another one."""
+
+    def __init__(self, intervals: Iterable[tuple[int, int]]):
+        known = sorted(intervals)
+        self.starts = [a for a, _ in known]
+        self.reach = list(accumulate((b for _, b in known), max))
+        self.added: list[tuple[int, int]] = []  # in order; none overlaps any other
+
+    def overlaps(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        if before and self.reach[before - 1] > start:
+            return True
+        before = bisect_left(self.added, (end,))
+        return before > 0 and self.added[before - 1][1] > start
+
+    def add(self, start: int, end: int) -> None:
+        insort(self.added, (start, end))
+
+
 def number_runs(text: str) -> Iterator[tuple[int, int]]:
     """Runs that hold all matches of the number patterns; no match reaches over a run's end."""
     at = 0
@@ -129,18 +163,17 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     for start, end in number_runs(text):
         if end - start < 7:
             continue
-        found = []
+        found = [("ip", a, b, passes("ip", text[a:b])) for a, b in addresses(text, start, end)]
         for kind, pattern in NUMBERS.items():
             for match in pattern.finditer(text, start, end):
                 span = match.group()
                 base = passes(kind, span)
                 if base or kind != "card" or len(digits_of(span)) >= 13:
                     found.append((kind, *match.span(), base))
-        taken = [(a, b) for _, a, b, _ in found]
+        taken = Held((a, b) for _, a, b, _ in found)
         for match in LOOSE_PHONE.finditer(text, start, end):
-            a, b = match.span()
-            if not any(a < d and c < b for c, d in taken):
-                found.append(("phone", a, b, False))
+            if not taken.overlaps(*match.span()):
+                found.append(("phone", *match.span(), False))
         out += found
     return out
 
@@ -173,7 +206,8 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> str:
         even = len(groups) == 1 or all(len(g) == 4 for g in groups[:-1])
         shape = _vote(even and 15 <= len(digits) <= 16, not even)
         known = _vote(digits[0] in "3456", digits[0] in "01789")
-        check = _vote(luhn(digits), not luhn(digits))
+        valid = luhn(digits)
+        check = _vote(valid, not valid)
     else:
         grouped = bool(re.search(r"[\x20().-]", span))
         shape = _vote(grouped and "  " not in span, "  " in span)
@@ -336,14 +370,14 @@ _SPANS = pa.list_(
 def spans_of(text: str, model: SpanModel, sure: float = SURE) -> list[tuple]:
     """(kind, start, end, base, probability) of a text, by kind and then start."""
     found, kept = candidates(text), []
-    held = [(a, b) for _, a, b, base in found if base]
+    held = Held((a, b) for _, a, b, base in found if base)
     for kind, start, end, base in found:
         signs = votes(text, kind, start, end, base)
         chance = model.probability(features(text, kind, start, end, signs))
         if not base:
-            if chance < sure or any(start < b and a < end for a, b in held):
+            if chance < sure or held.overlaps(start, end):
                 continue
-            held.append((start, end))
+            held.add(start, end)
         kept.append((kind, start, end, base, round(chance, 6)))
     return sorted(kept, key=lambda s: (KINDS.index(s[0]), s[1]))
 

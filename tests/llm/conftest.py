@@ -23,6 +23,7 @@ ROWS = [
     (8, "日本語のテキスト é ① \x00 ▁ ﬁ", "ja", "a"),
     (9, "one two", "en", "b"),
     (10, "one two", "en", "b"),
+    (11, "host 1.2.3." + "4" * 5000 + " or " + "9" * 5000, "en", "b"),
 ]
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -31,7 +32,8 @@ def plain_base(text):
             digits = re.sub("[^0-9]", "", m.group())
             good = {
                 "email": True,
-                "ip": all(int(p) <= 255 for p in m.group().split(".")) if kind == "ip" else True,
+                "ip": kind != "ip"
+                or all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")),
                 "card": 16 <= len(digits) <= 19 and plain_luhn(digits),
                 "phone": 8 <= len(digits) <= 15,
             }[kind]
@@ -56,6 +58,79 @@ def test_base_spans(given):
         assert sorted(found) == sorted(plain_base(text)), text
 
 
+def timed(text, model=pv.SpanModel()):
+    start = time.perf_counter()
+    spans = pv.spans_of(text, model)
+    assert time.perf_counter() - start < 2
+    return spans
+
+
+def test_long_runs_of_digits():
+    """No crash and no more than linear time, with the spans of the plain patterns."""
+    draw = random.Random(13)
+    million = "".join(draw.choices("0123456789", k=1_000_000))
+    for text in [
+        f"host {million} end",
+        f"host 1.2.3.{'4' * 5_000} and 1.2.{'0' * 5_000}3.4 and {'7' * 5_000}.1.2.3",
+        "1.2.3.4." * 10_000,
+        "4111111111111111 " * 500 + "+" + "1 " * 20_000,
+    ]:
+        found = [s[:3] for s in timed(text) if s[3]]
+        if text.startswith(f"host {million[:9]}"):
+            assert found == []
+        else:
+            assert sorted(found) == sorted(plain_base_of_long(text))
+    many = "555-123-4567 .. " * 50_000
+    sure = pv.SpanModel(np.full(pv.PLACES, 9.0))
+    start = time.perf_counter()
+    found = pv.candidates(many)
+    assert time.perf_counter() - start < 2 and len(found) >= 50_000
+    held = pv.Held([])
+    start = time.perf_counter()
+    for _, a, b, _ in found:
+        if not held.overlaps(a, b):
+            held.add(a, b)
+    assert time.perf_counter() - start < 2
+    assert len(pv.spans_of(many[:16_000], sure)) == 1_000
+
+
+def plain_base_of_long(text):
+    """plain_base, with numbers of any length, and without trying each digit of a long run."""
+    out = []
+    for kind, start, end in plain_matches(text):
+        digits = re.sub("[^0-9]", "", text[start:end])
+        if kind == "ip":
+            parts = [p.lstrip("0") or "0" for p in text[start:end].split(".")]
+            good = all(len(p) <= 3 and int(p) <= 255 for p in parts)
+        else:
+            good = 16 <= len(digits) <= 19 and plain_luhn(digits) if kind == "card" else 8 <= len(digits) <= 15
+        if good:
+            out.append((kind, start, end))
+    return out
+
+
+def plain_matches(text):
+    for kind in ("ip", "card", "phone"):
+        # a match begins where its first run of digits does: trying inside one finds no other
+        pattern = PLAIN[kind].replace("[0-9]+(", "(?<![0-9])[0-9]++(", 1) if kind == "ip" else PLAIN[kind]
+        for m in re.finditer(pattern, text):
+            yield kind, *m.span()
+
+
+def test_held_intervals():
+    draw = random.Random(14)
+    for _ in range(300):
+        base = [(a, a + draw.randint(1, 9)) for a in draw.choices(range(60), k=draw.randint(0, 6))]
+        held, added = pv.Held(base), list(base)
+        for _ in range(12):
+            a = draw.randrange(60)
+            b = a + draw.randint(1, 6)
+            assert held.overlaps(a, b) == any(a < d and c < b for c, d in added)
+            if not held.overlaps(a, b):
+                held.add(a, b)
+                added.append((a, b))
+
+
 def test_reliabilities_of_made_votes():
     """Labelers of known error rates on a known truth."""
     draw = np.random.default_rng(9)
