@@ -7,10 +7,12 @@ force. One tree finds a pair with some chance only, so trees are repeated until
 at the threshold reaches the target recall; pairs above it are found more surely.
 
 1. Equal sets become one row, with its number of copies.
-2. All trees run at once. Their first level is an exchange of (node, set) pairs. Nodes of one set
+2. Trees run at once. Their first level is an exchange of (node, set) pairs. Nodes of one set
    go. Nodes of up to TASK_SETS sets recurse inside a task. In larger ones a pivot is compared with
    all sets; what is nearly equal to it stays with it, the rest goes on to children in another
-   exchange. Comparisons use the MinHash values and a margin below the threshold.
+   exchange. Comparisons use the MinHash values and a margin below the threshold. A pair may be
+   lost at every level, so sets that went deeper than LEVELS get more trees, until there are
+   enough for the depth they were seen at.
 3. What comparisons hold together are candidate components. Brute force on the exact sets settles
    them, in blocks of bounded size: links are counted inside a task and never written as pairs.
    A component of several blocks is compared block by block.
@@ -26,8 +28,8 @@ table gives an empty result. Sets are known by 64-bit hashes of their content.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,8 @@ PIVOT_MARGIN = 0.35  # what a pivot holds together: neighbours of its near copie
 NEARLY_EQUAL = 0.85
 TASK_SETS = 20_000
 LEAF_SETS = 64
-DEEPEST = 64
+DEEPEST = 24  # levels inside a task, below which sets are compared with one another
+LEVELS = 3  # levels that the trees of all sets are many enough for
 BLOCK_SETS, BLOCK_GRAMS = 2_000, 2_000_000
 BROADCAST_SETS = 1_000_000  # members of candidate components, at 48 bytes each
 KEPT_WORDS = 200_000
@@ -131,7 +134,7 @@ def _set_function():
     return compute
 
 
-def runs_for(recall: float = RECALL, levels: int = 3) -> int:
+def runs_for(recall: float = RECALL, levels: int = LEVELS) -> int:
     """Trees needed so that a pair at the threshold meets in a leaf of one of them.
 
     Of q, the chance that a pair at the threshold is lost within some levels, the next level's is
@@ -157,10 +160,10 @@ def _sampled(node: int) -> list[int]:
 # ---------------------------------------------------------------- step 2: chosen paths
 
 
-def first_level(sets: DataFrame, runs: int) -> DataFrame:
-    """node, sid: the children of the roots of all trees."""
+def first_level(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
+    """node, sid: the children of the roots of the trees ``runs``."""
     nodes = []
-    for run in range(runs):
+    for run in runs:
         for i in _sampled(run + 1):
             value = F.substring("mins", 4 * i + 1, 4)
             nodes.append(F.xxhash64(F.lit(run), F.lit(i), value))
@@ -197,13 +200,20 @@ def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.
     )
 
 
-def leaves(node: int, mins: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Rows of the leaves below a node, at most LEAF_SETS that share a path; and pairs of a pivot
-    and each row that it holds."""
+def leaves(
+    node: int, mins: np.ndarray, deepest: int = DEEPEST
+) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Rows of the leaves below a node, at most LEAF_SETS that share a path; pairs of a pivot
+    and each row that it holds; and the levels below the node that each row was sent down.
+
+    At the level ``deepest`` rows are no longer sent down: pivots are drawn until a leaf is left.
+    """
     out, pairs = [], []
+    levels = np.zeros(len(mins), np.int32)
     todo = [(node, np.arange(len(mins)), 0)]
     while todo:
         key, rows, depth = todo.pop()
+        levels[rows] = np.maximum(levels[rows], min(depth, deepest))
         if len(rows) <= LEAF_SETS:
             if len(rows) > 1:
                 out.append(rows)
@@ -214,8 +224,8 @@ def leaves(node: int, mins: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarr
         pairs.append(np.column_stack([np.full(len(held), pivot), held]))
         # a neighbour of what is nearly equal to the pivot is held as well
         rest = rows[alike < NEARLY_EQUAL]
-        if depth >= DEEPEST:
-            out += [rest[i : i + LEAF_SETS] for i in range(0, len(rest), LEAF_SETS // 2)]
+        if depth >= deepest:
+            todo.append((key, rest[rest != pivot], depth + 1))  # the next pivot, with all
             continue
         for i in _sampled(key):
             values = mins[rest, i]
@@ -225,7 +235,7 @@ def leaves(node: int, mins: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarr
                 if len(part) > 1:
                     child = xxhash.xxh64_intdigest(b"%d %d %d" % (key, i, mins[part[0], i]))
                     todo.append((child - (1 << 63), part, depth + 1))
-    return out, pairs
+    return out, pairs, levels
 
 
 def held_together(
@@ -263,21 +273,27 @@ def held_together(
             return label
 
 
-def _join_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of nodes at a level; and with v null, sets and how deep they went, if beyond LEVELS."""
     for nodes, sids, mins in _groups(batches):
         edges = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1], [True]]))
         parts, pairs = [], []
+        depth = np.full(len(sids), level, np.int32)
         for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if end - begin <= LEAF_SETS:
                 parts.append(np.arange(begin, end))
             else:
-                below, held = leaves(int(nodes[begin]), mins[begin:end])
+                below, held, levels = leaves(int(nodes[begin]), mins[begin:end])
+                depth[begin:end] += levels
                 parts += [begin + p for p in below]
                 pairs += [begin + p for p in held]
         label = held_together(parts, pairs, mins)
         moved = np.flatnonzero(label != np.arange(len(label)))
-        u, v = sids[moved], sids[label[moved]]
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        deep = np.flatnonzero(depth > LEVELS)
+        u = pa.array(np.concatenate([sids[moved], sids[deep]]))
+        v = pa.concat_arrays([pa.array(sids[label[moved]]), pa.nulls(len(deep), pa.int64())])
+        levels = pa.array(np.concatenate([depth[moved], depth[deep]]))
+        yield pa.RecordBatch.from_arrays([u, v, levels], names=["u", "v", "depth"])
 
 
 def _alike(a, b) -> F.Column:
@@ -318,9 +334,9 @@ def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     return edges.select(F.col("sid").alias("u"), F.col("pivot").alias("v")), children
 
 
-def candidate_edges(sets: DataFrame, runs: int) -> DataFrame:
-    """u, v: edges that hold together all sets which any comparison found alike."""
-    entries, edges = first_level(sets, runs), None
+def _trees(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
+    """u, v, depth of the trees ``runs``: edges, and with v null, the depth of sets beyond LEVELS."""
+    entries, level, out = first_level(sets, runs), 1, []
     while True:
         entries = common.settled(entries, "entries")
         sizes = common.settled(
@@ -328,24 +344,41 @@ def candidate_edges(sets: DataFrame, runs: int) -> DataFrame:
         )
         shared = entries.join(sizes, "node")
         small = shared.where(F.col("n") <= TASK_SETS).select("node", "sid")
-        found = (
+        out.append(
             small.join(sets, "sid")
             .select("node", "sid", "mins")
             .repartition("node")
             .sortWithinPartitions("node", "sid")
-            .mapInArrow(_join_nodes, "u long, v long")
+            .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
         )
-        edges = found if edges is None else edges.unionByName(found)
         if sizes.where(F.col("n") > TASK_SETS).isEmpty():
-            return edges
+            return reduce(DataFrame.unionByName, out)
         large = shared.where(F.col("n") > TASK_SETS).select("node", "sid").join(sets, "sid")
         pivot_edges, entries = _split(large.select("node", "sid", "mins"))
-        edges = edges.unionByName(pivot_edges)
+        out.append(pivot_edges.withColumn("depth", F.lit(level)))
+        level += 1
+
+
+def candidate_edges(sets: DataFrame, recall: float = RECALL) -> DataFrame:
+    """u, v: edges that hold together all sets which any comparison found alike."""
+    done, wanted, edges = 0, runs_for(recall, LEVELS), []
+    while done < wanted:
+        made = common.settled(_trees(sets, range(done, wanted)), "trees")
+        edges.append(made.where("v IS NOT NULL").select("u", "v"))
+        deep = made.where("v IS NULL").groupBy("u").agg(F.max("depth").alias("depth"))
+        deep = common.settled(deep, "deep")
+        deepest = deep.agg(F.max("depth")).first()[0] or LEVELS
+        done, wanted = wanted, max(wanted, runs_for(recall, deepest))
+        if done < wanted:  # for the sets that are worth it
+            sets = common.settled(
+                sets.join(deep.select(F.col("u").alias("sid")), "sid", "left_semi"), "deep-sets"
+            )
+    return reduce(DataFrame.unionByName, edges)
 
 
 # ---------------------------------------------------------------- step 3: exact links
 
-MEMBERS = "part string, sid long, copies long, first boolean, grams binary"
+MEMBERS = "part string, whole boolean, sid long, copies long, first boolean, grams binary"
 FOUND = "sid long, root long, links long"
 
 
@@ -392,10 +425,12 @@ def exact_links(sets: list[np.ndarray]) -> np.ndarray:
     return links
 
 
-def _link_block(sids: list[int], copies: list[int], first: list[bool], sets: list[np.ndarray]):
+def _link_block(
+    whole: bool, sids: list[int], copies: list[int], first: list[bool], sets: list[np.ndarray]
+):
     links = exact_links(sets)
-    side = np.array(first)
-    if not side.all():  # two blocks: pairs inside either one are another task's
+    if not whole:  # two blocks, either may be empty: pairs inside one are another part's
+        side = np.array(first)
         links &= side[:, None] != side[None, :]
     label = np.arange(len(sids))
     left, right = np.nonzero(links)
@@ -415,9 +450,9 @@ def _link_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, rows = None, []
 
     def linked():
-        sids, copies, first, grams = zip(*rows, strict=True)
+        whole, sids, copies, first, grams = zip(*rows, strict=True)
         sets = [np.frombuffer(g, np.uint64) for g in grams]
-        roots, links = _link_block(list(sids), list(copies), list(first), sets)
+        roots, links = _link_block(whole[0], list(sids), list(copies), list(first), sets)
         columns = [pa.array(sids, pa.int64()), pa.array(roots, pa.int64()), pa.array(links)]
         return pa.RecordBatch.from_arrays(columns, names=["sid", "root", "links"])
 
@@ -446,20 +481,45 @@ def _gram_function():
     return compute
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """``members`` with level, block, and others: the blocks that a set has to meet, its own included.
+
+    A component that fits is one block. Of others, sets of like sizes make a level, whose
+    blocks are drawn by hash: a set may link to its own level and the two next to it only, since
+    the smaller of two linked sets has at least THRESHOLD of the larger one's n-grams.
+    """
+    total = members.groupBy("root").agg(F.count("*").alias("sets"), F.sum("grams").alias("total"))
+    fits = (F.col("sets") <= BLOCK_SETS) & (F.col("total") <= BLOCK_GRAMS)
+    # a little wider than the threshold, so that rounding parts no linked sizes
+    log = F.log(F.col("grams").cast("double")) / (math.log(1 / THRESHOLD) + 1e-9)
+    level = F.when(F.col("fits"), F.lit(0)).otherwise(F.floor(log).cast("int"))
+    leveled = members.join(total.select("root", fits.alias("fits")), "root").withColumn("level", level)
+    many = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("grams") / BLOCK_GRAMS))
+    sizes = common.settled(
+        leveled.groupBy("root", "level", "fits")
+        .agg(many.cast("int").alias("blocks"))
+        .withColumn("blocks", F.when(F.col("fits"), F.lit(1)).otherwise(F.col("blocks"))),
+        "blocks",
+    )
+    near = sizes.select(
+        "root", F.col("level").alias("next"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b")
+    )
+    met = sizes.join(near, "root").where(F.abs(F.col("next") - F.col("level")) <= 1)
+    others = F.collect_list(F.struct(F.col("next").alias("level"), F.col("b").alias("block")))
+    lists = met.groupBy("root", "level", "blocks").agg(others.alias("others"))
+    return (
+        leveled.drop("fits")
+        .join(lists, ["root", "level"])
+        .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    )
+
+
 def exact_classes(docs: DataFrame, members: DataFrame) -> DataFrame:
     """sid, root, links of members (sid, root, copies, grams, doc_id, text_hash).
 
     ``root`` names the candidate component; doc_id and text_hash a document that has the set.
     """
-    sizes = members.groupBy("root").agg(F.count("*").alias("sets"), F.sum("grams").alias("total"))
-    blocks = F.greatest(
-        F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_GRAMS)
-    ).cast("int")
-    placed = (
-        members.join(sizes.select("root", blocks.alias("blocks")), "root")
-        .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-        .drop("grams")
-    )
+    placed = _blocks(members).drop("grams")
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     one = placed.withColumnRenamed("doc_id", "of")
     if members.count() <= BROADCAST_SETS:  # else the texts meet the members in a shuffle
@@ -468,17 +528,18 @@ def exact_classes(docs: DataFrame, members: DataFrame) -> DataFrame:
         one, (texts.text_hash == one.text_hash) & texts.doc_id.eqNullSafe(one["of"])
     ).drop("of", "doc_id", "text_hash")
     sets = common.map_texts(matched, _gram_function, GRAMS, "made").drop("text")
-    # a component of one block is one part; of several, a part for each pair of blocks
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # a part for each pair of blocks whose sizes allow a link, and for each block
+    here, there = F.struct("level", "block"), F.struct("other.level", "other.block")
     parts = (
-        sets.withColumn("other", other)
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
+        sets.withColumn("other", F.explode("others"))
+        .withColumn("low", F.least(here, there))
+        .withColumn("high", F.greatest(here, there))
         .select(
-            F.concat_ws(" ", "root", "low", "high").alias("part"),
+            F.concat_ws(" ", "root", "low.level", "low.block", "high.level", "high.block").alias("part"),
+            (F.col("low") == F.col("high")).alias("whole"),
             "sid",
             "copies",
-            (F.col("block") == F.col("low")).alias("first"),
+            (here == F.col("low")).alias("first"),
             F.col("made.grams").alias("grams"),
         )
         .dropDuplicates(["part", "sid"])
@@ -519,7 +580,7 @@ def joined(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         ),
         "distinct",
     )
-    edges = candidate_edges(distinct.select("sid", "mins"), runs_for(recall))
+    edges = candidate_edges(distinct.select("sid", "mins"), recall)
     held = components(edges)
     members = common.settled(
         distinct.join(held.withColumnRenamed("node", "sid"), "sid").select(

@@ -81,6 +81,65 @@ def test_large_nodes_and_many_blocks(spark, monkeypatch):
     check(spark, corpus(2, groups=3, copies=60, singles=20))
 
 
+@pytest.mark.parametrize("grams", [60, 400])
+def test_components_of_blocks_that_may_be_empty(spark, monkeypatch, grams):
+    """Pairs count once where a component has more blocks than sets."""
+    monkeypatch.setattr(cp, "BLOCK_GRAMS", grams)
+    check(spark, corpus(8, groups=24, copies=2, singles=5))
+
+
+def test_blocks_of_unlike_sizes_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(cp, "BLOCK_SETS", 10)
+    rows = [(i, 7, 1, 100 + 40 * i, i, i) for i in range(60)]
+    schema = "sid long, root long, copies long, grams int, doc_id long, text_hash long"
+    placed = cp._blocks(spark.createDataFrame(rows, schema)).collect()
+    level = {r["sid"]: (r["grams"], r["level"]) for r in placed}
+    assert {r["sid"] for r in placed} == set(range(60))
+    for r in placed:
+        others = {o["level"] for o in r["others"]}
+        for grams, other in level.values():
+            if 0.8 <= r["grams"] / grams <= 1.25:
+                assert other in others
+        assert max(others) - min(others) <= 2
+
+
+def test_deep_nodes_get_more_trees(spark, monkeypatch):
+    """Every pair is found where passages that many texts share send sets far down."""
+    monkeypatch.setattr(cp, "TASK_SETS", 30)
+    draw, asked = random.Random(9), []
+    monkeypatch.setattr(cp, "_trees", lambda sets, runs, f=cp._trees: asked.append(runs) or f(sets, runs))
+    shared, rows = text(draw, 60), []
+    for _ in range(150):
+        words = shared + text(draw, draw.randint(20, 40))
+        rows.append(words)
+        if draw.random() < 0.5:
+            rows.append([*words[:-1], "y"])
+    check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+    assert len(asked) > 1 and asked[0] == range(cp.runs_for()) and asked[1].start == asked[0].stop
+
+
+def test_below_the_deepest_level_all_sets_meet():
+    draw = np.random.default_rng(12)
+    mins = draw.integers(0, 3, (300, cp.COORDINATES)).astype("<u4")  # a third alike, nowhere equal
+    mins[200:] = np.where(draw.random((100, 1, )) < 2, mins[:100], mins[200:])
+    mins[200:, :8] += 7
+    parts, pairs, levels = cp.leaves(3, mins, deepest=0)
+    label = cp.held_together(parts, pairs, mins)
+    assert (label[200:] == label[:100]).all() and levels.max() == 0
+
+
+def test_recall_on_a_given_table(spark):
+    """Linked documents of a thousand, against all pairs."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    shingler = cp.Shingler()
+    ids = sorted(texts)
+    links = cp.exact_links([shingler.grams(texts[i] or "") for i in ids])
+    found = {r["doc_id"]: r["n_links"] for r in cp.classes(df).collect()}
+    reached = sum(found[i] for i in ids) / links.sum()
+    assert 0.99 <= reached <= 1
+
+
 def test_recursion_inside_a_task(monkeypatch):
     """Whatever is linked is held together, also where nodes split many times."""
     monkeypatch.setattr(cp, "LEAF_SETS", 6)
@@ -91,7 +150,8 @@ def test_recursion_inside_a_task(monkeypatch):
     links = cp.exact_links(grams)
     lost = 0
     for node in range(5):
-        label = cp.held_together(*cp.leaves(node, mins), mins)
+        parts, pairs, _ = cp.leaves(node, mins)
+        label = cp.held_together(parts, pairs, mins)
         a, b = np.nonzero(links)
         lost += int((label[a] != label[b]).sum())
     assert lost < 0.2 * 5 * links.sum()
@@ -160,7 +220,7 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert firsts.columns == edge_docs.columns
     # 1 and 5 are equal, 9 and 10 too; 2, 3, 4 and one row without id have no words
     assert sorted(str(r["doc_id"]) for r in firsts.collect()) == sorted(
-        map(str, [1, 2, 3, 4, 6, 7, 8, 9, None, None])
+        map(str, [1, 2, 3, 4, 6, 7, 8, 9, 11, None, None])
     )
     assert cp.classes(no_docs).count() == 0 and cp.first_of_each(no_docs).count() == 0
 
