@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from assayframe.llm import common
@@ -29,7 +30,8 @@ from assayframe.session import shared_folder
 SHARDS = 24
 SEED = 20_240_607
 BUCKET_BYTES = 16 << 20
-DRAWING_TASKS = 32
+DRAWING_TASKS = 32  # tasks that draw orders, at least
+TASK_BUCKETS = 32  # buckets of each shard that such a task draws for, at most
 RECORD_BYTES = 8  # what a record takes besides its text
 
 
@@ -67,18 +69,21 @@ def shuffled(
     """``payload`` of every record with its shard and its slot, gapless from 0 in each shard."""
     total = records.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
-    columns = dict.fromkeys([key, *payload])
     inside = F.pmod(F.xxhash64(F.lit(seed), F.lit("bucket"), F.col(key)), F.lit(buckets))
     scattered = records.select(
         shard_of(F.col(key), shards, seed).alias("shard"),
         inside.cast("long").alias("bucket"),
-        F.struct(*columns).alias("record"),
+        F.struct(F.col(key).alias("key"), _tie(records, payload).alias("tie")).alias("rank"),
+        F.struct(*payload).alias("record"),
     )
+    # records need no order of their own: only keys and hashes are sorted, with their places
     held = scattered.groupBy("shard", "bucket").agg(
-        F.sort_array(F.collect_list("record")).alias("held")
+        F.collect_list("record").alias("held"), F.collect_list("rank").alias("ranks")
     )
+    places = F.sort_array(F.transform("ranks", lambda r, i: F.struct(r.alias("rank"), i.alias("at"))))
+    held = held.select("shard", "bucket", "held", places.alias("places"))
     drawn = _orders(scattered.groupBy("shard", "bucket").agg(F.count("*").alias("n")), buckets, seed)
-    dealt = F.transform("drawn", lambda place: F.get("held", place))
+    dealt = F.transform("drawn", lambda place: F.get("held", F.get("places", place)["at"]))
     return (
         held.join(drawn, ["shard", "bucket"])
         .select("shard", "before", F.posexplode(dealt))
@@ -87,6 +92,21 @@ def shuffled(
     )
 
 
+def _tie(records: DataFrame, payload: Sequence[str]) -> Column:
+    """A hash of a record's content, for rows with one key; values without a hash go by their JSON."""
+    whole = F.to_json(F.struct(*payload))
+    plain = [c for c in payload if _hashable(records.schema[c].dataType)]
+    return F.xxhash64(*plain) if len(plain) == len(payload) else F.xxhash64(whole)
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
 def _orders(sizes: DataFrame, buckets: int, seed: int) -> DataFrame:
     """For each bucket: the records ``before`` it in its shard, and its order, ``drawn``.
 
@@ -94,13 +114,14 @@ def _orders(sizes: DataFrame, buckets: int, seed: int) -> DataFrame:
     a seed of its own. So buckets have fixed partitions and a fixed order inside them.
     """
     number = F.col("shard").cast("long") * buckets + F.col("bucket")
+    tasks = max(DRAWING_TASKS, buckets // TASK_BUCKETS)
     earlier = (
         Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .withColumn("number", number)
-        .repartitionById(DRAWING_TASKS, (number % DRAWING_TASKS).cast("int"))
+        .repartitionById(tasks, (number % tasks).cast("int"))
         .sortWithinPartitions("number")
         .select(
             "shard",

@@ -3,6 +3,8 @@
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from assayframe.llm import external_shuffle as es
 
 
@@ -103,3 +105,16 @@ def test_query_digests_what_was_written(spark, sf_dir, given, tmp_path, monkeypa
     for file in (tmp_path / "shards").glob("*/*.parquet"):
         slots_of_file = [r["slot"] for r in spark.read.parquet(str(file)).collect()]
         assert slots_of_file == sorted(slots_of_file)
+
+
+def test_columns_without_an_order(spark, tmp_path):
+    """Maps and variants are carried; rows of one key have one order, however they come."""
+    rows = [(i % 5, f"t{i}", {"a": i}, [{"b": i}]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, l array<map<string,int>>")
+    df = df.withColumn("v", F.parse_json(F.lit("[1]")))
+    out = [
+        es.write_shards(d, str(tmp_path / n)).select("doc_id", "text", "m", "shard", "slot").collect()
+        for n, d in (("a", df), ("b", df.repartition(7).orderBy(F.desc("text"))))
+    ]
+    found = [sorted((r["shard"], r["slot"], r["doc_id"], r["text"], r["m"]["a"]) for r in rows) for rows in out]
+    assert found[0] == found[1] and len(found[0]) == 40
