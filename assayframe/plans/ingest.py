@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,7 +88,7 @@ def ingest_directory(
     spark: SparkSession,
     root: str,
     import_id: str,
-    registry: DataFrame | None = None,
+    registry: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     *,
     user_notes: str | None = None,
     extensions: Iterable[str] = EXTENSIONS,
@@ -99,6 +99,9 @@ def ingest_directory(
 ) -> IngestReport:
     """Scan, fingerprint, compare. The caller appends ``added`` to its registry table.
 
+    ``registry`` may be a function that gets the fingerprints and returns the part of the registry
+    that can hold their contents.
+
     Files over ``row_bytes`` are streamed through their hash instead of loaded.
 
     A file that is gone or unreadable counts as ``files_error`` and does not stop the others.
@@ -136,7 +139,8 @@ def ingest_directory(
     # what was listed and has no fingerprint is gone or cannot be read; the rest goes on
     report.errors = settle(due.join(candidates, "path_abs", "left_anti"), "errors")
     report.files_error = report.errors.count()
-    flagged = settle(compare_with_registry(candidates, registry), "compared")
+    known = registry if registry is None or isinstance(registry, DataFrame) else registry(candidates)
+    flagged = settle(compare_with_registry(candidates, known), "compared")
     counts = import_counts(flagged).withColumn("files_error", F.lit(report.files_error))
     totals = with_outcome(counts, user_notes, "files_error").first()
     report.files_processed = totals["files_processed"]

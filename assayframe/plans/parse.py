@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayframe import schemas
 from assayframe.functions.filetypes import detected_type, filename_of
 from assayframe.functions.keys import row_id
 from assayframe.operators import merge, mwtab
@@ -33,18 +35,23 @@ BROADCAST_FILES = 100_000  # ids and layouts of large files that every task may
 # --- choosing files ---
 
 
+def _asked_for(only_types: Iterable[str] | None, skip_types: Iterable[str] | None) -> Column:
+    selected = F.lit(True)
+    if only_types:
+        selected = selected & F.col("detected_type").isin(*only_types)
+    if skip_types:
+        selected = selected & ~F.col("detected_type").isin(*skip_types)
+    return selected
+
+
 def parsable_files(
     files: DataFrame,
     only_types: Iterable[str] | None = None,
     skip_types: Iterable[str] | None = None,
 ) -> DataFrame:
     """Files of a directory that can be parsed, with ``selected``: false means filtered out."""
-    selected = F.lit(True)
-    if only_types:
-        selected = selected & F.col("detected_type").isin(*only_types)
-    if skip_types:
-        selected = selected & ~F.col("detected_type").isin(*skip_types)
-    return files.where(F.col("detected_type").isin(*PARSABLE)).withColumn("selected", selected)
+    parsable = files.where(F.col("detected_type").isin(*PARSABLE))
+    return parsable.withColumn("selected", _asked_for(only_types, skip_types))
 
 
 def pending_files(
@@ -140,8 +147,27 @@ class Parsed:
         return self._union("warnings")
 
 
+def routed(files: DataFrame, layout_column: str = "layout") -> DataFrame:
+    """``files`` written once, by layout: the texts are scanned here and nowhere else.
+
+    Every file keeps its row; the texts of files without a parsable layout are not written.
+    Whoever reads one layout then reads its folder alone.
+    """
+    layout = F.when(F.col(layout_column).isin(*PARSABLE), F.col(layout_column))
+    columns = ["file_id", "detected_type"] if "detected_type" in files.columns else ["file_id"]
+    rows = files.select(
+        *columns, F.when(layout.isNotNull(), F.col("content")).alias("content"), layout.alias("layout")
+    )
+    path = shared_folder(files.sparkSession, "texts")
+    rows.write.partitionBy("layout").parquet(path)
+    return files.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class StoredParsed(Parsed):
-    """A parse result written to a folder: every file is parsed once, whatever uses it."""
+    """A parse result written to a folder: every file is parsed once, whatever uses it.
+
+    Pass ``routed`` files, or the texts are scanned once for each layout.
+    """
 
     TABLES = ("marked", "samples", "features", "metadata", "line_warnings")
 
@@ -233,29 +259,31 @@ def parsed_by_type(outcomes: DataFrame) -> DataFrame:
 # --- merging ---
 
 
-STORED_COLUMNS = (
-    "sample_uid",
-    "feature_uid",
-    "value",
-    "unit",
-    "file_id",
-    "col_index",
-    "replicate_ix",
-)
-
-
 class Changes:
     """What a parsed set changes in the store. Applying it twice changes nothing more.
 
     MS and NMR files insert first-wins and fill missing factors; plain files overwrite:
     the last non-null value wins. Files count in order of their id; strict layouts are
     taken before plain ones. ``new_*`` are rows to append; the others are merged states
-    with an ``_action`` column, for rewriting the partitions they touch.
+    with an ``_action`` column, for rewriting the buckets they touch.
+
+    All of them have the columns of ``schemas``; rows that are new get ``created_at``. Stored
+    columns that parsing does not give (device, exposure, matrix) are kept.
     """
 
-    def __init__(self, parsed: Parsed, store: dict[str, DataFrame]):
-        self.parsed, self.store = parsed, store
+    def __init__(self, parsed: Parsed, store: dict[str, DataFrame], created_at=None):
+        self.parsed = parsed
+        names = ("studies", "analyses", "samples", "features", "measurements")
+        self.store = {name: schemas.conform(store[name], schemas.SHAPES[name]) for name in names}
         self._study_pk = row_id(F.col("study_id"))
+        self._now = F.lit(created_at or datetime.now(timezone.utc)).cast("timestamp")
+
+    def _merged(self, table: str, batch: DataFrame, key: list[str], rules: dict[str, str]) -> DataFrame:
+        """``merge`` of a whole table: columns without a rule keep what is stored."""
+        shape = schemas.SHAPES[table]
+        given = schemas.conform(batch.withColumn("created_at", self._now), shape)
+        others = [f.name for f in shape if f.name not in rules and f.name not in key]
+        return merge.merge(self.store[table], given, key, rules | dict.fromkeys(others, "keep"))
 
     @cached_property
     def _good(self) -> DataFrame:
@@ -264,8 +292,9 @@ class Changes:
 
     @cached_property
     def new_studies(self) -> DataFrame:
-        studies = self._good.select("study_pk", "study_id").distinct()
-        return studies.join(self.store["studies"].select("study_id"), "study_id", "left_anti")
+        studies = self._good.select("study_pk", "study_id", self._now.alias("created_at"))
+        new = studies.distinct().join(self.store["studies"].select("study_id"), "study_id", "left_anti")
+        return schemas.conform(new, schemas.STUDIES)
 
     @cached_property
     def analyses(self) -> DataFrame:
@@ -276,7 +305,8 @@ class Changes:
             {"file_id": "first_non_null"},
             ["ord"],
         )
-        return merge.merge(self.store["analyses"], once, key, {"file_id": "fill_null"})
+        once = once.withColumn("analysis_pk", row_id(F.col("study_pk"), F.col("analysis_id")))
+        return self._merged("analyses", once, key, {"file_id": "fill_null"})
 
     @cached_property
     def samples(self) -> DataFrame:
@@ -288,19 +318,22 @@ class Changes:
             return merge.reduce_batch(rows, key, picks, ["file_id"])
 
         strict, plain = self.parsed.strict("samples"), self.parsed.plain("samples")
-
-        keep = {"study_pk": "keep", "sample_label": "keep", "factors_raw": "fill_empty"}
-        filled = merge.merge(
-            self.store["samples"], once(strict, "first", "first_filled"), key, keep
+        filled = self._merged(
+            "samples", once(strict, "first", "first_filled"), key, {"factors_raw": "fill_empty"}
         )
+        shape = schemas.SAMPLES
+        given = schemas.conform(
+            once(plain, "last", "last_filled").withColumn("created_at", self._now),
+            shape,
+            F.lit(None).cast("string").alias("_before"),
+        )
+        keep = [f.name for f in shape if f.name not in ("sample_uid", "sample_label", "factors_raw")]
         replaced = merge.merge(
             filled.withColumnRenamed("_action", "_before"),
-            once(plain, "last", "last_filled").withColumn(
-                "_before", F.lit(None).cast("string")
-            ),
+            given,
             key,
-            {"study_pk": "keep", "sample_label": "latest", "factors_raw": "replace_filled"}
-            | {"_before": "keep"},
+            {"sample_label": "latest", "factors_raw": "replace_filled"}
+            | dict.fromkeys([*keep, "_before"], "keep"),
         )
         # the strongest of both steps: insert, update, skip, keep
         action = F.lit(merge.KEEP)
@@ -312,35 +345,39 @@ class Changes:
     @cached_property
     def new_features(self) -> DataFrame:
         rows = self.parsed.features.drop("layout")
-        return merge.new_rows(
-            self.store["features"], rows, ["feature_uid"], [F.col("file_id")]
-        ).drop("file_id")
+        new = merge.new_rows(self.store["features"], rows, ["feature_uid"], [F.col("file_id")])
+        return schemas.conform(new.withColumn("created_at", self._now), schemas.FEATURES)
 
     @cached_property
     def filled_features(self) -> DataFrame:
-        """State of the stored features: plain files fill a name that is empty there."""
+        """State of the stored features whose empty name a plain file fills."""
         rows = self.parsed.plain("features").drop("layout")
         once = merge.reduce_batch(rows, ["feature_uid"], {"name_raw": "first_filled"}, ["file_id"])
         found = once.where(F.coalesce("name_raw", F.lit("")) != "")
-        stored = self.store["features"].join(found.select("feature_uid"), "feature_uid", "left_semi")
-        return merge.merge(stored, found, ["feature_uid"], {"name_raw": "fill_empty"}).where(
-            F.col("_action") == merge.UPDATE
-        )
+        empty = self.store["features"].where(F.coalesce("name_raw", F.lit("")) == "")
+        known = found.join(empty.select("feature_uid"), "feature_uid", "left_semi")
+        state = self._merged("features", known, ["feature_uid"], {"name_raw": "fill_empty"})
+        return state.where(F.col("_action") == merge.UPDATE)
 
     @cached_property
     def new_measurements(self) -> DataFrame:
         """Rows of MS and NMR files to append."""
         order = [F.col(c) for c in ("file_id", "line_no", "col_index")]
         cells = self.parsed.strict("measurements").where("known")
-        return merge.insert_first(self.store["measurements"], cells, order).select(*STORED_COLUMNS)
+        new = merge.insert_first(self.store["measurements"], cells, order)
+        return schemas.conform(new.withColumn("created_at", self._now), schemas.MEASUREMENTS)
 
     @cached_property
     def updated_measurements(self) -> DataFrame:
         """State of the measurements after plain files, on top of the appended rows."""
-        base = self.store["measurements"].select(*STORED_COLUMNS).unionByName(self.new_measurements)
+        return self.measurements_on(self.store["measurements"].unionByName(self.new_measurements))
+
+    def measurements_on(self, base: DataFrame) -> DataFrame:
+        """State of ``base`` after plain files; it must hold all rows of their samples."""
         cells = self.parsed.plain("measurements").where("known")
-        origin = ["file_id", "col_index", "replicate_ix"]
-        return merge.coalesce_upsert(base, cells, ["file_id", "line_no", "col_index"], origin)
+        keep = ["file_id", "col_index", "replicate_ix", "created_at"]
+        state = merge.coalesce_upsert(base, cells, ["file_id", "line_no", "col_index"], keep)
+        return state.withColumn("created_at", F.coalesce("created_at", F.when(F.col("_action") == merge.INSERT, self._now)))
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -416,7 +453,11 @@ def parse_directory(
         "detected_type", detected_type(filename_of(F.col("file_id")), F.col("content"))
     )
     has_large = not list_files(spark, root).where(F.col("size_bytes") > large_bytes).isEmpty()
-    types = typed.select("file_id", "detected_type")
+    # one scan of the texts gives the types and, by layout, the texts that are wanted
+    asked = F.col("detected_type").isin(*PARSABLE) & _asked_for(only_types, skip_types)
+    laid_out = with_layout(typed, F.col("content"))
+    texts = routed(laid_out.withColumn("layout", F.when(asked, F.col("layout"))))
+    types = texts.select("file_id", "detected_type")
     if has_large:
         lines = numbered_lines(spark, root, over_bytes=large_bytes)
         large_types = settle(types_of_lines(lines), "large-types")
@@ -425,12 +466,11 @@ def parse_directory(
     marked = parsable_files(types, only_types, skip_types)
     chosen = marked.where("selected").drop("selected")
     # the choice depends on the type alone, so contents need no join and never move
-    files = parsable_files(typed, only_types, skip_types).where("selected").drop("selected")
+    files = texts.where("layout IS NOT NULL")
     if max_files:
         chosen = chosen.orderBy("file_id").limit(max_files)
         files = files.join(chosen.select("file_id"), "file_id", "left_semi")
     report = ParseReport(files_skipped=marked.where(~F.col("selected")).count())
-    files = with_layout(files, F.col("content"))
     parsed = Parsed(files, "layout")
     if has_large:
         # every line learns the layout of its file
@@ -465,7 +505,7 @@ def parse_import(
     chosen = settle(pending.select("file_id", "detected_type"), "pending")
     # a stored list of ids: Spark knows its size, broadcasts it while it is small, and
     # moves the texts once by file id beyond that
-    files = with_layout(texts.join(chosen, "file_id"), F.col("content"))
+    files = routed(with_layout(texts.join(chosen, "file_id"), F.col("content")))
     return _parse(spark, chosen, Parsed(files, "layout"), store, ParseReport(), fail_fast, dry_run)
 
 

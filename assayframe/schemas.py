@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, L, I, H, D, TS = (
@@ -19,6 +21,15 @@ def _table(required: dict, optional: dict) -> T.StructType:
     return T.StructType(fields + [T.StructField(n, t, True) for n, t in optional.items()])
 
 
+def conform(df: DataFrame, shape: T.StructType, *more: Column) -> DataFrame:
+    """The columns of a table in its types and order; those that ``df`` lacks are null."""
+    have = set(df.columns)
+    columns = [
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape
+    ]
+    return df.select(*columns, *more)
+
+
 IMPORTS = _table(
     {"import_id": S, "created_at": TS, "status": S}, {"root_path": S, "notes": S}
 )
@@ -73,6 +84,17 @@ MEASUREMENTS = _table(
     },
 )
 
+SHAPES = {
+    "imports": IMPORTS,
+    "files": FILES,
+    "studies": STUDIES,
+    "analyses": ANALYSES,
+    "samples": SAMPLES,
+    "sample_factors": SAMPLE_FACTORS,
+    "features": FEATURES,
+    "measurements": MEASUREMENTS,
+}
+
 # The export row, in order. col_index and replicate_ix are doubles and
 # created_at is text there.
 EXPORT_COLUMNS = (

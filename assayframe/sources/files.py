@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import reduce
 
 import pandas as pd
-from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +28,12 @@ from assayframe.functions.filetypes import (
 from assayframe.functions.keys import row_id
 from assayframe.functions.text import drop_bad_utf8, without_mark
 from assayframe.operators.mwtab import layout_of_lines
+from assayframe.sources.places import place
 from assayframe.sources.tables import settle
 
 STREAM_CHUNK = 8 * 1024 * 1024
 ROW_BYTES = 1 << 30  # files beyond this are not loaded into one row
 LISTED = "path string, size_bytes long, is_folder boolean, hidden boolean"
-# Schemes that the two file systems in use name differently.
-SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
 
 
 def plain_path(path: Column) -> Column:
@@ -48,114 +46,82 @@ def path_of_uri(uri: Column) -> Column:
     return plain_path(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
 
 
-@lru_cache(maxsize=16)
-def _file_system(start: str) -> FileSystem:
-    if start.startswith("/"):
-        return FileSystem.from_uri("file:///")[0]
-    return FileSystem.from_uri(start)[0]
-
-
-def _place(path: str) -> tuple[FileSystem, str, str]:
-    """File system, path inside it, and what to put before that for the path's full name."""
-    path = re.sub("^file:/+", "/", path)
-    if path.startswith("/"):
-        return _file_system("/"), path, ""
-    scheme, _, rest = path.partition("://")
-    host = rest.partition("/")[0]
-    known = SCHEMES.get(scheme, scheme)
-    if known in ("hdfs", "viewfs"):
-        return _file_system(f"{known}://{host}"), rest[len(host) :], f"{scheme}://{host}"
-    return _file_system(f"{known}://{host}"), rest, f"{scheme}://"
-
-
 def _is_hidden(path: str) -> bool:
     return path.rpartition("/")[2].startswith(("_", "."))
 
 
-def _children(path: str, hidden: bool, deep: bool) -> Iterator[tuple[str, int | None, bool, bool]]:
-    """(path, bytes, is folder, hidden) of a file, or of what a folder holds (``deep``: all below).
+def _children(path: str, hidden: bool) -> Iterator[tuple[str, int | None, bool, bool]]:
+    """(path, bytes, is folder, hidden) of a file, or of what a folder holds itself.
 
     The size is null where a file is named but cannot be found, as behind a broken link.
     """
-    system, inside, before = _place(path)
+    system, inside, before = place(path)
     if not before and os.path.isdir(inside):
-        yield from _local_children(inside, hidden, deep)
+        yield from _local_children(inside, hidden)
         return
     found = system.get_file_info([inside])[0]
     if found.type == FileType.File:
         yield path, found.size, False, hidden or _is_hidden(path)
     if found.type != FileType.Directory:
         return
-    todo = [(inside, hidden)]
-    while todo:
-        folder, below = todo.pop()
-        for entry in system.get_file_info(FileSelector(folder)):
-            hides = below or _is_hidden(entry.path)
-            if entry.type != FileType.Directory:
-                size = entry.size if entry.type == FileType.File else None
-                yield before + entry.path, size, False, hides
-            elif deep:
-                todo.append((entry.path, hides))
-            else:
-                yield before + entry.path, None, True, hides
-
-
-def _local_children(root: str, hidden: bool, deep: bool) -> Iterator[tuple]:
+    for entry in system.get_file_info(FileSelector(inside)):
+        folder = entry.type == FileType.Directory
+        size = entry.size if entry.type == FileType.File else None
+        yield before + entry.path, size, folder, hidden or _is_hidden(entry.path)
+
+
+def _local_children(folder: str, hidden: bool) -> Iterator[tuple]:
     """As ``_children`` of a local folder, broken links included."""
-    todo = [(root, hidden)]
-    while todo:
-        folder, below = todo.pop()
-        with os.scandir(folder) as entries:
-            for entry in entries:
-                hides = below or _is_hidden(entry.path)
-                if entry.is_dir(follow_symlinks=False):
-                    if deep:
-                        todo.append((entry.path, hides))
-                    else:
-                        yield entry.path, None, True, hides
-                elif not entry.is_dir():
-                    try:
-                        size = entry.stat().st_size
-                    except OSError:
-                        size = None
-                    yield entry.path, size, False, hides
-
-
-def _walk(deep: bool):
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            hides = hidden or _is_hidden(entry.path)
+            if entry.is_dir(follow_symlinks=False):
+                yield entry.path, None, True, hides
+            elif not entry.is_dir():
+                try:
+                    size = entry.stat().st_size
+                except OSError:
+                    size = None
+                yield entry.path, size, False, hides
+
+
+def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def frame(rows: list[tuple]) -> pd.DataFrame:
         listed = pd.DataFrame(rows, columns=["path", "size_bytes", "is_folder", "hidden"])
         return listed.astype({"size_bytes": "Int64"})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, hidden in zip(batch["path"], batch["hidden"], strict=True):
-                rows: list[tuple] = []
-                for row in _children(path, hidden, deep):
-                    rows.append(row)
-                    if len(rows) == 10_000:
-                        yield frame(rows)
-                        rows = []
-                if rows:
+    for batch in batches:
+        for path, hidden in zip(batch["path"], batch["hidden"], strict=True):
+            rows: list[tuple] = []
+            for row in _children(path, hidden):
+                rows.append(row)
+                if len(rows) == 10_000:
                     yield frame(rows)
-
-    return run
+                    rows = []
+            if rows:
+                yield frame(rows)
 
 
 def listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """(path, size_bytes, hidden) of all files below ``root``, listed in tasks and stored.
 
-    One task names what the root itself holds; each folder found there is walked by one task.
+    Level by level: the folders of a level are spread over tasks, whatever folder they came from, and
+    what they hold is stored before the next level begins. A tree takes as many jobs as it is deep.
     Hidden are files whose name, or a folder of theirs below the root, begins with "_" or ".".
     """
     roots = [root] if isinstance(root, str) else list(root)
     start = [(r.rstrip("/") or "/", False) for r in roots]
-    start = spark.createDataFrame(start, "path string, hidden boolean")
-    top = settle(start.mapInPandas(_walk(deep=False), LISTED), "listed")
-    folders = top.where("is_folder").select("path", "hidden")
+    level = spark.createDataFrame(start, "path string, hidden boolean").coalesce(1)
     tasks = 4 * spark.sparkContext.defaultParallelism
-    below = folders.repartition(tasks, "path").mapInPandas(_walk(deep=True), LISTED)
-    every = top.where("NOT is_folder").unionByName(below)
-    return settle(every.select("path", "size_bytes", "hidden"), "listed")
+    levels: list[DataFrame] = []
+    while True:
+        levels.append(settle(level.mapInPandas(_list, LISTED), "listed"))
+        folders = levels[-1].where("is_folder").select("path", "hidden")
+        if folders.isEmpty():
+            break
+        level = folders.repartition(tasks, "path")
+    files = [found.where("NOT is_folder").select("path", "size_bytes", "hidden") for found in levels]
+    return reduce(DataFrame.unionByName, files)
 
 
 def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -179,7 +145,7 @@ def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Contents of files, one at a time; those that cannot be read are left out."""
     for batch in batches:
         for path in batch["path"]:
-            system, inside, _ = _place(path)
+            system, inside, _ = place(path)
             try:
                 with system.open_input_stream(inside) as stream:
                     yield pd.DataFrame({"path": [path], "content": [stream.read()]})
@@ -191,7 +157,7 @@ def read_every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Contents of files, one at a time; one that cannot be read is an error."""
     for batch in batches:
         for path in batch["path"]:
-            system, inside, _ = _place(path)
+            system, inside, _ = place(path)
             with system.open_input_stream(inside) as stream:
                 yield pd.DataFrame({"path": [path], "content": [stream.read()]})
 
@@ -266,7 +232,7 @@ def with_fingerprint(files: DataFrame) -> DataFrame:
 def _stream_file(path: str) -> tuple[str | None, str]:
     """SHA-256 of a file read chunk by chunk (null: unreadable), and which of the markers that
     type detection looks for it holds. No more than a chunk is kept."""
-    system, inside, _ = _place(path)
+    system, inside, _ = place(path)
     digest, found, tail = hashlib.sha256(), set(), b""
     markers = {m.lower().encode(): m for m in (MWTAB_MARKER, HTML_MARKER)}
     keep = max(map(len, markers)) - 1

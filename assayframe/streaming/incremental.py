@@ -1,7 +1,7 @@
-"""Incremental ingest: new files stream into a parsed table, merges run in batch.
+"""Incremental ingest: new files stream into a parsed table, or are merged into a store.
 
 Parsing keeps no state, so the stream needs no watermark; which files were seen is in
-its checkpoint, and what is stored decides about repeats when the merge runs.
+its checkpoint, and what is stored decides about repeats when a batch is merged.
 """
 
 from __future__ import annotations
@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from assayframe.functions.filetypes import detected_type, filename_of
 from assayframe.functions.text import drop_bad_utf8, without_mark
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import LAYOUTS
+from assayframe.plans.load import load
+from assayframe.plans.parse import Parsed, routed
 from assayframe.sources.files import listing, path_of_uri, read_every, relative_path
+from assayframe.sources.store import Store
 from assayframe.sources.tables import settle
 
 PATHS = "path string"
@@ -103,6 +107,41 @@ def append_available(rows: DataFrame, table: str, checkpoint: str) -> StreamingQ
     )
 
 
+def merge_available(
+    texts: DataFrame, store: Store, checkpoint: str, name: str, created_at=None
+) -> StreamingQuery:
+    """Merge the files that are there now into a store, a commit for each micro-batch, then stop.
+
+    ``texts``: a stream of (file_id, content). The commits are named after the stream and its batch:
+    a batch that Spark replays, because its job died between the commit and the checkpoint, is found
+    in the store and left alone; one that died before the commit left nothing there.
+    """
+
+    def load_batch(rows: DataFrame, number: int) -> None:
+        batch = f"{name} {number}"
+        if store.has(batch):
+            return
+        # a stream goes by the markers alone, whatever the files are called
+        layout = mwtab.layout_by_markers(F.col("content"))
+        named = detected_type(filename_of(F.col("file_id")), F.col("content"))
+        files = rows.withColumn("layout", layout)
+        files = routed(files.withColumn("detected_type", F.coalesce("layout", named)))
+        load(
+            store,
+            files.select("file_id", "detected_type"),
+            Parsed(files.where("layout IS NOT NULL"), "layout"),
+            batch,
+            created_at=created_at,
+        )
+
+    return (
+        texts.writeStream.foreachBatch(load_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_available(spark: SparkSession, root: str, table: str, checkpoint: str) -> DataFrame:
     """Parse the new files below ``root`` into ``table`` and return the table.
 
