@@ -125,12 +125,6 @@ SOURCES = {
     "created_at": "m_created_at",
 }
 DIMENSIONS = {"f": "files", "s": "samples", "ft": "features", "st": "studies", "a": "analyses"}
-FILTERED = {
-    "file_id": "files",
-    "import_id": "files",
-    "feature_type": "features",
-    "study_id": "studies",
-}
 
 
 def export_columns(star_df: DataFrame, columns: Iterable[str] = EXPORT_COLUMNS) -> DataFrame:
@@ -145,29 +139,7 @@ def export_columns(star_df: DataFrame, columns: Iterable[str] = EXPORT_COLUMNS)
     )
 
 
-def export_long(
-    tables: dict[str, DataFrame], columns: Iterable[str] = EXPORT_COLUMNS, **filters: str | None
-) -> DataFrame:
-    """Filtered export rows, unordered. Dimensions that nothing asks for are not joined."""
-    columns = list(columns)
-    prefixes = {SOURCES[c].split("_", 1)[0] for c in columns}
-    only = {DIMENSIONS[p] for p in prefixes if p in DIMENSIONS}
-    only |= {FILTERED[name] for name, value in filters.items() if value}
-    return export_columns(filtered(star(**tables, only=only), **filters), columns)
-
-
-def in_export_order(exported: DataFrame) -> DataFrame:
-    return exported.orderBy(*[F.asc_nulls_last(c) for c in ORDER])
-
-
-def preview(tables: dict[str, DataFrame], limit: int = 10, **filters: str | None) -> DataFrame:
-    """First rows in export order; a top-n, not a full sort. Ties follow the sample."""
-    rows = export_long(tables, **filters)
-    ties = [F.asc_nulls_last(c) for c in ("sample_uid", "value", "replicate_ix", "unit", "created_at")]
-    return rows.orderBy(*[F.asc_nulls_last(c) for c in ORDER], *ties).limit(limit)
-
-
-def export_count(
+def reduced(
     tables: dict[str, DataFrame],
     *,
     file_id: str | None = None,
@@ -175,16 +147,17 @@ def export_count(
     feature_type: str | None = None,
     study_id: str | None = None,
 ) -> DataFrame:
-    """Number of rows an export would have.
+    """The measurements that the filters leave, by semi-joins with the keys of filtered dimensions.
 
-    Dimensions are unique on their keys, so a left join without a filter changes no
-    count: only filtered tables are joined, as semi-joins.
+    All joins of the star then see these rows alone, and a dimension that only a filter asked for
+    is not joined again. The key of a file is filtered in the scan, too.
     """
     rows = tables["measurements"]
     if file_id or import_id:
         files = tables["files"]
         if file_id:
             files = files.where(F.col("file_id") == file_id)
+            rows = rows.where(F.col("file_id") == file_id)
         if import_id:
             files = files.where(F.col("import_id") == import_id)
         rows = rows.join(files.select("file_id"), "file_id", "left_semi")
@@ -195,7 +168,41 @@ def export_count(
         study = tables["studies"].where(F.col("study_id") == study_id).select("study_pk")
         samples = tables["samples"].join(study, "study_pk", "left_semi").select("sample_uid")
         rows = rows.join(samples, "sample_uid", "left_semi")
-    return rows.agg(F.count("*").alias("row_count"))
+    return rows
+
+
+def export_long(
+    tables: dict[str, DataFrame], columns: Iterable[str] = EXPORT_COLUMNS, **filters: str | None
+) -> DataFrame:
+    """Filtered export rows, unordered. Dimensions that nothing asks for are not joined.
+
+    Measurements are reduced by the filters before they meet the star.
+    """
+    columns = list(columns)
+    prefixes = {SOURCES[c].split("_", 1)[0] for c in columns}
+    only = {DIMENSIONS[p] for p in prefixes if p in DIMENSIONS}
+    facts = {**tables, "measurements": reduced(tables, **filters)}
+    return export_columns(star(**facts, only=only), columns)
+
+
+def in_export_order(exported: DataFrame) -> DataFrame:
+    return exported.orderBy(*[F.asc_nulls_last(c) for c in ORDER])
+
+
+def preview(tables: dict[str, DataFrame], limit: int = 10, **filters: str | None) -> DataFrame:
+    """First rows in export order; a top-n, not a full sort. Ties follow the sample."""
+    rows = export_long(tables, **filters)
+    ties = [F.asc_nulls_last(c) for c in ("sample_uid", "value", "replicate_ix", "unit", "created_at")]
+    return rows.orderBy(*[F.asc_nulls_last(c) for c in ORDER], *ties).limit(limit)
+
+
+def export_count(tables: dict[str, DataFrame], **filters: str | None) -> DataFrame:
+    """Number of rows an export would have.
+
+    Dimensions are unique on their keys, so a left join without a filter changes no
+    count: only filtered tables are joined, as semi-joins.
+    """
+    return reduced(tables, **filters).agg(F.count("*").alias("row_count"))
 
 
 def long_view(tables: dict[str, DataFrame]) -> DataFrame:

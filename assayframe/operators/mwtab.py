@@ -188,6 +188,35 @@ def header_indexes(cells: Column, layout: Layout) -> tuple[Column, Column]:
     return F.coalesce(first_of(names), F.lit(0)), none
 
 
+def places_of(labels: Column) -> Column:
+    """For every label: ``nth``, which of its equals it is from the left, and whether it is the last.
+
+    Labels are sorted with their positions, so that equals make a run, and put back by position.
+    """
+    placed = F.transform(labels, lambda x, i: F.struct(x.alias("label"), i.alias("at")))
+
+    def begins(s: Column) -> Column:
+        def new(j: Column) -> Column:
+            return (j == 0) | ~F.get(s, j - 1)["label"].eqNullSafe(F.get(s, j)["label"])
+
+        return F.filter(F.sequence(F.lit(0), F.size(s) - 1), new)
+
+    def ranked(s: Column, heads: Column) -> Column:
+        def run(head: Column, r: Column) -> Column:
+            size = F.coalesce(F.get(heads, r + 1), F.size(s)) - head
+            return let(
+                size,
+                lambda n: F.transform(
+                    F.slice(s, head + 1, n),
+                    lambda x, j: F.struct(x["at"].alias("at"), (j + 1).alias("nth"), (j + 1 == n).alias("last")),
+                ),
+            )
+
+        return F.sort_array(F.flatten(F.transform(heads, run)))
+
+    return let(F.sort_array(placed), lambda s: let(begins(s), lambda heads: ranked(s, heads)))
+
+
 def sample_columns(
     cells: Column,
     name_ix: Column,
@@ -200,8 +229,8 @@ def sample_columns(
 
     Strict layouts trim labels, drop known other columns and number repeated labels
     from left to right. The plain layout keeps labels as they are, and of a repeated
-    label only the last column counts. Both look for repeats pairwise only where the
-    header has any. ``known`` tells whether the column's sample exists: strict layouts
+    label only the last column counts. Both sort the labels where the header has any
+    repeat (``places_of``). ``known`` tells whether the column's sample exists: strict layouts
     take no sample from the first column, the plain layout none from a header that a
     later block replaced (then ``known_labels`` holds what exists).
     """
@@ -223,45 +252,47 @@ def sample_columns(
     def strict_columns(h: Column) -> Column:
         labels = h["labels"]
 
-        def nth(label: Column, i: Column) -> Column:
-            seen = F.size(F.filter(F.slice(labels, F.lit(1), i + 1), lambda x: x == label))
-            return F.when(h["unique"], F.lit(1)).otherwise(seen)
+        def nth(i: Column) -> Column:
+            return F.when(h["unique"], F.lit(1)).otherwise(F.get(h["places"], i)["nth"])
 
         def known(label: Column, i: Column) -> Column:
             others = F.slice(labels, F.lit(2), F.size(labels))
             return (i > 0) | F.array_contains(others, label)
 
-        columns = F.transform(labels, lambda x, i: column(x, i, nth(x, i), known(x, i)))
+        columns = F.transform(labels, lambda x, i: column(x, i, nth(i), known(x, i)))
         return F.filter(columns, lambda c: ~F.lower(c["sample_label"]).isin(*skip_list(layout)))
 
     def plain_columns(h: Column) -> Column:
         labels, name = h["labels"], h["name_ix"]
-        n = F.size(labels)
 
         def known(label: Column) -> Column:
             if known_labels is None:
                 return F.lit(True)
             return known_labels.isNull() | F.array_contains(known_labels, label)
 
-        def last(label: Column, i: Column) -> Column:
-            later = F.transform(F.slice(labels, i + 2, n), lambda x, j: (x == label) & (i + j + 1 != name))
-            return h["unique"] | ~F.exists(later, lambda hit: hit)
+        def last(i: Column) -> Column:
+            return h["unique"] | F.get(h["places"], i)["last"]
 
         columns = F.transform(
             labels,
-            lambda x, i: F.when((i != name) & last(x, i), column(x, i, F.lit(None), known(x))),
+            lambda x, i: F.when((i != name) & last(i), column(x, i, F.lit(None), known(x))),
         )
         return F.array_compact(columns)
 
     labels = F.transform(cells, strip) if layout.strict else cells
-    head = let(
-        labels,
-        lambda ls: F.struct(
+
+    def with_places(ls: Column) -> Column:
+        # the plain layout's name column is no sample, whatever another column is called
+        counted = ls if layout.strict else F.transform(ls, lambda x, i: F.when(i != name_ix, x))
+        unique = F.size(F.array_distinct(ls)) == F.size(ls)
+        return F.struct(
             ls.alias("labels"),
-            (F.size(F.array_distinct(ls)) == F.size(ls)).alias("unique"),
+            unique.alias("unique"),
+            F.when(~unique, places_of(counted)).alias("places"),
             name_ix.alias("name_ix"),
-        ),
-    )
+        )
+
+    head = let(labels, with_places)
     return let(head, strict_columns if layout.strict else plain_columns)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,9 +103,56 @@ def sample_counts(samples: DataFrame) -> DataFrame:
     )
 
 
-def _as_metrics(one_row: DataFrame) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in one_row.columns]
-    return one_row.select(F.inline(F.array(*pairs)))
+COUNTERS = (
+    "total_measurements",
+    "non_null_values",
+    "nan_count",
+    "pos_inf_count",
+    "neg_inf_count",
+    "negative_values_count",
+)
+
+
+def key_counts(measurements: DataFrame) -> DataFrame:
+    """Counters of every sample and of every feature, from one scan.
+
+    One aggregate by (sample, feature) carries all counters, and which pairs occur more than once.
+    It is then summed by sample and by feature; ``of_sample`` tells which a row is about.
+    """
+    pairs = measurements.groupBy(*PAIR).agg(*[c.alias(n) for n, c in _value_counts().items()])
+    either = F.array(
+        F.struct(F.lit(True).alias("of_sample"), F.col("sample_uid").alias("key")),
+        F.struct(F.lit(False).alias("of_sample"), F.col("feature_uid").alias("key")),
+    )
+    repeated = F.count_if(F.col("total_measurements") > 1).alias("duplicate_pairs_count")
+    return (
+        pairs.select(*COUNTERS, F.inline(either))
+        .groupBy("of_sample", "key")
+        .agg(repeated, *[F.sum(c).alias(c) for c in COUNTERS])
+    )
+
+
+def fact_counts(measurements: DataFrame, samples: DataFrame, features: DataFrame) -> DataFrame:
+    """One row: all counters of the measurements, duplicate pairs and orphans of both kinds."""
+    keys = key_counts(measurements)
+    known_samples = samples.select(
+        F.col("sample_uid").alias("key"), F.lit(True).alias("of_sample"), F.lit(True).alias("_known")
+    )
+    known_features = features.select(
+        F.col("feature_uid").alias("key"), F.lit(False).alias("of_sample"), F.lit(True).alias("_known")
+    )
+    found = keys.join(known_samples.unionByName(known_features), ["of_sample", "key"], "left")
+    orphan = F.col("key").isNotNull() & F.col("_known").isNull()
+    of_sample = F.col("of_sample")
+
+    def total(counter: str) -> Column:
+        return F.coalesce(F.sum(F.when(of_sample, F.col(counter))), F.lit(0)).alias(counter)
+
+    return found.agg(
+        *[total(c) for c in (*COUNTERS, "duplicate_pairs_count")],
+        F.count_if(of_sample & orphan).alias("orphan_sample_count"),
+        F.count_if(~of_sample & orphan).alias("orphan_feature_count"),
+    )
 
 
 def summary(
@@ -120,21 +165,17 @@ def summary(
 ) -> DataFrame:
     """All metrics in one row, for everything or for a study and / or an analysis.
 
-    The parts are one-row results put together by metric name. Orphans are looked for
-    in all samples, whatever the filter; the sample counts are those of the study.
+    The measurements are scanned once. Orphans are looked for in all samples, whatever the
+    filter; the sample counts are those of the study. Keys of ``samples`` and ``features`` are unique.
     """
     rows = filter_measurements(measurements, samples, studies, study_id, analysis_id)
-    parts = [
-        value_counts(rows),
-        duplicate_pairs(rows),
-        orphan_count(rows, samples, "sample_uid", "orphan_sample_count"),
-        orphan_count(rows, features, "feature_uid", "orphan_feature_count"),
-        sample_counts(filter_samples(samples, studies, study_id)),
-    ]
-    names = [c for p in parts for c in p.columns]
-    metrics = reduce(DataFrame.unionByName, [_as_metrics(p) for p in parts])
-    return metrics.agg(
-        *[F.max(F.when(F.col("m") == n, F.col("v"))).alias(n) for n in names]
+    facts = fact_counts(rows, samples, features)
+    about = sample_counts(filter_samples(samples, studies, study_id))
+    both = facts.unionByName(about, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    nulls = F.col("total_measurements") - F.col("non_null_values")
+    return one.withColumn("null_count", nulls).withColumn(
+        "null_percent", _percent(F.col("null_count"), F.col("total_measurements"))
     )
 
 
@@ -163,7 +204,7 @@ def graded(summary_row: DataFrame) -> DataFrame:
         "samples_no_factors": F.when(bare > NO_FACTORS_WARN, warn).otherwise(ok),
     }
     rows = [
-        F.struct(F.lit(m).alias("metric"), c(m).cast("long").alias("value"), g.alias("status"))
+        F.struct(F.lit(m).alias("metric"), c(m).alias("value"), g.alias("status"))
         for m, g in grades.items()
     ]
     return summary_row.select(F.inline(F.array(*rows)))
@@ -174,7 +215,7 @@ def issues(summary_row: DataFrame) -> DataFrame:
     c = F.col
     found = F.array(
         *[
-            F.when(c(m) > 0, F.concat(c(m).cast("long").cast("string"), F.lit(f" {what}")))
+            F.when(c(m) > 0, F.concat(c(m).cast("string"), F.lit(f" {what}")))
             for m, what in (
                 ("duplicate_pairs_count", "duplicate pairs"),
                 ("orphan_sample_count", "orphan samples"),

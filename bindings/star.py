@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import export, qc
 from assayframe.plans import reports
+from assayframe.session import shared_folder
+from assayframe.sources import tables
 from bindings.core import QC_MEASUREMENTS, ROLES, bound, ctes, load
 
 STAR = tuple(ROLES)
@@ -382,9 +384,12 @@ def latest_files(spark, sf_dir):
     + "WHERE f.exposure = 'CON' AND f.device = 'MS'",
 )
 def exported_ob(spark, sf_dir):
+    """Filter and project a written export, in the order of the columns to find by."""
     columns = ["sample_uid", "feature_name", "value"]
     rows = export.export_long(load(spark, sf_dir), [*columns, "exposure", "device"])
-    return reports.exported_where(rows, *columns, exposure="CON", device="MS")
+    out = shared_folder(spark, "export")
+    tables.write_export(rows, out, find_by=["device", "exposure"])
+    return reports.exported_where(spark.read.parquet(out), *columns, exposure="CON", device="MS")
 
 
 @bound(

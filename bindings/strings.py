@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assayframe.functions import filetypes, keys, text
 from assayframe.operators import merge, skew
 from assayframe.plans import ingest
+from assayframe.sources.files import with_fingerprint
 from assayframe.sources.tables import settle
 from bindings.core import Role, bound, ctes, load, pick, table
 
@@ -189,14 +190,17 @@ def replicate_index(spark, sf_dir):
 
 @bound(
     "content_fingerprint",
-    "SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes FROM documents",
+    """SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes,
+      CASE WHEN doc_id % 2 = 0 THEN 'results_txt' ELSE 'unknown' END AS detected_type FROM documents""",
 )
 def content_fingerprint(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    files = table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.sha2(F.col("text").cast("binary"), 256).alias("sha256"),
+        F.expr("CASE WHEN doc_id % 2 = 0 THEN 'x_res.txt' ELSE 'x.csv' END").alias("filename"),
         F.octet_length("text").cast("long").alias("size_bytes"),
+        F.col("text").cast("binary").alias("content"),
     )
+    return with_fingerprint(files).drop("filename")
 
 
 # a third of the documents gets one and the same content

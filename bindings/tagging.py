@@ -244,21 +244,34 @@ def derive_exposure(spark, sf_dir):
     return derived.select("sample_uid", "exposure", "exposure_conflict", "exposure_action")
 
 
+# stored factors: one that the raw text repeats (and so replaces), and one that it lacks
+OVERLAID = EXPOSED.replace(
+    "kv AS (SELECT sample_uid, lower(k) AS k, lower(arg_max(v, i)) AS v FROM pairs GROUP BY sample_uid, lower(k)),",
+    """raw AS (SELECT sample_uid, lower(k) AS k, lower(arg_max(v, i)) AS v FROM pairs GROUP BY sample_uid, lower(k)),
+kept AS (SELECT sample_uid, 'group' AS k, 'lean' AS v FROM samples
+   UNION ALL SELECT sample_uid, 'cohort' AS k,
+     CASE CAST(split_part(sample_uid, ':O', 2) AS BIGINT) % 3 WHEN 0 THEN 'obese' WHEN 1 THEN 'control'
+       ELSE 'nothing' END AS v FROM samples),
+kv AS (SELECT * FROM raw UNION ALL SELECT * FROM kept ANTI JOIN raw USING (sample_uid, k)),""",
+)
+
+
 @bound(
     "derive_exposure_stored",
-    EXPOSED
+    OVERLAID
     + """SELECT sample_uid, CASE WHEN already THEN old ELSE coalesce(found, old) END AS exposure,
       clash AND NOT already AS exposure_conflict FROM ex""",
 )
 def derive_exposure_stored(spark, sf_dir):
-    """Stored factors that the raw text repeats: the overlay must give the same scores."""
+    """Stored factors under the raw text's: what the text has replaces them, what it lacks counts."""
     samples = _samples(spark, sf_dir)
-    stored = merge.sample_factors(samples)
-    changed = F.when(F.lower("factor_key") == "group", F.lit("Lean")).otherwise(
-        F.col("factor_value")
+    number = F.element_at(F.split("sample_uid", ":O"), 2).cast("long") % 3
+    cohort = F.when(number == 0, "Obese").when(number == 1, "control").otherwise("nothing")
+    stored = samples.select("sample_uid", F.lit("Group").alias("factor_key"), F.lit("Lean").alias("factor_value"))
+    stored = stored.unionByName(
+        samples.select("sample_uid", F.lit("COHORT").alias("factor_key"), cohort.alias("factor_value"))
     )
-    derived = derive.derive_exposure(samples, stored.withColumn("factor_value", changed))
-    return derived.select("sample_uid", "exposure", "exposure_conflict")
+    return derive.derive_exposure(samples, stored).select("sample_uid", "exposure", "exposure_conflict")
 
 
 MATRIX = (
@@ -301,12 +314,7 @@ def derive_matrix(spark, sf_dir):
 DEVICE_TEXT = f"""CASE doc_id % 5 WHEN 0 THEN text || ' by HPLC-MS'
   WHEN 1 THEN 'Gas  chromatography' || text WHEN 2 THEN text || ' MS_METABOLITE_DATA_START'
   ELSE text END"""
-DERIVED_DEVICE = ctes(
-    f="""SELECT 'F' || doc_id AS file_id, """
-    + f"""lower('/data/' || {SEG_EXPOSURE} || '/' || {SEG_DEVICE} || ' run' || doc_id) AS txt,
-    CASE doc_id % 4 WHEN 0 THEN 'mwtab' WHEN 1 THEN 'mwtab_ms' WHEN 2 THEN 'x_NMR' ELSE 'other' END AS kind,
-    CASE WHEN doc_id % 9 = 0 THEN 'LCMS' END AS old,
-    lower({DEVICE_TEXT}) AS head FROM documents""",
+DEVICE_OF = dict(
     d=f"""SELECT *, CASE WHEN contains(lower(kind), 'nmr') OR
       {rx(r"\bNMR\b|\bnuclear\s+magnetic\s+resonance\b|\b1H[-_\s]?NMR\b|\b13C[-_\s]?NMR\b")} THEN 'NMR' END AS by_name,
       CASE WHEN kind IN ('mwtab', 'mwtab_ms') THEN CASE
@@ -316,12 +324,20 @@ DERIVED_DEVICE = ctes(
         WHEN contains(head, 'ms_metabolite_data') THEN 'MS' END END AS by_content,
       CASE WHEN {rx(r"\bGC[-_\s]?MS\b|\bGCMS\b|\bgas\s+chromatograph|\bGC\s+mass\s+spectrom")} THEN 'GCMS'
         WHEN {rx(r"\bLC[-_\s]?MS\b|\bLCMS\b|\bliquid\s+chromatograph|\bHPLC[-_\s]?MS\b|\bUHPLC\b|\bUPLC\b")} THEN 'LCMS'
-        WHEN contains(kind, 'ms') THEN 'MS' END AS by_path FROM f""",
+        WHEN contains(kind, 'ms') OR contains(kind, 'metabolite') THEN 'MS' END AS by_path FROM f""",
     r="""SELECT file_id, coalesce(old, by_name, by_content, by_path) AS device,
       CASE WHEN old IS NOT NULL THEN 'already_set'
            WHEN coalesce(by_name, by_content, by_path) IS NOT NULL THEN 'set'
            ELSE 'unknown' END AS device_action FROM d""",
 )
+DERIVED_DEVICE = ctes(
+    f="""SELECT 'F' || doc_id AS file_id, """
+    + f"""lower('/data/' || {SEG_EXPOSURE} || '/' || {SEG_DEVICE} || ' run' || doc_id) AS txt,
+    CASE doc_id % 4 WHEN 0 THEN 'mwtab' WHEN 1 THEN 'mwtab_ms' WHEN 2 THEN 'x_NMR' ELSE 'other' END AS kind,
+    CASE WHEN doc_id % 9 = 0 THEN 'LCMS' END AS old,
+    lower({DEVICE_TEXT}) AS head FROM documents""",
+    **DEVICE_OF,
+)
 
 
 def _derived_files(spark, sf_dir):

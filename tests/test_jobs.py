@@ -383,7 +383,83 @@ def test_export_sink(spark, tmp_path):
     part = next((tmp_path / "out").glob("part-*.parquet"))
     assert pq.ParquetFile(part).metadata.row_group(0).column(0).compression == "ZSTD"
     none = tables.write_export(export.export_long(t, study_id="no"), str(tmp_path / "none"))
-    assert none.total_rows == 0 and not (tmp_path / "none").exists()
+    assert none == tables.ExportStats(str(tmp_path / "none")) and not (tmp_path / "none").exists()
+
+
+def test_an_export_is_read_back_by_its_statistics(spark, tmp_path):
+    """Files in the order of the columns to find by: readers skip row groups, and know by Bloom
+    filters which files lack a value."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(100_000).select(
+        F.format_string("d%02d", F.pmod(F.xxhash64("id"), F.lit(40))).alias("device"),
+        F.format_string("s%d", "id").alias("sample_uid"),
+        F.col("id").cast("double").alias("value"),
+    )
+    path = str(tmp_path / "out")
+    stats = tables.write_export(rows.coalesce(1), path, chunk_rows=1_000_000, find_by=["device", "sample_uid"])
+    assert stats.total_rows == 100_000 and stats.total_chunks == 1
+    meta = pq.ParquetFile(next((tmp_path / "out").glob("part-*.parquet"))).metadata
+    assert meta.num_row_groups >= 5
+    hit = [
+        meta.row_group(i).column(0).statistics
+        for i in range(meta.num_row_groups)
+        if meta.row_group(i).column(0).statistics.min <= "d07" <= meta.row_group(i).column(0).statistics.max
+    ]
+    assert len(hit) <= 2
+    found = spark.read.parquet(path).where("device = 'd07'")
+    assert "EqualTo(device,d07)" in found._jdf.queryExecution().executedPlan().toString()
+    wanted = rows.where("device = 'd07'")
+    assert found.count() == wanted.count()
+
+
+def test_qc_scans_the_facts_once(spark, tmp_path):
+    t = star_tables(spark)
+    t["samples"] = t["samples"].withColumn("factors_raw", F.lit(None).cast("string"))
+    for name in ("measurements", "samples", "features"):
+        t[name].write.parquet(str(tmp_path / name))
+        t[name] = spark.read.parquet(str(tmp_path / name))
+    report = qc.summary(t["measurements"], t["samples"], t["features"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("feature_uid:string,value:double>") == 1  # what the scan of the facts reads
+    assert {str(f.dataType) for f in report.schema if f.name != "null_percent"} == {"LongType()"}
+    row = report.first()
+    assert (row.total_measurements, row.duplicate_pairs_count) == (24, 12)
+    assert (row.orphan_sample_count, row.orphan_feature_count, row.samples_total) == (1, 2, 2)
+
+
+def test_replicates_of_a_wide_header_are_numbered_in_linear_time(spark):
+    import time
+
+    from assayframe.operators.mwtab import places_of
+
+    wide = [f"S{i}" for i in range(20_000)]
+    wide[17_000] = wide[5]
+    rows = [(0, ["b", "a", "b", None, "a", "b", None]), (1, wide), (2, [])]
+    df = spark.createDataFrame(rows, "id int, labels array<string>")
+    start = time.perf_counter()
+    found = {r["id"]: r["p"] for r in df.select("id", places_of(F.col("labels")).alias("p")).collect()}
+    assert time.perf_counter() - start < 20
+    assert [(p["nth"], p["last"]) for p in found[0]] == [
+        (1, False), (1, False), (2, False), (1, False), (2, True), (3, True), (2, True)
+    ]
+    assert [p["at"] for p in found[1]] == list(range(20_000))
+    assert found[1][17_000]["nth"] == 2 and not found[1][5]["last"] and found[2] == []
+
+
+def test_a_deep_tree_is_listed_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One root folder with all the rest below: every level is spread over tasks."""
+    for i in range(12):
+        for j in range(3):
+            folder = tmp_path / "only" / f"a{i}" / f"b{j}"
+            folder.mkdir(parents=True)
+            (folder / "x.txt").write_text("x")
+    levels = []
+    settle = source.settle
+    monkeypatch.setattr(source, "settle", lambda df, p: levels.append(df.rdd.getNumPartitions()) or settle(df, p))
+    found = source.listing(spark, str(tmp_path)).collect()
+    assert len(found) == 36 and len(levels) == 4
+    assert levels[0] == 1 and min(levels[1:]) > 1
 
 
 def test_export_count_is_export(spark):
@@ -444,10 +520,38 @@ def test_filter_becomes_inner_join_and_prunes(spark, tmp_path):
     plan = export.export_long(t, study_id="ST1").select("value")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(study_id), EqualTo(study_id,ST1)" in text
-    assert "LeftOuter" in text and "Inner" in text
+    assert "LeftSemi" in text and "LeftOuter" not in text
     assert "ReadSchema: struct<study_pk:string,study_id:string>" in text
 
 
+def joins_above(plan, scan):
+    """Types of the joins above a scan, nearest first, in an optimized plan."""
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if scan in line)
+    depth, out = lines[at].find("+- ") if "+- " in lines[at] else lines[at].find(":- "), []
+    for line in reversed(lines[:at]):
+        own = max(line.find("+- "), line.find(":- "))
+        if own < depth:
+            depth = own
+            if "Join " in line:
+                out.append(line.split("Join ")[1].split(",")[0].split(" ")[0])
+    return out
+
+
+def test_facts_are_reduced_before_they_meet_the_star(spark, tmp_path):
+    t = star_tables(spark)
+    for name, df in t.items():
+        df.write.parquet(str(tmp_path / name))
+    t = {name: spark.read.parquet(str(tmp_path / name)) for name in t}
+    filters = {"study_id": "ST1", "feature_type": "metabolite", "import_id": "I1"}
+    plan = export.export_long(t, **filters)._jdf.queryExecution().optimizedPlan().toString()
+    above = joins_above(plan, "Relation [sample_uid")
+    assert above[:3] == ["LeftSemi"] * 3 and set(above[3:]) == {"LeftOuter"} and len(above) == 8
+    every = export.filtered(export.star(**t), **filters)
+    columns = export.export_columns(every)
+    assert sorted(map(str, columns.collect())) == sorted(map(str, export.export_long(t, **filters).collect()))
+
+
 def test_empty_report(spark):
     t = star_tables(spark)
     samples = t["samples"].withColumn("factors_raw", F.lit(None).cast("string"))
