@@ -44,7 +44,8 @@ class Rule:
         return self.host + self.path
 
 
-#: The rules of the query, and the words in a host that put its pages on the list.
+#: The rules of the query, the words in a host that put its pages on the list, and the
+#: first digits of the digests below which a canonical URL counts as reported.
 RULES = (
     Rule("block", "net", "/"),
     Rule("allow", "example.net", "/en/"),
@@ -52,6 +53,7 @@ RULES = (
     Rule("allow", "org", "/fr/"),
 )
 SPAM_WORDS = ("bets", "casino", "pills")
+REPORTED = "10"
 
 
 def after_scheme(url: Column) -> Column:
@@ -177,9 +179,29 @@ def spam_list(pages: DataFrame) -> DataFrame:
     return pages.where(spam).select(canonical(F.col("url")).alias("canonical"))
 
 
+def mirrored(url: Column) -> Column:
+    """Another form of a canonical URL, as a report might give it."""
+    host = F.translate(F.regexp_extract(url, "^[^/?]*", 0), LOWER, UPPER)
+    path = F.regexp_extract(url, "^[^/?]*([^?]*)", 1)
+    query = F.regexp_extract(url, "^[^?]*[?](.*)$", 1)
+    fields = F.when(query != "", F.concat(F.lit("&"), query)).otherwise(F.lit(""))
+    return F.concat(F.lit("HTTP://WWW."), host, path, F.lit("/?utm_source=report"), fields, F.lit("#x"))
+
+
+def reported_urls(pages: DataFrame) -> DataFrame:
+    """A column url: other forms of a seeded share of the pages' URLs.
+
+    It stands for a list from elsewhere: nothing in a URL itself tells that it is reported.
+    """
+    known = pages.select(canonical(F.col("url")).alias("canonical"))
+    share = F.substring(F.md5("canonical"), 1, len(REPORTED)) < REPORTED
+    return known.where(share).select(mirrored(F.col("canonical")).alias("url"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return judge(pages, spam_list(pages))
+    reported = reported_urls(pages).select(canonical(F.col("url")).alias("canonical"))
+    return judge(pages, spam_list(pages).unionByName(reported))
 
 
 SQL = f"""
@@ -202,6 +224,7 @@ WITH rests AS (
   FROM parts
 ), listed AS (
   SELECT DISTINCT canonical FROM urls WHERE regexp_matches(host, '{"|".join(SPAM_WORDS)}')
+    OR substr(md5(canonical), 1, {len(REPORTED)}) < '{REPORTED}'
 ), rules(verdict, rhost, rpath) AS (
   VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)}
 ), best AS (

@@ -110,6 +110,23 @@ def test_empty_tables(spark):
         uf.by_rule([uf.Rule("block", str(i), "/") for i in range(uf.MAX_RULES + 1)], lambda r: r.name)
 
 
+def test_the_join_decides_verdicts(spark, sf_dir):
+    """Reported URLs are known by the list alone: their hosts have pages of both verdicts."""
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{sf_dir}/../sf0.1/pages.parquet").select("page_id", "url")
+    with_list = uf.query(spark, f"{sf_dir}/../sf0.1").where("rule IS NULL")
+    without = uf.judge(pages, uf.spam_list(pages)).select("page_id", F.col("verdict").alias("bare"))
+    changed = with_list.join(without, "page_id").where("verdict <> bare")
+    plain = with_list.where(~F.col("host").rlike("|".join(uf.SPAM_WORDS)))
+    mixed = plain.groupBy("host").agg(F.count_distinct("verdict").alias("n")).where("n = 2")
+    assert changed.count() > 20 and mixed.count() > 3
+    # other forms of a URL are the same URL
+    forms = pages.select(uf.canonical(F.col("url")).alias("a")).where("a IS NOT NULL")
+    again = forms.select("a", uf.canonical(uf.mirrored(F.col("a"))).alias("b"))
+    assert again.where("a <> b").isEmpty()
+
+
 def test_query_against_sql(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
