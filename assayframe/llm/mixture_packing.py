@@ -45,6 +45,7 @@ END = 0
 WINDOW = 1024
 LEAST = 16  # tokens that a small source sends at a time
 SEED = 9_176
+BROADCAST_PARTS = 500_000  # of about 40 bytes
 POINT = 16  # binary places of a quantum
 SPECIAL = "<|endoftext|>"
 LONG_RUN = 100_000  # bytes without a break, from which the slower library takes over
@@ -250,7 +251,9 @@ def pack(
     """Pieces of documents (doc_id, text, source): doc_id, source, start, length, ids_crc32,
     doc_tokens, sequence_id, offset and ids, the token ids of the piece (little-endian, 32 bits)."""
     made = common.settled(encoded(docs, vocabulary, seed), "tokens")
-    parts = made.groupBy("source_key", "part").agg(F.sum("n").alias("tokens"))
+    parts = common.settled(
+        made.groupBy("source_key", "part").agg(F.sum("n").alias("tokens")), "parts"
+    )
     # one row for each source
     tokens = {
         r["source_key"]: r["tokens"]
@@ -267,7 +270,10 @@ def pack(
         Window.partitionBy("source_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     )
     bases = parts.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
-    placed = made.join(bases.drop("tokens"), ["source_key", "part"]).select(
+    bases = bases.drop("tokens")
+    if parts.count() <= BROADCAST_PARTS:  # one for each source and task; else the ids move once
+        bases = F.broadcast(bases)
+    placed = made.join(bases, ["source_key", "part"]).select(
         "doc_id",
         "source_key",
         "ids",
