@@ -17,6 +17,7 @@ from assayframe.functions.keys import row_id
 from assayframe.operators import merge
 from assayframe.plans import ingest, parse
 from assayframe.session import shared_folder
+from assayframe.sources.files import read_lines, types_of_lines
 from assayframe.sources.store import Segment, Store
 from assayframe.sources.tables import settle
 
@@ -200,21 +201,34 @@ def parse_pending(
     skip_types: Iterable[str] | None = None,
     max_files: int | None = None,
     created_at=None,
+    large_bytes: int = parse.LARGE_BYTES,
 ) -> JobStats:
     """Parse an import's pending and failed files into the store; their outcomes are stored with it.
 
-    ``texts`` has (path_abs, content) of the files; they are read once.
+    ``texts`` has (path_abs, content) of the files; they are read once. Files over ``large_bytes`` are
+    read line by line instead and need no row there.
     """
     if store.has(batch):
         return JobStats()
     pending = parse.pending_files(store.read("files"), import_id, only_types, skip_types, max_files)
-    chosen = settle(pending.select("file_id", "detected_type", "path_abs"), "pending")
-    found = texts.join(chosen, "path_abs").drop("path_abs")
+    chosen = settle(pending.select("file_id", "detected_type", "path_abs", "size_bytes"), "pending")
+    is_large = F.col("size_bytes") > large_bytes
+    found = texts.join(chosen.where(~is_large), "path_abs").drop("path_abs")
     files = parse.routed(parse.with_layout(found, F.col("content")))
+    lines = weights = None
+    large = chosen.where(is_large)
+    if not large.isEmpty():
+        listed = large.select(F.col("path_abs").alias("path"), "size_bytes")
+        by_path = read_lines(store.spark, listed=listed).withColumnRenamed("file_id", "path_abs")
+        lines = by_path.join(large.select("path_abs", "file_id"), "path_abs").drop("path_abs")
+        layouts = settle(types_of_lines(lines).select("file_id", "layout"), "large-layouts")
+        known = parse.with_layout(large.join(layouts, "file_id"), F.lit(None), F.col("layout"))
+        lines = lines.join(known.select("file_id", "layout"), "file_id")
+        weights = large.select("file_id", (F.col("size_bytes") / 64).alias("n"))
     return load(
         store,
-        chosen.drop("path_abs"),
-        parse.Parsed(files, "layout"),
+        chosen.select("file_id", "detected_type"),
+        parse.Parsed(files, "layout", lines=lines, weights=weights),
         batch,
         created_at=created_at,
         statuses=True,

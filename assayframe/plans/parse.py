@@ -20,7 +20,7 @@ from assayframe.session import shared_folder
 from assayframe.sources.files import (
     line_weights,
     list_files,
-    numbered_lines,
+    read_lines,
     read_texts,
     types_of_lines,
 )
@@ -459,7 +459,7 @@ def parse_directory(
     texts = routed(laid_out.withColumn("layout", F.when(asked, F.col("layout"))))
     types = texts.select("file_id", "detected_type")
     if has_large:
-        lines = numbered_lines(spark, root, over_bytes=large_bytes)
+        lines = read_lines(spark, root, over_bytes=large_bytes)
         large_types = settle(types_of_lines(lines), "large-types")
         types = types.unionByName(large_types.select("file_id", "detected_type"))
     types = settle(types, "types")

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import hashlib
 import os
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ from assayframe.sources.places import place
 from assayframe.sources.tables import settle
 
 STREAM_CHUNK = 8 * 1024 * 1024
+RANGE_BYTES = 64 * 1024 * 1024  # of a large file that a task reads line by line
+MOST_TASKS = 100_000
 ROW_BYTES = 1 << 30  # files beyond this are not loaded into one row
 LISTED = "path string, size_bytes long, is_folder boolean, hidden boolean"
 
@@ -167,19 +171,17 @@ def read_files(
     root: str | list[str],
     up_to_bytes: int | None = None,
     listed: DataFrame | None = None,
-    hidden_whole: bool = False,
 ) -> DataFrame:
     """All files below ``root`` (or the listed ones) with their bytes in ``content``; files that
     cannot be read are left out.
 
-    With ``up_to_bytes`` larger files are left out and their bytes never loaded, but for hidden
-    ones with ``hidden_whole``. Spark's reader takes all it sees; the rest is read in tasks.
+    With ``up_to_bytes`` larger files are left out and their bytes never loaded. Spark's reader
+    takes all it sees; the rest is read in tasks.
     """
     listed = listing(spark, root) if listed is None else listed
     fits = F.col("size_bytes").isNotNull()
     if up_to_bytes is not None:
-        small = F.col("size_bytes") <= up_to_bytes
-        fits = fits & ((small | F.col("hidden")) if hidden_whole else small)
+        fits = fits & (F.col("size_bytes") <= up_to_bytes)
     listed = listed.where(fits)
     other = listed.where("hidden OR size_bytes = 0").select("path")
     tasks = spark.sparkContext.defaultParallelism
@@ -299,38 +301,96 @@ def registry_rows(
 def read_texts(spark: SparkSession, root: str, up_to_bytes: int | None = None) -> DataFrame:
     """(file_id = path, content) for parsing, one row per file, without a byte-order mark.
 
-    With ``up_to_bytes`` larger files are left out and their bytes never loaded; only hidden ones,
-    which ``read_lines`` does not see, are read whole whatever their size.
+    With ``up_to_bytes`` larger files are left out, for ``read_lines``, and their bytes never loaded.
     """
-    files = read_files(spark, root, up_to_bytes, hidden_whole=True)
+    files = read_files(spark, root, up_to_bytes)
     text = without_mark(drop_bad_utf8(F.col("content")))
     return files.select(F.col("path_abs").alias("file_id"), text.alias("content"))
 
 
-def read_lines(spark: SparkSession, root: str, over_bytes: int | None = None) -> DataFrame:
-    """(file_id, no, text) of every line, for files too large for one row.
+def _lines_of(stream, start: int, stop: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Offsets and bytes of the lines that begin in a range of a file.
 
-    ``no`` orders the lines of a file: first by the offset of their split, then by
-    their place in it. It depends on how Spark cuts the files, which may differ between two scans.
-    Store the result (``numbered_lines``) where line numbers of several uses must agree. With
-    ``over_bytes`` only larger files are read.
+    A line that begins before the range is another range's, and the last one is read to its end.
     """
-    raw = spark.read.option("recursiveFileLookup", True).text(root)
-    if over_bytes is not None:
-        raw = raw.where(F.col("_metadata.file_size") > over_bytes)
-    return raw.select(
-        path_of_uri(F.col("_metadata.file_path")).alias("file_id"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("at"),
-        ).alias("no"),
-        without_mark(drop_bad_utf8(F.col("value"))).alias("text"),
-    )
-
+    at, begun = start, False
+    if start:
+        stream.seek(start - 1)
+        before, first = stream.read(1), stream.read(1)
+        if before == b"\r" and first == b"\n":
+            at += 1  # the second half of a line end
+        begun = before not in (b"\r", b"\n")
+    stream.seek(at)
+    held = b""
+    while at < stop:
+        chunk = stream.read(STREAM_CHUNK)
+        lines = (held + chunk).splitlines(keepends=True)  # bytes: at line feed and carriage return only
+        # the last line may go on in the next chunk
+        held = lines.pop() if len(chunk) == STREAM_CHUNK and lines else b""
+        offsets = []
+        for line in lines:
+            offsets.append(at)
+            at += len(line)
+        inside = bisect_left(offsets, stop)
+        skipped = int(begun and bool(lines))
+        begun = begun and not lines
+        kept = [line.rstrip(b"\r\n") for line in lines[skipped:inside]]
+        if kept:
+            yield offsets[skipped:inside], kept
+        if len(chunk) < STREAM_CHUNK:
+            return
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, start, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            system, inside, _ = place(path)
+            try:
+                stream = system.open_input_file(inside)
+            except OSError:
+                continue
+            with stream:
+                for offsets, lines in _lines_of(stream, start, stop):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([path] * len(lines), pa.string()),
+                            pa.array(offsets, pa.int64()),
+                            pa.array(lines, pa.binary()),
+                        ],
+                        names=["path", "offset", "line"],
+                    )
+
+
+def read_lines(
+    spark: SparkSession,
+    root: str | list[str] | None = None,
+    over_bytes: int | None = None,
+    *,
+    listed: DataFrame | None = None,
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
+    """(file_id, no, text) of every line, for files too large for one row, hidden ones included.
 
-def numbered_lines(spark: SparkSession, root: str, over_bytes: int | None = None) -> DataFrame:
-    """``read_lines`` written once: all that reads it sees the same numbers."""
-    return settle(read_lines(spark, root, over_bytes), "lines")
+    Files below ``root``, or ``listed`` (path, size_bytes), are cut into byte ranges, which tasks read
+    on their own. ``no`` is the offset of the line in its file: it orders the lines, and is the same
+    however the files are cut. With ``over_bytes`` only larger files are read.
+    """
+    found = listing(spark, root) if listed is None else listed
+    found = found.where(F.col("size_bytes") > (over_bytes or 0))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("size_bytes") - 1, F.lit(range_bytes).cast("long"))
+    ranges = found.select("path", "size_bytes", F.explode(starts).alias("start")).select(
+        "path", "start", F.least(F.col("start") + range_bytes, "size_bytes").alias("stop")
+    )
+    total = found.agg(F.sum(F.ceil(F.col("size_bytes") / range_bytes))).first()[0] or 1
+    tasks = int(min(total, MOST_TASKS))
+    read = ranges.repartition(tasks, "path", "start").mapInArrow(
+        _read_ranges, "path string, offset long, line binary"
+    )
+    return read.select(
+        F.col("path").alias("file_id"),
+        F.struct(F.col("offset"), F.lit(0).cast("long").alias("at")).alias("no"),
+        without_mark(drop_bad_utf8(F.col("line"))).alias("text"),
+    )
 
 
 def types_of_lines(lines: DataFrame) -> DataFrame:

@@ -167,7 +167,7 @@ def test_lines_keep_their_numbers_when_splits_change(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
-        lines = source.numbered_lines(spark, str(tmp_path))
+        lines = source.read_lines(spark, str(tmp_path))
         spark.conf.set("spark.sql.files.maxPartitionBytes", "37000")
         matrices = LineMatrices(lines, mwtab.PLAIN)
         assert matrices.headers.count() == 1
@@ -191,7 +191,7 @@ def test_stream_and_batch_take_the_same_layouts(spark, both_readers):
         "b.TXT": "mwtab_ms",
         "n.txt": "mwtab_nmr_binned",
     }
-    lines = source.types_of_lines(source.numbered_lines(spark, root)).collect()
+    lines = source.types_of_lines(source.read_lines(spark, root)).collect()
     assert {r.file_id: r.layout for r in lines} == wanted
     for done in reports:
         cells = done.changes.parsed.measurements.select("file_id", "layout").distinct().collect()
@@ -279,7 +279,8 @@ def test_large_files_are_parsed_as_lines(spark, folder):
     results = []
     for limit in (1000, parse.LARGE_BYTES):
         done = parse.parse_directory(spark, root, store, large_bytes=limit)
-        rows = done.changes.updated_measurements.collect() + done.changes.samples.collect()
+        states = done.changes.updated_measurements, done.changes.samples
+        rows = [r for df in states for r in df.drop("created_at").collect()]
         features = done.changes.new_features.select("feature_uid", "name_raw").collect()
         results.append((done.files_total, done.files_success, sorted(map(str, rows + features))))
     assert results[0] == results[1] and results[0][0] == 4
@@ -447,6 +448,48 @@ def test_replicates_of_a_wide_header_are_numbered_in_linear_time(spark):
     assert found[1][17_000]["nth"] == 2 and not found[1][5]["last"] and found[2] == []
 
 
+def test_lines_by_byte_ranges(spark, tmp_path):
+    """Whatever the ranges, the same lines under the same numbers; hidden files are read, too."""
+    import random
+
+    draw = random.Random(3)
+    ends = ["\n", "\r\n", "\r"]
+    for name in ("a.txt", "_b.txt", ".dir/c.txt"):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        lines = ["é" * draw.randrange(9) + draw.choice(ends) for _ in range(60)] + ["last"]
+        path.write_bytes("".join(lines).encode())
+    (tmp_path / "empty.txt").write_text("")
+
+    def lines(range_bytes):
+        found = source.read_lines(spark, str(tmp_path), range_bytes=range_bytes)
+        return sorted((r.file_id, r.no.offset, r.text) for r in found.collect())
+
+    whole = lines(1 << 20)
+    for name in ("a.txt", "_b.txt", ".dir/c.txt"):
+        text = (tmp_path / name).read_bytes().decode()
+        plain = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+        assert [t for f, _, t in whole if f == str(tmp_path / name)] == plain
+    assert len({(f, o) for f, o, _ in whole}) == len(whole)
+    for size in (1, 2, 7, 50):
+        assert lines(size) == whole
+
+
+def test_small_chunks_of_a_range_give_the_same_lines(monkeypatch):
+    import io
+
+    data = b"one\r\ntwo\rthree\n\n\r\nfour five six\r\n"
+    whole = [x for part in source._lines_of(io.BytesIO(data), 0, len(data)) for x in zip(*part, strict=True)]
+    for chunk in range(1, 12):
+        monkeypatch.setattr(source, "STREAM_CHUNK", chunk)
+        for size in (1, 3, 10, 100):
+            found = []
+            for start in range(0, len(data), size):
+                for part in source._lines_of(io.BytesIO(data), start, min(len(data), start + size)):
+                    found += zip(*part, strict=True)
+            assert found == whole
+
+
 def test_a_deep_tree_is_listed_by_many_tasks(spark, tmp_path, monkeypatch):
     """One root folder with all the rest below: every level is spread over tasks."""
     for i in range(12):

@@ -253,19 +253,22 @@ def test_ingest_meets_its_part_of_the_registry(spark, store, tmp_path):
 def test_jobs_fit_each_other_up_to_an_export(spark, store, tmp_path):
     inbox = tmp_path / "in"
     put(inbox, "obese/serum GCMS/a.txt", PLAIN)
-    put(inbox, "b_ms.txt", study(MS, 2))
+    put(inbox, "_b_ms.txt", study(MS, 2))
     put(inbox, "copy.txt", study(MS, 2))
+    limit = len(study(MS, 2)) - 1
+    assert len(PLAIN) < limit
     put(inbox, "note.txt", "nothing to parse")
     load.ingest_into(store, str(inbox), "I1", created_at=AT)
-    texts = source.read_texts(spark, str(inbox)).withColumnRenamed("file_id", "path_abs")
-    done = load.parse_pending(store, texts, "I1", "parse I1", created_at=AT)
+    # one of the files is hidden and read line by line
+    texts = source.read_texts(spark, str(inbox), up_to_bytes=limit).withColumnRenamed("file_id", "path_abs")
+    done = load.parse_pending(store, texts, "I1", "parse I1", created_at=AT, large_bytes=limit)
     assert (done.files_total, done.files_success, done.files_skipped) == (3, 2, 1)
     status = {r.filename: r.parse_status for r in store.read("files").collect()}
-    assert status == {"a.txt": "success", "b_ms.txt": "success", "note.txt": "skipped"}
+    assert status == {"a.txt": "success", "_b_ms.txt": "success", "note.txt": "skipped"}
     again = load.parse_pending(store, texts, "I1", "parse I1 again", created_at=AT)
     assert again.files_total == 0 and again.measurements_inserted == 0
     exported = export.export_long(store.tables(*export.NEEDS, "measurements"))
     got = exported.collect()
     assert len(got) == done.measurements_inserted
-    strict = [r for r in got if r["path_rel"] == "b_ms.txt"]
+    strict = [r for r in got if r["path_rel"] == "_b_ms.txt"]
     assert strict and all(r["file_id"] and r["analysis_id"] and r["created_at"] for r in strict)
