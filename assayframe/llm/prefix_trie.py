@@ -384,4 +384,51 @@ def conversation_trie(conversations: DataFrame, *, rebuild: bool = False) -> Dat
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return conversation_trie(conversations, rebuild=True)
+    return conversation_trie(conversations, rebuild=True).drop("node")
+
+
+SQL = f"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, count(*) AS n,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) % {LENT} AS h
+  FROM ordered GROUP BY conv_id
+), plan AS (
+  SELECT s.*, s.conv_id - s.conv_id % {FAMILY} AS lender, least(s.h, coalesce(o.n, 0)) AS lent
+  FROM sizes s LEFT JOIN sizes o ON o.conv_id = s.conv_id - s.conv_id % {FAMILY}
+), rebuilt AS (
+  SELECT p.conv_id, place AS depth, role, text FROM plan p JOIN ordered o
+    ON o.conv_id = p.lender AND o.place <= p.h
+  UNION ALL SELECT p.conv_id, place - h + lent, role, text FROM plan p JOIN ordered o
+    ON o.conv_id = p.conv_id AND o.place > p.h
+), paths AS (
+  SELECT conv_id, depth, strlen(text) AS bytes, string_agg(md5(role || chr(0) || text), '')
+    OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM sizes
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS own, left(path, length(path) - 32) AS above
+  FROM paths GROUP BY path
+), children AS (
+  SELECT above AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above
+), counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), totals AS (
+  SELECT a.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum(b.own)::BIGINT AS saved
+  FROM counted a JOIN counted b ON starts_with(b.path, a.path) GROUP BY a.path
+), ends AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest FROM (
+    SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id) GROUP BY path
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+  saved AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM counted c JOIN totals USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON p.path = c.above AND c.depth > 0
+"""

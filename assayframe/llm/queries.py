@@ -34,4 +34,8 @@ QUERIES = {
     "op13_mixture_packing": mixture_packing.query,
 }
 
-ORACLES: dict[str, str] = {"op9_url_filter": url_filter.SQL}
+ORACLES: dict[str, str] = {
+    "op9_url_filter": url_filter.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
+    "op12_phrase_mining": phrase_mining.SQL,
+}

@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from assayframe.llm import common, prefix_trie
@@ -101,6 +102,14 @@ def test_query_on_the_given_table(spark, sf_dir):
     assert rows_of(prefix_trie.query(spark, sf_dir)) == sorted(trie_of(rows), key=str)
 
 
+def test_sql_against_a_trie_in_memory(sf_dir):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", EDGE)
+    wanted = sorted(trie_of(EDGE), key=str)
+    assert sorted(con.execute(prefix_trie.SQL).fetchall(), key=str) == wanted
+
+
 def test_long_conversation_in_blocks_and_tasks(spark, monkeypatch):
     """A conversation over many blocks and sort tasks: places and prefixes are as in one piece."""
     monkeypatch.setattr(prefix_trie, "BLOCK", 8)
