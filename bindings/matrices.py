@@ -485,7 +485,8 @@ def _first(layout, labels, test, uid, feature, plain=False):
 )
 def parse_and_store(spark, sf_dir):
     """Parse files of all layouts and merge them into an empty store."""
-    parsed = parse.StoredParsed(parse.Parsed(_typed(spark, sf_dir)), shared_folder(spark, "parsed"))
+    files = parse.routed(_typed(spark, sf_dir), "detected_type").where("layout IS NOT NULL")
+    parsed = parse.StoredParsed(parse.Parsed(files, "layout"), shared_folder(spark, "parsed"))
     change = parse.Changes(parsed, empty_store(spark))
     return change.updated_measurements.select("sample_uid", "feature_uid", "value")
 

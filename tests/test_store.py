@@ -161,6 +161,25 @@ def test_a_batch_reads_and_writes_its_buckets_alone(spark, loaded):
     assert new and {s.bucket for s in new} <= set(near["measurements"])
 
 
+def test_texts_are_scanned_once(spark, tmp_path, monkeypatch):
+    """The source is read by one job; layouts read their own folders of what that wrote."""
+    import assayframe.plans.parse as module
+
+    source_path = str(tmp_path / "texts")
+    df = parsed_of(spark, batches()[0])[0].drop("layout")
+    df.write.parquet(source_path)
+    texts = parse.with_layout(spark.read.parquet(source_path), F.col("content"))
+    files = module.routed(texts)
+    parsed = parse.Parsed(files.where("layout IS NOT NULL"), "layout")
+    for name in ("metadata", "samples", "features", "measurements"):
+        plan = getattr(parsed, name)._jdf.queryExecution()
+        assert source_path not in plan.optimizedPlan().toString()
+        scans = [x for x in plan.executedPlan().toString().split("\n") if "FileScan" in x]
+        assert scans and all("layout#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+    empty = files.where("layout IS NULL AND content IS NOT NULL")
+    assert empty.isEmpty() and files.count() == len(batches()[0])
+
+
 def test_known_rows_write_nothing(spark, loaded):
     was = {name: loaded.segments(name) for name in TABLES}
     load_files(spark, loaded, {"m0": study(MS, 0)}, "again")
