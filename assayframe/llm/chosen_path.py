@@ -11,8 +11,8 @@ at the threshold reaches the target recall; pairs above it are found more surely
    go. Nodes of up to TASK_SETS sets recurse inside a task. In larger ones a pivot is compared with
    all sets; what is nearly equal to it stays with it, the rest goes on to children in another
    exchange. Comparisons use the MinHash values and a margin below the threshold. A pair may be
-   lost at every level, so sets that went deeper than LEVELS get more trees, until there are
-   enough for the depth they were seen at.
+   lost at every level, so where sets went deeper than LEVELS, those of split nodes get more
+   trees, until there are enough for the depth that was seen.
 3. What comparisons hold together are candidate components. Brute force on the exact sets settles
    them, in blocks of bounded size: links are counted inside a task and never written as pairs.
    A component of several blocks is compared block by block.
@@ -274,7 +274,7 @@ def held_together(
 
 
 def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) of nodes at a level; and with v null, sets and how deep they went, if beyond LEVELS."""
+    """Edges (u, v) of nodes at a level; and with both null, how deep the sets went, if beyond LEVELS."""
     for nodes, sids, mins in _groups(batches):
         edges = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1], [True]]))
         parts, pairs = [], []
@@ -289,10 +289,11 @@ def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                 pairs += [begin + p for p in held]
         label = held_together(parts, pairs, mins)
         moved = np.flatnonzero(label != np.arange(len(label)))
-        deep = np.flatnonzero(depth > LEVELS)
-        u = pa.array(np.concatenate([sids[moved], sids[deep]]))
-        v = pa.concat_arrays([pa.array(sids[label[moved]]), pa.nulls(len(deep), pa.int64())])
-        levels = pa.array(np.concatenate([depth[moved], depth[deep]]))
+        reached = int(depth.max(initial=0))
+        mark = pa.nulls(int(reached > LEVELS), pa.int64())
+        u = pa.concat_arrays([pa.array(sids[moved]), mark])
+        v = pa.concat_arrays([pa.array(sids[label[moved]]), mark])
+        levels = pa.array(np.full(len(u), reached, np.int32))
         yield pa.RecordBatch.from_arrays([u, v, levels], names=["u", "v", "depth"])
 
 
@@ -334,9 +335,10 @@ def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     return edges.select(F.col("sid").alias("u"), F.col("pivot").alias("v")), children
 
 
-def _trees(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
-    """u, v, depth of the trees ``runs``: edges, and with v null, the depth of sets beyond LEVELS."""
-    entries, level, out = first_level(sets, runs), 1, []
+def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
+    """u, v, depth of the trees ``runs``: edges, and with both null, depths beyond LEVELS; and the
+    sets (sid) of nodes that are split."""
+    entries, level, out, split = first_level(sets, runs), 1, [], []
     while True:
         entries = common.settled(entries, "entries")
         sizes = common.settled(
@@ -351,8 +353,9 @@ def _trees(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
             .sortWithinPartitions("node", "sid")
             .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
         )
+        split.append(shared.where(F.col("n") > LEAF_SETS).select("sid"))
         if sizes.where(F.col("n") > TASK_SETS).isEmpty():
-            return reduce(DataFrame.unionByName, out)
+            return reduce(DataFrame.unionByName, out), reduce(DataFrame.unionByName, split)
         large = shared.where(F.col("n") > TASK_SETS).select("node", "sid").join(sets, "sid")
         pivot_edges, entries = _split(large.select("node", "sid", "mins"))
         out.append(pivot_edges.withColumn("depth", F.lit(level)))
@@ -363,16 +366,13 @@ def candidate_edges(sets: DataFrame, recall: float = RECALL) -> DataFrame:
     """u, v: edges that hold together all sets which any comparison found alike."""
     done, wanted, edges = 0, runs_for(recall, LEVELS), []
     while done < wanted:
-        made = common.settled(_trees(sets, range(done, wanted)), "trees")
+        made, split = _trees(sets, range(done, wanted))
+        made = common.settled(made, "trees")
         edges.append(made.where("v IS NOT NULL").select("u", "v"))
-        deep = made.where("v IS NULL").groupBy("u").agg(F.max("depth").alias("depth"))
-        deep = common.settled(deep, "deep")
-        deepest = deep.agg(F.max("depth")).first()[0] or LEVELS
-        done, wanted = wanted, max(wanted, runs_for(recall, deepest))
-        if done < wanted:  # for the sets that are worth it
-            sets = common.settled(
-                sets.join(deep.select(F.col("u").alias("sid")), "sid", "left_semi"), "deep-sets"
-            )
+        deepest = made.agg(F.max("depth")).first()[0] or LEVELS
+        done, wanted = wanted, max(wanted, runs_for(recall, max(deepest, LEVELS)))
+        if done < wanted:  # only sets of split nodes can have gone so deep
+            sets = common.settled(sets.join(split.distinct(), "sid", "left_semi"), "deep-sets")
     return reduce(DataFrame.unionByName, edges)
 
 
