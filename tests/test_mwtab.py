@@ -235,19 +235,14 @@ def test_large_files_from_disk(spark, tmp_path):
     (tmp_path / "a.txt").write_text(text)
     (tmp_path / "b.txt").write_text(MS)
     whole = mwtab.measurements(read_texts(spark, str(tmp_path)), mwtab.MS)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # many splits per file
-    try:
-        lines = read_lines(spark, str(tmp_path))
-        assert lines.rdd.getNumPartitions() > 4
-        weights = line_weights(spark, str(tmp_path))
-        matrices = mwtab_lines.LineMatrices(lines, mwtab.MS, weights, min_rows=100, salts=4)
-        got = matrices.measurements
-        assert matrices.samples.count() == 4 and matrices.features.count() > 3000
-        columns = ["file_id", "sample_uid", "feature_uid", "replicate_ix", "value"]
-        a = [tuple(map(str, r)) for r in got.select(*columns).collect()]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    lines = read_lines(spark, str(tmp_path), range_bytes=8_000)  # many ranges per file
+    assert lines.rdd.getNumPartitions() > 4
+    weights = line_weights(spark, str(tmp_path))
+    matrices = mwtab_lines.LineMatrices(lines, mwtab.MS, weights, min_rows=100, salts=4)
+    got = matrices.measurements
+    assert matrices.samples.count() == 4 and matrices.features.count() > 3000
+    columns = ["file_id", "sample_uid", "feature_uid", "replicate_ix", "value"]
+    a = [tuple(map(str, r)) for r in got.select(*columns).collect()]
     b = [tuple(map(str, r)) for r in whole.select(*columns).collect()]
     assert sorted(a) == sorted(b) and len(a) > 9000
 
