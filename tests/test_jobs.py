@@ -563,7 +563,7 @@ def test_filter_becomes_inner_join_and_prunes(spark, tmp_path):
     plan = export.export_long(t, study_id="ST1").select("value")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(study_id), EqualTo(study_id,ST1)" in text
-    assert "LeftSemi" in text and "LeftOuter" not in text
+    assert "LeftSemi" in text and "LeftOuter" in text and "Inner" not in text
     assert "ReadSchema: struct<study_pk:string,study_id:string>" in text
 
 
