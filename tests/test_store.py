@@ -172,10 +172,8 @@ def test_texts_are_scanned_once(spark, tmp_path, monkeypatch):
     files = module.routed(texts)
     parsed = parse.Parsed(files.where("layout IS NOT NULL"), "layout")
     for name in ("metadata", "samples", "features", "measurements"):
-        plan = getattr(parsed, name)._jdf.queryExecution()
-        assert source_path not in plan.optimizedPlan().toString()
-        scans = [x for x in plan.executedPlan().toString().split("\n") if "FileScan" in x]
-        assert scans and all("layout#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+        paths = getattr(parsed, name).inputFiles()
+        assert paths and all("/layout=" in p and source_path not in p for p in paths)
     empty = files.where("layout IS NULL AND content IS NOT NULL")
     assert empty.isEmpty() and files.count() == len(batches()[0])
 
