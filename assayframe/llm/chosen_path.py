@@ -309,6 +309,12 @@ def _alike(a, b) -> F.Column:
     return total / COORDINATES
 
 
+def _with_mins(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, sid, mins of entries (node, sid): a set is looked up once, with the list of its nodes."""
+    nodes = entries.groupBy("sid").agg(F.collect_list("node").alias("nodes"))
+    return nodes.join(sets, "sid").select(F.explode("nodes").alias("node"), "sid", "mins")
+
+
 def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges of the pivots of large nodes, and the entries of their children."""
     drawn = F.struct(F.xxhash64("node", "sid").alias("draw"), "sid", "mins")
@@ -347,8 +353,7 @@ def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
         shared = entries.join(sizes, "node")
         small = shared.where(F.col("n") <= TASK_SETS).select("node", "sid")
         out.append(
-            small.join(sets, "sid")
-            .select("node", "sid", "mins")
+            _with_mins(small, sets)
             .repartition("node")
             .sortWithinPartitions("node", "sid")
             .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
@@ -356,8 +361,8 @@ def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
         split.append(shared.where(F.col("n") > LEAF_SETS).select("sid"))
         if sizes.where(F.col("n") > TASK_SETS).isEmpty():
             return reduce(DataFrame.unionByName, out), reduce(DataFrame.unionByName, split)
-        large = shared.where(F.col("n") > TASK_SETS).select("node", "sid").join(sets, "sid")
-        pivot_edges, entries = _split(large.select("node", "sid", "mins"))
+        large = shared.where(F.col("n") > TASK_SETS).select("node", "sid")
+        pivot_edges, entries = _split(_with_mins(large, sets))
         out.append(pivot_edges.withColumn("depth", F.lit(level)))
         level += 1
 

@@ -229,3 +229,13 @@ def test_query(spark, sf_dir, given):
     rows = [(i, r["text"]) for i, r in given.items()]
     found = sorted(map(tuple, cp.query(spark, sf_dir).collect()))
     assert found == sorted(plain_classes(rows))
+
+
+def test_sets_of_many_nodes_are_looked_up_once(spark):
+    sets = spark.createDataFrame([(s, bytes([s])) for s in range(5)], "sid long, mins binary")
+    entries = spark.createDataFrame([(n, n % 4) for n in range(40)] + [(7, 3)], "node long, sid long")
+    found = cp._with_mins(entries, sets)
+    assert sorted(map(tuple, found.collect())) == sorted((n, s, bytes([s])) for n, s in entries.collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    generate, join, aggregate = (plan.index(x) for x in ("Generate explode", "Join Inner", "Aggregate [sid"))
+    assert generate < join < aggregate  # rows of nodes come after the join, not out of it
