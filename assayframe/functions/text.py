@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space when text is trimmed.
@@ -43,6 +43,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a column that is computed once for each row, whatever uses it.
+
+    A filter that mentions a column is pushed below the projection that makes it, and the column's
+    expression is then evaluated for the filter and again for what is kept. An explode is a boundary.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.array(column)).alias(column)).select(*df.columns)
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space, Unicode spaces included."""
     return F.trim(text, F.lit(WHITESPACE))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assayframe.functions.filetypes import detected_type, filename_of
-from assayframe.functions.text import drop_bad_utf8, without_mark
+from assayframe.functions.text import drop_bad_utf8, once, without_mark
 from assayframe.operators import mwtab
 from assayframe.operators.mwtab import LAYOUTS
 from assayframe.plans.load import load
@@ -84,7 +84,8 @@ def stream_hidden_texts(spark: SparkSession, taken: str) -> DataFrame:
 
 def parsed_stream(texts: DataFrame) -> DataFrame:
     """Cells of every file, by the layout its section markers show."""
-    typed = texts.withColumn("layout", mwtab.layout_by_markers(F.col("content")))
+    read = once(texts, "content")
+    typed = once(read.withColumn("layout", mwtab.layout_by_markers(F.col("content"))), "layout")
     parts = [
         mwtab.measurements(typed.where(F.col("layout") == name), layout).withColumn(
             "layout", F.lit(name)
