@@ -22,6 +22,7 @@ from assayframe.functions.text import (
     is_blank,
     is_unreadable_number,
     let,
+    once,
     parse_number,
     split_lines,
     strip,
@@ -424,9 +425,9 @@ def structure(files: DataFrame, layout: Layout) -> DataFrame:
         )
 
     facts = let(let(marks, bounded), lambda m: _file_facts(m, layout))
-    return files.select("file_id", "content", facts.alias("facts")).select(
-        "file_id", "content", "facts.*"
-    )
+    texts = once(files.select("file_id", "content"), "content")
+    found = once(texts.withColumn("facts", facts), "facts")
+    return found.select("file_id", "content", "facts.*")
 
 
 def parsed_header(
@@ -606,6 +607,11 @@ class Matrices:
     def blocks(self) -> DataFrame:
         return blocks(self.usable, self.layout)
 
+    @cached_property
+    def every_block(self) -> DataFrame:
+        """Blocks, and a row at least for every file that gives rows."""
+        return blocks(self.usable, self.layout, every_file=True)
+
     @cached_property
     def rows(self) -> DataFrame:
         return data_rows(self.blocks)
@@ -634,7 +640,7 @@ class Matrices:
 
     @cached_property
     def samples(self) -> DataFrame:
-        return samples_of(self.usable, self.blocks, self.layout)
+        return samples_of(self.every_block, self.layout)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -647,13 +653,13 @@ class Matrices:
 
     @cached_property
     def line_warnings(self) -> DataFrame:
-        factors = self.usable.select("file_id", F.explode("factor_lines").alias("f"))
-        return warnings_of_lines(factors, self.rows)
+        return warnings_of_blocks(self.every_block, self.layout, cells=False)
 
     @cached_property
     def warnings(self) -> DataFrame:
-        found = warnings_of_cells(self.marked)
-        return found if self.layout.strict else found.unionByName(self.line_warnings)
+        if self.layout.strict:
+            return warnings_of_cells(self.marked)
+        return warnings_of_blocks(self.every_block, self.layout)
 
 
 class StoredMatrices(Matrices):
@@ -665,16 +671,23 @@ class StoredMatrices(Matrices):
 
     @cached_property
     def structure(self) -> DataFrame:
-        first = F.col("block_no").isNull() | (F.col("block_no") == 0)
         columns = ["file_id", "study_id", "analysis_id", "unit", "factor_lines"]
-        return self._table.where(first).select(*columns)
+        return self._table.where(_is_first_block()).select(*columns)
+
+    @cached_property
+    def every_block(self) -> DataFrame:
+        if not self.need_ids:
+            return self._table
+        return self._table.where("study_id IS NOT NULL AND analysis_id IS NOT NULL")
 
     @cached_property
     def blocks(self) -> DataFrame:
-        found = self._table.where("has_header")
-        if self.need_ids:
-            found = found.where("study_id IS NOT NULL AND analysis_id IS NOT NULL")
-        return found.drop("block_no", "has_header")
+        return self.every_block.where("has_header").drop("block_no", "has_header")
+
+
+def _is_first_block() -> Column:
+    """The row of ``blocks(..., every_file=True)`` that speaks for its file."""
+    return F.col("block_no").isNull() | (F.col("block_no") == 0)
 
 
 def with_reject_reason(struct: DataFrame) -> DataFrame:
@@ -688,19 +701,43 @@ def measurements(files: DataFrame, layout: Layout) -> DataFrame:
     return Matrices(files, layout).measurements
 
 
-def samples_of(struct: DataFrame, found: DataFrame, layout: Layout) -> DataFrame:
+def samples_of(every: DataFrame, layout: Layout) -> DataFrame:
     """Samples of each file with the factors of their label.
 
-    Strict layouts take the samples from the header (first column excluded); the plain
-    layout adds the labels of factor lines. Of a label's factor lines the last counts.
-    Header cells and factor lines meet in one aggregate over labels, not cells.
+    ``every``: ``blocks`` with a row for every file. Strict layouts take the samples from the header
+    (first column excluded); the plain layout adds the labels of factor lines. Of a label's factor
+    lines the last counts. Header cells and factor lines leave a file's row together, so its text is
+    scanned once, and meet in one aggregate over labels, not cells.
     """
-    from_factors = struct.select(
-        "file_id", "study_id", "analysis_id", F.explode("factor_lines").alias("f")
+    none = F.lit(None).cast("string")
+
+    def label(name: Column, subject: Column, factors: Column, in_header: bool, no: Column) -> Column:
+        return F.struct(
+            name.alias("sample_label"),
+            subject.alias("subject"),
+            factors.alias("factors_raw"),
+            F.lit(in_header).alias("in_header"),
+            no.alias("no"),
+        )
+
+    lines = F.filter("factor_lines", lambda f: (f["fields"] >= 4) & (f["sample_label"] != ""))
+    from_lines = F.transform(
+        F.when(_is_first_block(), lines),
+        lambda f: label(f["sample_label"], f["subject"], f["factors_raw"], False, f["no"]),
     )
-    return join_labels(
-        header_labels(found, layout).unionByName(factor_labels(from_factors)), layout
+    columns = F.filter("columns", lambda c: (c["col_index"] > 0) | F.lit(not layout.strict))
+    from_header = F.transform(
+        F.when(F.col("last_block") & F.col("has_header"), columns),
+        lambda c: label(c["sample_label"], none, none, True, F.lit(None).cast("int")),
     )
+    found = F.explode(_together(from_lines, from_header)).alias("x")
+    labels = every.select("file_id", "study_id", "analysis_id", found)
+    return join_labels(labels.select("file_id", "study_id", "analysis_id", "x.*"), layout)
+
+
+def _together(*arrays: Column) -> Column:
+    """One array of the elements of arrays; those that are null have none."""
+    return F.flatten(F.array_compact(F.array(*arrays)))
 
 
 def header_labels(found: DataFrame, layout: Layout) -> DataFrame:
@@ -820,6 +857,56 @@ def warnings_of_lines(lines: DataFrame, rows: DataFrame) -> DataFrame:
     return bad_fields.unionByName(no_label).unionByName(no_colon).unionByName(cut)
 
 
+def warnings_of_blocks(every: DataFrame, layout: Layout, cells: bool = True) -> DataFrame:
+    """(file_id, line_no, kind, text) of what plain files hold and parsing leaves out: as
+    ``warnings_of_lines`` and, with ``cells``, ``warnings_of_cells``, but the texts are scanned once.
+
+    ``every``: ``blocks`` with a row for every file. Its factor lines and data lines are exploded
+    together.
+    """
+    shape = every.schema["factor_lines"].dataType.elementType
+    factors = F.transform(
+        F.when(_is_first_block(), F.col("factor_lines")),
+        lambda f: F.struct(f["no"].alias("no"), f["text"].alias("text"), f.alias("f")),
+    )
+    data = F.transform(
+        F.when(F.col("has_header"), F.col("rows")),
+        lambda r: F.struct(r["no"].alias("no"), r["text"].alias("text"), F.lit(None).cast(shape).alias("f")),
+    )
+    carried = ["file_id", "analysis", "name_ix", "refmet_ix", "columns"]
+    lines = every.select(*carried, F.explode(_together(factors, data)).alias("x"))
+    lines = named_rows(lines.select(*carried, "x.*"), layout)
+
+    def told(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+
+    f, size = F.col("f"), F.size("cells")
+    loose = F.transform(
+        factors_without_colon(f["factors_raw"]), lambda t: told("factor_without_colon", t)
+    )
+    of_factors = (
+        F.when(f["fields"] < 4, F.array(told("factor_line_too_short", f["text"])))
+        .when(f["sample_label"] == "", F.array(told("empty_sample_label", f["text"])))
+        .when(f["sample_label"] != "", loose)
+    )
+    cut = F.when(
+        (size >= 2) & (size <= F.col("name_ix")),
+        F.array(told("name_column_out_of_range", F.col("text"))),
+    )
+    raw = F.transform("columns", lambda c: told("unreadable_value", F.get("cells", c["col_index"])))
+    of_data = _together(cut, F.when(F.col("feature_name").isNotNull(), raw)) if cells else cut
+    found = lines.select(
+        "file_id",
+        F.col("no").alias("line_no"),
+        F.explode(F.when(f.isNotNull(), of_factors).otherwise(of_data)).alias("w"),
+    ).select("file_id", "line_no", "w.*")
+    if not cells:
+        return found
+    is_cell = F.col("kind") == "unreadable_value"
+    kept = found.where(~is_cell | is_unreadable_number(F.col("text")))
+    return kept.withColumn("text", F.when(is_cell, strip(F.col("text"))).otherwise(F.col("text")))
+
+
 def _named_samples(line: Column) -> Column:
     """A header row of the MS layout: it has further cells and its first one is 'samples'."""
     return F.contains(line, F.lit("\t")) & (first_cell(line) == "samples")
