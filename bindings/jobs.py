@@ -248,7 +248,7 @@ def listed_files(spark, sf_dir):
 def export_statistics(spark, sf_dir):
     """Statistics of a written export; a chunk holds at most 50,000 rows."""
     rows = export.export_long(load_roles(spark, sf_dir), ["sample_uid", "value", "unit"])
-    stats = tables.write_export(rows.coalesce(1), shared_folder(spark, "export"), chunk_rows=50_000)
+    stats = tables.write_export(rows, shared_folder(spark, "export"), chunk_rows=50_000, full_chunks=True)
     made = [(stats.total_rows, stats.total_chunks, stats.file_size_bytes > 0)]
     return spark.createDataFrame(made, "total_rows long, least_chunks long, has_bytes boolean")
 
