@@ -190,12 +190,40 @@ def in_export_order(exported: DataFrame) -> DataFrame:
 
 
 def preview(tables: dict[str, DataFrame], limit: int = 10, **filters: str | None) -> DataFrame:
-    """First rows in export order; a top-n, not a full sort. Ties follow the sample."""
-    rows = export_long(tables, **filters)
+    """First rows in export order; a top-n, not a full sort. Ties follow the sample.
+
+    Only measurements that can be among them meet the star: see ``_first_measurements``.
+    """
+    facts = _first_measurements(reduced(tables, **filters), tables["files"], limit)
+    rows = export_long({**tables, "measurements": facts})
     ties = [F.asc_nulls_last(c) for c in ("sample_uid", "value", "replicate_ix", "unit", "created_at")]
     return rows.orderBy(*[F.asc_nulls_last(c) for c in ORDER], *ties).limit(limit)
 
 
+def _first_measurements(rows: DataFrame, files: DataFrame, limit: int) -> DataFrame:
+    """The measurements whose file and column can be among the first ``limit`` rows of the export.
+
+    They are counted by file and column, which combines before the shuffle; every group gives a row at
+    least, so what comes behind the ``limit``-th group, ties with it included, is left out.
+    """
+    known = files.select(F.col("file_id").alias("_known")).distinct()
+    groups = rows.select("file_id", "col_index").distinct()
+    groups = groups.join(known, F.col("file_id") == F.col("_known"), "left")
+    rank = F.struct(
+        F.col("_known").isNull().alias("no_file"),
+        F.coalesce("_known", F.lit("")).alias("file"),
+        F.col("col_index").isNull().alias("no_column"),
+        F.coalesce("col_index", F.lit(0)).alias("column"),
+    )
+    groups = groups.withColumn("_place", rank)
+    last = groups.orderBy("_place").limit(limit).agg(F.max("_place").alias("_last"))
+    kept = groups.join(F.broadcast(last), F.col("_place") <= F.col("_last")).select(
+        F.col("file_id").alias("_file"), F.col("col_index").alias("_column")
+    )
+    same = F.col("file_id").eqNullSafe(F.col("_file")) & F.col("col_index").eqNullSafe(F.col("_column"))
+    return rows.join(kept, same, "left_semi")
+
+
 def export_count(tables: dict[str, DataFrame], **filters: str | None) -> DataFrame:
     """Number of rows an export would have.
 
