@@ -24,7 +24,7 @@ from assayframe.sources.files import (
     read_texts,
     types_of_lines,
 )
-from assayframe.sources.tables import settle
+from assayframe.sources.tables import STORED_CODEC, settle
 
 PARSABLE = tuple(LAYOUTS)
 UNSUPPORTED = "Unsupported file type"
@@ -159,7 +159,7 @@ def routed(files: DataFrame, layout_column: str = "layout") -> DataFrame:
         *columns, F.when(layout.isNotNull(), F.col("content")).alias("content"), layout.alias("layout")
     )
     path = shared_folder(files.sparkSession, "texts")
-    rows.write.partitionBy("layout").parquet(path)
+    rows.write.option("compression", STORED_CODEC).partitionBy("layout").parquet(path)
     return files.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -180,7 +180,7 @@ class StoredParsed(Parsed):
         }
         for name in self.TABLES:
             df = parsed.plain(name) if name == "line_warnings" else parsed._union(name)
-            df.write.partitionBy("layout").parquet(f"{folder}/{name}")
+            df.write.option("compression", STORED_CODEC).partitionBy("layout").parquet(f"{folder}/{name}")
             self._read[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
         # cells and their warnings come from one table
         self._read["measurements"] = self._read["marked"].drop("unreadable")

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from assayframe import schemas
+from assayframe.sources.tables import STORED_CODEC
 
 GROUPS, INSIDE = 256, 16
 LOG = "commit long, batch string, table string, bucket int, segment string, replaces boolean"
@@ -153,7 +154,9 @@ class Store:
         placed = schemas.conform(rows, TABLES[table].shape).withColumn("bucket", self.bucket(table))
         # a bucket's rows come together, large buckets stay split over tasks
         together = placed.hint("rebalance", F.col("bucket"))
-        together.write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+        together.write.option("compression", STORED_CODEC).partitionBy("bucket").parquet(
+            f"{self.root}/{folder}"
+        )
         # counted from the footers of what was written
         back = self.spark.read.schema(_nullable(placed.schema)).parquet(f"{self.root}/{folder}")
         counts = back.groupBy("bucket").agg(F.count("*").alias("n")).orderBy("bucket").collect()
