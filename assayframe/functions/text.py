@@ -54,8 +54,13 @@ def once(df: DataFrame, column: str) -> DataFrame:
 
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing white space, Unicode spaces included."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Remove leading and trailing white space, Unicode spaces included.
+
+    Most texts begin and end with a printable ASCII character and are taken as they are: a trim by a
+    set compares each end with every character of the set.
+    """
+    clean = F.ascii(text).between(33, 126) & F.substring(text, -1, 1).between("!", "~")
+    return F.when(clean, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def is_blank(text: Column) -> Column:

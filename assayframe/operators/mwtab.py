@@ -20,6 +20,7 @@ from assayframe.functions.text import (
     after_first,
     factors_without_colon,
     is_blank,
+    is_missing_cell,
     is_unreadable_number,
     let,
     once,
@@ -542,12 +543,12 @@ def data_rows(found: DataFrame) -> DataFrame:
 def named_rows(rows: DataFrame, layout: Layout) -> DataFrame:
     """Rows (``no``, ``text``) with their cells, feature name and feature key.
 
-    Rows without a name still pass; the callers drop them. (A filter here would move
-    below the split and make every row be split twice.)
+    Rows without a name still pass; the callers drop them. The split is behind an explode, a
+    boundary, so that no filter on what comes of it makes a row be split again.
     """
+    named = once(rows.withColumn("cells", F.split("text", "\t")), "cells")
     if layout.strict:
-        rows = rows.where(first_cell(F.col("text")) != FACTORS_ROW)
-    named = rows.withColumn("cells", F.split("text", "\t"))
+        named = named.where(F.lower(strip(first_of(F.col("cells")))) != FACTORS_ROW)
     name = strip(F.get("cells", F.col("name_ix")))
     if not layout.strict:
         name = F.when(F.size("cells") >= 2, name)
@@ -559,26 +560,24 @@ def named_rows(rows: DataFrame, layout: Layout) -> DataFrame:
 
 def cells_of(rows: DataFrame, layout: Layout) -> DataFrame:
     """One row per cell of named rows."""
-    pairs = F.transform(
-        "columns", lambda c: F.struct(c.alias("col"), F.get("cells", c["col_index"]).alias("raw"))
-    )
     carried = ["file_id", "study", "analysis", "no", "feature_uid", "feature_name", "refmet_name"]
-    named = F.when(F.col("feature_name").isNotNull(), pairs)
-    return rows.select(*carried, "unit", F.explode(named).alias("cell")).select(
+    named = F.when(F.col("feature_name").isNotNull(), F.col("columns"))
+    # the cell is taken behind the explode, in the same pipeline, so ``cells`` is not copied
+    return rows.select(*carried, "unit", "cells", F.explode(named).alias("col")).select(
         "file_id",
         F.col("study").alias("study_id"),
         F.col("analysis").alias("analysis_id"),
         F.col("no").alias("line_no"),
-        F.col("cell.col.col_index").alias("col_index"),
-        F.col("cell.col.sample_label").alias("sample_label"),
-        F.col("cell.col.sample_uid").alias("sample_uid"),
+        F.col("col.col_index").alias("col_index"),
+        F.col("col.sample_label").alias("sample_label"),
+        F.col("col.sample_uid").alias("sample_uid"),
         "feature_uid",
         "feature_name",
         "refmet_name",
-        F.col("cell.raw").alias("raw_value"),
-        F.col("cell.col.replicate_ix").alias("replicate_ix"),
+        F.get("cells", F.col("col.col_index")).alias("raw_value"),
+        F.col("col.replicate_ix").alias("replicate_ix"),
         "unit",
-        F.col("cell.col.known").alias("known"),
+        F.col("col.known").alias("known"),
     )
 
 
@@ -813,9 +812,11 @@ def features_of(named: DataFrame, layout: Layout) -> DataFrame:
 
 
 def marked_cells(cells: DataFrame) -> DataFrame:
+    # a cell is unreadable if it is not missing and no number: only cells without a value are looked at
     raw = F.col("raw_value")
-    unreadable = F.when(is_unreadable_number(raw), strip(raw))
-    return cells.withColumns({"value": parse_number(raw), "unreadable": unreadable}).drop("raw_value")
+    valued = cells.withColumn("value", parse_number(raw))
+    unreadable = F.when(F.col("value").isNull() & ~is_missing_cell(raw), strip(raw))
+    return valued.withColumn("unreadable", unreadable).drop("raw_value")
 
 
 def warnings_of_cells(marked: DataFrame) -> DataFrame:

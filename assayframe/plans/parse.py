@@ -179,9 +179,13 @@ class StoredParsed(Parsed):
             for name, parts in parsed._parts.items()
         }
         for name in self.TABLES:
-            df = parsed.plain(name) if name == "line_warnings" else parsed._union(name)
-            df.write.option("compression", STORED_CODEC).partitionBy("layout").parquet(f"{folder}/{name}")
-            self._read[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+            layouts = [mwtab.PLAIN.name] if name == "line_warnings" else PARSABLE
+            for layout in layouts:  # each by itself: a write by partitions would sort its rows
+                rows = parsed._union(name, [layout]).drop("layout")
+                path = f"{folder}/{name}/layout={layout}"
+                rows.write.option("compression", STORED_CODEC).parquet(path)
+            schema = parsed._union(name, layouts).schema
+            self._read[name] = rows.sparkSession.read.schema(schema).parquet(f"{folder}/{name}")
         # cells and their warnings come from one table
         self._read["measurements"] = self._read["marked"].drop("unreadable")
         cells = mwtab.warnings_of_cells(self._read["marked"])

@@ -70,3 +70,34 @@ def test_a_filter_does_not_compute_the_structure_again(files):
     made = files.withColumn("content", F.concat("content", F.sha1("file_id")))
     parsed = mwtab.Matrices(made, mwtab.MS, need_ids=True)
     assert plan(parsed.measurements).count("sha1(cast(file_id") == 1
+
+
+def test_a_filter_on_names_does_not_split_a_row_again(files):
+    features = mwtab.Matrices(files, mwtab.MS).features
+    assert plan(features).count("split(row#") == 1
+
+
+def test_unreadable_cells_are_those_with_neither_a_value_nor_a_missing_mark(spark):
+    texts = ["1.2.3", ".", "", " NA ", "5", "1,000", "bad", " 7e-1 ", "+nan", "0x1p3", "1.0d", " x ", "9" * 400, None]
+    cells = spark.createDataFrame([(t,) for t in texts], "raw_value string")
+    marked = mwtab.marked_cells(cells.withColumn("raw", F.col("raw_value")))
+    apart = mwtab.is_unreadable_number(F.col("raw"))
+    told = marked.select("raw", "unreadable", F.when(apart, mwtab.strip(F.col("raw"))).alias("other")).collect()
+    assert [r["unreadable"] for r in told] == [r["other"] for r in told]
+    assert plan(marked).count("RLIKE") + plan(marked).count("rlike") < 2  # the grammar is tried once
+
+
+def test_stored_tables_are_written_without_a_sort(spark, files, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from assayframe.plans import parse
+
+    asked = []
+    by = DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda w, *c: asked.append(c) or by(w, *c))
+    parsed = parse.Parsed(files.withColumn("layout", F.lit("mwtab")), "layout")
+    stored = parse.StoredParsed(parsed, str(tmp_path))
+    assert asked == []
+    for name in ("measurements", "samples", "features", "metadata"):
+        columns = sorted(getattr(parsed, name).columns)
+        assert rows(getattr(stored, name).select(columns)) == rows(getattr(parsed, name).select(columns))

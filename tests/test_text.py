@@ -128,3 +128,8 @@ def test_keys(values):
     assert values(keys.nmr_sample_uid, [("ST", "AN", "S 1")]) == [f"ST:AN:s:{sha}"]
     assert values(keys.nmr_feature_uid, [("AN", "S 1")]) == [f"AN:nmrbin:{sha}"]
     assert values(keys.known_or_unknown, [None, "", "x"]) == ["UNKNOWN", "UNKNOWN", "x"]
+
+
+def test_strip_takes_texts_with_clean_ends_as_they_are(values):
+    cells = ["a b", "!~", " a", "a ", "\x7fa", "\u00e9", "a\u2003", "\x1fa", "\u00e9 ", "~", "", None]
+    assert values(text.strip, cells) == ["a b", "!~", "a", "a", "\x7fa", "\u00e9", "a", "a", "\u00e9", "~", "", None]
