@@ -17,13 +17,13 @@ from assayframe.schemas import EXPORT_COLUMNS
 ORDER = ("file_id", "col_index", "feature_uid")
 
 
-def _spread_null(key: Column, by: Column) -> Column:
-    """A join key whose NULLs do not meet in one partition.
+def _spread_null(key: Column, by: Iterable[str]) -> Column:
+    """A join key whose NULLs do not meet in one partition: a hash of the columns ``by`` spreads them.
 
     Many measurements have no file. They match nothing, so they may carry any key that
-    no file has; a hash spreads them. (No id starts with a NUL character.)
+    no file has. (No id starts with a NUL character.)
     """
-    return F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(by).cast("string")))
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*by).cast("string")))
 
 
 # What each dimension needs to be joined.
@@ -47,6 +47,9 @@ def star(
 ) -> DataFrame:
     """The left-joined star; columns keep their table's prefix (m_, f_, s_, ft_, st_, a_).
 
+    The dimension with the widest rows, files, comes last, so that the shuffles to the others do not
+    carry its paths.
+
     ``only`` names the dimensions that are used: as they are unique on their keys, the
     left joins with the others change nothing. (Catalyst cannot know that.)
     """
@@ -57,14 +60,17 @@ def star(
         return df.select([F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
     c = F.col
-    file_key = _spread_null(c("m_file_id"), c("m_sample_uid"))
+    # by columns that are there anyway: a key that was joined need not travel on
+    spread_by = ["s_sample_uid" if "samples" in wanted else "m_sample_uid"]
+    spread_by += ["ft_feature_uid" if "features" in wanted else "m_feature_uid", "m_value"]
+    file_key = _spread_null(c("m_file_id"), spread_by)
     same_analysis = c("ft_analysis_id") == c("a_analysis_id")
     joins = [
-        ("files", files, "f", file_key == c("f_file_id")),
         ("samples", samples, "s", c("m_sample_uid") == c("s_sample_uid")),
         ("features", features, "ft", c("m_feature_uid") == c("ft_feature_uid")),
         ("studies", studies, "st", c("s_study_pk") == c("st_study_pk")),
         ("analyses", analyses, "a", same_analysis & (c("a_study_pk") == c("st_study_pk"))),
+        ("files", files, "f", file_key == c("f_file_id")),
     ]
     out = prefixed(measurements, "m")
     for name, dim, prefix, on in joins:
