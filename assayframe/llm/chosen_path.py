@@ -12,7 +12,8 @@ at the threshold reaches the target recall; pairs above it are found more surely
    all sets; what is nearly equal to it stays with it, the rest goes on to children in another
    exchange. Comparisons use the MinHash values and a margin below the threshold. A pair may be
    lost at every level, so where sets went deeper than LEVELS, those of split nodes get more
-   trees, until there are enough for the depth that was seen.
+   trees, until there are enough for the depth that was seen. Those look for pairs of different
+   components only: nodes whose sets earlier trees hold together already are left out.
 3. What comparisons hold together are candidate components. Brute force on the exact sets settles
    them, in blocks of bounded size: links are counted inside a task and never written as pairs.
    A component of several blocks is compared block by block.
@@ -161,13 +162,14 @@ def _sampled(node: int) -> list[int]:
 
 
 def first_level(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
-    """node, sid: the children of the roots of the trees ``runs``."""
+    """node, sid (and root, if the sets have it): the children of the roots of the trees ``runs``."""
     nodes = []
     for run in runs:
         for i in _sampled(run + 1):
             value = F.substring("mins", 4 * i + 1, 4)
             nodes.append(F.xxhash64(F.lit(run), F.lit(i), value))
-    return sets.select("sid", F.explode(F.array(*nodes)).alias("node")).select("node", "sid")
+    names = [c for c in sets.columns if c != "mins"]
+    return sets.select(*names, F.explode(F.array(*nodes)).alias("node")).select("node", *names)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -310,9 +312,9 @@ def _alike(a, b) -> F.Column:
 
 
 def _with_mins(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, sid, mins of entries (node, sid): a set is looked up once, with the list of its nodes."""
+    """node and the columns of ``sets`` of entries (node, sid): a set is looked up once, with the list of its nodes."""
     nodes = entries.groupBy("sid").agg(F.collect_list("node").alias("nodes"))
-    return nodes.join(sets, "sid").select(F.explode("nodes").alias("node"), "sid", "mins")
+    return nodes.join(sets, "sid").select(F.explode("nodes").alias("node"), *sets.columns)
 
 
 def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -334,26 +336,31 @@ def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     more = (first + 1 + F.pmod(F.shiftright(seed, 40), F.lit(COORDINATES - 1))) % COORDINATES
     two = F.pmod(F.shiftright(seed, 32), F.lit(4)) == 0
     chosen = F.when(two, F.array(first, more)).otherwise(F.array(first))
-    children = rest.select("sid", "mins", "node", F.explode(chosen).alias("i")).select(
+    names = [c for c in ("sid", "root") if c in large.columns]
+    children = rest.select(*names, "mins", "node", F.explode(chosen).alias("i")).select(
         F.xxhash64("node", "i", F.expr("substring(mins, cast(4 * i + 1 AS int), 4)")).alias("node"),
-        "sid",
+        *names,
     )
     return edges.select(F.col("sid").alias("u"), F.col("pivot").alias("v")), children
 
 
 def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
     """u, v, depth of the trees ``runs``: edges, and with both null, depths beyond LEVELS; and the
-    sets (sid) of nodes that are split."""
+    sets (sid) of nodes that are split.
+
+    Sets may have a ``root``, the component that earlier trees found. Nodes of one component are
+    left out: their sets are held together and will be compared exactly whatever is found here.
+    """
     entries, level, out, split = first_level(sets, runs), 1, [], []
+    several = F.min("root") < F.max("root") if "root" in sets.columns else F.count("*") > 1
     while True:
         entries = common.settled(entries, "entries")
-        sizes = common.settled(
-            entries.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "nodes"
-        )
+        sizes = entries.groupBy("node").agg(F.count("*").alias("n"), several.alias("several"))
+        sizes = common.settled(sizes.where("several").select("node", "n"), "nodes")
         shared = entries.join(sizes, "node")
         small = shared.where(F.col("n") <= TASK_SETS).select("node", "sid")
         out.append(
-            _with_mins(small, sets)
+            _with_mins(small, sets.select("sid", "mins"))
             .repartition("node")
             .sortWithinPartitions("node", "sid")
             .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
@@ -377,7 +384,12 @@ def candidate_edges(sets: DataFrame, recall: float = RECALL) -> DataFrame:
         deepest = made.agg(F.max("depth")).first()[0] or LEVELS
         done, wanted = wanted, max(wanted, runs_for(recall, max(deepest, LEVELS)))
         if done < wanted:  # only sets of split nodes can have gone so deep
-            sets = common.settled(sets.join(split.distinct(), "sid", "left_semi"), "deep-sets")
+            held = common.settled(components(reduce(DataFrame.unionByName, edges)), "held")
+            edges = [held.select(F.col("node").alias("u"), F.col("root").alias("v"))]
+            deep = sets.select("sid", "mins").join(split.distinct(), "sid", "left_semi")
+            deep = deep.join(held.withColumnRenamed("node", "sid"), "sid", "left")
+            deep = deep.withColumn("root", F.coalesce("root", "sid"))
+            sets = common.settled(deep, "deep-sets")
     return reduce(DataFrame.unionByName, edges)
 
 

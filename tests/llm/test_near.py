@@ -239,3 +239,43 @@ def test_sets_of_many_nodes_are_looked_up_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     generate, join, aggregate = (plan.index(x) for x in ("Generate explode", "Join Inner", "Aggregate [sid"))
     assert generate < join < aggregate  # rows of nodes come after the join, not out of it
+
+
+def test_later_trees_leave_out_what_is_held_together(spark, monkeypatch):
+    """A group of near copies is one component after the first trees; the others need no rows of it."""
+    monkeypatch.setattr(cp, "LEAF_SETS", 3)
+    draw, passes, rows = random.Random(10), [], []
+    base = text(draw, 200)
+    for _ in range(120):
+        words = list(base)
+        for place in draw.sample(range(200), 2):
+            words[place] = draw.choice(["x", "y", "z"])
+        rows.append(words)
+
+    def trees(sets, runs, f=cp._trees):
+        passes.append([len(runs), 0])
+        return f(sets, runs)
+
+    def with_mins(entries, sets, f=cp._with_mins):
+        passes[-1][1] += entries.count()
+        return f(entries, sets)
+
+    monkeypatch.setattr(cp, "_trees", trees)
+    monkeypatch.setattr(cp, "_with_mins", with_mins)
+    check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+    (few, first), (_, later) = passes[:2]
+    assert first > 120 * few / 2 and later == 0
+
+
+def test_later_trees_still_join_components(spark):
+    """Nodes of sets from two components are looked at whole."""
+    shingler, draw = cp.Shingler(), random.Random(11)
+    base = text(draw, 100)
+    mins = bytearray(cp.min_hashes(shingler.grams(" ".join(base))).tobytes())
+    rows = [(1, mins, 1), (2, mins, 1), (3, mins, 3)]
+    sets = spark.createDataFrame(rows, "sid long, mins binary, root long")
+    edges, _ = cp._trees(sets, range(4))
+    found = {r["node"]: r["root"] for r in components(edges.where("v IS NOT NULL").select("u", "v")).collect()}
+    assert found == {1: 1, 2: 1, 3: 1}
+    edges, split = cp._trees(sets.where("root = 1"), range(4))
+    assert edges.isEmpty() and split.isEmpty()
