@@ -11,9 +11,9 @@ at the threshold reaches the target recall; pairs above it are found more surely
    go. Nodes of up to TASK_SETS sets recurse inside a task. In larger ones a pivot is compared with
    all sets; what is nearly equal to it stays with it, the rest goes on to children in another
    exchange. Comparisons use the MinHash values and a margin below the threshold. A pair may be
-   lost at every level, so where sets went deeper than LEVELS, those of split nodes get more
-   trees, until there are enough for the depth that was seen. Those look for pairs of different
-   components only: nodes whose sets earlier trees hold together already are left out.
+   lost at every level, so sets that went deeper than LEVELS get more trees, until there are
+   enough for the depth they reached. Those look for pairs of different components only: nodes
+   whose sets earlier trees hold together already are left out.
 3. What comparisons hold together are candidate components. Brute force on the exact sets settles
    them, in blocks of bounded size: links are counted inside a task and never written as pairs.
    A component of several blocks is compared block by block.
@@ -135,18 +135,22 @@ def _set_function():
     return compute
 
 
-def runs_for(recall: float = RECALL, levels: int = LEVELS) -> int:
-    """Trees needed so that a pair at the threshold meets in a leaf of one of them.
+def lost_within(levels: int) -> float:
+    """The chance that a tree loses a pair at the threshold within some levels.
 
-    Of q, the chance that a pair at the threshold is lost within some levels, the next level's is
-    (3 * f(q) + f(q)**2) / 4 with f(q) = 1 - THRESHOLD * (1 - q): a node samples one coordinate,
-    or two with a chance of a quarter.
+    Of q, that chance, the next level's is (3 * f(q) + f(q)**2) / 4 with f(q) = 1 - THRESHOLD *
+    (1 - q): a node samples one coordinate, or two with a chance of a quarter.
     """
     lost = 0.0
     for _ in range(levels):
         child = 1 - THRESHOLD * (1 - lost)
         lost = (3 * child + child**2) / 4
-    return math.ceil(math.log(1 - recall) / math.log(lost))
+    return lost
+
+
+def runs_for(recall: float = RECALL, levels: int = LEVELS) -> int:
+    """Trees needed so that a pair at the threshold meets in a leaf of one of them."""
+    return math.ceil(math.log(1 - recall) / math.log(lost_within(levels)))
 
 
 def _sampled(node: int) -> list[int]:
@@ -168,12 +172,12 @@ def first_level(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
         for i in _sampled(run + 1):
             value = F.substring("mins", 4 * i + 1, 4)
             nodes.append(F.xxhash64(F.lit(run), F.lit(i), value))
-    names = [c for c in sets.columns if c != "mins"]
+    names = [c for c in ("sid", "root") if c in sets.columns]
     return sets.select(*names, F.explode(F.array(*nodes)).alias("node")).select("node", *names)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """nodes, sids and MinHash values of whole nodes, of sorted rows (node, sid, mins)."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """nodes, sids, MinHash values and known depths of whole nodes, of sorted rows (node, sid, mins)."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -192,13 +196,14 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield _columns(held)
 
 
-def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
     table = pa.Table.from_batches(batches)
     mins = b"".join(table.column("mins").to_pylist())
     return (
         table.column("node").to_numpy(),
         table.column("sid").to_numpy(),
         np.frombuffer(mins, "<u4").reshape(-1, COORDINATES),
+        table.column("reached").to_numpy() if "reached" in table.column_names else LEVELS,
     )
 
 
@@ -206,7 +211,8 @@ def leaves(
     node: int, mins: np.ndarray, deepest: int = DEEPEST
 ) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Rows of the leaves below a node, at most LEAF_SETS that share a path; pairs of a pivot
-    and each row that it holds; and the levels below the node that each row was sent down.
+    and each row that it holds; and the levels below the node that each row was sent down,
+    also alone.
 
     At the level ``deepest`` rows are no longer sent down: pivots are drawn until a leaf is left.
     """
@@ -229,6 +235,7 @@ def leaves(
         if depth >= deepest:
             todo.append((key, rest[rest != pivot], depth + 1))  # the next pivot, with all
             continue
+        levels[rest] = np.maximum(levels[rest], depth + 1)
         for i in _sampled(key):
             values = mins[rest, i]
             order = np.argsort(values, kind="stable")
@@ -276,8 +283,9 @@ def held_together(
 
 
 def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) of nodes at a level; and with both null, how deep the sets went, if beyond LEVELS."""
-    for nodes, sids, mins in _groups(batches):
+    """Edges (u, v) of nodes at a level, and how deep u went; with v null sets that went deeper than
+    LEVELS, or than is known of them, and have no edge."""
+    for nodes, sids, mins, reached in _groups(batches):
         edges = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1], [True]]))
         parts, pairs = [], []
         depth = np.full(len(sids), level, np.int32)
@@ -290,13 +298,11 @@ def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                 parts += [begin + p for p in below]
                 pairs += [begin + p for p in held]
         label = held_together(parts, pairs, mins)
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        reached = int(depth.max(initial=0))
-        mark = pa.nulls(int(reached > LEVELS), pa.int64())
-        u = pa.concat_arrays([pa.array(sids[moved]), mark])
-        v = pa.concat_arrays([pa.array(sids[label[moved]]), mark])
-        levels = pa.array(np.full(len(u), reached, np.int32))
-        yield pa.RecordBatch.from_arrays([u, v, levels], names=["u", "v", "depth"])
+        moved = label != np.arange(len(label))
+        rows = np.flatnonzero(moved | (depth > reached))
+        v = pa.array(sids[label[rows]], mask=~moved[rows])
+        columns = [pa.array(sids[rows]), v, pa.array(depth[rows])]
+        yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "depth"])
 
 
 def _alike(a, b) -> F.Column:
@@ -317,8 +323,9 @@ def _with_mins(entries: DataFrame, sets: DataFrame) -> DataFrame:
     return nodes.join(sets, "sid").select(F.explode("nodes").alias("node"), *sets.columns)
 
 
-def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges of the pivots of large nodes, and the entries of their children."""
+def _split(large: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """Edges of the pivots of large nodes at a level, with v null the sets that go deeper than
+    is known of them, and the entries of their children."""
     drawn = F.struct(F.xxhash64("node", "sid").alias("draw"), "sid", "mins")
     pivots = common.settled(
         large.groupBy("node").agg(F.min(drawn).alias("p")).select(
@@ -341,17 +348,22 @@ def _split(large: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.xxhash64("node", "i", F.expr("substring(mins, cast(4 * i + 1 AS int), 4)")).alias("node"),
         *names,
     )
-    return edges.select(F.col("sid").alias("u"), F.col("pivot").alias("v")), children
+    found = edges.select(F.col("sid").alias("u"), F.col("pivot").alias("v"))
+    if level + 1 > LEVELS:
+        known = F.col("reached") if "reached" in large.columns else F.lit(LEVELS)
+        deep = rest.where(known < level + 1)
+        found = found.unionByName(deep.select(F.col("sid").alias("u"), F.lit(None).cast("long").alias("v")))
+    return found.withColumn("depth", F.lit(level + 1)), children
 
 
-def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
-    """u, v, depth of the trees ``runs``: edges, and with both null, depths beyond LEVELS; and the
-    sets (sid) of nodes that are split.
+def _trees(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
+    """u, v, depth of the trees ``runs``: edges and how deep u went; v is null for other sets that
+    went deeper than LEVELS.
 
-    Sets may have a ``root``, the component that earlier trees found. Nodes of one component are
+    Sets may have a ``root`` and ``reached``, the component and the depth that earlier trees found. Nodes of one component are
     left out: their sets are held together and will be compared exactly whatever is found here.
     """
-    entries, level, out, split = first_level(sets, runs), 1, [], []
+    entries, level, out = first_level(sets, runs), 1, []
     several = F.min("root") < F.max("root") if "root" in sets.columns else F.count("*") > 1
     while True:
         entries = common.settled(entries, "entries")
@@ -360,37 +372,45 @@ def _trees(sets: DataFrame, runs: Iterable[int]) -> tuple[DataFrame, DataFrame]:
         shared = entries.join(sizes, "node")
         small = shared.where(F.col("n") <= TASK_SETS).select("node", "sid")
         out.append(
-            _with_mins(small, sets.select("sid", "mins"))
+            _with_mins(small, sets.drop("root"))
             .repartition("node")
             .sortWithinPartitions("node", "sid")
             .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
         )
-        split.append(shared.where(F.col("n") > LEAF_SETS).select("sid"))
         if sizes.where(F.col("n") > TASK_SETS).isEmpty():
-            return reduce(DataFrame.unionByName, out), reduce(DataFrame.unionByName, split)
+            return reduce(DataFrame.unionByName, out)
         large = shared.where(F.col("n") > TASK_SETS).select("node", "sid")
-        pivot_edges, entries = _split(_with_mins(large, sets))
-        out.append(pivot_edges.withColumn("depth", F.lit(level)))
+        found, entries = _split(_with_mins(large, sets), level)
+        out.append(found)
         level += 1
 
 
 def candidate_edges(sets: DataFrame, recall: float = RECALL) -> DataFrame:
-    """u, v: edges that hold together all sets which any comparison found alike."""
-    done, wanted, edges = 0, runs_for(recall, LEVELS), []
-    while done < wanted:
-        made, split = _trees(sets, range(done, wanted))
-        made = common.settled(made, "trees")
+    """u, v: edges that hold together all sets which any comparison found alike.
+
+    The trees so far are enough for ``levels``. A pair that all of them lost needs more only if
+    both its sets went deeper in some tree: else each tree lost it within that many levels. The
+    chances of a loss for the levels of all rounds add up to no more than 1 - ``recall``.
+    """
+    done, levels, spare, edges, marks = 0, LEVELS, 1 - recall, [], []
+    wanted = runs_for(recall, levels)
+    while True:
+        made = common.settled(_trees(sets, range(done, wanted)), "trees")
         edges.append(made.where("v IS NOT NULL").select("u", "v"))
-        deepest = made.agg(F.max("depth")).first()[0] or LEVELS
-        done, wanted = wanted, max(wanted, runs_for(recall, max(deepest, LEVELS)))
-        if done < wanted:  # only sets of split nodes can have gone so deep
-            held = common.settled(components(reduce(DataFrame.unionByName, edges)), "held")
-            edges = [held.select(F.col("node").alias("u"), F.col("root").alias("v"))]
-            deep = sets.select("sid", "mins").join(split.distinct(), "sid", "left_semi")
-            deep = deep.join(held.withColumnRenamed("node", "sid"), "sid", "left")
-            deep = deep.withColumn("root", F.coalesce("root", "sid"))
-            sets = common.settled(deep, "deep-sets")
-    return reduce(DataFrame.unionByName, edges)
+        marks.append(made.select(F.col("u").alias("sid"), "depth"))
+        deep = reduce(DataFrame.unionByName, marks).where(F.col("depth") > levels)
+        deepest = deep.agg(F.max("depth")).first()[0]
+        if deepest is None:
+            return reduce(DataFrame.unionByName, edges)
+        held = common.settled(components(reduce(DataFrame.unionByName, edges)), "held")
+        edges = [held.select(F.col("node").alias("u"), F.col("root").alias("v"))]
+        spare -= lost_within(levels) ** wanted
+        done, levels = wanted, min(2 * levels, deepest)
+        wanted = max(done + 1, runs_for(1 - spare / 2, levels))
+        reached = deep.groupBy("sid").agg(F.max("depth").alias("reached"))
+        some = sets.select("sid", "mins").join(reached, "sid")
+        some = some.join(held.withColumnRenamed("node", "sid"), "sid", "left")
+        sets = common.settled(some.withColumn("root", F.coalesce("root", "sid")), "deep-sets")
 
 
 # ---------------------------------------------------------------- step 3: exact links

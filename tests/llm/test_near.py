@@ -274,8 +274,30 @@ def test_later_trees_still_join_components(spark):
     mins = bytearray(cp.min_hashes(shingler.grams(" ".join(base))).tobytes())
     rows = [(1, mins, 1), (2, mins, 1), (3, mins, 3)]
     sets = spark.createDataFrame(rows, "sid long, mins binary, root long")
-    edges, _ = cp._trees(sets, range(4))
+    edges = cp._trees(sets, range(4))
     found = {r["node"]: r["root"] for r in components(edges.where("v IS NOT NULL").select("u", "v")).collect()}
     assert found == {1: 1, 2: 1, 3: 1}
-    edges, split = cp._trees(sets.where("root = 1"), range(4))
-    assert edges.isEmpty() and split.isEmpty()
+    assert cp._trees(sets.where("root = 1"), range(4)).isEmpty()
+
+
+def test_only_deep_sets_get_more_trees(spark, monkeypatch):
+    """Sets of a split node that no tree sends beyond LEVELS take no part in later trees."""
+    draw, sizes, rows = random.Random(13), [], []
+    monkeypatch.setattr(cp, "LEAF_SETS", 3)
+    monkeypatch.setattr(cp, "LEVELS", 2)
+
+    def trees(sets, runs, f=cp._trees):
+        sizes.append((sets.count(), len(runs)))
+        return f(sets, runs)
+
+    monkeypatch.setattr(cp, "_trees", trees)
+    base = text(draw, 200)
+    for _ in range(80):  # near copies, and texts that share a passage
+        words = list(base)
+        for place in draw.sample(range(200), 2):
+            words[place] = draw.choice(["x", "y", "z"])
+        rows += [words, base[:20] + text(draw, 80)]
+    check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+    assert len(sizes) > 1 and 0 < sizes[1][0] < 120
+    spent = sum(cp.lost_within(d) ** n for d, n in [(3, cp.runs_for(levels=3)), (6, cp.runs_for(1 - 2e-6, 6))])
+    assert spent <= 1 - cp.RECALL
