@@ -2,8 +2,8 @@
 
 Documents are sets of hashed word 5-grams. A node of a chosen-path tree samples coordinates of the
 sets' MinHash values, about 1 / threshold of them, and sends each set to one child for each sampled
-value, so a pair at the threshold shares one child on average. Small nodes are compared by brute
-force. One tree finds a pair with some chance only, so trees are repeated until the chance of a pair
+value, so a pair at the threshold shares one child on average. Leaves, nodes of up to LEAF_SETS
+sets, lose no pair: pivots are compared with all, small ones by brute force. One tree finds a pair with some chance only, so trees are repeated until the chance of a pair
 at the threshold reaches the target recall; pairs above it are found more surely.
 
 1. Equal sets become one row, with its number of copies.
@@ -51,7 +51,8 @@ MARGIN = 0.2  # comparisons of MinHash values let pass what is this far below th
 PIVOT_MARGIN = 0.35  # what a pivot holds together: neighbours of its near copies pass too
 NEARLY_EQUAL = 0.85
 TASK_SETS = 20_000
-LEAF_SETS = 64
+LEAF_SETS = 4_000  # compared with one another: a pivot after the other meets the rest
+PAIR_SETS = 64  # of a leaf whose pairs are listed
 DEEPEST = 24  # levels inside a task, below which sets are compared with one another
 LEVELS = 3  # levels that the trees of all sets are many enough for
 BLOCK_SETS, BLOCK_GRAMS = 2_000, 2_000_000
@@ -208,21 +209,21 @@ def _columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
 
 
 def leaves(
-    node: int, mins: np.ndarray, deepest: int = DEEPEST
+    node: int, mins: np.ndarray, deepest: int = DEEPEST, most: int | None = None
 ) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Rows of the leaves below a node, at most LEAF_SETS that share a path; pairs of a pivot
+    """Rows of the leaves below a node, at most ``most`` (LEAF_SETS) that share a path; pairs of a pivot
     and each row that it holds; and the levels below the node that each row was sent down,
     also alone.
 
     At the level ``deepest`` rows are no longer sent down: pivots are drawn until a leaf is left.
     """
-    out, pairs = [], []
+    out, pairs, most = [], [], most or LEAF_SETS
     levels = np.zeros(len(mins), np.int32)
     todo = [(node, np.arange(len(mins)), 0)]
     while todo:
         key, rows, depth = todo.pop()
         levels[rows] = np.maximum(levels[rows], min(depth, deepest))
-        if len(rows) <= LEAF_SETS:
+        if len(rows) <= most:
             if len(rows) > 1:
                 out.append(rows)
             continue
@@ -247,10 +248,37 @@ def leaves(
     return out, pairs, levels
 
 
+def by_pivots(rows: np.ndarray, mins: np.ndarray) -> np.ndarray:
+    """Pairs, fewer than ``rows``, that hold together the alike rows of a leaf.
+
+    What is nearly equal to a pivot needs no pivots of its own: its neighbours are held as well.
+    """
+    n = len(rows)
+    values = np.ascontiguousarray(mins[rows].T)
+    label, left = np.arange(n), np.ones(n, bool)
+    for i in range(n):
+        if not left[i]:
+            continue
+        same = (values[:, i:] == values[:, i, None]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        same[~left[i:]] = 0
+        equal = same >= COORDINATES * NEARLY_EQUAL
+        margin = MARGIN if equal.sum() == 1 else PIVOT_MARGIN
+        held = label[i:][same >= COORDINATES * (THRESHOLD - margin)]
+        left[i:] &= ~equal
+        if (held != held[0]).any():
+            joined = np.zeros(n, bool)
+            joined[held] = True
+            label[joined[label]] = held.min()
+    moved = np.flatnonzero(label != np.arange(n))
+    return np.column_stack([rows[label[moved]], rows[moved]])
+
+
 def held_together(
     parts: list[np.ndarray], pairs: list[np.ndarray], mins: np.ndarray
 ) -> np.ndarray:
     """Labels of rows, equal where a path of ``pairs`` or of alike rows of a part joins them."""
+    pairs = [*pairs, *(by_pivots(p, mins) for p in parts if len(p) > PAIR_SETS)]
+    parts = [p for p in parts if len(p) <= PAIR_SETS]
     sizes = np.array([len(p) for p in parts], np.int64)
     label = np.arange(len(mins))
     none = [np.zeros(0, np.int64)]
@@ -282,7 +310,7 @@ def held_together(
             return label
 
 
-def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _join_nodes(level: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) of nodes at a level, and how deep u went; with v null sets that went deeper than
     LEVELS, or than is known of them, and have no edge."""
     for nodes, sids, mins, reached in _groups(batches):
@@ -290,10 +318,10 @@ def _join_nodes(level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         parts, pairs = [], []
         depth = np.full(len(sids), level, np.int32)
         for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if end - begin <= LEAF_SETS:
+            if end - begin <= most:
                 parts.append(np.arange(begin, end))
             else:
-                below, held, levels = leaves(int(nodes[begin]), mins[begin:end])
+                below, held, levels = leaves(int(nodes[begin]), mins[begin:end], most=most)
                 depth[begin:end] += levels
                 parts += [begin + p for p in below]
                 pairs += [begin + p for p in held]
@@ -375,7 +403,7 @@ def _trees(sets: DataFrame, runs: Iterable[int]) -> DataFrame:
             _with_mins(small, sets.drop("root"))
             .repartition("node")
             .sortWithinPartitions("node", "sid")
-            .mapInArrow(partial(_join_nodes, level), "u long, v long, depth int")
+            .mapInArrow(partial(_join_nodes, level, LEAF_SETS), "u long, v long, depth int")
         )
         if sizes.where(F.col("n") > TASK_SETS).isEmpty():
             return reduce(DataFrame.unionByName, out)

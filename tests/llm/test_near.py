@@ -301,3 +301,42 @@ def test_only_deep_sets_get_more_trees(spark, monkeypatch):
     assert len(sizes) > 1 and 0 < sizes[1][0] < 120
     spent = sum(cp.lost_within(d) ** n for d, n in [(3, cp.runs_for(levels=3)), (6, cp.runs_for(1 - 2e-6, 6))])
     assert spent <= 1 - cp.RECALL
+
+
+def test_a_leaf_of_many_sets_needs_no_more_trees(spark, monkeypatch):
+    """Near copies and texts that share a passage, more than are compared pair by pair."""
+    draw, asked, rows = random.Random(14), [], []
+    monkeypatch.setattr(cp, "_trees", lambda sets, runs, f=cp._trees: asked.append(runs) or f(sets, runs))
+    base = text(draw, 200)
+    for _ in range(110):
+        words = list(base)
+        for place in draw.sample(range(200), 3):
+            words[place] = draw.choice(["x", "y", "z"])
+        rows += [words, base[:100] + text(draw, 80)]
+    check(spark, [(i, " ".join(w)) for i, w in enumerate(rows)])
+    assert asked == [range(cp.runs_for())]
+
+
+def test_pivots_of_a_leaf_lose_no_link():
+    shingler = cp.Shingler()
+    grams = [shingler.grams(t) for _, t in corpus(15, groups=6, copies=80, singles=80)]
+    mins = np.stack([cp.min_hashes(g) for g in grams])
+    rows = np.arange(len(mins))
+    assert len(rows) > cp.PAIR_SETS
+    pairs = cp.by_pivots(rows, mins)
+    assert len(pairs) < len(rows)
+    label = cp.held_together([rows], [], mins)
+    a, b = np.nonzero(cp.exact_links(grams))
+    assert (label[a] == label[b]).all()
+
+
+def test_stars_are_components_at_once(spark, monkeypatch):
+    from assayframe.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "settled", lambda df, name, f=module.settled: written.append(name) or f(df, name))
+    edges = [(i, i % 3) for i in range(3, 40)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {i: i % 3 for i in range(40)} and len(written) == 1
+    components(spark.createDataFrame([(3, 2), (2, 1)], "u long, v long"))
+    assert len(written) > 2
