@@ -12,6 +12,7 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow.fs import FileSelector, FileType
@@ -35,8 +36,11 @@ from assayframe.sources.tables import settle
 
 STREAM_CHUNK = 8 * 1024 * 1024
 RANGE_BYTES = 64 * 1024 * 1024  # of a large file that a task reads line by line
+READ_BYTES = 64 * 1024 * 1024  # of whole files that a task reads, on average
+READ_FILES = 10_000  # that a task opens, on average
 MOST_TASKS = 100_000
 ROW_BYTES = 1 << 30  # files beyond this are not loaded into one row
+MOST_IN_ROW = (1 << 31) - 1  # bytes, whatever a caller asks for
 LISTED = "path string, size_bytes long, is_folder boolean, hidden boolean"
 
 
@@ -145,16 +149,43 @@ def described(listed: DataFrame) -> DataFrame:
     )
 
 
-def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Contents of files, one at a time; those that cannot be read are left out."""
+def _rows_of(paths: list[str], contents: list[pa.Buffer]) -> pa.RecordBatch:
+    """(path, content) of files; the bytes of a file that stands alone are not copied."""
+    sizes = np.array([0, *(len(c) for c in contents)], np.int64)
+    data = contents[0] if len(contents) == 1 else pa.py_buffer(b"".join(contents))
+    offsets = pa.py_buffer(np.cumsum(sizes).astype(np.int32).tobytes())
+    binary = pa.BinaryArray.from_buffers(pa.binary(), len(contents), [None, offsets, data])
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), binary], names=["path", "content"])
+
+
+def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents of files, up to STREAM_CHUNK at a time and larger files alone; those that cannot be
+    read are left out."""
     for batch in batches:
-        for path in batch["path"]:
+        paths: list[str] = []
+        contents: list[pa.Buffer] = []
+        held = 0
+        for path in batch.column(0).to_pylist():
             system, inside, _ = place(path)
             try:
                 with system.open_input_stream(inside) as stream:
-                    yield pd.DataFrame({"path": [path], "content": [stream.read()]})
+                    content = stream.read_buffer()
             except OSError:
                 continue
+            if len(content) > MOST_IN_ROW:
+                raise ValueError(f"{path} has {len(content)} bytes, more than a row holds")
+            if contents and held + len(content) > STREAM_CHUNK:
+                yield _rows_of(paths, contents)
+                paths, contents, held = [], [], 0
+            paths.append(path)
+            contents.append(content)
+            held += len(content)
+            del content
+            if held >= STREAM_CHUNK:
+                yield _rows_of(paths, contents)
+                paths, contents, held = [], [], 0
+        if contents:
+            yield _rows_of(paths, contents)
 
 
 def read_every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,28 +206,20 @@ def read_files(
     """All files below ``root`` (or the listed ones) with their bytes in ``content``; files that
     cannot be read are left out.
 
-    With ``up_to_bytes`` larger files are left out and their bytes never loaded. Spark's reader
-    takes all it sees; the rest is read in tasks.
+    With ``up_to_bytes`` larger files are left out and their bytes never loaded. Tasks read what
+    the listing names, so the driver holds no list of files, as Spark's own file index would there.
     """
     listed = listing(spark, root) if listed is None else listed
     fits = F.col("size_bytes").isNotNull()
     if up_to_bytes is not None:
         fits = fits & (F.col("size_bytes") <= up_to_bytes)
-    listed = listed.where(fits)
-    other = listed.where("hidden OR size_bytes = 0").select("path")
-    tasks = spark.sparkContext.defaultParallelism
-    contents = other.repartition(tasks, "path").mapInPandas(
+    due = listed.where(fits)
+    total = due.agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes")).first()
+    wanted = max(-(-total["files"] // READ_FILES), -(-(total["bytes"] or 0) // READ_BYTES))
+    tasks = max(spark.sparkContext.defaultParallelism, min(wanted, MOST_TASKS))
+    contents = due.select("path").repartition(tasks, "path").mapInArrow(
         _read_bytes, "path string, content binary"
     )
-    most = listed.where("NOT hidden AND size_bytes > 0").agg(F.max("size_bytes")).first()[0]
-    if most:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-        shown = [root] if isinstance(root, str) else [p for p in root if not _is_hidden(p)]
-        seen = reader.load(shown).where(F.col("length").between(1, most))
-        contents = contents.unionByName(
-            seen.select(plain_path(F.col("path")).alias("path"), "content")
-        )
     return described(
         contents.withColumn("size_bytes", F.octet_length("content").cast("long"))
     )
