@@ -1,7 +1,10 @@
 """Whole files read in tasks, from the listing."""
 
+import hashlib
+
 import pytest
 
+from assayframe.plans import ingest
 from assayframe.sources import files as source
 
 
@@ -28,6 +31,16 @@ def test_driver_has_no_list_of_files_for_texts(spark, inbox):
     assert {r.file_id: r.content for r in texts.collect()} == wanted
 
 
+def test_driver_has_no_list_of_files_at_ingest(spark, inbox, monkeypatch):
+    read, seen = source.read_files, []
+    monkeypatch.setattr(source, "read_files", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
+    report = ingest.ingest_directory(spark, str(inbox), "I1")
+    assert len(seen) == 1 and not under(seen[0], inbox)
+    assert (report.files_found, report.files_processed, report.files_error) == (42, 42, 0)
+    digests = {hashlib.sha256(p.read_bytes()).hexdigest() for p in inbox.rglob("*.txt")}
+    assert {r.sha256 for r in report.added.collect()} == digests and report.files_new == 32
+
+
 def test_only_listed_files_are_read(spark, inbox):
     listed = source.listing(spark, str(inbox)).where("path LIKE '%/d1/%'")
     got = {r.path_abs for r in source.read_files(spark, str(inbox), listed=listed).collect()}
