@@ -60,7 +60,9 @@ def derive_all(
     if texts is not None:
         searched = files.where(F.col("detected_type").isin(*SEARCHED_TYPES) & (F.coalesce("device", F.lit("")) == ""))
         found = texts.join(searched.select("file_id"), "file_id", "left_semi")
-        files = files.join(found.select("file_id", F.col("content").alias("_text")), "file_id", "left")
+        # by a sort: Spark may take texts for small and broadcast them
+        named = found.select("file_id", F.col("content").alias("_text")).hint("merge")
+        files = files.join(named, "file_id", "left")
         content = F.col("_text")
     with_text = files.withColumn("_content", content)
     devices = derive.derive_device(with_text, "_content").drop("_content", "_text")

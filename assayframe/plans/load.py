@@ -7,7 +7,7 @@ repeated after a failure, or a stream that replays a batch, changes nothing twic
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -193,7 +193,7 @@ def ingest_into(
 
 def parse_pending(
     store: Store,
-    texts: DataFrame,
+    texts: DataFrame | Callable[[DataFrame], DataFrame],
     import_id: str,
     batch: str,
     *,
@@ -205,15 +205,23 @@ def parse_pending(
 ) -> JobStats:
     """Parse an import's pending and failed files into the store; their outcomes are stored with it.
 
-    ``texts`` has (path_abs, content) of the files; they are read once. Files over ``large_bytes`` are
-    read line by line instead and need no row there.
+    ``texts`` has (path_abs, content) of the files; they are read once. It may be a function that gets the
+    files to parse (file_id, detected_type, path, size_bytes) and returns these with their ``content``, as
+    ``read_texts`` does: then no text moves to meet its id. Files over ``large_bytes`` are read line by
+    line instead and need no row there.
     """
     if store.has(batch):
         return JobStats()
     pending = parse.pending_files(store.read("files"), import_id, only_types, skip_types, max_files)
     chosen = settle(pending.select("file_id", "detected_type", "path_abs", "size_bytes"), "pending")
     is_large = F.col("size_bytes") > large_bytes
-    found = texts.join(chosen.where(~is_large), "path_abs").drop("path_abs")
+    small = chosen.where(~is_large)
+    if callable(texts):
+        named = small.where("path_abs IS NOT NULL").withColumnRenamed("path_abs", "path")
+        found = texts(named)
+    else:
+        found = parse.with_ids(texts, small, "path_abs")
+    found = found.select("file_id", "detected_type", "content")
     files = parse.routed(parse.with_layout(found, F.col("content")))
     lines = weights = None
     large = chosen.where(is_large)

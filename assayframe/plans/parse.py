@@ -29,7 +29,7 @@ from assayframe.sources.tables import STORED_CODEC, settle
 PARSABLE = tuple(LAYOUTS)
 UNSUPPORTED = "Unsupported file type"
 LARGE_BYTES = 256 * 1024 * 1024  # files beyond this are parsed line by line
-BROADCAST_FILES = 100_000  # ids and layouts of large files that every task may hold
+BROADCAST_FILES = 100_000  # ids and layouts of files that every task may hold
 
 
 # --- choosing files ---
@@ -427,6 +427,13 @@ class ParseReport:
     warnings: DataFrame | None = None
 
 
+def with_ids(texts: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Texts and the stored rows of the files chosen. Spark may take texts for small, so it is told to
+    broadcast the files, or where they are many to move both sides."""
+    few = chosen.count() <= BROADCAST_FILES
+    return texts.join(F.broadcast(chosen) if few else chosen.hint("shuffle_hash"), key)
+
+
 def with_layout(files: DataFrame, content: Column, found: Column | None = None) -> DataFrame:
     """``files`` and the layout to parse them by: what the markers of plain files show, else the
     detected type."""
@@ -507,9 +514,7 @@ def parse_import(
     """
     pending = pending_files(registry, import_id, only_types, skip_types, max_files)
     chosen = settle(pending.select("file_id", "detected_type"), "pending")
-    # a stored list of ids: Spark knows its size, broadcasts it while it is small, and
-    # moves the texts once by file id beyond that
-    files = routed(with_layout(texts.join(chosen, "file_id"), F.col("content")))
+    files = routed(with_layout(with_ids(texts, chosen, "file_id"), F.col("content")))
     return _parse(spark, chosen, Parsed(files, "layout"), store, ParseReport(), fail_fast, dry_run)
 
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayframe.functions.filetypes import (
     EXTENSIONS,
@@ -149,23 +150,23 @@ def described(listed: DataFrame) -> DataFrame:
     )
 
 
-def _rows_of(paths: list[str], contents: list[pa.Buffer]) -> pa.RecordBatch:
-    """(path, content) of files; the bytes of a file that stands alone are not copied."""
+def _with_content(rows: pa.RecordBatch, contents: list[pa.Buffer]) -> pa.RecordBatch:
+    """``rows`` with the bytes of their files; those of a file that stands alone are not copied."""
     sizes = np.array([0, *(len(c) for c in contents)], np.int64)
     data = contents[0] if len(contents) == 1 else pa.py_buffer(b"".join(contents))
     offsets = pa.py_buffer(np.cumsum(sizes).astype(np.int32).tobytes())
     binary = pa.BinaryArray.from_buffers(pa.binary(), len(contents), [None, offsets, data])
-    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), binary], names=["path", "content"])
+    return pa.RecordBatch.from_arrays([*rows.columns, binary], names=[*rows.schema.names, "content"])
 
 
 def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contents of files, up to STREAM_CHUNK at a time and larger files alone; those that cannot be
-    read are left out."""
+    """Rows whose first column is a path, with the contents of the files, up to STREAM_CHUNK at a time
+    and larger files alone; those that cannot be read are left out."""
     for batch in batches:
-        paths: list[str] = []
+        places: list[int] = []
         contents: list[pa.Buffer] = []
         held = 0
-        for path in batch.column(0).to_pylist():
+        for i, path in enumerate(batch.column(0).to_pylist()):
             system, inside, _ = place(path)
             try:
                 with system.open_input_stream(inside) as stream:
@@ -175,17 +176,32 @@ def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(content) > MOST_IN_ROW:
                 raise ValueError(f"{path} has {len(content)} bytes, more than a row holds")
             if contents and held + len(content) > STREAM_CHUNK:
-                yield _rows_of(paths, contents)
-                paths, contents, held = [], [], 0
-            paths.append(path)
+                yield _with_content(batch.take(pa.array(places)), contents)
+                places, contents, held = [], [], 0
+            places.append(i)
             contents.append(content)
             held += len(content)
             del content
             if held >= STREAM_CHUNK:
-                yield _rows_of(paths, contents)
-                paths, contents, held = [], [], 0
+                yield _with_content(batch.take(pa.array(places)), contents)
+                places, contents, held = [], [], 0
         if contents:
-            yield _rows_of(paths, contents)
+            yield _with_content(batch.take(pa.array(places)), contents)
+
+
+def _contents(listed: DataFrame, *keep: str) -> DataFrame:
+    """path, the columns ``keep`` of a listing (path, size_bytes, ...), and the bytes of its files.
+
+    Only what names the files moves to the tasks that read them. Spark takes these rows for as small as
+    the listing: where they meet a table, say which side is broadcast.
+    """
+    spark = listed.sparkSession
+    total = listed.agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes")).first()
+    wanted = max(-(-total["files"] // READ_FILES), -(-(total["bytes"] or 0) // READ_BYTES))
+    tasks = max(spark.sparkContext.defaultParallelism, min(wanted, MOST_TASKS))
+    rows = listed.select("path", *keep)
+    shape = T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())])
+    return rows.repartition(tasks, "path").mapInArrow(_read_bytes, shape)
 
 
 def read_every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,13 +229,7 @@ def read_files(
     fits = F.col("size_bytes").isNotNull()
     if up_to_bytes is not None:
         fits = fits & (F.col("size_bytes") <= up_to_bytes)
-    due = listed.where(fits)
-    total = due.agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes")).first()
-    wanted = max(-(-total["files"] // READ_FILES), -(-(total["bytes"] or 0) // READ_BYTES))
-    tasks = max(spark.sparkContext.defaultParallelism, min(wanted, MOST_TASKS))
-    contents = due.select("path").repartition(tasks, "path").mapInArrow(
-        _read_bytes, "path string, content binary"
-    )
+    contents = _contents(listed.where(fits))
     return described(
         contents.withColumn("size_bytes", F.octet_length("content").cast("long"))
     )
@@ -321,14 +331,29 @@ def registry_rows(
     )
 
 
-def read_texts(spark: SparkSession, root: str, up_to_bytes: int | None = None) -> DataFrame:
+def read_texts(
+    spark: SparkSession,
+    root: str | None = None,
+    up_to_bytes: int | None = None,
+    *,
+    listed: DataFrame | None = None,
+) -> DataFrame:
     """(file_id = path, content) for parsing, one row per file, without a byte-order mark.
 
     With ``up_to_bytes`` larger files are left out, for ``read_lines``, and their bytes never loaded.
+    ``listed`` (file_id, path, size_bytes, ...) names the files in the place of ``root``; all its columns
+    but the size are kept.
     """
-    files = read_files(spark, root, up_to_bytes)
+    if listed is None:
+        files = read_files(spark, root, up_to_bytes).withColumnRenamed("path_abs", "file_id")
+        names = ["file_id"]
+    else:
+        if up_to_bytes is not None:
+            listed = listed.where(F.col("size_bytes") <= up_to_bytes)
+        names = [c for c in listed.columns if c != "size_bytes"]
+        files = _contents(listed, *[c for c in names if c != "path"])
     text = without_mark(drop_bad_utf8(F.col("content")))
-    return files.select(F.col("path_abs").alias("file_id"), text.alias("content"))
+    return files.select(*names, text.alias("content"))
 
 
 def _lines_of(stream, start: int, stop: int) -> Iterator[tuple[list[int], list[bytes]]]:

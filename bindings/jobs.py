@@ -180,8 +180,9 @@ def pipeline_export(spark, sf_dir):
     load.ingest_into(store, root, "I1", created_at=AT)
     tagged = tag_files(store.read("files")).select(store.read("files").columns)
     store.commit(derive_job.replaced(store, "files", "file_id", tagged), "tag I1")
-    texts = source.read_texts(spark, root).withColumnRenamed("file_id", "path_abs")
-    load.parse_pending(store, texts, "I1", "parse I1", created_at=AT)
+    load.parse_pending(
+        store, lambda due: source.read_texts(spark, listed=due), "I1", "parse I1", created_at=AT
+    )
     derive_job.derive_into(store, "derive I1")
     out = shared_folder(spark, "export")
     rows = export.export_long(store.tables(*export.NEEDS, "measurements"))

@@ -1,11 +1,16 @@
 """Whole files read in tasks, from the listing."""
 
+import datetime
 import hashlib
 
 import pytest
 
-from assayframe.plans import ingest
+from assayframe.plans import ingest, load, parse
 from assayframe.sources import files as source
+from assayframe.sources.store import Store
+from tests.test_mwtab import MS, NMR, PLAIN
+
+AT = datetime.datetime(2024, 5, 1, tzinfo=datetime.timezone.utc)
 
 
 @pytest.fixture
@@ -62,3 +67,51 @@ def test_rows_are_sent_in_chunks_and_large_files_alone(spark, inbox, monkeypatch
     monkeypatch.setattr(source, "MOST_IN_ROW", 50)
     with pytest.raises(ValueError, match="large.txt has 60 bytes"):
         list(source._read_bytes(iter([pa.RecordBatch.from_arrays([pa.array(some)], names=["path"])])))
+
+
+def broadcasts(df) -> list[str]:
+    """What the plan of a table broadcasts: the lines of each such part."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            found.append("\n".join(lines[i:end]))
+    return found
+
+
+def loaded(spark, tmp_path, monkeypatch, texts, batch):
+    """Files of an import loaded into a new store: its counts, cells, and the table of texts."""
+    inbox = tmp_path / "in"
+    for name, text in (("a", PLAIN), ("copy of a", PLAIN), ("_b", MS), ("c", NMR), ("note", "x")):
+        inbox.mkdir(exist_ok=True)
+        (inbox / f"{name}.txt").write_text(text)
+    seen, routed = [], parse.routed
+    monkeypatch.setattr(parse, "routed", lambda files, *a: seen.append(files) or routed(files, *a))
+    store = Store.create(spark, str(tmp_path / batch), groups=4, inside=1)
+    load.ingest_into(store, str(inbox), "I1", created_at=AT)
+    done = load.parse_pending(store, texts(str(inbox)), "I1", "parse I1", created_at=AT)
+    cells = store.read("measurements").select("sample_uid", "feature_uid", "value", "file_id").collect()
+    return done, sorted(map(str, cells)), seen[0]
+
+
+def test_texts_are_read_by_id_and_meet_no_join(spark, tmp_path, monkeypatch):
+    by_id = lambda root: lambda due: source.read_texts(spark, listed=due)
+    joined = lambda root: source.read_texts(spark, root).withColumnRenamed("file_id", "path_abs")
+    done, cells, files = loaded(spark, tmp_path, monkeypatch, by_id, "by-id")
+    again, same, met = loaded(spark, tmp_path, monkeypatch, joined, "joined")
+    done.commit = again.commit = None
+    assert done == again and cells == same and cells
+    assert (done.files_total, done.files_skipped) == (4, 1)
+    # copies are not read again, and no text is shuffled or broadcast
+    assert files.count() == 4 and "Join" not in files._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == 4 and not [b for b in broadcasts(met) if "MapInArrow" in b]
+
+
+def test_texts_of_many_files_are_not_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parse, "BROADCAST_FILES", 2)
+    joined = lambda root: source.read_texts(spark, root).withColumnRenamed("file_id", "path_abs")
+    done, cells, met = loaded(spark, tmp_path, monkeypatch, joined, "joined")
+    assert done.files_total == 4 and cells
+    assert met.count() == 4 and not broadcasts(met)
